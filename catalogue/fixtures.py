@@ -202,7 +202,7 @@ FIXTURES = {
                  else 'HTTP 400: props ' || props end as error
         from events""",
     "request_log": """
-        select user_id as batch_id, ts as at,
+        select user_id as batch_id, ts as logged_at,
                case event_type when 'purchase' then 'completed' when 'error' then 'failed' else 'open' end as outcome
         from events""",
     "run_log": """

@@ -61,12 +61,12 @@ def with_eta(jobs: DataFrame, now: Column) -> DataFrame:
     return jobs.withColumns({"total": total, "eta_seconds": eta, "eta_text": X.duration_text(eta)})
 
 
-def batch_progress(log: DataFrame) -> DataFrame:
-    """Progress per batch from a request log `batch_id`, `at`, `outcome`.
+def batch_progress(log: DataFrame, time_column: str = "at") -> DataFrame:
+    """Progress per batch from a request log: `batch_id`, a time, and `outcome`.
 
     The clock is the latest entry of each batch; open requests count towards the total.
     """
-    at = F.unix_timestamp("at")
+    at = F.unix_timestamp(time_column)
     jobs = log.groupBy("batch_id").agg(
         F.count_if(F.col("outcome") == "completed").alias("completed"),
         F.count_if(F.col("outcome") == "failed").alias("failed"),
