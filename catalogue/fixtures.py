@@ -77,8 +77,7 @@ TITLES = (
 
 
 def _pick(index: str, values: tuple[str, ...], start: int = 0) -> str:
-    cases = " ".join(f"when {i} then '{v}'" for i, v in enumerate(values, start))
-    return f"case {index} {cases} end"
+    return f"split_part('{'|'.join(values)}', '|', {index} + {1 - start})"
 
 
 _TAX = "cast(round(l_tax * 100) as int)"
@@ -239,7 +238,11 @@ def with_fixtures(sql: str) -> str:
 
 
 def base(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A given table. The small ones are a single row group, which would keep one core busy;
+    a table of many files is left as it is."""
+    table = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    cores = spark.sparkContext.defaultParallelism
+    return table if table.rdd.getNumPartitions() >= cores else table.repartition(cores)
 
 
 def fixture(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

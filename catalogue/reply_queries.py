@@ -47,7 +47,7 @@ def rep_nonempty(spark, sf):
 
 @query(
     f"""select chunk_id, part_no, line_no, c[1] as prospect_id, replace(c[2], chr(1), ',') as job_title,
-    c[3] as persona, c[4] as persona_certainty,
+    nullif(c[3], '') as persona, nullif(c[4], '') as persona_certainty,
     case when len(c) = 4 then 'ok' when len(c) > 4 then 'long' else 'short' end as shape from ({CELLS_SQL})"""
 )
 def rep_csv(spark, sf):

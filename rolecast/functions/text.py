@@ -15,12 +15,13 @@ def strip(text: Column) -> Column:
 
 
 def has_text(text: Column) -> Column:
-    return strip(F.coalesce(text, F.lit(""))) != ""
+    """Whether there is any character that is not blank. Never null."""
+    return F.coalesce(text, F.lit("")).rlike(f"[^{S.BLANKS}]")
 
 
 def blank_to_null(text: Column) -> Column:
     """The text unchanged, or null when it is blank."""
-    return F.when(strip(text) != "", text)
+    return F.when(has_text(text), text)
 
 
 def null_tokens_to_empty(text: Column, tokens: Sequence[str] = S.NULL_TOKENS) -> Column:

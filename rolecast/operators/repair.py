@@ -27,10 +27,12 @@ def repair_table(
 ) -> DataFrame:
     """`word`, `repaired` for every invalid text that is close enough to a name.
 
-    Only distinct texts are scored. The table is saved, as it is measured and then joined.
+    Only distinct texts are scored. They are saved first: a filter on the score would
+    otherwise be pushed below `distinct` and score every row. The result is saved as well, as
+    it is measured and then joined.
     """
     score = closest_name_by_edits if by_edits else closest_name
-    words = invalid_words(replies, taxonomy)
+    words = saved(invalid_words(replies, taxonomy), "words")
     matched = words.withColumn("repaired", score(F.col("word"), taxonomy, threshold))
     return saved(matched.filter(F.col("repaired").isNotNull()), "repairs")
 

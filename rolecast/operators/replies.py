@@ -9,10 +9,6 @@ from pyspark.sql import Column, DataFrame, functions as F
 from rolecast import schema as S
 from rolecast.functions import text as X
 
-# Stands for "cell not there", so that an empty cell can be told from a missing one.
-_ABSENT = "\x00"
-
-
 def keep_nonempty(replies: DataFrame, column: str = "reply") -> DataFrame:
     return replies.filter(X.has_text(F.col(column)))
 
@@ -20,22 +16,20 @@ def keep_nonempty(replies: DataFrame, column: str = "reply") -> DataFrame:
 def parse_reply_lines(replies: DataFrame, keep: Sequence[str] = ("chunk_id",), column: str = "reply") -> DataFrame:
     """One row per non-blank line: the four reply cells, as sent, and the shape of the line.
 
-    Cells after the fourth are cut, missing ones are null, quoted commas belong to their
-    cell, and a broken line harms no other line.
+    Cells after the fourth are cut, missing and empty ones are null, quoted commas belong to
+    their cell, and a broken line harms no other line.
     """
     lines = replies.select(*keep, F.posexplode(F.split(F.col(column), "\r?\n")).alias("line_no", "line"))
     fields = ", ".join(f"{name} STRING" for name in S.REPLY_COLUMNS) + ", irregular STRING"
-    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "irregular", "escape": '"', "nullValue": _ABSENT}
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "irregular", "escape": '"'}
     parsed = (
         lines.filter(X.has_text(F.col("line")))
         .withColumn("cells", F.from_csv("line", fields, options))
         .select(*keep, "line_no", *[F.col(f"cells.{name}") for name in S.REPLY_COLUMNS], "cells.irregular")
     )
-    shape = (
-        F.when(F.col("irregular").isNull(), "ok")
-        .when(F.col("persona_certainty").isNotNull(), "long")
-        .otherwise("short")
-    )
+    # Counted on irregular lines only: commas outside quotes.
+    commas = F.length(F.regexp_replace(F.regexp_replace("irregular", '"[^"]*"', ""), "[^,]", ""))
+    shape = F.when(F.col("irregular").isNull(), "ok").when(commas >= len(S.REPLY_COLUMNS), "long").otherwise("short")
     return parsed.withColumn("shape", shape).drop("irregular")
 
 
