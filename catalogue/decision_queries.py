@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from catalogue.fixtures import REPAIRED, VALID, base, fixture
 from catalogue.registry import query, sql_list, sql_pairs
-from catalogue.reply_queries import LAST_SQL, OBJECT_SQL, RESULT_COLUMNS
+from catalogue.reply_queries import LAST_SQL, OBJECT_SQL, RESULT_COLUMNS, TIDY_SQL
 from rolecast.functions import text as X
 from rolecast.operators import clean, decide as D, repair, report
 from rolecast.operators.replies import first_per_id, tidy_replies
@@ -17,9 +17,6 @@ ORDER = ("n", "persona", "persona_certainty")
 VALID_SQL = sql_list(VALID)
 GOLDEN_SQL = f"(values {sql_pairs(REPAIRED)}) as g(word, name)"
 FIRST_SQL = "select * from replies qualify row_number() over (partition by prospect_id order by n, persona, persona_certainty) = 1"
-TIDY_SQL = """select prospect_id, n,
-    case when trim(persona) not in ('', 'nan', 'NaN', 'None', 'NA', 'null') then trim(persona) end as persona,
-    persona_certainty from replies"""
 REASON_SQL = f"""case when trim(coalesce(persona, '')) = '' then 'No LLM response'
     when trim(persona) not in ({VALID_SQL}) then 'Invalid persona: ' || trim(persona) end"""
 

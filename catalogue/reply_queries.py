@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
 from catalogue.fixtures import REPAIRED, VALID, fixture
 from catalogue.registry import query, sql_list, sql_pairs
 from rolecast.operators import repair, replies
 from rolecast.plans.batch import batch_results
 
+TIDY_SQL = """select prospect_id, n,
+    case when trim(persona) not in ('', 'nan', 'NaN', 'None', 'NA', 'null') then trim(persona) end as persona,
+    persona_certainty from replies"""
 LINES_SQL = r"""select chunk_id, part_no, unnest(string_split_regex(reply, '\r?\n')) as line,
     generate_subscripts(string_split_regex(reply, '\r?\n'), 1) - 1 as line_no
     from chunk_replies where trim(reply) <> ''"""
@@ -36,7 +37,7 @@ OBJECT_SQL = """select * exclude (content, error),
 RESULT_COLUMNS = """prospect_id,
     case when raw_persona not in ('nan', 'NaN', 'None', 'NA', 'null') then raw_persona end as persona,
     persona_certainty, error"""
-LAST_SQL = f"""select * from ({ENVELOPE_SQL}) where prospect_id is not null
+LAST_SQL = f"""select * from ({ENVELOPE_SQL}) 
     qualify row_number() over (partition by prospect_id order by (content is not null) desc, line_no desc, line desc) = 1"""
 
 
@@ -74,8 +75,7 @@ def rep_first(spark, sf):
 @query(f"select prospect_id, line_no, line, content, error from ({LAST_SQL})")
 def rep_last(spark, sf):
     envelopes = replies.parse_envelopes(fixture(spark, sf, "batch_output"), keep=("line_no", "line"))
-    known = envelopes.filter(F.col("prospect_id").isNotNull())
-    return replies.last_results(known, ["line_no", "line"])
+    return replies.last_results(envelopes, ["line_no", "line"])
 
 
 @query(f"select line_no, prospect_id, content, error from ({ENVELOPE_SQL})")
@@ -95,11 +95,12 @@ def rep_batch_results(spark, sf):
 
 
 @query(
-    f"""select prospect_id, n, persona, persona_certainty, g.name as repaired
-    from replies left join (values {sql_pairs(REPAIRED)}) as g(word, name) on trim(persona) = g.word"""
+    f"""select prospect_id, n, t.persona, persona_certainty, g.name as repaired
+    from ({TIDY_SQL}) t left join (values {sql_pairs(REPAIRED)}) as g(word, name) on t.persona = g.word"""
 )
 def fix_fuzzy(spark, sf):
-    return repair.with_repairs(fixture(spark, sf, "replies"), ["prospect_id", "n", "persona_certainty"])
+    tidy = replies.tidy_replies(fixture(spark, sf, "replies"))
+    return repair.with_repairs(tidy, ["prospect_id", "n", "persona_certainty"])
 
 
 @query(
@@ -110,9 +111,9 @@ def fix_fuzzy(spark, sf):
         where w.persona <> '' and w.persona not in ({sql_list(VALID)})),
     best as (select word, name from scored where score >= 0.6
              qualify row_number() over (partition by word order by score desc, name desc) = 1)
-    select prospect_id, n, persona, persona_certainty, best.name as repaired
-    from replies left join best on trim(persona) = best.word"""
+    select prospect_id, n, t.persona, persona_certainty, best.name as repaired
+    from ({TIDY_SQL}) t left join best on t.persona = best.word"""
 )
 def fix_levenshtein(spark, sf):
-    spread = ["prospect_id", "n", "persona_certainty"]
-    return repair.with_repairs(fixture(spark, sf, "replies"), spread, by_edits=True)
+    tidy = replies.tidy_replies(fixture(spark, sf, "replies"))
+    return repair.with_repairs(tidy, ["prospect_id", "n", "persona_certainty"], by_edits=True)

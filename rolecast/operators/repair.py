@@ -7,34 +7,29 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, functions as F
 
 from rolecast import schema as S
-from rolecast.functions import text as X
 from rolecast.functions.similarity import closest_name, closest_name_by_edits
-from rolecast.operators.lookups import lookup_join
+from rolecast.operators.lookups import BROADCAST_ROWS, HOT_ROWS, fits_broadcast, salted_join
 from rolecast.session import saved
 
 
 def invalid_words(replies: DataFrame, taxonomy: Sequence[str] = S.PERSONAS) -> DataFrame:
-    """The distinct persona texts that are not in the taxonomy."""
-    word = X.strip(F.col("persona"))
-    return replies.filter(X.has_text(F.col("persona")) & ~word.isin(*taxonomy)).select(word.alias("word")).distinct()
+    """The distinct persona texts that are not in the taxonomy. Replies are tidy: trimmed or null."""
+    return replies.filter(~F.col("persona").isin(*taxonomy)).select(F.col("persona").alias("word")).distinct()
 
 
 def repair_table(
-    replies: DataFrame,
+    words: DataFrame,
     taxonomy: Sequence[str] = S.PERSONAS,
     threshold: int = S.FUZZY_THRESHOLD,
     by_edits: bool = False,
 ) -> DataFrame:
-    """`word`, `repaired` for every invalid text that is close enough to a name.
+    """`word`, `repaired` for every text that is close enough to a name.
 
-    Only distinct texts are scored. They are saved first: a filter on the score would
-    otherwise be pushed below `distinct` and score every row. The result is saved as well, as
-    it is measured and then joined.
+    `words` should be a saved table of distinct texts: a filter on the score of a plan that
+    ends in `distinct` is pushed below it and scores every row.
     """
     score = closest_name_by_edits if by_edits else closest_name
-    words = saved(invalid_words(replies, taxonomy), "words")
-    matched = words.withColumn("repaired", score(F.col("word"), taxonomy, threshold))
-    return saved(matched.filter(F.col("repaired").isNotNull()), "repairs")
+    return words.withColumn("repaired", score(F.col("word"), taxonomy, threshold)).filter(F.col("repaired").isNotNull())
 
 
 def with_repairs(
@@ -43,12 +38,22 @@ def with_repairs(
     taxonomy: Sequence[str] = S.PERSONAS,
     threshold: int = S.FUZZY_THRESHOLD,
     by_edits: bool = False,
-    **join_limits: int,
+    max_rows: int = BROADCAST_ROWS,
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
-    """Add `repaired`: the name an invalid persona stands for, else null."""
-    repairs = repair_table(replies, taxonomy, threshold, by_edits)
-    keyed = replies.withColumn("word", X.strip(F.col("persona")))
-    return lookup_join(keyed, repairs, "word", spread_by, **join_limits).drop("word")
+    """Add `repaired` to tidy replies: the name an invalid persona stands for, else null.
+
+    The distinct words bound the repairs, so measuring them tells whether to broadcast.
+    `replies` is read twice, so hand in a saved table, not the end of a long plan.
+    """
+    words = saved(invalid_words(replies, taxonomy), "words")
+    repairs = repair_table(words, taxonomy, threshold, by_edits)
+    keyed = replies.withColumn("word", F.col("persona"))
+    if fits_broadcast(words, max_rows):
+        joined = keyed.join(F.broadcast(repairs), "word", "left")
+    else:
+        joined = salted_join(keyed, saved(repairs, "repairs"), "word", spread_by, hot_rows=hot_rows)
+    return joined.drop("word")
 
 
 def repair_skipped(

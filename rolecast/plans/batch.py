@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame
 
 from rolecast import schema as S
 from rolecast.operators.decide import contacts_without, decide
 from rolecast.operators.replies import last_results, parse_envelopes, parse_persona_objects
 from rolecast.operators.requests import request_documents
+from rolecast.session import saved
 from rolecast.sinks.outputs import write_lines
 
 LINE_ORDER = ("line_no",)
@@ -29,10 +30,12 @@ def write_requests(
 
 
 def batch_results(lines: DataFrame, order: Sequence[str] = LINE_ORDER) -> DataFrame:
-    """One row per id of a batch output: its last result, or its last error."""
-    envelopes = parse_envelopes(lines, keep=order)
-    known = envelopes.filter(F.col("prospect_id").isNotNull())
-    return parse_persona_objects(last_results(known, order))
+    """One row per id of a batch output: its last result, or its last error.
+
+    Lines that tell no id are one more row, without id. They are not filtered out, as the
+    filter would be pushed down and parse every line a second time.
+    """
+    return parse_persona_objects(last_results(parse_envelopes(lines, keep=order), order))
 
 
 def finish_batch(
@@ -43,4 +46,7 @@ def finish_batch(
     threshold: int | None = S.FUZZY_THRESHOLD,
 ) -> DataFrame:
     """Decisions from the lines of a finished batch."""
-    return decide(contacts, batch_results(lines, order), order, taxonomy, threshold, batch=True)
+    results = batch_results(lines, order)
+    if threshold is not None:
+        results = saved(results, "batch-results")
+    return decide(contacts, results, order, taxonomy, threshold, batch=True)

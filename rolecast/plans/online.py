@@ -81,7 +81,7 @@ def run_online(
     """Decisions for prepared contacts. `options` go to `collect_replies`."""
     staged = stage_contacts(contacts, f"{work_dir}/contacts")
     raw = collect_replies(staged, ask, work_dir, taxonomy=taxonomy, **options)
-    return decide(staged, parsed_replies(raw), REPLY_ORDER, taxonomy, threshold)
+    return decide(staged, saved(parsed_replies(raw), "parsed"), REPLY_ORDER, taxonomy, threshold)
 
 
 def asked_per_pass(
