@@ -73,23 +73,21 @@ def parse_envelopes(lines: DataFrame, keep: Sequence[str] = (), column: str = "l
 def parse_persona_objects(envelopes: DataFrame) -> DataFrame:
     """`content` to `persona` and `persona_certainty`; other content becomes an error."""
     content = F.col("content")
-    # A JSON object is the only content that serves; the text check comes first as the cheap one.
-    is_object = F.coalesce(
-        X.strip(content).startswith("{") & F.expr("try_parse_json(content) is not null"), F.lit(False)
-    )
-    options = {"allowSingleQuotes": "false"}
+    # Read as the only element of a list: text after the object makes the list invalid.
+    listed = F.from_json(F.concat(F.lit("["), content, F.lit("]")), S.PERSONA_OBJECTS, {"allowSingleQuotes": "false"})
+    is_object = F.coalesce(X.strip(content).startswith("{") & (F.size("_objects") == 1), F.lit(False))
     problem = F.concat(F.lit("Invalid JSON: "), F.substring(content, 1, 160))
+    first = F.get("_objects", F.lit(0))
     return (
-        envelopes.withColumn("_ok", is_object)
-        .withColumn("_obj", F.when(F.col("_ok"), F.from_json(content, S.PERSONA_OBJECT, options)))
+        envelopes.withColumn("_objects", listed)
         .withColumns(
             {
-                "persona": X.tidy_reply_value(F.col("_obj.persona")),
-                "persona_certainty": X.tidy_reply_value(F.col("_obj.certainty")),
-                "error": F.coalesce(F.col("error"), F.when(content.isNotNull() & ~F.col("_ok"), problem)),
+                "persona": X.tidy_reply_value(F.when(is_object, first["persona"])),
+                "persona_certainty": X.tidy_reply_value(F.when(is_object, first["certainty"])),
+                "error": F.coalesce(F.col("error"), F.when(content.isNotNull() & ~is_object, problem)),
             }
         )
-        .drop("_ok", "_obj", "content")
+        .drop("_objects", "content")
     )
 
 

@@ -129,7 +129,7 @@ ENVELOPE = """
         >
     >
 """
-PERSONA_OBJECT = "persona STRING, certainty STRING"
+PERSONA_OBJECTS = "ARRAY<STRUCT<persona: STRING, certainty: STRING>>"
 
 CRM_CONTACT = """
     id STRING,
