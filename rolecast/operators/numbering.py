@@ -6,6 +6,8 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from rolecast.session import saved
+
 BLOCK = 1 << 16
 
 
@@ -45,11 +47,12 @@ def running_sums(
 
     `order_by` is a unique whole number per `within`. Rows are cut into blocks of `width`
     consecutive order values: no task sorts more than one block, however large a key is.
-    `df` is read twice, so hand in a saved table, not the end of a long plan.
+    `df` is read twice, so hand in a saved table, not the end of a long plan. The sums per
+    block are saved at once, so that their three uses do not read `df` again.
     """
     within, names = list(within), list(values)
     blocked = df.withColumns(dict(values)).withColumn("_block", _block(order_by, width))
-    totals = blocked.groupBy(*within, "_block").agg(*[F.sum(n).alias(n) for n in names])
+    totals = saved(blocked.groupBy(*within, "_block").agg(*[F.sum(n).alias(n) for n in names]), "block-sums")
     offsets = _sums_before(totals, names, within, width)
     upto = Window.partitionBy(*within, "_block").orderBy(order_by).rowsBetween(Window.unboundedPreceding, 0)
     summed = blocked.withColumns({n: F.sum(n).over(upto) for n in names})

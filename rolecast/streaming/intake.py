@@ -7,7 +7,6 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame, SparkSession
 
 from rolecast.operators.clean import prepare_contacts
-from rolecast.operators.numbering import attach_seq
 from rolecast.sources.contacts import inside_names
 
 EXPORT_COLUMNS = ("Record ID", "Email", "Job Title")
@@ -34,7 +33,7 @@ def take_in(
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        contacts = attach_seq(prepare(inside_names(batch.fillna(""))))
+        contacts = prepare(inside_names(batch.fillna("")))
         contacts.write.mode("overwrite").parquet(f"{out_dir}/batch_id={batch_id}")
 
     query = (
