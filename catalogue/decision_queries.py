@@ -80,15 +80,16 @@ def join_rerun(spark, sf):
     return D.join_rerun(fixture(spark, sf, "skipped"), fixture(spark, sf, "rerun_results"))
 
 
-@query(
-    f"""select prospect_id, email, job_title, persona, persona_certainty,
+UPDATED_SQL = f"""select prospect_id, email, job_title, persona, persona_certainty,
     case when trim(coalesce(persona, '')) = '' then 'Batch error: ' || coalesce(error, 'No LLM response')
          else {REASON_SQL} end as skip_reason
     from (select s.prospect_id, s.email, s.job_title, coalesce(case when trim(r.persona) <> '' then r.persona end, s.persona) as persona,
                  coalesce(case when trim(r.persona_certainty) <> '' then r.persona_certainty end, s.persona_certainty) as persona_certainty,
                  r.error
           from skipped s left join rerun_results r on s.prospect_id = r.prospect_id)"""
-)
+
+
+@query(UPDATED_SQL)
 def val_choose(spark, sf):
     return D.update_skipped(fixture(spark, sf, "skipped"), fixture(spark, sf, "rerun_results"))
 
@@ -194,6 +195,22 @@ def agg_progress(spark, sf):
     return progress.select("batch_id", "completed", "failed", "total", F.round("eta_seconds", 6).alias("eta_seconds"))
 
 
+@query("select * from batch_jobs where coalesce(status, '') not in ('completed', 'failed', 'cancelled', 'canceled')")
+def agg_open_batches(spark, sf):
+    return report.open_batches(fixture(spark, sf, "batch_jobs"))
+
+
+@query(
+    """with jobs as (select *, coalesce(nullif(given_total, 0), completed + failed) as total, 1000000 - nullif(started_at, 0) as ago from batch_jobs)
+    select batch_id, total, round(case when total > 0 and ago is not null and completed > 0
+        then greatest(0, total - completed)::double / (completed::double / greatest(1, ago)::double) end, 6) as eta_seconds
+    from jobs"""
+)
+def agg_eta(spark, sf):
+    timed = report.with_eta(fixture(spark, sf, "batch_jobs"), F.lit(1000000).cast("long"))
+    return timed.select("batch_id", "total", F.round("eta_seconds", 6).alias("eta_seconds"))
+
+
 @query(
     """select event_id, case when event_type = 'signup' or event_type = 'view' then '—'
        when s >= 3600 then (s // 3600) || 'h ' || (s // 60 % 60) || 'm ' || (s % 60) || 's'

@@ -206,6 +206,15 @@ FIXTURES = {
         select user_id as batch_id, ts as logged_at,
                case event_type when 'purchase' then 'completed' when 'error' then 'failed' else 'open' end as outcome
         from events""",
+    # Status of batches, as a vendor reports it.
+    "batch_jobs": """
+        select event_id as batch_id,
+               case event_type when 'view' then 'in_progress' when 'click' then 'completed' when 'signup' then 'failed'
+                    when 'purchase' then 'cancelled' else nullif('a', 'a') end as status,
+               cast(floor(value) as bigint) as completed, user_id as failed,
+               case event_type when 'view' then 0 when 'click' then nullif(1, 1) else cast(floor(value * 2) as bigint) end as given_total,
+               case event_type when 'signup' then nullif(1, 1) else event_id end as started_at
+        from events""",
     "run_log": """
         select case l_returnflag when 'A' then 200 when 'N' then 300 else 500 end as chunk_size,
                case when l_discount > l_tax then 1 else 0 end as skipped

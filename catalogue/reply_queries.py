@@ -11,7 +11,7 @@ TIDY_SQL = """select prospect_id, n,
     case when trim(persona) not in ('', 'nan', 'NaN', 'None', 'NA', 'null') then trim(persona) end as persona,
     persona_certainty from replies"""
 LINES_SQL = r"""select chunk_id, part_no, unnest(string_split_regex(reply, '\r?\n')) as line,
-    generate_subscripts(string_split_regex(reply, '\r?\n'), 1) - 1 as line_no
+    cast(generate_subscripts(string_split_regex(reply, '\r?\n'), 1) - 1 as int) as line_no
     from chunk_replies where trim(reply) <> ''"""
 CELLS_SQL = f"""select chunk_id, part_no, line_no,
     string_split(replace(line, '"VP, Sales"', 'VP' || chr(1) || ' Sales'), ',') as c

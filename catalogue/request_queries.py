@@ -148,7 +148,10 @@ def conv_seed(spark, sf):
 )
 def conv_session(spark, sf):
     """The whole message list of each conversation, checked by a digest of its text."""
-    parts = requests.session_parts(base(spark, sf, "conversations"))
+    return _digest(requests.session_parts(base(spark, sf, "conversations")))
+
+
+def _digest(parts):
     lines = F.transform("messages", lambda m: F.concat(m["role"], F.lit(":"), m["content"]))
     return parts.select(
         "conv_id",
@@ -158,6 +161,18 @@ def conv_session(spark, sf):
     )
 
 
+@query(
+    """with calls as (select conv_id, max(turn) as call_turn from conversations where role = 'user' group by 1)
+    select c.conv_id, turn // 1000 as part, count(*) as n_messages,
+    md5(string_agg(role || ':' || text, chr(10) order by turn)) as digest
+    from conversations c join calls on c.conv_id = calls.conv_id and turn <= call_turn group by 1, 2"""
+)
+def conv_request(spark, sf):
+    """What is sent with the last user message of each conversation."""
+    turns = base(spark, sf, "conversations")
+    return _digest(requests.call_histories(turns, requests.open_calls(turns)))
+
+
 @query(
     """select conv_id, turn, case when role in ('system', 'user') and text <> '' then 1 else 0 end as n_messages,
     case when role in ('system', 'user') and text <> '' then role else '' end as roles,

@@ -11,12 +11,13 @@ import pandas as pd
 from pyspark.sql import functions as F
 
 from catalogue.clean_queries import MARKER, RULES_SQL
-from catalogue.decision_queries import DECIDED_SQL, decisions
+from catalogue.decision_queries import DECIDED_SQL, UPDATED_SQL, decisions
 from catalogue.fixtures import fixture
 from catalogue.registry import query
 from rolecast import schema as S
 from rolecast.operators.classify import RetryPolicy, ask_chunks, rule_replies
 from rolecast.operators.clean import prepare_contacts
+from rolecast.operators.decide import update_skipped
 from rolecast.operators.numbering import assign_chunks
 from rolecast.operators.replies import parse_reply_lines
 from rolecast.operators.requests import render_chunks, request_documents
@@ -24,7 +25,7 @@ from rolecast.plans.online import run_online
 from rolecast.session import new_path, saved
 from rolecast.sinks.outputs import save_outputs, write_csv, write_lines
 from rolecast.sources.archive import unpack_archives
-from rolecast.sources.contacts import read_csv_contacts, union_sheets
+from rolecast.sources.contacts import read_csv_contacts, read_skipped, union_sheets
 from rolecast.sources.text import read_lines
 from rolecast.streaming.intake import take_in
 
@@ -139,3 +140,15 @@ def sink_roundtrip(spark, sf):
     decided = saved(decisions(spark, sf), "decisions")
     paths = save_outputs(decided, new_path(spark, "outputs"))
     return read_csv_contacts(spark, list(paths)).select(*S.DECISION_COLUMNS)
+
+
+@query(
+    f"""select prospect_id, email, job_title, nullif(persona, '') as persona,
+    nullif(persona_certainty, '') as persona_certainty, skip_reason from ({UPDATED_SQL})"""
+)
+def sink_rerun_roundtrip(spark, sf):
+    """Files of a rerun, quoted only where needed, with titles of many lines, read back as skipped files are."""
+    updated = saved(update_skipped(fixture(spark, sf, "skipped"), fixture(spark, sf, "rerun_results")), "rerun")
+    paths = save_outputs(updated, new_path(spark, "outputs"), rerun=True)
+    both = [read_skipped(spark, path).select(*S.DECISION_COLUMNS) for path in paths]
+    return both[0].unionByName(both[1])

@@ -76,6 +76,11 @@ def require_rows(df: DataFrame, message: str = "no rows to work on") -> DataFram
     return df
 
 
+def require_none(df: DataFrame, what: str) -> None:
+    if not df.isEmpty():
+        raise ValueError(f"there are {what}")
+
+
 def prepare_contacts(
     df: DataFrame,
     marker: str | None = S.INTERNAL_MARKER,

@@ -77,8 +77,9 @@ def batch_progress(log: DataFrame, time_column: str = "at") -> DataFrame:
     return with_eta(jobs, F.col("seen_at"))
 
 
-def is_final(status: Column) -> Column:
-    return status.isin(*S.FINAL_BATCH_STATES)
+def open_batches(jobs: DataFrame) -> DataFrame:
+    """Batches still under way: those whose `status` is not final."""
+    return jobs.filter(~F.coalesce(F.col("status"), F.lit("")).isin(*S.FINAL_BATCH_STATES))
 
 
 def skip_rate_by_chunk(run_log: DataFrame) -> DataFrame:

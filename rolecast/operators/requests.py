@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from rolecast import schema as S
 from rolecast.functions import text as X
+from rolecast.operators.lookups import lookup_join
 from rolecast.operators.numbering import BLOCK, running_sums
 
 SESSION_PART = 1_000
@@ -83,7 +84,7 @@ def history_sizes(turns: DataFrame, width: int = BLOCK) -> DataFrame:
     """What each call resends: messages, characters and estimated tokens up to its turn.
 
     The text of a call's history is every row of its conversation up to that turn, so only
-    its size is stored per turn; `session_parts` renders the text once per conversation.
+    its size is stored per turn; `call_histories` renders the text of the calls to be made.
     """
     # Texts are measured before the shuffle and do not travel through it.
     sized = turns.select(
@@ -113,3 +114,17 @@ def session_parts(turns: DataFrame, part_size: int = SESSION_PART) -> DataFrame:
             F.transform("m", lambda m: F.struct(m["role"].alias("role"), m["content"].alias("content"))).alias("messages"),
         )
     )
+
+
+def open_calls(turns: DataFrame) -> DataFrame:
+    """`conv_id`, `call_turn`: the last user message of each conversation."""
+    return turns.filter(F.col("role") == "user").groupBy("conv_id").agg(F.max("turn").alias("call_turn"))
+
+
+def call_histories(turns: DataFrame, calls: DataFrame, part_size: int = SESSION_PART, **limits: int) -> DataFrame:
+    """The messages sent with each call: all turns of its conversation up to its own.
+
+    `calls` has one open call per conversation. The list comes in parts, as in `session_parts`.
+    """
+    asked = lookup_join(turns, calls, "conv_id", ("turn",), "inner", **limits)
+    return session_parts(asked.filter(F.col("turn") <= F.col("call_turn")), part_size)

@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, functions as F
 
 from rolecast import schema as S
+from rolecast.operators.clean import require_none
 from rolecast.operators.decide import contacts_without, decide
 from rolecast.operators.replies import last_results, parse_envelopes, parse_persona_objects
 from rolecast.operators.requests import request_documents
@@ -50,3 +51,10 @@ def finish_batch(
     if threshold is not None:
         results = saved(results, "batch-results")
     return decide(contacts, results, order, taxonomy, threshold, batch=True)
+
+
+def require_completed(jobs: DataFrame) -> DataFrame:
+    """Fail unless every batch of a status table `batch_id`, `status` has completed."""
+    done = F.coalesce(F.col("status"), F.lit("")) == "completed"
+    require_none(jobs.filter(~done), "batches that did not complete")
+    return jobs

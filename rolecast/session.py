@@ -8,6 +8,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
+_LOCAL_DIRS: dict[str, str] = {}
 
 
 def build_session(app: str = "rolecast", master: str | None = None, **conf: str) -> SparkSession:
@@ -34,9 +35,10 @@ def shared_dir(spark: SparkSession) -> str:
         return configured.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError(f"set {CHECKPOINT_DIR} to a folder every executor can reach")
-    fresh = tempfile.mkdtemp(prefix="rolecast-")
-    spark.conf.set(CHECKPOINT_DIR, fresh)
-    return fresh
+    application = spark.sparkContext.applicationId
+    if application not in _LOCAL_DIRS:
+        _LOCAL_DIRS[application] = tempfile.mkdtemp(prefix="rolecast-")
+    return _LOCAL_DIRS[application]
 
 
 def new_path(spark: SparkSession, label: str) -> str:

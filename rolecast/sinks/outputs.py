@@ -61,5 +61,6 @@ def write_lines(lines: DataFrame, path: str, column: str = "line") -> str:
     return path
 
 
-def checkpoint_path(out_dir: str, name: str) -> str:
-    return f"{out_dir}/_checkpoints/{name}_{run_stamp('%Y-%m-%d_%H-%M-%S')}"
+def save_raw(lines: DataFrame, out_dir: str, name: str, column: str = "line") -> str:
+    """Raw output of a batch, or its metadata as JSON lines, kept under the time of the run."""
+    return write_lines(lines, f"{out_dir}/_checkpoints/{name}_{run_stamp('%Y-%m-%d_%H-%M-%S')}", column)

@@ -5,11 +5,11 @@ import pytest
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-from rolecast.session import CHECKPOINT_DIR, build_session  # noqa: E402
+from rolecast.session import build_session  # noqa: E402
 
 
 @pytest.fixture(scope="session")
-def spark(tmp_path_factory):
+def spark():
     session = build_session(
         "tests",
         "local[4]",
@@ -18,8 +18,6 @@ def spark(tmp_path_factory):
         spark__sql__shuffle__partitions="4",
     )
     session.sparkContext.setLogLevel("ERROR")
-    if not session.conf.get(CHECKPOINT_DIR, None):
-        session.conf.set(CHECKPOINT_DIR, str(tmp_path_factory.mktemp("shared")))
     yield session
     session.stop()
 

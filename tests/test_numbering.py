@@ -5,7 +5,14 @@ from conftest import rows
 from rolecast.operators.classify import rule_replies
 from rolecast.operators.numbering import assign_chunks, number_rows, running_sums
 from rolecast.operators.replies import parse_reply_lines
-from rolecast.operators.requests import history_sizes, render_chunks, seed_sessions, session_parts
+from rolecast.operators.requests import (
+    call_histories,
+    history_sizes,
+    open_calls,
+    render_chunks,
+    seed_sessions,
+    session_parts,
+)
 
 
 @settings(max_examples=10, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
@@ -69,3 +76,17 @@ def test_sessions(spark):
     assert [p.part for p in parts] == [-1, 0, 1, 2]
     texts = [m.content for p in parts for m in p.messages]
     assert texts == ["sys"] + [f"m{t}" for t in range(25)]
+
+
+def test_call_histories(spark):
+    turns = spark.createDataFrame(
+        [(1, t, "user" if t % 2 == 0 else "assistant", f"m{t}") for t in range(12)] + [(2, 0, "assistant", "x"), (3, 0, "user", "y")],
+        "conv_id long, turn long, role string, text string",
+    )
+    calls = open_calls(turns)
+    assert rows(calls) == [(1, 10), (3, 0)]
+    for limits in ({}, {"max_rows": 0, "hot_rows": 2}):
+        parts = call_histories(turns, calls, 4, **limits)
+        sent = [m.content for p in parts.filter("conv_id = 1").orderBy("part").collect() for m in p.messages]
+        assert sent == [f"m{t}" for t in range(11)]
+        assert parts.filter("conv_id = 2").count() == 0

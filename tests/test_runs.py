@@ -7,11 +7,13 @@ from conftest import plan_of, rows
 from rolecast import schema as S
 from rolecast.operators.classify import RetryPolicy, ask_chunks, rule_replies
 from rolecast.operators.clean import prepare_contacts
-from rolecast.operators.report import pass_summary
-from rolecast.plans.batch import finish_batch, write_requests
+from rolecast.operators.report import open_batches, pass_summary
+from rolecast.plans.batch import finish_batch, require_completed, write_requests
 from rolecast.plans.online import asked_per_pass, parsed_replies, run_online
 from rolecast.plans.rerun import finish_rerun, write_rerun_requests
-from rolecast.session import shared_dir
+from rolecast.session import CHECKPOINT_DIR, new_path, shared_dir
+from rolecast.sinks.outputs import save_raw
+from rolecast.sources.text import read_lines
 
 QUIET = RetryPolicy(sleep=lambda seconds: None)
 
@@ -120,11 +122,24 @@ def test_batch_and_rerun(spark, tmp_path):
     assert spark.read.text(rest).count() == 40
 
 
-def test_no_speculation_for_calls(spark, tmp_path, monkeypatch):
+def test_calls_give_a_saved_table(spark, tmp_path):
     payloads = spark.createDataFrame([(0, 1, "1,x")], "chunk_id long, n long, payload string")
     done = ask_chunks(payloads, rule_replies(), str(tmp_path / "r"), policy=QUIET)
     assert rows(done, "chunk_id", "reply") == [(0, "1,x,Not a target,90")]
+    assert "Python" not in plan_of(done)
 
 
-def test_shared_folder_is_the_sessions(spark):
-    assert shared_dir(spark) == spark.conf.get("spark.checkpoint.dir").rstrip("/")
+def test_batch_states(spark, tmp_path):
+    jobs = spark.createDataFrame([(1, "completed"), (2, "in_progress"), (3, "failed"), (4, None)], "batch_id int, status string")
+    assert rows(open_batches(jobs), "batch_id") == [(2,), (4,)]
+    with pytest.raises(ValueError, match="did not complete"):
+        require_completed(jobs)
+    assert require_completed(jobs.filter("batch_id = 1")).count() == 1
+    path = save_raw(jobs.selectExpr("to_json(struct(*)) as line"), str(tmp_path), "batch_1_meta")
+    assert "/_checkpoints/batch_1_meta_" in path and read_lines(spark, path).count() == 4
+
+
+def test_shared_folder(spark):
+    configured = spark.conf.get(CHECKPOINT_DIR, None)
+    assert shared_dir(spark) == (configured.rstrip("/") if configured else shared_dir(spark))
+    assert new_path(spark, "x") != new_path(spark, "x")
