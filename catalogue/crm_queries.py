@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from catalogue.fixtures import fixture
+from catalogue.fixtures import base, fixture
 from catalogue.registry import query
 from rolecast import schema as S
 from rolecast.operators import crm
@@ -142,7 +142,5 @@ def crm_blocks(spark, sf):
 )
 def crm_totals(spark, sf):
     status = F.expr("case when o_orderstatus = 'F' then 'failed' else 'success' end").alias("status")
-    from catalogue.fixtures import base
-
     outcomes = base(spark, sf, "orders").select(F.col("o_orderkey").alias("block_no"), status)
     return crm.import_totals(resolved(spark, sf), outcomes)

@@ -73,17 +73,14 @@ def src_stream(spark, sf):
     """Two nights of intake; the second only takes in what is new."""
     root = new_path(spark, "intake")
     contacts = fixture(spark, sf, "prospects").withColumnsRenamed(DISPLAY).drop("seq")
-    for night, status in enumerate(("contest.example|building.example", None)):
-        pattern = F.col("Email").rlike("contest.example|building.example")
-        part = contacts.filter(pattern if status else ~pattern)
+    early = F.col("Email").rlike("contest.example|building.example")
+    for night, part in enumerate((contacts.filter(early), contacts.filter(~early))):
         write_csv(part, f"{root}/drop/night-{night}")
-        take_in(
-            spark, f"{root}/drop/*", f"{root}/out", f"{root}/state", prepare=lambda df: prepare_contacts_of(df)
-        )
+        take_in(spark, f"{root}/drop/*", f"{root}/out", f"{root}/state", prepare=_prepare)
     return spark.read.parquet(f"{root}/out").select(*DISPLAY)
 
 
-def prepare_contacts_of(df):
+def _prepare(df):
     return prepare_contacts(df, MARKER)
 
 

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, functions as F
 
 from rolecast import schema as S
-from rolecast.operators.classify import REPLY_SCHEMA, ReplyFunction, RetryPolicy, ask_chunks, rate_limited
+from rolecast.operators.classify import REPLY_SCHEMA, ReplyFunction, ask_chunks, rate_limited
 from rolecast.operators.clean import keep_valid_persona
 from rolecast.operators.decide import contacts_without, decide
 from rolecast.operators.numbering import assign_chunks, attach_seq
@@ -16,6 +16,8 @@ from rolecast.operators.requests import render_chunks
 from rolecast.session import finished, saved
 
 REPLY_ORDER = ("pass_no", "chunk_id", "line_no")
+CHUNKS_PER_WAVE = 100_000
+PAYLOAD_SCHEMA = "chunk_id long, payload string, n long, wave long"
 
 
 def stage_contacts(contacts: DataFrame, path: str) -> DataFrame:
@@ -31,42 +33,63 @@ def parsed_replies(raw: DataFrame) -> DataFrame:
     return tidy_replies(parse_reply_lines(keep_nonempty(raw), keep=("pass_no", "chunk_id"))).drop("shape", "job_title")
 
 
+def stage_payloads(contacts: DataFrame, size: int, path: str, chunks_per_wave: int) -> DataFrame:
+    """Write the payloads of a pass, one folder per wave of consecutive chunks."""
+    spark = contacts.sparkSession
+    if not finished(spark, path):
+        payloads = render_chunks(assign_chunks(contacts, size))
+        waves = payloads.withColumn("wave", F.expr(f"chunk_id div {int(chunks_per_wave)}L"))
+        waves.repartitionByRange("chunk_id").write.mode("overwrite").partitionBy("wave").parquet(path)
+    return spark.read.schema(PAYLOAD_SCHEMA).parquet(path)
+
+
+def ask_pass(payloads: DataFrame, path: str, ask: ReplyFunction, **call_options) -> list[str]:
+    """Ask wave by wave. Each wave is a finished table before the next begins, so a lost
+    executor or a stopped run repeats the calls of one wave at most."""
+    spark = payloads.sparkSession
+    last = payloads.agg(F.max("wave")).first()[0]
+    paths = [f"{path}/wave-{wave}" for wave in range((-1 if last is None else last) + 1)]
+    for wave, wave_path in enumerate(paths):
+        if not finished(spark, wave_path):
+            ask_chunks(payloads.filter(F.col("wave") == wave), ask, wave_path, **call_options)
+    return paths
+
+
 def collect_replies(
     contacts: DataFrame,
     ask: ReplyFunction,
     work_dir: str,
-    system: str = "",
     taxonomy: Sequence[str] = S.PERSONAS,
     max_chunk: int = S.MAX_CHUNK,
     min_chunk: int = S.MIN_CHUNK,
     max_passes: int = S.MAX_PASSES,
-    calls_in_parallel: int = 8,
-    pace: bool = False,
-    policy: RetryPolicy = RetryPolicy(),
+    chunks_per_wave: int = CHUNKS_PER_WAVE,
+    **call_options,
 ) -> DataFrame:
     """Ask for all contacts, then again for those without a valid persona, in smaller chunks.
 
-    `contacts` is a staged table. Each pass is a finished table of replies; a run that was
-    cut off goes on after its last finished pass.
+    `contacts` is a staged table. A run that was cut off goes on after its last finished
+    wave. `call_options` go to `ask_chunks`.
     """
     spark = contacts.sparkSession
     paths: list[str] = []
     size = max_chunk
     for pass_no in range(1, max_passes + 1):
-        path = f"{work_dir}/replies/pass-{pass_no}"
-        if not finished(spark, path):
-            todo = contacts
-            if paths:
-                so_far = parsed_replies(spark.read.schema(REPLY_SCHEMA).parquet(*paths))
-                todo = saved(contacts_without(contacts, keep_valid_persona(so_far, taxonomy)), "todo")
-                if todo.isEmpty():
-                    break
-            payloads = render_chunks(assign_chunks(todo, size))
-            ask_chunks(payloads, ask, path, system, pass_no, calls_in_parallel, pace, policy)
-        paths.append(path)
-        if not rate_limited(spark.read.schema(REPLY_SCHEMA).parquet(path)).isEmpty():
+        payload_path = f"{work_dir}/payloads/pass-{pass_no}"
+        todo = contacts
+        if paths and not finished(spark, payload_path):
+            so_far = parsed_replies(spark.read.schema(REPLY_SCHEMA).parquet(*paths))
+            todo = saved(contacts_without(contacts, keep_valid_persona(so_far, taxonomy)), "todo")
+            if todo.isEmpty():
+                break
+        payloads = stage_payloads(todo, size, payload_path, chunks_per_wave)
+        now = ask_pass(payloads, f"{work_dir}/replies/pass-{pass_no}", ask, pass_no=pass_no, **call_options)
+        paths += now
+        if now and not rate_limited(spark.read.schema(REPLY_SCHEMA).parquet(*now)).isEmpty():
             size = max(min_chunk, size // 2)
         size = max(min_chunk, size // 2)
+    if not paths:
+        return spark.createDataFrame([], REPLY_SCHEMA)
     return spark.read.schema(REPLY_SCHEMA).parquet(*paths)
 
 

@@ -36,10 +36,10 @@ def test_online_run_asks_again_and_resumes(spark, tmp_path):
             raise RuntimeError("wrong system text")
         return "```\n" + "\n".join(line for line in lines if len(lines) <= 15 or "CTO" not in line) + "\n```"
 
-    options = {"system": "be nice", "max_chunk": 40, "calls_in_parallel": 2, "policy": QUIET}
+    options = {"system": "be nice", "max_chunk": 40, "calls_in_parallel": 2, "policy": QUIET, "chunks_per_wave": 1}
     decided = run_online(contacts(spark), choosy, work, **options)
     assert decided.filter("skip_reason is null").count() == 60
-    replies = spark.read.parquet(*[f"{work}/replies/pass-{p}" for p in (1, 2, 3)])
+    replies = spark.read.parquet(*[f"{work}/replies/pass-{p}/*" for p in (1, 2, 3)])
     assert sorted({r.pass_no for r in replies.collect()}) == [1, 2, 3]
     assert replies.filter("pass_no = 3").agg(F.sum("n")).first()[0] == 20 - sum(
         r.n for r in replies.filter("pass_no = 2 and n <= 15").collect()
@@ -56,6 +56,34 @@ def test_online_run_asks_again_and_resumes(spark, tmp_path):
     assert summary[1] == (60, 40, 20)
 
 
+def test_a_stopped_run_keeps_its_finished_waves(spark, tmp_path):
+    work = str(tmp_path / "work")
+
+    def breaks(system, payload):
+        if "59,Director" in payload:
+            raise KeyboardInterrupt("stopped")
+        return rule_replies()(system, payload)
+
+    options = {"max_chunk": 20, "calls_in_parallel": 1, "policy": QUIET, "chunks_per_wave": 1}
+    with pytest.raises(Exception, match="stopped"):
+        run_online(contacts(spark), breaks, work, **options)
+    seen = str(tmp_path / "seen")
+
+    def counts(system, payload):
+        with open(seen, "a") as log:
+            log.write("call\n")
+        return rule_replies()(system, payload)
+
+    decided = run_online(contacts(spark), counts, work, **options)
+    assert decided.filter("skip_reason is null").count() == 60
+    assert open(seen).read() == "call\n"
+
+
+def test_no_contacts(spark, tmp_path):
+    nobody = run_online(contacts(spark, 0), rule_replies(), str(tmp_path / "w"), policy=QUIET)
+    assert nobody.count() == 0
+
+
 def test_failed_calls_leave_contacts_for_the_next_pass(spark, tmp_path):
     def picky(system, payload):
         if payload.count("\n") > 20:
@@ -64,7 +92,7 @@ def test_failed_calls_leave_contacts_for_the_next_pass(spark, tmp_path):
 
     decided = run_online(contacts(spark), picky, str(tmp_path / "w"), max_chunk=40, policy=QUIET)
     assert decided.filter("skip_reason is null").count() == 60
-    first = spark.read.parquet(str(tmp_path / "w" / "replies" / "pass-1")).filter("n > 21").first()
+    first = spark.read.parquet(str(tmp_path / "w" / "replies" / "pass-1" / "*")).filter("n > 21").first()
     assert (first.reply, first.attempts) == (None, 5) and "429" in first.error and first.wait_seconds >= 2 + 4 + 8 + 16 + 30
 
 
