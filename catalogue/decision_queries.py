@@ -12,6 +12,7 @@ from rolecast.operators import clean, decide as D, repair, report
 from rolecast.operators.replies import first_per_id, tidy_replies
 from rolecast.plans.batch import finish_batch
 from rolecast.plans.online import asked_per_pass
+from rolecast.session import saved
 
 ORDER = ("n", "persona", "persona_certainty")
 VALID_SQL = sql_list(VALID)
@@ -122,7 +123,7 @@ def dec_split_skipped(spark, sf):
 
 
 def _corrected(spark, sf):
-    decided = decisions(spark, sf, None)
+    decided = saved(decisions(spark, sf, None), "decisions")
     return decided, *repair.repair_skipped(D.skipped(decided))
 
 

@@ -17,7 +17,7 @@ CELLS_SQL = f"""select chunk_id, part_no, line_no,
     string_split(replace(line, '"VP, Sales"', 'VP' || chr(1) || ' Sales'), ',') as c
     from ({LINES_SQL}) where trim(line) <> ''"""
 ENVELOPE_SQL = """select line_no, line,
-    case when json_valid(line) then json_extract_string(line, '$.custom_id') end as prospect_id,
+    coalesce(case when json_valid(line) then json_extract_string(line, '$.custom_id') end, '') as prospect_id,
     case when json_valid(line) and json_extract_string(line, '$.response.status_code') = '200'
          then json_extract_string(line, '$.response.body.choices[0].message.content') end as content,
     case when not json_valid(line) then 'Invalid JSON: ' || left(line, 160)

@@ -10,6 +10,7 @@ from rolecast import schema as S
 from rolecast.functions import text as X
 from rolecast.operators import classify, requests
 from rolecast.operators.numbering import assign_chunks
+from rolecast.session import saved
 
 SYSTEM = "You sort job titles.\nPersonas: see below. "
 CHUNKED_SQL = "select *, row_number() over (order by seq) as row_no, (row_number() over (order by seq) - 1) // 250 as chunk_id from prospects"
@@ -170,7 +171,7 @@ def _digest(parts):
 def conv_request(spark, sf):
     """What is sent with the last user message of each conversation."""
     turns = base(spark, sf, "conversations")
-    return _digest(requests.call_histories(turns, requests.open_calls(turns)))
+    return _digest(requests.call_histories(turns, saved(requests.open_calls(turns), "calls")))
 
 
 @query(

@@ -61,7 +61,10 @@ def ids_by_email(emails: DataFrame, crm_contacts: DataFrame) -> DataFrame:
 
 
 def resolve_ids(rows: DataFrame, crm_contacts: DataFrame, spread_by: tuple[str, ...], **limits: int) -> DataFrame:
-    """Add `contact_id` and `id_source`: the row's own id, one found by address, or none."""
+    """Add `contact_id` and `id_source`: the row's own id, one found by address, or none.
+
+    `rows` is read twice: for the addresses to look up and for the join.
+    """
     rows = keep_importable(require_columns(rows, ("email", "persona")))
     own = X.blank_to_null(F.col("prospect_id")) if "prospect_id" in rows.columns else F.lit(None).cast("string")
     keyed = rows.withColumn("_own", X.strip(own))

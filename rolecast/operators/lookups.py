@@ -65,7 +65,10 @@ def lookup_join(
     max_bytes: int = BROADCAST_BYTES,
     hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
-    """Broadcast `right` when its measured size allows it, otherwise `salted_join`."""
+    """Broadcast `right` when its measured size allows it, otherwise `salted_join`.
+
+    `right` is read up to three times, so hand in a saved table, not the end of a long plan.
+    """
     if fits_broadcast(right, max_rows, max_bytes):
         return left.join(F.broadcast(right), on, how)
     return salted_join(left, right, on, spread_by, how, hot_rows)

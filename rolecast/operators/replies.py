@@ -46,7 +46,11 @@ def line_shapes(parsed: DataFrame) -> DataFrame:
 
 
 def parse_envelopes(lines: DataFrame, keep: Sequence[str] = (), column: str = "line") -> DataFrame:
-    """Batch output lines to `prospect_id`, `content` or `error`. A bad line is an error row."""
+    """Batch output lines to `prospect_id`, `content` or `error`. A bad line is an error row.
+
+    The id of a line that tells none is empty, not null: a nullable id would make later joins
+    test it for null as early as possible and parse every line a second time for that.
+    """
     line = F.col(column)
     status = F.coalesce(F.col("e.response.status_code").try_cast("int"), F.lit(0))
     content = F.get(F.col("e.response.body.choices"), F.lit(0))["message"]["content"]
@@ -64,8 +68,8 @@ def parse_envelopes(lines: DataFrame, keep: Sequence[str] = (), column: str = "l
     parsed = lines.filter(X.has_text(line)).withColumn("e", F.from_json(line, S.ENVELOPE))
     return parsed.select(
         *keep,
-        F.when(is_document, F.coalesce(F.col("e.custom_id"), F.lit(""))).alias("prospect_id"),
-        F.when(is_document & (status == 200), content).alias("content"),
+        F.coalesce(F.col("e.custom_id"), F.lit("")).alias("prospect_id"),
+        F.when(status == 200, content).alias("content"),
         error.alias("error"),
     )
 

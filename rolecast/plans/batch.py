@@ -33,8 +33,8 @@ def write_requests(
 def batch_results(lines: DataFrame, order: Sequence[str] = LINE_ORDER) -> DataFrame:
     """One row per id of a batch output: its last result, or its last error.
 
-    Lines that tell no id are one more row, without id. They are not filtered out, as the
-    filter would be pushed down and parse every line a second time.
+    Lines that tell no id share one more row, with an empty id. They are not filtered out, as
+    the filter would be pushed down and parse every line a second time.
     """
     return parse_persona_objects(last_results(parse_envelopes(lines, keep=order), order))
 

@@ -10,6 +10,7 @@ from rolecast import schema as S
 from rolecast.operators.clean import keep_without_persona
 from rolecast.operators.decide import update_skipped
 from rolecast.plans.batch import LINE_ORDER, batch_results, write_requests
+from rolecast.session import saved
 
 
 def write_rerun_requests(skipped: DataFrame, path: str, system: str, model: str = S.REQUEST_MODEL) -> str:
@@ -24,4 +25,4 @@ def finish_rerun(
     taxonomy: Sequence[str] = S.PERSONAS,
 ) -> DataFrame:
     """All skipped rows with their new values and reasons. Nothing is repaired here."""
-    return update_skipped(skipped, batch_results(lines, order), taxonomy)
+    return update_skipped(skipped, saved(batch_results(lines, order), "rerun-results"), taxonomy)

@@ -64,9 +64,9 @@ def _rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 def unpack_archives(files: DataFrame) -> DataFrame:
     """Contacts of archives given as `path`, `content`, with `path` and `row_no` of each row.
 
-    One archive is unpacked by one task and streamed on in small batches.
+    One archive is unpacked by one task and streamed on in small batches. What a task holds at
+    a time is bounded by `spark.sql.files.maxPartitionBytes`, or by one archive if larger.
     """
-    # One archive per Arrow batch would be ideal; spreading the files evenly is enough.
     rows = files.select("path", "content").mapInPandas(_rows, ROWS_SCHEMA)
     cells = F.map_from_arrays("names", "cells")
     flat = rows.withColumn("cells", cells).select(

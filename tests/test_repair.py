@@ -73,3 +73,12 @@ def test_repair_skipped(spark):
     corrected, still = repair.repair_skipped(skipped)
     assert rows(corrected) == [("1", "Data User", None)]
     assert rows(still) == rows(skipped.filter("prospect_id <> '1'"))
+
+
+def test_only_distinct_words_are_scored(spark, tmp_path):
+    path = str(tmp_path / "replies")
+    replies(spark, ["Data Users"] * 50 + ["Data User"]).write.parquet(path)
+    tried = repair.with_repairs(spark.read.parquet(path), ["n"])
+    plan = tried._jdf.queryExecution().executedPlan().toString()
+    scored = plan[plan.index("ArrowEvalPython"):]
+    assert "words-" in scored and path not in scored.split("FileScan")[1]

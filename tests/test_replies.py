@@ -2,7 +2,7 @@ from pyspark.sql import functions as F
 
 from conftest import plan_of, rows
 from rolecast.operators import replies as R
-from rolecast.plans.batch import batch_results
+from rolecast.plans.batch import batch_results, finish_batch
 
 LINES = [
     ("1,a,Data User,9", ("1", "a", "Data User", "9", "ok")),
@@ -51,8 +51,8 @@ ENVELOPES = [
     (body(0) % ("6", '"```json {}"'), ("6", None, None, "Invalid JSON: ```json {}")),
     (body(0) % ("7", '"{\\"persona\\": null}"'), ("7", None, None, None)),
     ('{"custom_id":"8","response":null}', ("8", None, None, "HTTP 0: {}")),
-    ("not json", (None, None, None, "Invalid JSON: not json")),
-    ("[1]", (None, None, None, "Invalid JSON: [1]")),
+    ("not json", ("", None, None, "Invalid JSON: not json")),
+    ("[1]", ("", None, None, "Invalid JSON: [1]")),
     ('{"response":{"status_code":500,"body":{"error":"plain"}}}', ("", None, None, 'HTTP 500: {"error":"plain"}')),
     (body(0) % ("9", '"[1, 2]"'), ("9", None, None, "Invalid JSON: [1, 2]")),
     (body(0) % ("10", '"{\\"persona\\": \\"Data User\\"} and more"'), ("10", None, None, 'Invalid JSON: {"persona": "Data User"} and more')),
@@ -89,6 +89,15 @@ def test_first_and_best(spark):
     ]
 
 
+def test_lines_are_parsed_once(spark, tmp_path):
+    path = str(tmp_path / "lines")
+    spark.createDataFrame([(1, ENVELOPES[0][0])], "line_no int, line string").write.parquet(path)
+    contacts = spark.createDataFrame([("1", "e", "t", 1)], "prospect_id string, email string, job_title string, seq long")
+    decided = finish_batch(contacts, spark.read.parquet(path), threshold=None)
+    assert rows(decided, "prospect_id", "persona") == [("1", "Data User")]
+    assert plan_of(decided).count("from_json(StructField(custom_id") == 1
+
+
 def test_plans_stay_in_the_jvm(spark):
     lines = spark.createDataFrame([(1, "x")], "line_no int, line string")
     for df in (batch_results(lines), R.parse_reply_lines(spark.createDataFrame([(1, "x")], "chunk_id int, reply string"))):
