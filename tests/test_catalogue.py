@@ -3,8 +3,9 @@
 import duckdb
 import pytest
 
-from __spark_entry__ import SMALL, entry, oracle_sql, queries
+from __spark_entry__ import SMALL, entry
 from catalogue.fixtures import BASE
+from catalogue.registry import ORACLES, QUERIES
 from check_oracle import compare
 
 
@@ -17,7 +18,7 @@ def con():
 
 
 def test_every_query_has_an_oracle():
-    assert set(oracle_sql()) == set(queries())
+    assert set(ORACLES) == set(QUERIES)
 
 
 def test_entry(spark):
@@ -25,7 +26,7 @@ def test_entry(spark):
     assert result.columns == ["persona", "n", "percent"] and result.count() > 0
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, con, name):
     state, note = compare(spark, con, SMALL, name)
     assert state == "ok", note
