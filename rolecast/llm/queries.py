@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from rolecast.llm.token_counts import token_counts
+from rolecast.llm.token_files import token_digests
 
 WORD_TOKENIZER = "word_bpe_49k.json"
 
@@ -27,3 +28,8 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(documents(spark, sf_dir), public_tokenizers.path(WORD_TOKENIZER))
+
+
+@query
+def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_digests(documents(spark, sf_dir), public_tokenizers.path(WORD_TOKENIZER), end_id=2)
