@@ -7,10 +7,12 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from rolecast.llm.byte_bpe import encoded_digests
 from rolecast.llm.token_counts import token_counts
 from rolecast.llm.token_files import token_digests
 
 WORD_TOKENIZER = "word_bpe_49k.json"
+BYTE_RANKS = "byte_bpe_50k.tiktoken"
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -33,3 +35,8 @@ def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_digests(documents(spark, sf_dir), public_tokenizers.path(WORD_TOKENIZER), end_id=2)
+
+
+@query
+def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return encoded_digests(documents(spark, sf_dir), public_tokenizers.path(BYTE_RANKS), public_tokenizers.PATTERN)
