@@ -61,16 +61,30 @@ def running_sums(
     )
 
 
-def number_rows(df: DataFrame, order_by: str = "seq", name: str = "row_no", width: int = BLOCK) -> DataFrame:
-    """Add the position of each row, from 1, in the order of a unique whole number."""
-    return running_sums(df, {name: F.lit(1).cast("long")}, order_by, width=width)
+def number_rows(df: DataFrame, order_by: str | Sequence[str] = "seq", name: str = "row_no") -> DataFrame:
+    """Add the position of each row, from 1, in the order of `order_by`, whose values
+    together are unique; they may be of any sortable type and as sparse as they like.
+
+    Rows are dealt to ranges of the order, sorted there and saved, so a range is read as it
+    was numbered. Only the row counts of the ranges meet in one task and are broadcast: one
+    row per shuffle partition.
+    """
+    order = [order_by] if isinstance(order_by, str) else list(order_by)
+    ranged = df.repartitionByRange(*order).sortWithinPartitions(*order)
+    placed = saved(ranged.withColumn("_place", F.monotonically_increasing_id()), "ranges")
+    placed = placed.withColumn("_range", F.shiftright("_place", 33))  # the partition, as that function has it
+    earlier = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    counts = placed.groupBy("_range").agg(F.count("*").alias("_n"))
+    offsets = counts.select("_range", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
+    position = F.col("_before") + F.col("_place").bitwiseAND((1 << 33) - 1) + 1
+    return placed.join(F.broadcast(offsets), "_range").select(*df.columns, position.alias(name))
 
 
 def assign_chunks(
-    df: DataFrame, size: int, order_by: str = "seq", name: str = "chunk_id", width: int = BLOCK
+    df: DataFrame, size: int, order_by: str | Sequence[str] = "seq", name: str = "chunk_id"
 ) -> DataFrame:
     """Cut the rows into consecutive chunks of `size`, numbered from 0; keeps `row_no`."""
-    return number_rows(df, order_by, width=width).withColumn(name, F.expr(f"(row_no - 1) div {int(size)}L"))
+    return number_rows(df, order_by).withColumn(name, F.expr(f"(row_no - 1) div {int(size)}L"))
 
 
 def attach_seq(df: DataFrame) -> DataFrame:
