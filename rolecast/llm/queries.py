@@ -8,10 +8,12 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from rolecast.llm.byte_bpe import encoded_digests
+from rolecast.llm.shards import document_shards, shards_sql
 from rolecast.llm.token_counts import token_counts
 from rolecast.llm.token_files import token_digests
 
 WORD_TOKENIZER = "word_bpe_49k.json"
+SHARDS = 40
 BYTE_RANKS = "byte_bpe_50k.tiktoken"
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -32,6 +34,14 @@ def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(documents(spark, sf_dir), public_tokenizers.path(WORD_TOKENIZER))
 
 
+@query
+def op1_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return document_shards(documents(spark, sf_dir), SHARDS)
+
+
+ORACLES["op1_shards"] = shards_sql(SHARDS)
+
+
 @query
 def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_digests(documents(spark, sf_dir), public_tokenizers.path(WORD_TOKENIZER), end_id=2)
