@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from rolecast.llm.byte_bpe import encoded_digests
+from rolecast.llm.languages import document_languages
 from rolecast.llm.shards import document_shards, shards_sql
 from rolecast.llm.token_counts import token_counts
 from rolecast.llm.token_files import token_digests
@@ -42,6 +43,11 @@ def op1_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 ORACLES["op1_shards"] = shards_sql(SHARDS)
 
 
+@query
+def op2_languages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return document_languages(documents(spark, sf_dir))
+
+
 @query
 def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_digests(documents(spark, sf_dir), public_tokenizers.path(WORD_TOKENIZER), end_id=2)
