@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from rolecast.llm.byte_bpe import encoded_digests
 from rolecast.llm.languages import document_languages
+from rolecast.llm.quality import document_quality
 from rolecast.llm.shards import document_shards, shards_sql
 from rolecast.llm.token_counts import token_counts
 from rolecast.llm.token_files import token_digests
@@ -48,6 +49,11 @@ def op2_languages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return document_languages(documents(spark, sf_dir))
 
 
+@query
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return document_quality(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
 @query
 def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_digests(documents(spark, sf_dir), public_tokenizers.path(WORD_TOKENIZER), end_id=2)
