@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from rolecast.llm.byte_bpe import encoded_digests
 from rolecast.llm.languages import document_languages
 from rolecast.llm.quality import document_quality
+from rolecast.llm.repeats import document_repeats
 from rolecast.llm.shards import document_shards, shards_sql
 from rolecast.llm.token_counts import token_counts
 from rolecast.llm.token_files import token_digests
@@ -31,6 +32,11 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+@query
+def op6_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return document_repeats(documents(spark, sf_dir))
+
+
 @query
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(documents(spark, sf_dir), public_tokenizers.path(WORD_TOKENIZER))
