@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from rolecast.llm.byte_bpe import encoded_digests
 from rolecast.llm.languages import document_languages
+from rolecast.llm.near_copies import document_near_copies
 from rolecast.llm.quality import document_quality
 from rolecast.llm.repeats import document_repeats
 from rolecast.llm.shards import document_shards, shards_sql
@@ -68,3 +69,8 @@ def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encoded_digests(documents(spark, sf_dir), public_tokenizers.path(BYTE_RANKS), public_tokenizers.PATTERN)
+
+
+@query
+def op9_near_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return document_near_copies(documents(spark, sf_dir))
