@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from rolecast.llm.byte_bpe import encoded_digests
 from rolecast.llm.languages import document_languages
+from rolecast.llm.leaks import find_leaks
 from rolecast.llm.near_copies import document_near_copies
 from rolecast.llm.quality import document_quality
 from rolecast.llm.repeats import document_repeats
@@ -38,6 +39,11 @@ def op6_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return document_repeats(documents(spark, sf_dir))
 
 
+@query
+def op7_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return find_leaks(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
 @query
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(documents(spark, sf_dir), public_tokenizers.path(WORD_TOKENIZER))
