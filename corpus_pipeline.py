@@ -1,13 +1,72 @@
-"""The corpus pipeline: stages over `documents`, each calling one operator of rolecast.llm."""
+"""The corpus pipeline: stages over `documents`, each calling one operator of rolecast.llm.
+
+Each stage works on all rows that its predecessor kept. Columns other than doc_id and text
+pass through, n_chars follows the text. Null texts leave at the first stage, as they have no
+language; null and repeated doc_ids are rows like others; an empty table stays empty."""
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from rolecast.llm.byte_bpe import encoded_digests
+from rolecast.llm.languages import UNDECIDED, held_out, learn, predict_languages
+from rolecast.llm.leaks import find_leaks
+from rolecast.llm.near_copies import near_copies
+from rolecast.llm.repeats import remove_repeats, text_id
 from rolecast.session import saved
 
-STAGES = []
-#: The stages hold operators that SQL does not express; tests compare them with brute force.
+#: A document goes if less of its n-grams than this belong to its best language.
+LEAST_LANGUAGE = 0.2
+BYTE_RANKS = "byte_bpe_50k.tiktoken"
+
+
+def keep_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents in one of the languages learned from those that are not held out."""
+    predicted = predict_languages(docs, learn(docs.where(~held_out())))
+    kept = predicted.where((F.col("lang_pred") != UNDECIDED) & (F.col("score") >= LEAST_LANGUAGE))
+    return kept.select(*docs.columns)
+
+
+def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The first document, by doc_id and then by the other columns, of each group of near copies.
+
+    It is a minimum over whole rows, so tasks send one row of a group each."""
+    order = ["doc_id", *[name for name in docs.columns if name != "doc_id"]]
+    first = near_copies(docs).groupBy("class_no").agg(F.min(F.struct(*order)).alias("first"))
+    return first.select("first.*").select(*docs.columns)
+
+
+def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, without the words of passages that stand elsewhere too."""
+    text = F.col("kept_text").alias("text")
+    n_chars = F.length("kept_text").cast(docs.schema["n_chars"].dataType).alias("n_chars")
+    changed = {"text": text, "n_chars": n_chars}
+    return remove_repeats(docs).select(*[changed.get(name, F.col(name)) for name in docs.columns])
+
+
+def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents in which no benchmark item occurs; what is found holds for a text, so rows
+    are dropped by their text."""
+    named = docs.withColumn("_id", text_id("text"))
+    leaks = find_leaks(named, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), key="_id")
+    return named.join(leaks.select("_id").distinct(), "_id", "left_anti").select(*docs.columns)
+
+
+def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token counts and digests of the documents that are left."""
+    return encoded_digests(docs, public_tokenizers.path(BYTE_RANKS), public_tokenizers.PATTERN)
+
+
+STAGES = [
+    ("languages", keep_languages),
+    ("near_copies", keep_one_of_each),
+    ("repeats", cut_repeats),
+    ("leaks", drop_leaks),
+    ("byte_bpe", encode),
+]
+#: SQL expresses none of the first four stages; tests compare them with brute force.
 ORACLE_SQL = None
 
 
