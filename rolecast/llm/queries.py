@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from rolecast.llm.byte_bpe import encoded_digests
+from rolecast.llm.language_model import document_scores
 from rolecast.llm.languages import document_languages
 from rolecast.llm.leaks import find_leaks
 from rolecast.llm.near_copies import document_near_copies
@@ -80,3 +81,8 @@ def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op9_near_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
     return document_near_copies(documents(spark, sf_dir))
+
+
+@query
+def op10_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return document_scores(documents(spark, sf_dir))

@@ -6,6 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 #: Text of one slice. A single longer text is a slice of its own; texts are never cut.
 SLICE_BYTES = 2_000_000
@@ -25,7 +26,7 @@ def raw(column: pa.Array) -> list[bytes]:
 def slices(batches: Iterator[pa.RecordBatch], text: str = "text", limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """The rows of `batches`, cut so that the texts of a slice take about `limit` bytes."""
     for batch in batches:
-        sizes = np.array([len(value) for value in raw(batch.column(text))], np.int64)
+        sizes = np.array(pc.fill_null(pc.binary_length(batch.column(text)), 0), np.int64)
         block = np.cumsum(sizes) // limit
         edges = [0, *(np.flatnonzero(np.diff(block)) + 1).tolist(), len(sizes)]
         for start, end in zip(edges, edges[1:]):
