@@ -28,8 +28,8 @@ TREES = 32
 DEPTH = 6
 RECALL = 0.99999
 #: Shingles and texts of one chunk of a block.
-CHUNK_SHINGLES = 1_000_000
-CHUNK_TEXTS = 2_000
+CHUNK_SHINGLES = 500_000
+CHUNK_TEXTS = 1_000
 
 _FACTORS = mix(np.arange(1, TREES * DEPTH + 1, dtype=np.uint64)) | np.uint64(1)
 _OFFSETS = mix(np.arange(1, TREES * DEPTH + 1, dtype=np.uint64) + np.uint64(1 << 32))
@@ -115,25 +115,25 @@ def intersections(sets: list[np.ndarray]) -> np.ndarray:
     """Sizes of the intersections of all pairs of sorted sets.
 
     Values of few sets are counted pair by pair, values of many by a matrix product of their
-    incidence, some thousand columns at a time."""
+    incidence, a thousand columns at a time."""
     n = len(sets)
     owner = np.repeat(np.arange(n), [len(values) for values in sets])
     order = np.argsort(np.concatenate(sets), kind="stable")  # keeps owners in order within a value
     values, owner = np.concatenate(sets)[order], owner[order]
     first = np.flatnonzero(np.concatenate([[True], values[1:] != values[:-1]]))
     counts = np.diff(np.append(first, len(values)))
-    common = np.zeros((n, n), np.int64)
+    common = np.zeros((n, n), np.int32)
     for size in range(2, min(n, 16) + 1):
         members = owner[first[counts == size][:, None] + np.arange(size)]
         for a in range(size):
             for b in range(a + 1, size):
                 np.add.at(common, (members[:, a], members[:, b]), 1)
     wide = np.flatnonzero(counts > 16)
-    for part in np.array_split(wide, len(wide) // 2048 + 1) if len(wide) else []:
+    for part in np.array_split(wide, len(wide) // 1024 + 1) if len(wide) else []:
         incidence = np.zeros((n, len(part)), np.float32)
         for column, value in enumerate(part):
             incidence[owner[first[value] : first[value] + counts[value]], column] = 1
-        common += np.triu((incidence @ incidence.T).astype(np.int64), 1)
+        common += np.triu((incidence @ incidence.T).astype(np.int32), 1)
     return common
 
 
@@ -144,7 +144,7 @@ def find_links(rows: dict[str, list], block: int, depth: int) -> dict[str, np.nd
 
     A link found in several blocks counts in the first block that both texts are in."""
     sets = [np.frombuffer(values, np.uint64) for values in rows["set"]]
-    n, sizes = len(sets), np.array([len(values) for values in sets])
+    n, sizes = len(sets), np.array([len(values) for values in sets], np.int32)
     if n < 2:
         return None
     common = intersections(sets)
@@ -201,7 +201,7 @@ def verified_links(texts: DataFrame, members: DataFrame, depth: int) -> DataFram
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[str, list] = {}
         current = None
-        for batch in batches:
+        for batch in slices(batches, "set"):
             given = batch.to_pydict()
             keys = list(zip(*(given[name] for name in group)))
             edges = [0, *[i for i in range(1, len(keys)) if keys[i] != keys[i - 1]], len(keys)]
