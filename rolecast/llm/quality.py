@@ -127,7 +127,7 @@ def usual_path(n: int) -> float:
     """Mean path length of an unsuccessful search among n points in a binary tree."""
     if n < 2:
         return 0.0
-    return 2 * (np.log(n - 1) + 0.5772156649015329 if n > 2 else 0.5) - 2 * (n - 1) / n
+    return 2 * (np.log(n - 1) + 0.5772156649015329 if n > 2 else 1.0) - 2 * (n - 1) / n
 
 
 @dataclass

@@ -50,7 +50,7 @@ def key_hashes(keys: list[bytes | None]) -> np.ndarray:
 def pack(keys: list[bytes | None], ids: list[bytes], id_bytes: int) -> bytes:
     """A shard file of rows in order; equal keys must stand together."""
     hashes = key_hashes(keys)
-    first = np.flatnonzero(np.concatenate([[True], hashes[1:] != hashes[:-1]]))
+    first = np.flatnonzero(np.concatenate([[True], hashes[1:] != hashes[:-1]])[: len(hashes)])
     if len(np.unique(hashes[first])) < len(first):
         raise ValueError("equal keys must stand together, and different keys must differ in their hashes")
     index = PerfectHash.build(hashes[first])
@@ -106,7 +106,7 @@ class Shard:
         hashes = key_hashes(keys)
         slots = self.index.slots(hashes)
         known = (slots >= 0) & (self.entries[slots, 0] == hashes >> np.uint64(32))
-        return np.where(known, self.entries[slots, 1], -1).astype(np.int64)
+        return np.where(known, self.entries[slots, 1].astype(np.int64), -1)
 
     def ids_of(self, row: int) -> np.ndarray:
         return self.ids[self.offsets[row] : self.offsets[row + 1]]
