@@ -15,6 +15,7 @@ from rolecast.llm.languages import UNDECIDED, held_out, learn, predict_languages
 from rolecast.llm.leaks import find_leaks
 from rolecast.llm.near_copies import near_copies
 from rolecast.llm.repeats import remove_repeats, text_id
+from rolecast.llm.texts import unused
 from rolecast.session import saved
 
 #: A document goes if less of its n-grams than this belong to its best language.
@@ -49,9 +50,10 @@ def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in which no benchmark item occurs; what is found holds for a text, so rows
     are dropped by their text."""
-    named = docs.withColumn("_id", text_id("text"))
-    leaks = find_leaks(named, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), key="_id")
-    return named.join(leaks.select("_id").distinct(), "_id", "left_anti").select(*docs.columns)
+    id_ = unused(docs.columns, "id")
+    named = docs.withColumn(id_, text_id("text"))
+    leaks = find_leaks(named, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), key=id_)
+    return named.join(leaks.select(id_).distinct(), id_, "left_anti").select(*docs.columns)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

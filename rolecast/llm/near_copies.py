@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rolecast.llm.repeats import distinct_texts, text_id
-from rolecast.llm.texts import Words, mix, raw, slices, window_hashes
+from rolecast.llm.texts import Words, mix, raw, slices, unused, window_hashes
 from rolecast.session import saved
 
 WORDS = 5
@@ -263,16 +263,17 @@ def near_copies(docs: DataFrame, key: str = "doc_id", text: str = "text", recall
             break
     counted = links.groupBy("number").agg(F.sum("links").alias("links"))
     classes = components(links.where("root <> number").select("number", "root"))
-    numbered = signed.select(F.col("id").alias("_id"), "number", "copies").join(counted, "number", "left").join(classes, "number", "left")
+    names = [name for name in docs.columns if name not in ("class_id", "class_no", "n_links")]
+    id_ = unused(names, "id")
+    numbered = signed.select(F.col("id").alias(id_), "number", "copies").join(counted, "number", "left").join(classes, "number", "left")
     per_text = numbered.select(
-        "_id",
+        id_,
         F.coalesce("class", "number").alias("class_no"),
         (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"),
     )
-    names = [name for name in docs.columns if name not in ("class_id", "class_no", "n_links")]
-    rows = docs.select(*names, text_id(text).alias("_id"))
-    least = rows.select(key, "_id").join(per_text, "_id").groupBy("class_no").agg(F.min(key).alias("class_id"))
-    return rows.join(per_text.join(least, "class_no"), "_id").select(*names, "class_id", "class_no", "n_links")
+    rows = docs.select(*names, text_id(text).alias(id_))
+    least = rows.select(key, id_).join(per_text, id_).groupBy("class_no").agg(F.min(key).alias("class_id"))
+    return rows.join(per_text.join(least, "class_no"), id_).select(*names, "class_id", "class_no", "n_links")
 
 
 def document_near_copies(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:

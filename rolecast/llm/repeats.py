@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rolecast.llm.fm_index import WordIndex
-from rolecast.llm.texts import Words, mix, raw, slices, span_hashes, window_hashes
+from rolecast.llm.texts import Words, raw, slices, span_hashes, unused, window_hashes
 from rolecast.session import new_path, saved
 
 WIDTH = 35
@@ -228,9 +228,10 @@ def remove_repeats(docs: DataFrame, text: str = "text", width: int = WIDTH, anch
     repeated = cut.select("id", "route", "digest", "first").join(masks, ["route", "digest"])
     results = remove_words(texts, repeated.select("id", "first", "windows"), width)
     names = [name for name in docs.columns if name not in ("n_words", "n_removed", "kept_sha256", "kept_text")]
-    rows = docs.select(*names, text_id(text).alias("_id"), F.col(text).alias("_text"))
-    joined = rows.join(results.withColumnRenamed("id", "_id"), "_id")
-    return joined.select(*names, "n_words", "n_removed", "kept_sha256", F.coalesce("kept", "_text").alias("kept_text"))
+    id_, kept = unused(names, "id"), unused(names, "kept")
+    rows = docs.select(*names, text_id(text).alias(id_))
+    joined = rows.join(results.withColumnsRenamed({"id": id_, "kept": kept}), id_)
+    return joined.select(*names, "n_words", "n_removed", "kept_sha256", F.coalesce(kept, text).alias("kept_text"))
 
 
 def document_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:

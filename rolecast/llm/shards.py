@@ -14,6 +14,7 @@ import random
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from rolecast.llm.texts import unused
 from rolecast.operators.numbering import number_rows
 
 ROUNDS = 6
@@ -65,14 +66,14 @@ def shuffle_into_shards(rows: DataFrame, shards: int, order_by: list[str], seed:
     rows. An empty table stays empty. Columns named shard or slot are replaced. All columns
     of `rows` are written once, so select the ones needed; only they are shuffled, once."""
     kept = [name for name in rows.columns if name not in ("shard", "slot")]
-    tied = rows.select(*kept, F.monotonically_increasing_id().alias("_tie"))
-    numbered = number_rows(tied, [*order_by, "_tie"], "_row")
-    n = numbered.count()
-    placed = numbered.withColumn("_place", permuted(F.col("_row") - 1, n, seed))
+    tie, row, place = (unused(kept, name) for name in ("_tie", "_row", "_shuffled"))
+    tied = rows.select(*kept, F.monotonically_increasing_id().alias(tie))
+    numbered = number_rows(tied, [*order_by, tie], row)
+    placed = numbered.withColumn(place, permuted(F.col(row) - 1, numbered.count(), seed))
     return placed.select(
         *kept,
-        (F.col("_place") % shards).cast("int").alias("shard"),
-        F.expr(f"_place div {int(shards)}").alias("slot"),
+        (F.col(place) % shards).cast("int").alias("shard"),
+        F.expr(f"`{place}` div {int(shards)}").alias("slot"),
     )
 
 

@@ -18,6 +18,14 @@ _IS_SPACE = np.zeros(256, bool)
 _IS_SPACE[list(SPACES)] = True
 
 
+def unused(columns: list[str], name: str) -> str:
+    """`name`, with underscores in front until no column is called so."""
+    taken = {column.lower() for column in columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
 def raw(column: pa.Array) -> list[bytes]:
     """UTF-8 bytes of each text; null is empty."""
     return [value or b"" for value in column.cast(pa.binary()).to_pylist()]
