@@ -71,13 +71,13 @@ def number_rows(df: DataFrame, order_by: str | Sequence[str] = "seq", name: str
     """
     order = [order_by] if isinstance(order_by, str) else list(order_by)
     ranged = df.repartitionByRange(*order).sortWithinPartitions(*order)
-    placed = saved(ranged.withColumn("_place", F.monotonically_increasing_id()), "ranges")
-    placed = placed.withColumn("_range", F.shiftright("_place", 33))  # the partition, as that function has it
-    earlier = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-    counts = placed.groupBy("_range").agg(F.count("*").alias("_n"))
-    offsets = counts.select("_range", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
-    position = F.col("_before") + F.col("_place").bitwiseAND((1 << 33) - 1) + 1
-    return placed.join(F.broadcast(offsets), "_range").select(*df.columns, position.alias(name))
+    placed = saved(ranged.withColumn("_numbering_place", F.monotonically_increasing_id()), "ranges")
+    placed = placed.withColumn("_numbering_range", F.shiftright("_numbering_place", 33))  # the partition, as that function has it
+    earlier = Window.orderBy("_numbering_range").rowsBetween(Window.unboundedPreceding, -1)
+    counts = placed.groupBy("_numbering_range").agg(F.count("*").alias("_numbering_n"))
+    offsets = counts.select("_numbering_range", F.coalesce(F.sum("_numbering_n").over(earlier), F.lit(0)).alias("_numbering_before"))
+    position = F.col("_numbering_before") + F.col("_numbering_place").bitwiseAND((1 << 33) - 1) + 1
+    return placed.join(F.broadcast(offsets), "_numbering_range").select(*df.columns, position.alias(name))
 
 
 def assign_chunks(

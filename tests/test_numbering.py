@@ -61,7 +61,7 @@ def test_sparse_keys_do_not_meet_in_one_task(spark):
     got = number_rows(df)
     plan = got._jdf.queryExecution().executedPlan().toString()
     before = plan[plan.index("Window [") :]  # what the only window without partition reads
-    assert "HashAggregate(keys=[_range" in before and plan.count("Window [") == 1
+    assert "HashAggregate(keys=[_numbering_range" in before and plan.count("Window [") == 1
     assert rows(got.select(F.min("row_no"), F.max("row_no"), F.countDistinct("row_no"))) == [(1, 20_000, 20_000)]
 
 
