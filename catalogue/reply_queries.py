@@ -20,7 +20,7 @@ ENVELOPE_SQL = """select line_no, line,
     coalesce(case when json_valid(line) then json_extract_string(line, '$.custom_id') end, '') as prospect_id,
     case when json_valid(line) and json_extract_string(line, '$.response.status_code') = '200'
          then json_extract_string(line, '$.response.body.choices[0].message.content') end as content,
-    case when not json_valid(line) then 'Invalid JSON: ' || left(line, 160)
+    case when not json_valid(line) then 'Invalid JSON: ' || line
          when json_extract_string(line, '$.response.status_code') = '200' then
               case when json_extract_string(line, '$.response.body.choices[0].message.content') is null
                    then 'Malformed success body: ' || coalesce(cast(json_extract(line, '$.response.body') as string), '{}') end
@@ -32,7 +32,7 @@ _TIDY = "nullif(trim({0}), '') not in ('nan', 'NaN', 'None', 'NA', 'null')"
 OBJECT_SQL = """select * exclude (content, error),
     case when good then nullif(trim(json_extract_string(content, '$.persona')), '') end as raw_persona,
     case when good then nullif(trim(json_extract_string(content, '$.certainty')), '') end as persona_certainty,
-    coalesce(error, case when content is not null and not good then 'Invalid JSON: ' || left(content, 160) end) as error
+    coalesce(error, case when content is not null and not good then 'Invalid JSON: ' || content end) as error
     from (select *, coalesce(json_valid(content) and content[1] = '{', false) as good from ({0}))"""
 RESULT_COLUMNS = """prospect_id,
     case when raw_persona not in ('nan', 'NaN', 'None', 'NA', 'null') then raw_persona end as persona,

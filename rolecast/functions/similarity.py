@@ -11,10 +11,26 @@ from pyspark.sql import Column, functions as F
 from rolecast import schema as S
 
 
+def may_be_close(word: Column, taxonomy: Sequence[str] = S.PERSONAS, threshold: int = S.FUZZY_THRESHOLD) -> Column:
+    """Whether some name could reach the threshold: twice the shared letters, whatever their
+    order, over both lengths bounds the ratio from above."""
+    names = F.array(*[F.lit(name) for name in sorted(taxonomy)])
+    letters = sorted(set("".join(taxonomy)))
+    shared = None
+    for letter in letters:
+        here = F.length(word) - F.length(F.replace(word, F.lit(letter), F.lit("")))
+        counts = F.array(*[F.lit(name.count(letter)) for name in sorted(taxonomy)])
+        least = F.transform(counts, lambda n, here=here: F.least(n, here))
+        shared = least if shared is None else F.zip_with(shared, least, lambda a, b: a + b)
+    bounds = F.zip_with(names, shared, lambda name, n: 200 * n >= threshold * (F.length(name) + F.length(word)))
+    return F.exists(bounds, lambda reached: reached)
+
+
 def closest_name(word: Column, taxonomy: Sequence[str] = S.PERSONAS, threshold: int = S.FUZZY_THRESHOLD) -> Column:
     """The name most like `word` by matching-block ratio, null below `threshold` percent.
 
     The ratio has no built-in form, so this is an Arrow UDF. Call it on distinct words only.
+    It counts as non-deterministic, so that a filter on the score does not score twice.
     """
     names = list(taxonomy)
     cutoff = threshold / 100.0
@@ -23,7 +39,7 @@ def closest_name(word: Column, taxonomy: Sequence[str] = S.PERSONAS, threshold:
     def score(words: pd.Series) -> pd.Series:
         return words.map(lambda w: next(iter(difflib.get_close_matches(w, names, 1, cutoff)), None) if w else None)
 
-    return score(word)
+    return score.asNondeterministic()(word)
 
 
 def closest_name_by_edits(

@@ -65,8 +65,11 @@ def decide(
     `replies` has `prospect_id`, `persona`, `persona_certainty`, the `order` columns and, in
     batch mode, `error`. A valid reply wins over a repaired one, and that over any other;
     among equals the earliest. Without `threshold` nothing is repaired. Contacts and replies
-    are both cut to one row per id before they meet, so the join has no hot key.
+    are both cut to one row per id before they meet, so the join has no hot key. A contact
+    without an id is a row of its own that no reply belongs to; `seq` tells contacts apart.
     """
+    if "seq" not in contacts.columns:
+        raise ValueError("contacts need seq, the order that decides which row of an id stays")
     columns = [name for name in replies.columns if name not in ("repaired", "job_title")]
     replies = replies.select(*columns)
     if threshold is None:
@@ -77,8 +80,12 @@ def decide(
         "persona", F.coalesce(F.when(F.col("persona").isin(*taxonomy), F.col("persona")), "repaired", "persona")
     )
     values = [*REPLY_VALUES, *(["error"] if batch else [])]
-    unique = first_per_id(contacts, ["seq"]) if "seq" in contacts.columns else contacts
+    # Not a filter: on the key of the join it would reach the replies and parse them twice.
+    has_id = X.has_text(F.col("prospect_id"))
+    alone = contacts.withColumn("_alone", F.when(~has_id, F.col("seq")))
+    unique = first_per_id(alone, ["seq"], ("prospect_id", "_alone")).drop("_alone")
     joined = join_replies(unique, chosen.select("prospect_id", *values))
+    joined = joined.withColumns({name: F.when(has_id, F.col(name)) for name in values})
     return with_batch_reason(joined, taxonomy) if batch else with_skip_reason(joined, taxonomy)
 
 
@@ -116,8 +123,10 @@ def update_skipped(
 ) -> DataFrame:
     """Skipped rows after a rerun: new values where there are any, and a fresh reason.
 
-    `results` has `prospect_id`, `persona`, `persona_certainty` and `error`.
+    `results` has `prospect_id`, `persona`, `persona_certainty` and `error`; one without an id
+    belongs to no row.
     """
-    joined = join_rerun(skipped_rows.drop("skip_reason"), results.select("prospect_id", *REPLY_VALUES, "error"), **limits)
+    known = results.filter(X.has_text(F.col("prospect_id"))).select("prospect_id", *REPLY_VALUES, "error")
+    joined = join_rerun(skipped_rows.drop("skip_reason"), known, **limits)
     updated = joined.withColumns({name: X.prefer_new(F.col(name), F.col(f"{name}_old")) for name in REPLY_VALUES})
     return with_batch_reason(updated.drop(*[f"{name}_old" for name in REPLY_VALUES]), taxonomy)

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, functions as F
 
 from rolecast import schema as S
-from rolecast.functions.similarity import closest_name, closest_name_by_edits
+from rolecast.functions.similarity import closest_name, closest_name_by_edits, may_be_close
 from rolecast.operators.lookups import BROADCAST_ROWS, HOT_ROWS, fits_broadcast, salted_join
 from rolecast.session import saved
 
@@ -29,7 +29,8 @@ def repair_table(
     ends in `distinct` is pushed below it and scores every row.
     """
     score = closest_name_by_edits if by_edits else closest_name
-    return words.withColumn("repaired", score(F.col("word"), taxonomy, threshold)).filter(F.col("repaired").isNotNull())
+    near = words if by_edits else words.filter(may_be_close(F.col("word"), taxonomy, threshold))
+    return near.withColumn("repaired", score(F.col("word"), taxonomy, threshold)).filter(F.col("repaired").isNotNull())
 
 
 def with_repairs(
@@ -70,7 +71,7 @@ def repair_skipped(
     asked = skipped.withColumn("_asked", F.when(invalid, F.col("persona")))
     columns = [name for name in skipped.columns if name != "persona"]
     replies = asked.select(*columns, F.col("persona").alias("_given"), F.col("_asked").alias("persona"))
-    tried = with_repairs(replies, spread_by, taxonomy, threshold)
+    tried = saved(with_repairs(replies, spread_by, taxonomy, threshold), "tried")
     corrected = tried.filter(F.col("repaired").isNotNull()).withColumns(
         {"_given": F.col("repaired"), "skip_reason": F.lit(None).cast("string")}
     )

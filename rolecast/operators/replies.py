@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from rolecast import schema as S
 from rolecast.functions import text as X
 
+
 def keep_nonempty(replies: DataFrame, column: str = "reply") -> DataFrame:
     return replies.filter(X.has_text(F.col(column)))
 
@@ -24,7 +25,7 @@ def parse_reply_lines(replies: DataFrame, keep: Sequence[str] = ("chunk_id",), c
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "irregular", "escape": '"'}
     parsed = (
         lines.filter(X.has_text(F.col("line")))
-        .withColumn("cells", F.from_csv("line", fields, options))
+        .withColumn("cells", F.from_csv(_first_cells(F.col("line")), fields, options))
         .select(*keep, "line_no", *[F.col(f"cells.{name}") for name in S.REPLY_COLUMNS], "cells.irregular")
     )
     # Counted on irregular lines only: commas outside quotes.
@@ -33,6 +34,14 @@ def parse_reply_lines(replies: DataFrame, keep: Sequence[str] = ("chunk_id",), c
     return parsed.withColumn("shape", shape).drop("irregular")
 
 
+def _first_cells(line: Column) -> Column:
+    """The line up to its fifth cell if it has very many: the parser refuses lines of more
+    than some twenty thousand cells, and the fifth already tells that a line is long."""
+    commas = F.length(line) - F.length(F.replace(line, F.lit(","), F.lit("")))
+    start = F.regexp_extract(line, '^((?:(?:"(?:[^"]++|"")*+"[^,]*|[^,]*),){4}[^,]*)', 1)
+    return F.when(commas > 1_000, start).otherwise(line)
+
+
 def tidy_replies(parsed: DataFrame) -> DataFrame:
     """Trim persona and certainty; blank cells and missing-value words become null."""
     return parsed.withColumns(
@@ -61,7 +70,7 @@ def parse_envelopes(lines: DataFrame, keep: Sequence[str] = (), column: str = "l
         F.get_json_object(line, "$").startswith("{"), F.lit(False)
     )
     error = (
-        F.when(~is_document, F.concat(F.lit("Invalid JSON: "), F.substring(line, 1, 160)))
+        F.when(~is_document, F.concat(F.lit("Invalid JSON: "), line))
         .when((status == 200) & content.isNull(), F.concat(F.lit("Malformed success body: "), body))
         .when(status != 200, F.concat(F.lit("HTTP "), status.cast("string"), F.lit(": "), F.coalesce(message, body)))
     )
@@ -80,7 +89,7 @@ def parse_persona_objects(envelopes: DataFrame) -> DataFrame:
     # Read as the only element of a list: text after the object makes the list invalid.
     listed = F.from_json(F.concat(F.lit("["), content, F.lit("]")), S.PERSONA_OBJECTS, {"allowSingleQuotes": "false"})
     is_object = F.coalesce(X.strip(content).startswith("{") & (F.size("_objects") == 1), F.lit(False))
-    problem = F.concat(F.lit("Invalid JSON: "), F.substring(content, 1, 160))
+    problem = F.concat(F.lit("Invalid JSON: "), content)
     first = F.get("_objects", F.lit(0))
     return (
         envelopes.withColumn("_objects", listed)
@@ -95,7 +104,7 @@ def parse_persona_objects(envelopes: DataFrame) -> DataFrame:
     )
 
 
-def first_per_id(replies: DataFrame, order: Sequence[str], key: str = "prospect_id") -> DataFrame:
+def first_per_id(replies: DataFrame, order: Sequence[str], key: str | Sequence[str] = "prospect_id") -> DataFrame:
     """The earliest reply of each id. Partial results are merged before the shuffle."""
     return _one_per_id(replies, key, F.min_by, F.struct(*order))
 
@@ -121,6 +130,7 @@ def best_per_id(
     return _one_per_id(replies, key, F.min_by, F.struct(rank.alias("rank"), *order))
 
 
-def _one_per_id(replies: DataFrame, key: str, pick, order: Column) -> DataFrame:
-    others = [name for name in replies.columns if name != key]
-    return replies.groupBy(key).agg(pick(F.struct(*others), order).alias("_row")).select(key, "_row.*")
+def _one_per_id(replies: DataFrame, key: str | Sequence[str], pick, order: Column) -> DataFrame:
+    keys = [key] if isinstance(key, str) else list(key)
+    others = [name for name in replies.columns if name not in keys]
+    return replies.groupBy(*keys).agg(pick(F.struct(*others), order).alias("_row")).select(*keys, "_row.*")

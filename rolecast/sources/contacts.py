@@ -6,6 +6,7 @@ import re
 from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -29,22 +30,57 @@ def inside_names(df: DataFrame) -> DataFrame:
     return df.withColumnsRenamed({name: S.DISPLAY_NAMES[name] for name in df.columns if name in S.DISPLAY_NAMES})
 
 
-def read_csv_contacts(spark: SparkSession, path: str | list[str], multi_line: bool = True) -> DataFrame:
-    """CSV with a header, every column text, empty cells as empty text.
+def files_by_header(spark: SparkSession, path: str | list[str]) -> list[tuple[list[str], bool]]:
+    """The files at `path`, those with the same header line together, and whether a quoted
+    cell of theirs holds a line break (some line has an odd number of quotes).
 
-    With `multi_line` quoted cells may hold line breaks and each file is one task; without
-    it large files are split.
+    All lines are read once for that; a file's first line is the first of its first block.
     """
-    raw = spark.read.csv(path, header=True, inferSchema=False, multiLine=multi_line, escape='"', encoding="UTF-8")
-    named = inside_names(raw)
+    lines = spark.read.text(path).select(
+        "value",
+        F.col("_metadata.file_path").alias("file"),
+        (F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))).alias("quotes"),
+        F.struct("_metadata.file_block_start", F.monotonically_increasing_id().alias("place")).alias("place"),
+    )
+    files = lines.groupBy("file").agg(F.min_by("value", "place").alias("head"), F.max(F.col("quotes") % 2).alias("broken"))
+    groups = files.groupBy("head", "broken").agg(F.sort_array(F.collect_list("file")).alias("files"))
+    return [([unquote(file) for file in group.files], group.broken == 1) for group in groups.orderBy("head", "broken").collect()]
+
+
+def read_by_name(spark: SparkSession, path: str | list[str], multi_line: bool | None = None) -> DataFrame:
+    """CSV files with headers, every column text. Columns are found by name: files may have
+    them in different orders, and a column that a file lacks is null in its rows.
+
+    Files are split at line breaks, except those with line breaks inside quoted cells, which
+    are a task each; `multi_line` decides that without a look at the lines.
+    """
+    options = {"header": True, "inferSchema": False, "escape": '"', "encoding": "UTF-8", "enforceSchema": False}
+    parts = [
+        spark.read.csv(files, multiLine=broken if multi_line is None else multi_line, **options)
+        for files, broken in files_by_header(spark, path)
+    ]
+    if not parts:
+        return spark.read.csv(path, **options)
+    return reduce(lambda left, right: left.unionByName(right, allowMissingColumns=True), parts)
+
+
+def require_columns(df: DataFrame, names: Sequence[str]) -> DataFrame:
+    """Fail unless `df` has the named columns."""
+    missing = [name for name in names if name not in df.columns]
+    if missing:
+        raise ValueError(f"columns missing: {missing}")
+    return df
+
+
+def read_csv_contacts(spark: SparkSession, path: str | list[str], multi_line: bool | None = None) -> DataFrame:
+    """CSV with a header, every column text, empty cells as empty text, columns by name."""
+    named = inside_names(read_by_name(spark, path, multi_line))
     return clean_null_tokens(rename_id(named.fillna("")))
 
 
-def read_skipped(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
-    """A skipped file of an earlier run; blank cells are null."""
-    raw = inside_names(
-        spark.read.csv(path, header=True, inferSchema=False, multiLine=multi_line, escape='"', encoding="UTF-8")
-    )
+def read_skipped(spark: SparkSession, path: str, multi_line: bool | None = None) -> DataFrame:
+    """A skipped file of an earlier run; blank cells are null. Titles may hold line breaks."""
+    raw = inside_names(read_by_name(spark, path, multi_line))
     return raw if "persona" in raw.columns else raw.withColumn("persona", F.lit(None).cast("string"))
 
 
@@ -61,14 +97,21 @@ def concat_sheets(sheets: dict[str, DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), data)
 
 
+def files_named(spark: SparkSession, folder: str, patterns: Sequence[str]) -> bool:
+    """Whether a folder holds files of such names; only the listing is read."""
+    listing = spark.read.format("binaryFile").option("pathGlobFilter", "{" + ",".join(patterns) + "}")
+    return not listing.load(folder).select("path").isEmpty()
+
+
 def read_contacts(
     spark: SparkSession,
     uri: str,
     crm: CrmTables | None = None,
-    limit: int | None = S.CONTACT_LIMIT,
-    multi_line: bool = True,
+    limit: int | None = None,
+    multi_line: bool | None = None,
 ) -> DataFrame:
-    """Contacts from a file, a folder of Parquet, or `list:<id>`, `segment:<id>`, `hubspot:<id>`, `<id>`."""
+    """Contacts from a file, a folder of Parquet or CSV files, or `list:<id>`, `segment:<id>`,
+    `hubspot:<id>`, `<id>`. Only a `limit` that is asked for caps a list or report."""
     uri = uri.strip().strip('"').strip("'")
     is_list = uri.startswith(("list:", "segment:"))
     if is_list or uri.startswith("hubspot:") or uri.isdigit():
@@ -87,6 +130,8 @@ def read_contacts(
         return read_csv_contacts(spark, uri, multi_line)
     if kind.endswith(".zip"):
         return read_archives(spark, uri)
+    if kind.endswith("/") and files_named(spark, uri, ("*.csv", "*.csv.gz")):
+        return read_csv_contacts(spark, uri, multi_line)
     if kind.endswith((".parquet", "/")):
         return clean_null_tokens(rename_id(inside_names(spark.read.parquet(uri))))
     if kind.endswith((".xls", ".xlsx")):

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from rolecast import schema as S
-from rolecast.functions import text as X
+from rolecast.operators.lookups import lookup_join
 
 
 def read_crm_contacts(spark: SparkSession, path: str) -> DataFrame:
@@ -54,7 +54,7 @@ def first_rows(df: DataFrame, limit: int | None, id_column: str) -> DataFrame:
 
 
 def list_contacts(
-    contacts: DataFrame, memberships: DataFrame, list_id: str, limit: int | None = S.CONTACT_LIMIT
+    contacts: DataFrame, memberships: DataFrame, list_id: str, limit: int | None = None
 ) -> DataFrame:
     """The contacts of one list. Members without a contact record drop out."""
     ids = member_ids(memberships).filter(F.col("list_id") == str(list_id)).select("member_id").distinct()
@@ -68,13 +68,15 @@ def report_contacts(
     memberships: DataFrame,
     report_lists: DataFrame | None,
     report_id: str,
-    limit: int | None = S.CONTACT_LIMIT,
+    limit: int | None = None,
 ) -> DataFrame:
     """Contacts in any list of a report, each once; all contacts if the report has no list."""
     lists = None
     if report_lists is not None:
         lists = report_lists.filter(F.col("report_id") == str(report_id)).select("list_id").distinct()
     if lists is not None and not lists.isEmpty():
-        ids = member_ids(memberships).join(lists, "list_id", "left_semi").select("member_id").distinct()
+        # The lists are measured and broadcast, so that a large list is not one task's work.
+        members = lookup_join(member_ids(memberships), lists, "list_id", ("member_id",), "left_semi")
+        ids = members.select("member_id").distinct()
         contacts = contacts.join(ids, F.col("id") == F.col("member_id"), "left_semi")
     return flatten_report_contacts(first_rows(contacts, limit, "id"))

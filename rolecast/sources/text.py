@@ -10,9 +10,15 @@ from rolecast.functions import text as X
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
     """`line`, `line_no` of every non-blank line, bad ones included.
 
-    `line_no` grows along a file; it orders lines and is not their count.
+    `line_no` (file, block_start, place) orders lines by file name and then along the file,
+    however Spark packs files and blocks into tasks.
     """
-    lines = spark.read.text(path).select(F.col("value").alias("line"), F.monotonically_increasing_id().alias("line_no"))
+    order = F.struct(
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("block_start"),
+        F.monotonically_increasing_id().alias("place"),
+    )
+    lines = spark.read.text(path).select(F.col("value").alias("line"), order.alias("line_no"))
     return lines.filter(X.has_text(F.col("line")))
 
 

@@ -7,9 +7,11 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame, SparkSession
 
 from rolecast.operators.clean import prepare_contacts
-from rolecast.sources.contacts import inside_names
+from rolecast.sources.contacts import inside_names, read_by_name, require_columns
 
 EXPORT_COLUMNS = ("Record ID", "Email", "Job Title")
+FILES_PER_BATCH = 1_000
+FILES_SCHEMA = "path STRING, modificationTime TIMESTAMP, length LONG, content BINARY"
 
 
 def take_in(
@@ -19,25 +21,28 @@ def take_in(
     checkpoint_dir: str,
     columns: Sequence[str] = EXPORT_COLUMNS,
     prepare: Callable[[DataFrame], DataFrame] = prepare_contacts,
-    multi_line: bool = True,
-    files_per_batch: int | None = None,
+    multi_line: bool | None = None,
+    files_per_batch: int = FILES_PER_BATCH,
 ) -> None:
-    """Take in the files that came since the last call and stop.
+    """Take in the CSV files that came since the last call and stop.
 
-    The stream's checkpoint remembers the files. Each batch has its own folder, so a batch
-    that is repeated after a failure replaces itself.
+    The stream lists the files, and its checkpoint remembers them; their rows are read by
+    column name in each batch, as exports differ in the order of columns. A file without one
+    of `columns` stops the intake. Each batch has its own folder, so a batch that is repeated
+    after a failure replaces itself.
     """
-    schema = ", ".join(f"`{name}` STRING" for name in columns)
-    reader = spark.readStream.schema(schema).option("header", True).option("multiLine", multi_line).option("escape", '"')
-    if files_per_batch:
-        reader = reader.option("maxFilesPerTrigger", files_per_batch)
+    listing = spark.readStream.format("binaryFile").schema(FILES_SCHEMA).option("pathGlobFilter", "*.csv*")
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        contacts = prepare(inside_names(batch.fillna("")))
-        contacts.write.mode("overwrite").parquet(f"{out_dir}/batch_id={batch_id}")
+        paths = [row.path for row in batch.collect()]  # files_per_batch at most
+        if paths:
+            rows = require_columns(read_by_name(batch.sparkSession, paths, multi_line), columns)
+            prepare(inside_names(rows.fillna(""))).write.mode("overwrite").parquet(f"{out_dir}/batch_id={batch_id}")
 
     query = (
-        reader.csv(drop_dir)
+        listing.option("maxFilesPerTrigger", files_per_batch)
+        .load(drop_dir)
+        .select("path")
         .writeStream.foreachBatch(write)
         .option("checkpointLocation", checkpoint_dir)
         .trigger(availableNow=True)
