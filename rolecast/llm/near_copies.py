@@ -103,10 +103,10 @@ def block_members(signed: DataFrame, depth: int, chunk_shingles: int, chunk_text
     stars = saved(keys.join(shared, "prefix").select("block", "number").distinct(), "stars")
     numbers = signed.select("number", "id", "shingles")
     own = stars.groupBy("number").agg(F.collect_set("block").alias("blocks"))  # TREES at most
-    rows = stars.join(own.join(numbers, "number"), "number")
     chunks = F.greatest(F.ceil(F.sum("shingles") / chunk_shingles), F.ceil(F.count("*") / chunk_texts)).alias("chunks")
-    sizes = rows.groupBy("block").agg(chunks)
-    placed = rows.join(sizes, "block").withColumn("chunk", F.pmod(F.xxhash64("number"), "chunks"))
+    # saved, as only a join of two plain shuffles lets Spark split a hot block
+    sizes = saved(stars.join(numbers.drop("id"), "number").groupBy("block").agg(chunks), "sizes")
+    placed = stars.join(own.join(numbers, "number"), "number").join(sizes, "block").withColumn("chunk", F.pmod(F.xxhash64("number"), "chunks"))
     paired = placed.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1)))
     return paired.select("id", "number", "block", F.least("chunk", "other").alias("low"), F.greatest("chunk", "other").alias("high"), "chunk", "blocks")
 
