@@ -11,9 +11,11 @@ from __future__ import annotations
 import hashlib
 import uuid
 from collections.abc import Iterator
+from itertools import compress
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -102,6 +104,13 @@ def find_fragments(texts: DataFrame, width: int, anchor: int) -> DataFrame:
     return texts.mapInArrow(find, "id binary, copies long, anchor long, first int, windows int, content long")
 
 
+def _flat(lists: pa.ListArray, *names: str) -> list[np.ndarray]:
+    """Row of each element of a column of lists of structs, and the named fields."""
+    elements = lists.flatten()
+    owner = np.repeat(np.arange(len(lists)), np.array(pc.fill_null(pc.list_value_length(lists), 0), np.int64))
+    return [owner, *(elements.field(name).to_numpy(zero_copy_only=False) for name in names)]
+
+
 def cut_fragments(texts: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
     """id, route, digest, first, copies and words (null where the task gave them before) of
     the wanted fragments; those of hot anchors are cut into their windows, dealt out by
@@ -110,29 +119,32 @@ def cut_fragments(texts: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         given: set[bytes] = set()
         for batch in slices(batches):
-            words = Words(raw(batch.column("text")))
-            hashes, columns = words.hashes(), [[] for _ in range(6)]
+            # with single spaces, a fragment is a stretch of the text's bytes
+            words = Words([b" ".join(text.split()) for text in raw(batch.column("text"))])
+            text, first, windows, anchor, hot = _flat(batch.column("wanted"), "first", "windows", "anchor", "hot")
+            pieces = np.where(hot, windows, 1)  # windows of their own, if hot
+            piece = np.arange(pieces.sum()) - np.repeat(np.cumsum(pieces) - pieces, pieces)
+            text, first, anchor, hot = (np.repeat(values, pieces) for values in (text, first, anchor, hot))
+            windows = np.where(hot, 1, np.repeat(windows, pieces))
+            first = first + piece
+            begin = words.first[text] + first
+            route = anchor.copy()
+            if hot.any():
+                route[hot] = span_hashes(words.hashes(), begin[hot], begin[hot] + width).view(np.int64)
             data = words.data.tobytes()
-            rows = zip(batch.column("id").to_pylist(), batch.column("copies").to_pylist(), batch.column("wanted").to_pylist())
-            for text, (id_, copies, wanted_) in enumerate(rows):
-                base = words.first[text]
-                for part in wanted_:
-                    pieces = [(part["first"], part["windows"], part["anchor"])]
-                    if part["hot"]:
-                        starts = np.arange(part["windows"]) + part["first"]
-                        routes = span_hashes(hashes, base + starts, base + starts + width).view(np.int64)
-                        pieces = [(int(start), 1, int(route)) for start, route in zip(starts, routes)]
-                    for first, windows, route in pieces:
-                        begin, end = base + first, base + first + windows + width - 1
-                        content = b" ".join(data[words.starts[begin] : words.ends[end - 1]].split())
-                        digest = hashlib.md5(content).digest()
-                        known = digest in given
-                        given.add(digest)
-                        for column, value in zip(columns, (id_, route, digest, first, copies, None if known else content)):
-                            column.append(value)
-            kinds = (pa.binary(), pa.int64(), pa.binary(), pa.int32(), pa.int64(), pa.binary())
+            content = [data[i:j] for i, j in zip(words.starts[begin].tolist(), words.ends[begin + windows + width - 2].tolist())]
+            digests = [hashlib.md5(each).digest() for each in content]
+            fresh = [None if digest in given else given.add(digest) or each for digest, each in zip(digests, content)]
+            rows = pa.array(text)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(column, kind) for column, kind in zip(columns, kinds)],
+                [
+                    batch.column("id").take(rows),
+                    pa.array(route, pa.int64()),
+                    pa.array(digests, pa.binary()),
+                    pa.array(first, pa.int32()),
+                    batch.column("copies").take(rows),
+                    pa.array(fresh, pa.binary()),
+                ],
                 names=["id", "route", "digest", "first", "copies", "words"],
             )
 
@@ -174,24 +186,27 @@ def remove_words(texts: DataFrame, repeated: DataFrame, width: int) -> DataFrame
 
     def remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
-            columns = [[] for _ in range(5)]
-            for id_, text, marks in zip(batch.column("id").to_pylist(), raw(batch.column("text")), batch.column("marks").to_pylist()):
-                words = text.split()
-                covered = np.zeros(len(words) + 1, np.int64)
-                for mark in marks or ():
-                    for bit in range(mark["windows"].bit_length()):
-                        if mark["windows"] >> bit & 1:
-                            covered[mark["first"] + bit] += 1
-                            covered[mark["first"] + bit + width] -= 1
-                gone = np.cumsum(covered[:-1]) > 0
-                kept = b" ".join([word for word, out in zip(words, gone.tolist()) if not out])
-                removed = int(gone.sum())
-                shown = kept.decode() if removed else None
-                for column, value in zip(columns, (id_, len(words), removed, hashlib.sha256(kept).hexdigest(), shown)):
-                    column.append(value)
-            kinds = (pa.binary(), pa.int64(), pa.int64(), pa.string(), pa.string())
+            split = [text.split() for text in raw(batch.column("text"))]
+            sizes = np.array([len(words) for words in split], np.int64)
+            base = np.cumsum(sizes + 1) - sizes - 1
+            covered = np.zeros(int((sizes + 1).sum()) + 1, np.int64)
+            text, first, windows = _flat(batch.column("marks"), "first", "windows")
+            for bit in range(int(windows.max()).bit_length() if len(windows) else 0):
+                at = (base[text] + first + bit)[windows >> bit & 1 == 1]
+                np.add.at(covered, at, 1)
+                np.add.at(covered, at + width, -1)
+            stays = np.cumsum(covered) == 0
+            kept = [list(compress(words, stays[i : i + len(words)].tolist())) for words, i in zip(split, base.tolist())]
+            texts = [b" ".join(words) for words in kept]
+            removed = sizes - np.array([len(words) for words in kept], np.int64)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(column, kind) for column, kind in zip(columns, kinds)],
+                [
+                    batch.column("id"),
+                    pa.array(sizes, pa.int64()),
+                    pa.array(removed, pa.int64()),
+                    pa.array([hashlib.sha256(words).hexdigest() for words in texts], pa.string()),
+                    pa.array([words.decode() if n else None for words, n in zip(texts, removed.tolist())], pa.string()),
+                ],
                 names=["id", "n_words", "n_removed", "kept_sha256", "kept"],
             )
 
@@ -218,7 +233,8 @@ def remove_repeats(docs: DataFrame, text: str = "text", width: int = WIDTH, anch
     counts = found.groupBy("anchor").agg(
         F.sum("copies").alias("n"), F.count("*").alias("texts"), F.min("content").alias("low"), F.max("content").alias("high")
     )
-    twice = counts.where("n > 1").select("anchor", F.expr(f"texts > {int(hot)} and low <> high").alias("hot"))
+    # saved, as only a join of two plain shuffles lets Spark split a hot anchor
+    twice = saved(counts.where("n > 1").select("anchor", F.expr(f"texts > {int(hot)} and low <> high").alias("hot")), "anchors")
     candidates = found.select("id", "anchor", "first", "windows").join(twice, "anchor")
     wanted = candidates.groupBy("id").agg(F.collect_list(F.struct("first", "windows", "anchor", "hot")).alias("wanted"))
     cut = saved(cut_fragments(texts, wanted, width), "cut")
