@@ -10,8 +10,6 @@ import re
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rolecast.session import new_path
-
 BASE = (
     "region nation customer supplier part orders lineitem events documents embeddings "
     "pages benchmark labels conversations"
@@ -248,27 +246,12 @@ def with_fixtures(sql: str) -> str:
     return f"with {ctes} select * from ({sql}) as oracle_rows" if ctes else sql
 
 
-_LAID_OUT: dict[tuple[str, str], str] = {}
-_WORTH_SPREADING = 50_000
-
-
 def base(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A given table.
-
-    The given tables are one file with one row group each, which one task reads. The larger
-    ones are copied once per session into as many files as there are cores. Tables of many
-    files, as on a cluster, are read where they are.
-    """
-    path = f"{sf_dir}/{name}.parquet"
-    key = (spark.sparkContext.applicationId, path)
-    if key not in _LAID_OUT:
-        table = spark.read.parquet(path)
-        cores = spark.sparkContext.defaultParallelism
-        _LAID_OUT[key] = path
-        if table.rdd.getNumPartitions() < cores and table.count() > _WORTH_SPREADING:
-            _LAID_OUT[key] = new_path(spark, name)
-            table.repartition(cores).write.parquet(_LAID_OUT[key])
-    return spark.read.parquet(_LAID_OUT[key])
+    """A given table. One of fewer read tasks than cores, such as a single file with a single
+    row group, is dealt out to the cores as it is read."""
+    table = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    cores = spark.sparkContext.defaultParallelism
+    return table.repartition(cores) if table.rdd.getNumPartitions() < cores else table
 
 
 def fixture(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -18,14 +18,21 @@ ReplyFunction = Callable[[str, str], str]
 REPLY_SCHEMA = "pass_no int, chunk_id long, n long, reply string, attempts int, error string, wait_seconds double"
 
 
+class CallFailed(Exception):
+    """What a reply function raises for a call that may succeed later: a rate limit, a lost
+    connection, an error of the service."""
+
+
 @dataclass(frozen=True)
 class RetryPolicy:
-    """How often and how long to retry one call."""
+    """How often and how long to retry one call. Only errors of the kinds in `retry_on` are
+    retried; a mistake in the reply function itself ends the run."""
 
     max_attempts: int = S.MAX_ATTEMPTS
     first_backoff: float = S.FIRST_BACKOFF_SECONDS
     max_backoff: float = S.MAX_BACKOFF_SECONDS
     jitter: float = 1.0
+    retry_on: tuple[type[BaseException], ...] = (CallFailed, ConnectionError, TimeoutError)
     sleep: Callable[[float], None] = time.sleep
 
     def wait(self, attempt: int, message: str) -> float:
@@ -39,11 +46,12 @@ class RetryPolicy:
         for attempt in range(self.max_attempts):
             try:
                 return ask(system, payload), attempt + 1, error, waited
-            except Exception as problem:  # whatever the user's client raises counts as a failed call
+            except self.retry_on as problem:
                 error = str(problem)
-                pause = self.wait(attempt, error)
-                waited += pause
-                self.sleep(pause)
+                if attempt + 1 < self.max_attempts:
+                    pause = self.wait(attempt, error)
+                    waited += pause
+                    self.sleep(pause)
         return None, self.max_attempts, error, waited
 
 
@@ -53,7 +61,7 @@ def ask_chunks(
     path: str,
     system: str = "",
     pass_no: int = 1,
-    calls_in_parallel: int = 8,
+    calls_in_parallel: int | None = None,
     pace: bool = False,
     policy: RetryPolicy = RetryPolicy(),
 ) -> DataFrame:
@@ -61,9 +69,11 @@ def ask_chunks(
 
     The calls are a job of their own whose result is written before anyone uses it: a later
     join or retry reads the table and never repeats a call that was paid for.
-    `calls_in_parallel` tasks share the token budget when `pace` is on.
+    `calls_in_parallel` tasks, by default as many as the cluster runs at a time, share the
+    token budget when `pace` is on.
     """
     spark = payloads.sparkSession
+    calls_in_parallel = calls_in_parallel or spark.sparkContext.defaultParallelism
     if spark.conf.get("spark.speculation", "false") == "true":
         raise ValueError("switch spark.speculation off: it would send requests twice")
 

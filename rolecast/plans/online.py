@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
@@ -16,10 +17,26 @@ from rolecast.operators.requests import render_chunks
 from rolecast.session import finished, saved
 
 REPLY_ORDER = ("pass_no", "chunk_id", "line_no")
-CHUNKS_PER_WAVE = 100_000
+#: Chunks of a wave for each call that runs at a time.
+CHUNKS_PER_CALL = 50
 PAYLOAD_SCHEMA = "chunk_id long, payload string, n long, wave long"
 
 
+def fingerprint(contacts: DataFrame, **parameters) -> str:
+    """What tells one run from another: its contacts, as a set, and its parameters."""
+    rows = contacts.agg(F.count("*").alias("n"), F.bit_xor(F.xxhash64("prospect_id", "job_title")).alias("x")).first()
+    return json.dumps({"contacts": [rows.n, rows.x], **parameters}, sort_keys=True, default=list)
+
+
+def claim(spark, work_dir: str, mark: str) -> None:
+    """Take a work folder for the run with this fingerprint; fail if another run has it."""
+    path = f"{work_dir}/fingerprint"
+    if not finished(spark, path):
+        spark.createDataFrame([(mark,)], "value string").write.mode("overwrite").text(path)
+    elif spark.read.text(path).first()["value"] != mark:
+        raise ValueError(f"{work_dir} belongs to a run with other contacts or parameters")
+
+
 def stage_contacts(contacts: DataFrame, path: str) -> DataFrame:
     """Write prepared contacts once, numbered, and read them from there on."""
     spark = contacts.sparkSession
@@ -43,16 +60,26 @@ def stage_payloads(contacts: DataFrame, size: int, path: str, chunks_per_wave: i
     return spark.read.schema(PAYLOAD_SCHEMA).parquet(path)
 
 
-def ask_pass(payloads: DataFrame, path: str, ask: ReplyFunction, **call_options) -> list[str]:
+def read_replies(spark, path: str) -> DataFrame:
+    """All waves below a folder, whatever their number."""
+    return spark.read.schema(REPLY_SCHEMA).option("recursiveFileLookup", True).parquet(path)
+
+
+def ask_pass(payloads: DataFrame, path: str, ask: ReplyFunction, **call_options) -> DataFrame | None:
     """Ask wave by wave. Each wave is a finished table before the next begins, so a lost
-    executor or a stopped run repeats the calls of one wave at most."""
+    executor or a stopped run repeats the calls of one wave at most. No reply at all in a
+    pass is an error: the service is down or the reply function wrong."""
     spark = payloads.sparkSession
     last = payloads.agg(F.max("wave")).first()[0]
-    paths = [f"{path}/wave-{wave}" for wave in range((-1 if last is None else last) + 1)]
-    for wave, wave_path in enumerate(paths):
-        if not finished(spark, wave_path):
-            ask_chunks(payloads.filter(F.col("wave") == wave), ask, wave_path, **call_options)
-    return paths
+    if last is None:
+        return None
+    for wave in range(last + 1):
+        if not finished(spark, f"{path}/wave-{wave}"):
+            ask_chunks(payloads.filter(F.col("wave") == wave), ask, f"{path}/wave-{wave}", **call_options)
+    replies = read_replies(spark, path)
+    if replies.filter(F.col("reply").isNotNull()).isEmpty():
+        raise RuntimeError(f"no call was answered; the last error: {replies.agg(F.max('error')).first()[0]}")
+    return replies
 
 
 def collect_replies(
@@ -63,7 +90,7 @@ def collect_replies(
     max_chunk: int = S.MAX_CHUNK,
     min_chunk: int = S.MIN_CHUNK,
     max_passes: int = S.MAX_PASSES,
-    chunks_per_wave: int = CHUNKS_PER_WAVE,
+    chunks_per_wave: int | None = None,
     **call_options,
 ) -> DataFrame:
     """Ask for all contacts, then again for those without a valid persona, in smaller chunks.
@@ -72,25 +99,27 @@ def collect_replies(
     wave. `call_options` go to `ask_chunks`.
     """
     spark = contacts.sparkSession
-    paths: list[str] = []
-    size = max_chunk
+    calls = call_options.get("calls_in_parallel") or spark.sparkContext.defaultParallelism
+    chunks_per_wave = chunks_per_wave or CHUNKS_PER_CALL * calls
+    answered, size = f"{work_dir}/replies", max_chunk
     for pass_no in range(1, max_passes + 1):
         payload_path = f"{work_dir}/payloads/pass-{pass_no}"
         todo = contacts
-        if paths and not finished(spark, payload_path):
-            so_far = parsed_replies(spark.read.schema(REPLY_SCHEMA).parquet(*paths))
+        if pass_no > 1 and not finished(spark, payload_path):
+            so_far = parsed_replies(read_replies(spark, answered))
             todo = saved(contacts_without(contacts, keep_valid_persona(so_far, taxonomy)), "todo")
             if todo.isEmpty():
                 break
         payloads = stage_payloads(todo, size, payload_path, chunks_per_wave)
-        now = ask_pass(payloads, f"{work_dir}/replies/pass-{pass_no}", ask, pass_no=pass_no, **call_options)
-        paths += now
-        if now and not rate_limited(spark.read.schema(REPLY_SCHEMA).parquet(*now)).isEmpty():
+        now = ask_pass(payloads, f"{answered}/pass-{pass_no}", ask, pass_no=pass_no, **call_options)
+        if now is None:
+            break
+        if not rate_limited(now).isEmpty():
             size = max(min_chunk, size // 2)
         size = max(min_chunk, size // 2)
-    if not paths:
+    if not finished(spark, f"{answered}/pass-1/wave-0"):
         return spark.createDataFrame([], REPLY_SCHEMA)
-    return spark.read.schema(REPLY_SCHEMA).parquet(*paths)
+    return read_replies(spark, answered)
 
 
 def run_online(
@@ -101,7 +130,14 @@ def run_online(
     threshold: int | None = S.FUZZY_THRESHOLD,
     **options,
 ) -> DataFrame:
-    """Decisions for prepared contacts. `options` go to `collect_replies`."""
+    """Decisions for prepared contacts. `options` go to `collect_replies`.
+
+    A work folder belongs to one set of contacts and parameters; the same call goes on where
+    it stopped. For contacts that came later, take a folder of their own and leave out those
+    that are decided (`contacts_without`).
+    """
+    shown = {name: options[name] for name in ("max_chunk", "min_chunk", "max_passes", "system") if name in options}
+    claim(contacts.sparkSession, work_dir, fingerprint(contacts, taxonomy=list(taxonomy), **shown))
     staged = stage_contacts(contacts, f"{work_dir}/contacts")
     raw = collect_replies(staged, ask, work_dir, taxonomy=taxonomy, **options)
     return decide(staged, saved(parsed_replies(raw), "parsed"), REPLY_ORDER, taxonomy, threshold)

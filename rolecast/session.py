@@ -41,9 +41,22 @@ def shared_dir(spark: SparkSession) -> str:
     return _LOCAL_DIRS[application]
 
 
+def run_dir(spark: SparkSession) -> str:
+    """Folder of the intermediate tables of this application."""
+    return f"{shared_dir(spark)}/rolecast/{spark.sparkContext.applicationId}"
+
+
 def new_path(spark: SparkSession, label: str) -> str:
-    """A path below the shared folder that nobody has used yet."""
-    return f"{shared_dir(spark)}/rolecast/{label}-{uuid.uuid4().hex}"
+    """A path in the run's folder that nobody has used yet."""
+    return f"{run_dir(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def end_run(spark: SparkSession) -> None:
+    """Remove the intermediate tables of this application. Frames that read them, such as
+    results that were not written yet, are of no use afterwards."""
+    path = run_dir(spark)
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
 def saved(df: DataFrame, label: str) -> DataFrame:

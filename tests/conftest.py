@@ -5,20 +5,22 @@ import pytest
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-from rolecast.session import build_session  # noqa: E402
+from rolecast.session import build_session, end_run  # noqa: E402
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     session = build_session(
         "tests",
         "local[4]",
         spark__ui__enabled="false",
         spark__ui__showConsoleProgress="false",
         spark__sql__shuffle__partitions="4",
+        spark__checkpoint__dir=str(tmp_path_factory.mktemp("shared")),
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session
+    end_run(session)
     session.stop()
 
 

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from conftest import plan_of, rows
 from rolecast import schema as S
-from rolecast.operators.classify import RetryPolicy, ask_chunks, rule_replies
+from rolecast.operators.classify import CallFailed, RetryPolicy, ask_chunks, rule_replies
 from rolecast.operators.clean import prepare_contacts
 from rolecast.operators.report import open_batches, pass_summary
 from rolecast.plans.batch import finish_batch, require_completed, write_requests
@@ -93,13 +93,13 @@ def test_failed_calls_leave_contacts_for_the_next_pass(spark, tmp_path):
     decided = run_online(contacts(spark), picky, str(tmp_path / "w"), max_chunk=40, policy=QUIET)
     assert decided.filter("skip_reason is null").count() == 60
     first = spark.read.parquet(str(tmp_path / "w" / "replies" / "pass-1" / "*")).filter("n > 21").first()
-    assert (first.reply, first.attempts) == (None, 5) and "429" in first.error and first.wait_seconds >= 2 + 4 + 8 + 16 + 30
+    assert (first.reply, first.attempts) == (None, 5) and "429" in first.error and first.wait_seconds >= 2 + 4 + 8 + 16
 
 
 def test_retry_policy():
     waits = []
     policy = RetryPolicy(sleep=waits.append, jitter=0.0)
-    replies = iter([RuntimeError("try again in 7.5s"), RuntimeError("x"), "fine"])
+    replies = iter([CallFailed("try again in 7.5s"), CallFailed("x"), "fine"])
 
     def ask(system, payload):
         answer = next(replies)
@@ -111,6 +111,30 @@ def test_retry_policy():
     assert waits == [7.5, 4.0]
 
 
+def test_mistakes_are_not_retried():
+    def wrong(system, payload):
+        raise KeyError("persona")
+
+    with pytest.raises(KeyError):
+        RetryPolicy(sleep=lambda s: None).call(wrong, "", "")
+
+
+def test_a_pass_without_a_reply_fails(spark, tmp_path):
+    def down(system, payload):
+        raise ConnectionError("no route")
+
+    with pytest.raises(RuntimeError, match="no route"):
+        run_online(contacts(spark), down, str(tmp_path / "w"), policy=QUIET)
+
+
+def test_a_work_folder_belongs_to_one_run(spark, tmp_path):
+    work = str(tmp_path / "w")
+    run_online(contacts(spark, 3), rule_replies(), work, policy=QUIET)
+    for changed, options in ((contacts(spark, 10), {}), (contacts(spark, 3), {"max_chunk": 2})):
+        with pytest.raises(ValueError, match="another|other contacts"):
+            run_online(changed, rule_replies(), work, policy=QUIET, **options)
+
+
 def test_decision_reads_saved_replies(spark, tmp_path):
     decided = run_online(contacts(spark), rule_replies(), str(tmp_path / "w"), threshold=None, policy=QUIET)
     assert "Python" not in plan_of(decided) and "MapInPandas" not in plan_of(decided)
@@ -167,7 +191,7 @@ def test_batch_states(spark, tmp_path):
     assert "/_checkpoints/batch_1_meta_" in path and read_lines(spark, path).count() == 4
 
 
-def test_shared_folder(spark):
-    configured = spark.conf.get(CHECKPOINT_DIR, None)
-    assert shared_dir(spark) == (configured.rstrip("/") if configured else shared_dir(spark))
+def test_shared_folder(spark, tmp_path):
+    configured = spark.conf.get(CHECKPOINT_DIR)
+    assert shared_dir(spark) == configured.rstrip("/") and new_path(spark, "x").startswith(configured)
     assert new_path(spark, "x") != new_path(spark, "x")
