@@ -6,11 +6,12 @@ from pyspark.sql import functions as F
 
 from catalogue.fixtures import base, fixture
 from catalogue.registry import query
-from rolecast import schema as S
 from rolecast.operators import crm
 from rolecast.operators.clean import ensure_columns
+from rolecast.plans.crm_sync import prepare_updates, reconcile
 from rolecast.session import saved
 from rolecast.sources import crm as source
+from rolecast.sources.contacts import CrmTables, read_contacts
 
 MEMBERS_SQL = """select distinct coalesce(nullif(contact_id, ''), nullif(record_id, '')) as member_id
     from memberships where coalesce(nullif(contact_id, ''), nullif(record_id, '')) is not null and list_id"""
@@ -19,9 +20,13 @@ LIST_FORM_SQL = """coalesce(nullif(hs_object_id, ''), id, '') as prospect_id, co
 REPORT_FORM_SQL = """coalesce(hs_object_id, '') as prospect_id, coalesce(email, '') as email,
     coalesce(jobtitle, '') as job_title, coalesce(firstname, '') as first_name, coalesce(lastname, '') as last_name,
     coalesce(company, '') as company"""
-ENUM_SQL = " ".join(f"when trim(persona) = '{k}' then '{v}'" for k, v in S.CRM_ENUM.items())
-LOOSE_SQL = " ".join(f"when lower(trim(persona)) = '{k.lower()}' then '{v}'" for k, v in S.CRM_ENUM.items())
-ENUM_SQL = f"case {ENUM_SQL} {LOOSE_SQL} else trim(persona) end"
+# Fixed values of the CRM, spelled out apart from the library's own.
+ENUM_SQL = """case lower(trim(persona))
+    when 'application developer' then 'persona_1' when 'executive sponsor' then 'persona_2'
+    when 'economic buyer' then 'persona_3' when 'data product manager/owner' then 'persona_4'
+    when 'data user' then 'persona_5' when 'real-time specialist' then 'persona_6'
+    when 'operator/systems administrator' then 'persona_7' when 'technical decision maker' then 'persona_8'
+    when 'not a target' then 'persona_9' else trim(persona) end"""
 FOUND_SQL = f"""select lower(email) as email_key, prospect_id as found_id
     from (select {LIST_FORM_SQL} from crm_flat) where email <> '' and prospect_id <> ''
     qualify row_number() over (partition by lower(email) order by length(prospect_id), prospect_id) = 1"""
@@ -128,10 +133,51 @@ def crm_records(spark, sf):
     )
 
 
-@query(f"select block_no, count(*) as n, arg_min(contact_id, row_no) as first_id from ({BLOCKED_SQL}) group by block_no")
+@query(f"select block_no, count(*) as n, string_agg(contact_id, ',' order by row_no) as ids from ({BLOCKED_SQL}) group by block_no")
 def crm_blocks(spark, sf):
     blocks = crm.update_blocks(crm.update_records(resolved(spark, sf)))
-    return blocks.select("block_no", "n", F.get_json_object("payload", "$.inputs[0].id").alias("first_id"))
+    inputs = F.from_json("payload", "inputs ARRAY<STRUCT<id: STRING>>")["inputs"]
+    return blocks.select("block_no", "n", F.array_join(inputs["id"], ",").alias("ids"))
+
+
+@query(RESOLVED_SQL)
+def crm_ids_salted(spark, sf):
+    """As `crm_ids` with the join that spreads hot addresses."""
+    known = source.flatten_list_contacts(nested(spark, sf))
+    return crm.resolve_ids(fixture(spark, sf, "accepted_rows"), known, ("seq",), max_rows=0, hot_rows=3)
+
+
+@query(
+    f"""select count(*) filter (result = 'success') as success, count(*) filter (result = 'failed') as failed,
+    count(*) filter (result = 'not_found') as not_found from (
+        select case when exists (select 1 from orders where o_orderkey = block_no and o_orderstatus = 'F')
+               then 'failed' else 'success' end as result from ({BLOCKED_SQL})
+        union all select 'not_found' from ({RESOLVED_SQL}) where contact_id is null)"""
+)
+def run_updates(spark, sf):
+    """A whole write-back: ids, blocks, outcomes, totals."""
+    known = source.flatten_list_contacts(nested(spark, sf))
+    found, blocks = prepare_updates(fixture(spark, sf, "accepted_rows"), known)
+    failed = base(spark, sf, "orders").filter("o_orderstatus = 'F'").select(F.col("o_orderkey").alias("block_no"), F.lit(True).alias("bad"))
+    status = F.when(F.col("bad"), "failed").otherwise("success").alias("status")
+    outcomes = blocks.select("block_no").join(failed, "block_no", "left").select("block_no", status)
+    totals = reconcile(found, outcomes)
+    return spark.createDataFrame([tuple(totals[name] for name in ("success", "failed", "not_found"))], "success long, failed long, not_found long")
+
+
+@query("select cast(o_orderkey as string) as prospect_id, 'a' || cast(o_custkey as string) || '@x.example' as email, o_orderstatus as job_title, '' as company from orders")
+def src_contacts_list(spark, sf):
+    """One list that holds every contact, read without a cap."""
+    orders = base(spark, sf, "orders")
+    properties = F.struct(
+        F.lit("").alias("hs_object_id"),
+        F.concat(F.lit("a"), F.col("o_custkey").cast("string"), F.lit("@x.example")).alias("email"),
+        F.col("o_orderstatus").alias("jobtitle"),
+        F.lit(None).cast("string").alias("company"),
+    )
+    contacts = orders.select(F.col("o_orderkey").cast("string").alias("id"), properties.alias("properties"))
+    members = orders.select(F.lit("7").alias("list_id"), F.col("o_orderkey").cast("string").alias("contact_id"), F.lit("").alias("record_id"))
+    return read_contacts(spark, "list:7", CrmTables(contacts, members))
 
 
 @query(

@@ -12,6 +12,7 @@ from rolecast.operators import clean, decide as D, repair, report
 from rolecast.operators.replies import first_per_id, tidy_replies
 from rolecast.plans.batch import finish_batch
 from rolecast.plans.online import asked_per_pass
+from rolecast.plans.rerun import finish_rerun
 from rolecast.session import saved
 
 ORDER = ("n", "persona", "persona_certainty")
@@ -244,3 +245,58 @@ def out_resume(spark, sf):
 @query(f"select * from ({DECIDED_SQL}) where skip_reason is null order by seq limit 5")
 def out_head(spark, sf):
     return D.accepted(decisions(spark, sf)).orderBy("seq").limit(5)
+
+
+RESULTS_SQL = f"select {RESULT_COLUMNS} from ({OBJECT_SQL.replace('{0}', LAST_SQL)})"
+BLANK_SQL = "trim(n.prospect_id) = ''"
+
+
+@query(
+    f"""select 'online' as mode, n.prospect_id, n.seq, n.email, n.job_title,
+    case when not {BLANK_SQL} then d.persona end as persona, case when not {BLANK_SQL} then d.persona_certainty end as persona_certainty,
+    case when {BLANK_SQL} then 'No LLM response' else d.skip_reason end as skip_reason
+    from nameless n join ({PLAIN_SQL}) d on n.seq = d.seq
+    union all
+    select 'batch', n.prospect_id, n.seq, n.email, n.job_title, r.persona, r.persona_certainty,
+    case when trim(coalesce(persona, '')) = '' then 'Batch error: ' || coalesce(error, 'No LLM response') else {REASON_SQL} end
+    from nameless n left join ({RESULTS_SQL}) r on n.prospect_id = r.prospect_id and not {BLANK_SQL}"""
+)
+def dec_blank_ids(spark, sf):
+    """Contacts without an id are rows of their own, online and in a batch."""
+    contacts = fixture(spark, sf, "nameless")
+    online = D.decide(contacts, tidy_replies(fixture(spark, sf, "replies")), ORDER, threshold=None)
+    batch = finish_batch(contacts, fixture(spark, sf, "batch_output"), ("line_no", "line"), threshold=None)
+    columns = ("prospect_id", "seq", "email", "job_title", "persona", "persona_certainty", "skip_reason")
+    return online.select(F.lit("online").alias("mode"), *columns).unionByName(batch.select(F.lit("batch").alias("mode"), *columns))
+
+
+@query("select p.*, r.n, r.persona, r.persona_certainty from prospects p join replies r on p.prospect_id = r.prospect_id")
+def join_inner_salted(spark, sf):
+    """As `join_inner` with hot ids spread over tasks."""
+    return D.answered_contacts(fixture(spark, sf, "prospects"), fixture(spark, sf, "replies"), max_rows=0, hot_rows=3)
+
+
+@query(
+    """select s.prospect_id, s.email, s.job_title, s.skip_reason, s.persona as persona_old,
+    s.persona_certainty as persona_certainty_old, r.persona, r.persona_certainty, r.error
+    from skipped s left join rerun_results r on s.prospect_id = r.prospect_id"""
+)
+def join_rerun_salted(spark, sf):
+    return D.join_rerun(fixture(spark, sf, "skipped"), fixture(spark, sf, "rerun_results"), max_rows=0, hot_rows=0)
+
+
+@query(
+    f"""select p.prospect_id, p.seq, p.email, p.job_title, coalesce(g.name, r.persona) as persona, r.persona_certainty,
+    case when trim(coalesce(persona, '')) = '' then 'Batch error: ' || coalesce(error, 'No LLM response')
+         when g.name is null then {REASON_SQL} end as skip_reason
+    from prospects p left join ({RESULTS_SQL}) r on p.prospect_id = r.prospect_id left join {GOLDEN_SQL} on r.persona = g.word"""
+)
+def run_batch_repair(spark, sf):
+    """A finished batch with near misses of a name repaired."""
+    return finish_batch(fixture(spark, sf, "prospects"), fixture(spark, sf, "batch_output"), ("line_no", "line"))
+
+
+@query(UPDATED_SQL.replace("rerun_results r", f"({RESULTS_SQL}) r"))
+def run_rerun(spark, sf):
+    """A whole rerun: lines of a batch to new values and reasons of skipped contacts."""
+    return finish_rerun(fixture(spark, sf, "skipped"), fixture(spark, sf, "batch_output"), ("line_no", "line"))

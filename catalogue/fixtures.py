@@ -111,6 +111,12 @@ FIXTURES = {
                'user' || cast(o_custkey as string) || '@' || {_DOMAIN} as email,
                {_pick(_MONTH, TITLES, 1)} as job_title
         from orders""",
+    # The same, some without an id.
+    "nameless": f"""
+        select case o_orderpriority when '5-LOW' then '' when '1-URGENT' then ' ' else cast(o_orderkey as string) end as prospect_id,
+               o_orderkey as seq, 'user' || cast(o_custkey as string) || '@' || {_DOMAIN} as email,
+               {_pick(_MONTH, TITLES, 1)} as job_title
+        from orders""",
     # The same as an export with missing-value words and nulls.
     "prospects_raw": f"""
         select cast(o_orderkey as string) as record_id,
@@ -141,7 +147,7 @@ FIXTURES = {
             when 0 then {_OPEN} || '{{"status_code":429,"body":{{"error":{{"message":"slow down"}}}}}}}}'
             when 1 then {_OPEN} || '{{"status_code":500}}}}'
             when 2 then {_OPEN} || '{{"status_code":200,"body":{{}}}}}}'
-            when 3 then 'upstream closed the connection ' || cast(l_orderkey as string)
+            when 3 then 'upstream closed the connection ' || cast(l_orderkey as string) || repeat(' and again', 30)
             when 4 then {_GOOD_HEAD} {_content("```json {~persona~: ~Data User~}")} {_GOOD_TAIL}
             when 5 then {_GOOD_HEAD} {_content("{~persona~: null, ~certainty~: 10}")} {_GOOD_TAIL}
             when 6 then {_GOOD_HEAD} {_content("{~persona~: ~ Data User ~, ~certainty~: ~90%~}")} {_GOOD_TAIL}

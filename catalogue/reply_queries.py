@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
-from catalogue.fixtures import REPAIRED, VALID, fixture
+from pyspark.sql import functions as F
+
+from catalogue.fixtures import REPAIRED, VALID, base, fixture
 from catalogue.registry import query, sql_list, sql_pairs
 from rolecast.operators import repair, replies
 from rolecast.plans.batch import batch_results
+from rolecast.session import new_path, saved
+from rolecast.sinks.outputs import write_lines
+from rolecast.sources.text import read_lines
 
 TIDY_SQL = """select prospect_id, n,
     case when trim(persona) not in ('', 'nan', 'NaN', 'None', 'NA', 'null') then trim(persona) end as persona,
@@ -117,3 +122,49 @@ def fix_fuzzy(spark, sf):
 def fix_levenshtein(spark, sf):
     tidy = replies.tidy_replies(fixture(spark, sf, "replies"))
     return repair.with_repairs(tidy, ["prospect_id", "n", "persona_certainty"], by_edits=True)
+
+
+@query(
+    f"""select prospect_id, n, t.persona, persona_certainty, g.name as repaired
+    from ({TIDY_SQL}) t left join (values {sql_pairs(REPAIRED)}) as g(word, name) on t.persona = g.word"""
+)
+def fix_fuzzy_salted(spark, sf):
+    """As `fix_fuzzy` with frequent words spread over tasks."""
+    tidy = replies.tidy_replies(fixture(spark, sf, "replies"))
+    return repair.with_repairs(tidy, ["prospect_id", "n", "persona_certainty"], max_rows=0, hot_rows=100)
+
+
+TEXTS_SQL = """select p_name as persona from part union all select unnest(string_split_regex(text, '[ \n]+')) from documents
+    union all select persona from replies"""
+
+
+@query(
+    f"""with words as (select distinct trim(persona) as word from ({TEXTS_SQL}))
+    select word, g.name as repaired from words join (values {sql_pairs(REPAIRED)}) as g(golden, name) on word = g.golden
+    where word <> ''"""
+)
+def fix_fuzzy_texts(spark, sf):
+    """Repairs of many distinct texts, few of which are near a name."""
+    words = base(spark, sf, "documents").select(F.explode(F.split("text", "[ \n]+")).alias("persona"))
+    texts = base(spark, sf, "part").select(F.col("p_name").alias("persona")).unionByName(words)
+    texts = texts.unionByName(fixture(spark, sf, "replies").select("persona"))
+    given = texts.select(F.trim("persona").alias("persona")).filter("persona <> ''")
+    distinct = saved(repair.invalid_words(given), "words")
+    golden = F.col("word").isin(*REPAIRED)  # other texts may be near a name by chance
+    return repair.repair_table(distinct).filter(golden)
+
+
+@query(
+    f"""select prospect_id, content, error from (select * from ({ENVELOPE_SQL}) where line_no <= 3
+    qualify row_number() over (partition by prospect_id order by (content is not null) desc, line_no desc, line desc) = 1)
+    where prospect_id <> ''"""
+)
+def rep_last_files(spark, sf):
+    """Output in files of very different sizes: the later file wins, however Spark packs them."""
+    root = new_path(spark, "outputs")
+    lines = fixture(spark, sf, "batch_output")
+    for part, padding in ((1, 0), (2, 400), (3, 20)):
+        chosen = lines.filter(F.col("line_no") == part).repartition(1).sortWithinPartitions("line")
+        write_lines(chosen.select(F.concat("line", F.lit(" " * padding)).alias("line")), f"{root}/part-{part}")
+    envelopes = replies.parse_envelopes(read_lines(spark, f"{root}/*"), keep=("line_no",))
+    return replies.last_results(envelopes, ["line_no"]).select("prospect_id", "content", "error").filter("prospect_id <> ''")

@@ -18,7 +18,7 @@ CHUNKED_SQL = "select *, row_number() over (order by seq) as row_no, (row_number
 
 @query(f"select prospect_id, seq, row_no, chunk_id from ({CHUNKED_SQL})")
 def req_chunk_assign(spark, sf):
-    chunked = assign_chunks(fixture(spark, sf, "prospects"), S.MAX_CHUNK, width=4096)
+    chunked = assign_chunks(fixture(spark, sf, "prospects"), S.MAX_CHUNK)
     return chunked.select("prospect_id", "seq", "row_no", "chunk_id")
 
 
@@ -192,3 +192,30 @@ def msg_assembly(spark, sf):
         F.array_join("m.role", ",").alias("roles"),
         F.array_join("m.content", "").alias("contents"),
     )
+
+
+SPARSE = "(o_orderkey % 1000003) * 4398042316799 + o_orderkey"
+
+
+@query(
+    f"""select o_orderkey, row_number() over (order by {SPARSE}) as row_no,
+    (row_number() over (order by {SPARSE}) - 1) // 250 as chunk_id from orders"""
+)
+def req_chunk_sparse(spark, sf):
+    """Chunks in the order of keys with huge gaps."""
+    rows = base(spark, sf, "orders").select("o_orderkey", F.expr(SPARSE).alias("seq"))
+    return assign_chunks(rows, S.MAX_CHUNK).select("o_orderkey", "row_no", "chunk_id")
+
+
+@query(
+    """select conv_id, cast(ceil((count(*) filter (turn >= 0)) / 3.0) + 1 as int) as n_parts,
+    string_agg(role || ':' || text, chr(10) order by turn) as whole from (
+        select conv_id, turn, role, text from conversations
+        union all select distinct conv_id, -1, 'system', 'sys' from conversations) group by conv_id"""
+)
+def conv_parts(spark, sf):
+    """Sessions in parts of three turns, put together to one request each."""
+    seeded = requests.seed_sessions(base(spark, sf, "conversations"), "sys")
+    whole = requests.whole_sessions(requests.session_parts(seeded, 3))
+    lines = F.transform("messages", lambda m: F.concat(m["role"], F.lit(":"), m["content"]))
+    return whole.select("conv_id", "n_parts", F.array_join(lines, "\n").alias("whole"))

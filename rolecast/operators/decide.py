@@ -59,8 +59,9 @@ def decide(
     taxonomy: Sequence[str] = S.PERSONAS,
     threshold: int | None = S.FUZZY_THRESHOLD,
     batch: bool = False,
+    keep: Sequence[str] = (),
 ) -> DataFrame:
-    """One decision per contact id.
+    """One decision per contact id. `keep` names columns of the replies to hand on.
 
     `replies` has `prospect_id`, `persona`, `persona_certainty`, the `order` columns and, in
     batch mode, `error`. A valid reply wins over a repaired one, and that over any other;
@@ -79,7 +80,7 @@ def decide(
     chosen = best_per_id(replies, order, taxonomy).withColumn(
         "persona", F.coalesce(F.when(F.col("persona").isin(*taxonomy), F.col("persona")), "repaired", "persona")
     )
-    values = [*REPLY_VALUES, *(["error"] if batch else [])]
+    values = [*REPLY_VALUES, *keep, *(["error"] if batch else [])]
     # Not a filter: on the key of the join it would reach the replies and parse them twice.
     has_id = X.has_text(F.col("prospect_id"))
     alone = contacts.withColumn("_alone", F.when(~has_id, F.col("seq")))

@@ -116,6 +116,14 @@ def session_parts(turns: DataFrame, part_size: int = SESSION_PART) -> DataFrame:
     )
 
 
+def whole_sessions(parts: DataFrame) -> DataFrame:
+    """`conv_id`, `n_parts`, `messages`: the parts of each conversation put together, the body
+    of its next request. One request is one row, so it must fit a task, as it must fit a model."""
+    ordered = F.array_sort(F.collect_list(F.struct("part", "messages")))
+    whole = parts.groupBy("conv_id").agg(ordered.alias("parts"))
+    return whole.select("conv_id", F.size("parts").alias("n_parts"), F.flatten(F.transform("parts", lambda p: p["messages"])).alias("messages"))
+
+
 def open_calls(turns: DataFrame) -> DataFrame:
     """`conv_id`, `call_turn`: the last user message of each conversation."""
     return turns.filter(F.col("role") == "user").groupBy("conv_id").agg(F.max("turn").alias("call_turn"))

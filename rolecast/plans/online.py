@@ -54,7 +54,7 @@ def stage_payloads(contacts: DataFrame, size: int, path: str, chunks_per_wave: i
     """Write the payloads of a pass, one folder per wave of consecutive chunks."""
     spark = contacts.sparkSession
     if not finished(spark, path):
-        payloads = render_chunks(assign_chunks(contacts, size))
+        payloads = render_chunks(assign_chunks(contacts.select("prospect_id", "job_title", "seq"), size))
         waves = payloads.withColumn("wave", F.expr(f"chunk_id div {int(chunks_per_wave)}L"))
         waves.repartitionByRange("chunk_id").write.mode("overwrite").partitionBy("wave").parquet(path)
     return spark.read.schema(PAYLOAD_SCHEMA).parquet(path)
@@ -128,9 +128,11 @@ def run_online(
     work_dir: str,
     taxonomy: Sequence[str] = S.PERSONAS,
     threshold: int | None = S.FUZZY_THRESHOLD,
+    keep: Sequence[str] = (),
     **options,
 ) -> DataFrame:
-    """Decisions for prepared contacts. `options` go to `collect_replies`.
+    """Decisions for prepared contacts. `options` go to `collect_replies`;
+    `keep` hands on columns of the replies, such as `pass_no`.
 
     A work folder belongs to one set of contacts and parameters; the same call goes on where
     it stopped. For contacts that came later, take a folder of their own and leave out those
@@ -140,7 +142,7 @@ def run_online(
     claim(contacts.sparkSession, work_dir, fingerprint(contacts, taxonomy=list(taxonomy), **shown))
     staged = stage_contacts(contacts, f"{work_dir}/contacts")
     raw = collect_replies(staged, ask, work_dir, taxonomy=taxonomy, **options)
-    return decide(staged, saved(parsed_replies(raw), "parsed"), REPLY_ORDER, taxonomy, threshold)
+    return decide(staged, saved(parsed_replies(raw), "parsed"), REPLY_ORDER, taxonomy, threshold, keep=keep)
 
 
 def asked_per_pass(

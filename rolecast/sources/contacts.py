@@ -64,14 +64,6 @@ def read_by_name(spark: SparkSession, path: str | list[str], multi_line: bool |
     return reduce(lambda left, right: left.unionByName(right, allowMissingColumns=True), parts)
 
 
-def require_columns(df: DataFrame, names: Sequence[str]) -> DataFrame:
-    """Fail unless `df` has the named columns."""
-    missing = [name for name in names if name not in df.columns]
-    if missing:
-        raise ValueError(f"columns missing: {missing}")
-    return df
-
-
 def read_csv_contacts(spark: SparkSession, path: str | list[str], multi_line: bool | None = None) -> DataFrame:
     """CSV with a header, every column text, empty cells as empty text, columns by name."""
     named = inside_names(read_by_name(spark, path, multi_line))

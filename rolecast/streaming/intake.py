@@ -6,8 +6,8 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rolecast.operators.clean import prepare_contacts
-from rolecast.sources.contacts import inside_names, read_by_name, require_columns
+from rolecast.operators.clean import prepare_contacts, require_columns
+from rolecast.sources.contacts import inside_names, read_by_name
 
 EXPORT_COLUMNS = ("Record ID", "Email", "Job Title")
 FILES_PER_BATCH = 1_000
