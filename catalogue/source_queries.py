@@ -4,19 +4,21 @@ from __future__ import annotations
 
 import csv
 import io
+import uuid
 import zipfile
 from collections.abc import Iterator
 
 import pandas as pd
+from pyspark.errors import PythonException
 from pyspark.sql import functions as F
 
 from catalogue.clean_queries import MARKER, RULES_SQL
 from catalogue.decision_queries import DECIDED_SQL, UPDATED_SQL, decisions
-from catalogue.fixtures import fixture
+from catalogue.fixtures import base, fixture
 from catalogue.registry import query
 from rolecast import schema as S
 from rolecast.operators.classify import RetryPolicy, ask_chunks, rule_replies
-from rolecast.operators.clean import prepare_contacts
+from rolecast.operators.clean import prepare_contacts, require_rows
 from rolecast.operators.decide import update_skipped
 from rolecast.operators.numbering import assign_chunks
 from rolecast.operators.replies import parse_reply_lines
@@ -24,9 +26,9 @@ from rolecast.operators.requests import render_chunks, request_documents
 from rolecast.plans.online import run_online
 from rolecast.session import new_path, saved
 from rolecast.sinks.outputs import save_outputs, write_csv, write_lines
-from rolecast.sources.archive import unpack_archives
-from rolecast.sources.contacts import read_csv_contacts, read_skipped, union_sheets
-from rolecast.sources.text import read_lines
+from rolecast.sources.archive import read_archives, unpack_archives
+from rolecast.sources.contacts import read_contacts, read_csv_contacts, read_skipped, union_sheets
+from rolecast.sources.text import read_instructions, read_lines
 from rolecast.streaming.intake import take_in
 
 DISPLAY = {"prospect_id": "Record ID", "email": "Email", "job_title": "Job Title"}
@@ -68,15 +70,41 @@ def src_csv(spark, sf):
     return read_csv_contacts(spark, path).select(*DISPLAY)
 
 
+HEADERS = (
+    ("Record ID", "Email", "Job Title"),
+    ("Record ID", "First Name", "Job Title", "Email"),
+    ("Job Title", "Owner", "Email", "Record ID", "Company"),
+)
+
+
+def _exports(contacts, folder: str) -> None:
+    """Exports of three kinds, with columns in different orders, some of them extra."""
+    wide = contacts.withColumnsRenamed(DISPLAY).withColumns({name: F.lit("other") for name in ("First Name", "Owner", "Company")})
+    for kind, header in enumerate(HEADERS):
+        write_csv(wide.filter(F.col("seq") % len(HEADERS) == kind).select(*header), f"{folder}/kind-{kind}")
+
+
+@query(
+    """select prospect_id, email, job_title, case when seq % 3 = 1 then 'other' else '' end as first_name,
+    case when seq % 3 = 2 then 'other' else '' end as company from prospects"""
+)
+def src_csv_headers(spark, sf):
+    """Files whose headers differ, read as one table by the names of the columns."""
+    root = new_path(spark, "csv")
+    _exports(fixture(spark, sf, "prospects"), root)
+    read = read_contacts(spark, f"{root}/*/")
+    return read.select(*DISPLAY, "first_name", "company").fillna("")
+
+
 @query(f"select prospect_id, email, job_title from ({PREPARED_SQL})")
 def src_stream(spark, sf):
-    """Two nights of intake; the second only takes in what is new."""
+    """Two nights of intake with headers of three kinds; the second only takes in what is new."""
     root = new_path(spark, "intake")
-    contacts = fixture(spark, sf, "prospects").withColumnsRenamed(DISPLAY).drop("seq")
-    early = F.col("Email").rlike("contest.example|building.example")
+    contacts = fixture(spark, sf, "prospects")
+    early = F.col("email").rlike("contest.example|building.example")
     for night, part in enumerate((contacts.filter(early), contacts.filter(~early))):
-        write_csv(part, f"{root}/drop/night-{night}")
-        take_in(spark, f"{root}/drop/*", f"{root}/out", f"{root}/state", prepare=_prepare)
+        _exports(part, f"{root}/drop/night-{night}")
+        take_in(spark, f"{root}/drop/*/*", f"{root}/out", f"{root}/state", prepare=_prepare)
     return spark.read.parquet(f"{root}/out").select(*DISPLAY)
 
 
@@ -84,6 +112,67 @@ def _prepare(df):
     return prepare_contacts(df, MARKER)
 
 
+LONG = 131_073  # longer than the usual limit of a CSV cell
+
+
+def _pack_files(folder: str):
+    """Writes one archive per Arrow batch to `folder`, which all executors reach."""
+
+    def pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        from pyarrow import fs
+
+        for batch in batches:
+            table = io.StringIO()
+            csv.writer(table).writerows([batch.columns.tolist(), *batch.itertuples(index=False)])
+            packed = io.BytesIO()
+            with zipfile.ZipFile(packed, "w", zipfile.ZIP_DEFLATED) as archive:
+                archive.writestr(S.ARCHIVE_MEMBER, table.getvalue())
+            store, path = fs.FileSystem.from_uri(f"{folder}/export-{uuid.uuid4().hex}.zip")
+            store.create_dir(path.rpartition("/")[0], recursive=True)
+            with store.open_output_stream(path) as out:
+                out.write(packed.getvalue())
+            yield pd.DataFrame({"path": [path]})
+
+    return pack
+
+
+@query(
+    f"""select cast(doc_id as string) as prospect_id, lang as "Lead Language", source as "Lead Source",
+    cast(length(text) * (1 + {LONG} // greatest(length(text), 1)) as int) as n_chars from documents"""
+)
+def src_archive_files(spark, sf):
+    """Zipped exports as files: very long cells, and columns that the library does not know."""
+    text = F.expr(f"repeat(text, cast(1 + {LONG} div greatest(length(text), 1) as int))")
+    rows = base(spark, sf, "documents").select(
+        F.col("doc_id").cast("string").alias("Record ID"), text.alias("Job Title"), F.col("lang").alias("Lead Language"), F.col("source").alias("Lead Source")
+    )
+    folder = new_path(spark, "archives")
+    paths = saved(rows.mapInPandas(_pack_files(folder), "path string"), "packed")
+    require_rows(paths)
+    read = read_archives(spark, folder)
+    return read.select("prospect_id", "Lead Language", "Lead Source", F.length("job_title").alias("n_chars"))
+
+
+@query(
+    """select string_agg(r_name, chr(10) order by r_name) || chr(10) || string_agg(r_name, '; ' order by r_name desc) || chr(10)
+    as system_text from region"""
+)
+def src_instructions(spark, sf):
+    """The two instruction files of a run as one text."""
+    names = base(spark, sf, "region").agg(F.sort_array(F.collect_list("r_name")).alias("names"))
+    paths = []
+    for part, text in (("frame", F.array_join("names", "\n")), ("personas", F.array_join(F.reverse("names"), "; "))):
+        paths.append(write_lines(names.select(text.alias("line")).coalesce(1), new_path(spark, part)))
+    texts = [f"{path}/*.txt" for path in paths]
+    return spark.createDataFrame([(read_instructions(spark, *texts),)], "system_text string")
+
+
+@query(PREPARED_SQL)
+def flt_empty_guard(spark, sf):
+    """Rows pass the guard that stops a run without any."""
+    return require_rows(prepare_contacts(fixture(spark, sf, "prospects"), MARKER))
+
+
 @query(
     """select prospect_id, 'POST' as method, 'Prospect Id: ' || prospect_id || chr(10) || 'Job Title: '
     || replace(job_title, ',', ' ') || chr(10) || chr(10) || 'Return ONLY the JSON.' as user_text from prospects"""
@@ -117,15 +206,45 @@ def _forgetful(system: str, payload: str) -> str:
     return answer if len(lines) < 100 else "\n".join(line for line in lines if "Director" not in line)
 
 
-@query(
-    f"""select prospect_id, email, job_title, {RULES_SQL} as persona, '90' as persona_certainty,
+QUIET = RetryPolicy(sleep=lambda s: None)
+RUN_SQL = f"""select prospect_id, email, job_title, {RULES_SQL} as persona, '90' as persona_certainty,
     cast(null as varchar) as skip_reason from ({PREPARED_SQL})"""
-)
+# A chunk of 100 lines or more loses its directors. The last chunk of a pass may be shorter.
+PASSES_SQL = f"""with one as (select prospect_id, seq, contains(job_title, 'Director') as director,
+        row_number() over (order by seq) - 1 as r, count(*) over () as n from ({PREPARED_SQL})),
+    two as (select prospect_id, row_number() over (order by seq) - 1 as r, count(*) over () as n from one
+            where director and least(250, n - r // 250 * 250) >= 100),
+    three as (select prospect_id from two where least(125, n - r // 125 * 125) >= 100)
+    select d.*, cast(case when d.prospect_id in (select prospect_id from three) then 3
+        when d.prospect_id in (select prospect_id from two) then 2 else 1 end as int) as pass_no from ({RUN_SQL}) d"""
+
+
+@query(PASSES_SQL)
 def cls_passes(spark, sf):
     """Up to three passes; what the first leaves out, a later one with smaller chunks answers."""
     contacts = prepare_contacts(fixture(spark, sf, "prospects"), MARKER)
-    decided = run_online(contacts, _forgetful, new_path(spark, "online"), policy=RetryPolicy(sleep=lambda s: None))
-    return decided.select(*S.DECISION_COLUMNS)
+    decided = run_online(contacts, _forgetful, new_path(spark, "online"), policy=QUIET, keep=("pass_no",))
+    return decided.select(*S.DECISION_COLUMNS, "pass_no")
+
+
+def _breaks_off(system: str, payload: str) -> str:
+    """Fails for good at some chunk, as a client with a mistake in it does."""
+    if "7,Founder" in payload:
+        raise ValueError("broken off")
+    return rule_replies()(system, payload)
+
+
+@query(RUN_SQL)
+def cls_resume(spark, sf):
+    """A run that broke off goes on in its folder with what it has."""
+    contacts = prepare_contacts(fixture(spark, sf, "prospects"), MARKER)
+    work = new_path(spark, "online")
+    try:
+        run_online(contacts, _breaks_off, work, policy=QUIET, chunks_per_wave=8)
+    except PythonException as error:
+        if "broken off" not in str(error):
+            raise
+    return run_online(contacts, rule_replies(), work, policy=QUIET, chunks_per_wave=8).select(*S.DECISION_COLUMNS)
 
 
 @query(
