@@ -23,28 +23,45 @@ LEAST_LANGUAGE = 0.2
 BYTE_RANKS = "byte_bpe_50k.tiktoken"
 
 
+#: Columns that operators add; a table may have columns of these names already.
+ADDED = ("lang_pred", "score", "class_id", "class_no", "n_links", "n_words", "n_removed", "kept_sha256", "kept_text")
+
+
+def put_aside(docs: DataFrame) -> tuple[DataFrame, dict[str, str]]:
+    """`docs` with columns of the names in ADDED renamed, and how to name them back."""
+    moved: dict[str, str] = {}
+    for name in docs.columns:
+        if name in ADDED:
+            moved[name] = unused([*docs.columns, *ADDED, *moved.values()], name)
+    return docs.withColumnsRenamed(moved), {new: name for name, new in moved.items()}
+
+
 def keep_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in one of the languages learned from those that are not held out."""
-    predicted = predict_languages(docs, learn(docs.where(~held_out())))
+    given, back = put_aside(docs)
+    predicted = predict_languages(given, learn(given.where(~held_out())))
     kept = predicted.where((F.col("lang_pred") != UNDECIDED) & (F.col("score") >= LEAST_LANGUAGE))
-    return kept.select(*docs.columns)
+    return kept.drop(*ADDED).withColumnsRenamed(back).select(*docs.columns)
 
 
 def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The first document, by doc_id and then by the other columns, of each group of near copies.
 
     It is a minimum over whole rows, so tasks send one row of a group each."""
-    order = ["doc_id", *[name for name in docs.columns if name != "doc_id"]]
-    first = near_copies(docs).groupBy("class_no").agg(F.min(F.struct(*order)).alias("first"))
-    return first.select("first.*").select(*docs.columns)
+    given, back = put_aside(docs)
+    order = ["doc_id", *[name for name in given.columns if name != "doc_id"]]
+    first = near_copies(given).groupBy("class_no").agg(F.min(F.struct(*order)).alias("first"))
+    return first.select("first.*").withColumnsRenamed(back).select(*docs.columns)
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, without the words of passages that stand elsewhere too."""
+    given, back = put_aside(docs)
     text = F.col("kept_text").alias("text")
     n_chars = F.length("kept_text").cast(docs.schema["n_chars"].dataType).alias("n_chars")
     changed = {"text": text, "n_chars": n_chars}
-    return remove_repeats(docs).select(*[changed.get(name, F.col(name)) for name in docs.columns])
+    cut = remove_repeats(given).select(*[changed.get(name, F.col(name)) for name in given.columns])
+    return cut.withColumnsRenamed(back)
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
