@@ -26,7 +26,7 @@ def crm(spark, n):
     ids = spark.range(n).select(F.col("id").cast("string").alias("id"))
     blank = F.struct(*[F.lit("").alias(name) for name in ("hs_object_id", "email", "jobtitle", "firstname", "lastname", "company")])
     contacts = ids.select("id", blank.alias("properties"))
-    members = ids.select(F.lit("5").alias("list_id"), F.col("id").alias("contact_id"), F.lit("").alias("record_id"))
+    members = ids.select(F.when(F.length("id") < 9, "5").otherwise("6").alias("list_id"), F.col("id").alias("contact_id"), F.lit("").alias("record_id"))
     return CrmTables(contacts, members, spark.createDataFrame([("9", "5")], "report_id string, list_id string"))
 
 
