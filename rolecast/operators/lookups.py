@@ -21,7 +21,8 @@ def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int
 
 
 def hot_keys(df: DataFrame, key: str, hot_rows: int = HOT_ROWS) -> list:
-    """Keys that hold more than about `hot_rows` rows, at most HOT_KEYS of them.
+    """Keys that hold more than about `hot_rows` rows, the HOT_KEYS largest of them: any other
+    key holds less than one row in HOT_KEYS, which is a fair share of a large table.
 
     A sketch finds them in one pass without shuffling keys. Its errors only change how rows
     are spread, not which rows match.

@@ -45,7 +45,8 @@ def running_sums(
 ) -> DataFrame:
     """Add a column per entry of `values`: its sum up to and including each row.
 
-    `order_by` is a unique whole number per `within`. Rows are cut into blocks of `width`
+    `order_by` is a unique whole number per `within`, such as a turn or a row number; for
+    values with wide gaps, number the rows first. Rows are cut into blocks of `width`
     consecutive order values: no task sorts more than one block, however large a key is.
     `df` is read twice, so hand in a saved table, not the end of a long plan. The sums per
     block are saved at once, so that their three uses do not read `df` again.
