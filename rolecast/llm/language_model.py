@@ -14,6 +14,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -31,11 +32,25 @@ AVERAGED = 2
 #: The token behind the last word; no hash of a word is special, it only has to be fixed.
 END = np.uint64(0x452821E638D01377)
 
-ASKED = ("part long, bucket long, key {kind}, held_out boolean, tokens binary, words binary, sizes binary, contexts binary, counts binary")
+ASKED = (
+    "part long, bucket long, keys array<{kind}>, held_out array<boolean>, lengths binary, tokens binary, "
+    "words binary, sizes binary, contexts binary, counts binary"
+)
+
+
+def packed(values: np.ndarray) -> bytes:
+    """Numbers as compressed bytes, the bytes of equal weight together."""
+    planes = np.ascontiguousarray(values).view(np.uint8).reshape(len(values), values.itemsize).T
+    return zstandard.ZstdCompressor(level=3).compress(planes.tobytes())
+
+
+def unpacked(cell: bytes, kind: str) -> np.ndarray:
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(cell), np.uint8)
+    return np.ascontiguousarray(planes.reshape(np.dtype(kind).itemsize, -1).T).view(kind).reshape(-1)
 
 
 def tokens_of(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Hash and context of each token, and the first token of each text. The words of a
+    """Hash and context of each token, and the number of tokens of each text. The words of a
     text in lower case (A to Z only) are followed by its end; a context is the last two
     bytes of the word before, 0 at the start, and 0 above the byte of a one-byte word."""
     words = Words([text.lower() for text in texts])
@@ -43,30 +58,37 @@ def tokens_of(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     last = words.data[words.ends - 1].astype(np.int64) if n else np.zeros(0, np.int64)
     longer = words.ends - words.starts > 1
     before = np.where(longer, words.data[words.ends - 2] if n else last, 0).astype(np.int64)
-    first = words.first + np.arange(len(texts) + 1)  # each text has one token more than words
     hashes, contexts = np.empty(n + len(texts), np.uint64), np.zeros(n + len(texts), np.int64)
-    place = np.arange(n) + np.repeat(np.arange(len(texts)), counts)
+    place = np.arange(n) + np.repeat(np.arange(len(texts)), counts)  # each text before has one token more than words
     hashes[place] = words.hashes()
-    hashes[first[1:] - 1] = END
+    hashes[words.first[1:] + np.arange(len(texts))] = END
     contexts[place + 1] = before << 8 | last
-    return hashes, contexts, first
+    return hashes, contexts, counts + 1
 
 
 def ask(docs: DataFrame, buckets: int) -> DataFrame:
-    """The rows of documents (bucket null) and of questions, saved: a part's tokens are places
-    in the list of its distinct (word, context) pairs in the order of hash and context, which
-    is the order of its questions by bucket."""
+    """The rows of parts (bucket null) and of their questions, saved: a part's tokens are
+    places in the list of its distinct (word, context) pairs in the order of hash and
+    context, which is the order of its questions by bucket."""
     kind = docs.schema["key"].dataType
+    cells = ("lengths", "tokens", "words", "sizes", "contexts", "counts")
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        task, schema = TaskContext.get().partitionId(), None
+        task = TaskContext.get().partitionId()
         for i, batch in enumerate(slices(batches, "text", PART_BYTES)):
-            part = task << 32 | i
-            hashes, contexts, first = tokens_of(raw(batch.column("text")))
+            keys, part = batch.column("key"), task << 32 | i
+            schema = pa.schema([("part", pa.int64()), ("bucket", pa.int64()), ("keys", pa.list_(keys.type)), ("held_out", pa.list_(pa.bool_())), *((name, pa.binary()) for name in cells)])
+
+            def row(bucket: int | None, keys: pa.Array | None, held: pa.Array | None, **arrays: np.ndarray) -> pa.RecordBatch:
+                lists = [pa.nulls(1, field.type) if values is None else pa.ListArray.from_arrays([0, len(values)], values) for field, values in zip((schema.field(2), schema.field(3)), (keys, held))]
+                found = [pa.array([packed(arrays[name]) if name in arrays else None], pa.binary()) for name in cells]
+                return pa.RecordBatch.from_arrays([pa.array([part], pa.int64()), pa.array([bucket], pa.int64()), *lists, *found], schema=schema)
+
+            hashes, contexts, lengths = (np.concatenate(found) for found in zip(*(tokens_of(raw(piece.column("text"))) for piece in slices([batch]))))
             held = np.array(batch.column("held_out"), bool)
-            train = np.repeat(~held, np.diff(first))
+            train = np.repeat(~held, lengths)
             order = np.lexsort((contexts, hashes))
             hashes, contexts = hashes[order], contexts[order]
             new_word = np.concatenate([[True], hashes[1:] != hashes[:-1]])
@@ -74,22 +96,14 @@ def ask(docs: DataFrame, buckets: int) -> DataFrame:
             place = np.empty(len(order), "<i4")
             place[order] = np.cumsum(new) - 1
             counts = np.bincount(place[order], train[order]).astype("<i4")
+            yield row(None, keys, batch.column("held_out"), lengths=lengths.astype("<i4"), tokens=place)
             words, sizes = hashes[new_word], np.diff(np.append(np.flatnonzero(new_word[new]), new.sum())).astype("<i4")
             contexts, ends = contexts[new].astype("<u2"), np.cumsum(sizes)
-            schema = schema or pa.schema([("part", pa.int64()), ("bucket", pa.int64()), ("key", batch.column("key").type), ("held_out", pa.bool_()), *((name, pa.binary()) for name in ("tokens", "words", "sizes", "contexts", "counts"))])
-            rows = len(held)
-            nothing = pa.nulls(rows, pa.binary())
-            tokens = pa.array([place[start:end].tobytes() for start, end in zip(first, first[1:])], pa.binary())
-            yield pa.RecordBatch.from_arrays([pa.array([part] * rows, pa.int64()), pa.nulls(rows, pa.int64()), batch.column("key"), batch.column("held_out"), tokens, nothing, nothing, nothing, nothing], schema=schema)
             bucket = ((words >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
             edges = np.concatenate([[0], np.flatnonzero(np.diff(bucket)) + 1, [len(words)]])
             for start, end in zip(edges, edges[1:]):
-                low, high = ends[start] - sizes[start], ends[end - 1]
-                cells = [words[start:end].tobytes(), sizes[start:end].tobytes(), contexts[low:high].tobytes(), counts[low:high].tobytes()]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([part], pa.int64()), pa.array([int(bucket[start])], pa.int64()), pa.nulls(1, batch.column("key").type), pa.nulls(1, pa.bool_()), pa.nulls(1, pa.binary()), *(pa.array([cell], pa.binary()) for cell in cells)],
-                    schema=schema,
-                )
+                inside = slice(ends[start] - sizes[start], ends[end - 1])
+                yield row(int(bucket[start]), None, None, words=words[start:end], sizes=sizes[start:end], contexts=contexts[inside], counts=counts[inside])
 
     return saved(docs.mapInArrow(work, ASKED.format(kind=kind.simpleString())), "questions")
 
@@ -107,10 +121,10 @@ class Bucket:
 
     @classmethod
     def of(cls, rows: dict[str, list]) -> Bucket:
-        words = [np.frombuffer(cell, np.uint64) for cell in rows["words"]]
-        sizes = [np.frombuffer(cell, "<i4") for cell in rows["sizes"]]
-        contexts = np.concatenate([np.frombuffer(cell, "<u2") for cell in rows["contexts"]]).astype(np.int64)
-        counts = np.concatenate([np.frombuffer(cell, "<i4") for cell in rows["counts"]])
+        words = [unpacked(cell, "<u8") for cell in rows["words"]]
+        sizes = [unpacked(cell, "<i4") for cell in rows["sizes"]]
+        contexts = np.concatenate([unpacked(cell, "<u2") for cell in rows["contexts"]]).astype(np.int64)
+        counts = np.concatenate([unpacked(cell, "<i4") for cell in rows["counts"]])
         _, number = np.unique(np.concatenate(words), return_inverse=True)
         keys, entry = np.unique(np.repeat(number, np.concatenate(sizes)) * CONTEXTS[2] + contexts, return_inverse=True)
         customers = np.bincount(entry, counts, len(keys)).astype(np.int64)
@@ -165,16 +179,17 @@ def merged(questions: DataFrame, buckets: int) -> DataFrame:
         for number, rows in grouped(batches, "bucket"):
             bucket = Bucket.of(rows)
             sizes = np.bincount(bucket.word).astype("<i4")
-            cells = [sizes.tobytes(), bucket.context.astype("<u2").tobytes(), bucket.customers.astype("<i8").tobytes()]
+            cells = [packed(sizes), packed(bucket.context.astype("<u2")), packed(bucket.customers.astype("<i8"))]
             yield pa.RecordBatch.from_arrays([pa.array([number], pa.int64()), *(pa.array([cell], pa.binary()) for cell in cells)], names=["bucket", "sizes", "contexts", "customers"])
 
     return saved(dealt(questions, buckets).mapInArrow(merge, "bucket long, sizes binary, contexts binary, customers binary"), "entries")
 
 
 def _entries(rows: dict[str, list]) -> Bucket:
-    sizes = np.frombuffer(rows["sizes"][0], "<i4")
+    sizes = unpacked(rows["sizes"][0], "<i4")
     word = np.repeat(np.arange(len(sizes)), sizes)
-    return Bucket([], [], np.zeros(0, np.int64), word, np.frombuffer(rows["contexts"][0], "<u2").astype(np.int64), np.frombuffer(rows["customers"][0], "<i8"))
+    contexts = unpacked(rows["contexts"][0], "<u2").astype(np.int64)
+    return Bucket([], [], np.zeros(0, np.int64), word, contexts, unpacked(rows["customers"][0], "<i8"))
 
 
 #: Levels of the rows that carry other sums: entries with one and with two customers, words and tokens.
@@ -250,43 +265,43 @@ def answer(questions: DataFrame, buckets: int, learned: Learned, last: Totals) -
             for part, length in zip(bucket.parts, bucket.lengths):
                 entry = bucket.entry[at : at + length]
                 at += length
-                cells = [pa.array([part], pa.int64()), pa.array([number], pa.int64()), pa.array([scores[entry].tobytes()], pa.binary()), pa.array([counts[entry].tobytes()], pa.binary())]
+                cells = [pa.array([part], pa.int64()), pa.array([number], pa.int64()), pa.array([packed(scores[entry])], pa.binary()), pa.array([packed(counts[entry])], pa.binary())]
                 yield pa.RecordBatch.from_arrays(cells, names=["part", "bucket", "scores", "counts"])
 
     return dealt(questions, buckets).mapInArrow(work, "part long, bucket long, scores binary, counts binary")
 
 
 def add_up(questions: DataFrame, answers: DataFrame, learned: Learned, key: str) -> DataFrame:
-    """Scores of the documents of each part; its answers come first, by bucket."""
-    kind = questions.schema["key"].dataType.simpleString()
+    """Scores of the documents of each part, from its answers in the order of buckets."""
+    kind = questions.schema["keys"].dataType.elementType.simpleString()
     unknown = learned.tokens + learned.words + 1
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, scores, counts = None, [], []
-        ready: tuple[np.ndarray, ...] | None = None
         for batch in batches:
-            bucket = np.array(batch.column("bucket").is_valid())
-            parts = batch.column("part").to_pylist()
-            found = []
             for row in range(batch.num_rows):
-                if parts[row] != part:
-                    part, scores, counts, ready = parts[row], [], [], None
-                if bucket[row]:
-                    scores.append(np.frombuffer(batch.column("scores")[row].as_py(), "<f4"))
-                    counts.append(np.frombuffer(batch.column("counts")[row].as_py(), "<i8"))
+                cell = {name: batch.column(name)[row] for name in batch.schema.names}
+                if cell["part"].as_py() != part:
+                    part, scores, counts = cell["part"].as_py(), [], []
+                if cell["bucket"].is_valid:
+                    scores.append(unpacked(cell["scores"].as_py(), "<f4"))
+                    counts.append(unpacked(cell["counts"].as_py(), "<i8"))
                     continue
-                if ready is None:
-                    known = np.concatenate(counts)
-                    ready = np.concatenate(scores).astype(float), known > 0, np.log10((known + 1) / unknown)
-                tokens = np.frombuffer(batch.column("tokens")[row].as_py(), "<i4")
-                found.append((row, len(tokens), int(ready[1][tokens].sum()), float(ready[2][tokens].sum()), float(ready[0][tokens].sum())))
-            if found:
-                row, n_tokens, n_known, base, score = zip(*found)
-                rows = pa.array(row)
-                columns = [batch.column("key").take(rows), batch.column("held_out").take(rows), pa.array(n_tokens, pa.int64()), pa.array(n_known, pa.int64()), pa.array([learned.tokens] * len(row), pa.int64()), pa.array(base), pa.array(score)]
+                known = np.concatenate(counts)  # the documents come behind all answers
+                tokens, lengths = unpacked(cell["tokens"].as_py(), "<i4"), unpacked(cell["lengths"].as_py(), "<i4").astype(np.int64)
+                first = np.cumsum(lengths) - lengths  # every document has a token
+                columns = [
+                    cell["keys"].values,
+                    cell["held_out"].values,
+                    pa.array(lengths),
+                    pa.array(np.add.reduceat((known > 0)[tokens].astype(np.int64), first)),
+                    pa.array([learned.tokens] * len(lengths), pa.int64()),
+                    pa.array(np.add.reduceat(np.log10((known + 1) / unknown)[tokens], first)),
+                    pa.array(np.add.reduceat(np.concatenate(scores).astype(float)[tokens], first)),
+                ]
                 yield pa.RecordBatch.from_arrays(columns, names=[key, "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
 
-    docs = questions.where("bucket is null").select("part", "bucket", "key", "held_out", "tokens")
+    docs = questions.where("bucket is null").select("part", "bucket", "keys", "held_out", "lengths", "tokens")
     both = docs.unionByName(answers, allowMissingColumns=True)
     together = both.repartition("part").sortWithinPartitions("part", F.col("bucket").asc_nulls_last())
     return together.mapInArrow(work, f"`{key}` {kind}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
