@@ -30,6 +30,8 @@ HASHES = 3
 SLOTS = 16
 #: Languages per 64-bit word of a slot.
 WORD = 63
+#: Text bytes looked at together: an n-gram takes some hundred bytes of arrays.
+PIECE_BYTES = 1_000_000
 
 _ALPHABETIC: list[np.ndarray] = []
 
@@ -133,7 +135,7 @@ def learn(docs: DataFrame, text: str = "text", lang: str = "lang") -> LanguageMo
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[str, list[tuple[np.ndarray, np.ndarray]]] = {}
-        for batch in slices(batches):
+        for batch in slices(batches, limit=PIECE_BYTES):
             hashes, first, has_letter = ngrams(raw(batch.column("text")))
             langs = np.array(batch.column("lang").to_pylist(), object)
             owner = np.repeat(np.where(has_letter, np.arange(len(langs)), -1), np.diff(first))
@@ -188,7 +190,7 @@ def predict_languages(docs: DataFrame, model: LanguageModel, text: str = "text")
     schema = docs.select(*names).schema.add("lang_pred", "string").add("score", "double")
 
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, text):
+        for batch in slices(batches, text, PIECE_BYTES):
             named, scores = model.predict(raw(batch.column(text)))
             columns = [*batch.columns, pa.array(named, pa.string()), pa.array(scores, pa.float64())]
             yield pa.RecordBatch.from_arrays(columns, names=[*names, "lang_pred", "score"])
