@@ -6,6 +6,7 @@ from collections.abc import Callable, Iterator
 import json
 import os
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
@@ -52,19 +53,51 @@ def by_bytes(items: list[bytes], limit: int = CALL_BYTES) -> Iterator[list[bytes
         yield part
 
 
+#: Words of letters that are encoded as one text.
+TOGETHER = 200
+
+
+def ends_words(path: str, vocabulary: dict[str, int]) -> np.ndarray | None:
+    """For each id, whether it ends a word; None if tokens do not tell."""
+    with open(path, encoding="utf-8") as file:
+        suffix = json.load(file)["model"].get("end_of_word_suffix")
+    if not suffix or not drops_spaces(path):
+        return None
+    ends = np.zeros(max(vocabulary.values()) + 1, bool)
+    ends[[number for token, number in vocabulary.items() if token.endswith(suffix)]] = True
+    return ends
+
+
 def encode_words(path: str, convert: Callable) -> Callable[[list[bytes]], list]:
-    """A function that encodes words with a tokenizers file and gives `convert(ids)` of each."""
+    """A function that encodes words with a tokenizers file and gives `convert(ids)` of each.
+
+    Words of ASCII letters are one piece each to a tokenizer that drops white space; if its
+    tokens tell the ends of words, such words are encoded as texts of many words, which costs
+    less, and taken apart at these tokens."""
     os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks are the parallelism
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(path)
+    ends = ends_words(path, tokenizer.get_vocab())
+
+    def ids_of(texts: list[bytes]) -> Iterator[list[int]]:
+        for part in by_bytes(texts):
+            for item in tokenizer.encode_batch_fast([text.decode() for text in part], add_special_tokens=False):
+                yield item.ids
 
     def encode(words: list[bytes]) -> list:
-        found = []
-        for part in by_bytes(words):
-            done = tokenizer.encode_batch_fast([word.decode() for word in part], add_special_tokens=False)
-            found.extend(convert(item.ids) for item in done)
-        return found
+        if ends is None:
+            return [convert(ids) for ids in ids_of(words)]
+        done: dict[bytes, object] = {}
+        letters = [word for word in words if word.isalpha()]
+        groups = [letters[i : i + TOGETHER] for i in range(0, len(letters), TOGETHER)]
+        for group, ids in zip(groups, ids_of([b" ".join(group) for group in groups])):
+            cuts = (np.flatnonzero(ends[ids]) + 1).tolist()
+            if len(cuts) == len(group):  # else they are encoded one by one
+                done.update((word, convert(ids[i:j])) for word, i, j in zip(group, [0, *cuts], cuts))
+        others = [word for word in words if word not in done]
+        done.update(zip(others, map(convert, ids_of(others))))
+        return [done[word] for word in words]
 
     return encode
 

@@ -36,7 +36,9 @@ from rolecast.session import new_path, saved
 MAGIC = b"TOKSHRD1"
 NULL = 0xFFFFFFFF
 #: Bytes of text of one shard, on average.
-SHARD_BYTES = 24_000_000
+SHARD_BYTES = 12_000_000
+#: Distinct words, with their ids, that a worker remembers.
+REMEMBERED_IDS = 1_000_000
 
 
 def key_hashes(keys: list[bytes | None]) -> np.ndarray:
@@ -117,7 +119,9 @@ _ENCODERS: dict[tuple[str, int], Remembered] = {}
 
 def _encoder(path: str, id_bytes: int) -> Remembered:
     if (path, id_bytes) not in _ENCODERS:
-        _ENCODERS[path, id_bytes] = Remembered(encode_words(path, lambda ids: np.array(ids, f"<u{id_bytes}").tobytes()))
+        _ENCODERS[path, id_bytes] = Remembered(
+            encode_words(path, lambda ids: np.array(ids, f"<u{id_bytes}").tobytes()), REMEMBERED_IDS
+        )
     return _ENCODERS[path, id_bytes]
 
 
