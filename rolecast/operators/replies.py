@@ -36,10 +36,12 @@ def parse_reply_lines(replies: DataFrame, keep: Sequence[str] = ("chunk_id",), c
 
 def _first_cells(line: Column) -> Column:
     """The line up to its fifth cell if it has very many: the parser refuses lines of more
-    than some twenty thousand cells, and the fifth already tells that a line is long."""
+    than some twenty thousand cells, and the fifth already tells that a line is long. A line
+    without a fifth cell, or with a quote that is left open, stays whole. Quantifiers are
+    possessive, so a quoted cell is never read as an unquoted one."""
     commas = F.length(line) - F.length(F.replace(line, F.lit(","), F.lit("")))
-    start = F.regexp_extract(line, '^((?:(?:"(?:[^"]++|"")*+"[^,]*|[^,]*),){4}[^,]*)', 1)
-    return F.when(commas > 1_000, start).otherwise(line)
+    start = F.regexp_extract(line, '^((?:(?:"(?:[^"]++|"")*+"[^,]*+|[^,"][^,]*+|),){4}[^,]*)', 1)
+    return F.when((commas > 1_000) & (start != ""), start).otherwise(line)
 
 
 def tidy_replies(parsed: DataFrame) -> DataFrame:

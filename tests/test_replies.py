@@ -32,6 +32,23 @@ def test_unbalanced_quote_spoils_its_own_line_only(spark):
     assert rows(parsed.filter("line_no = 1"), "prospect_id", "persona") == [("2", "Data User")]
 
 
+def test_lines_of_very_many_commas(spark):
+    title = ", ".join(f"VP{i}" for i in range(2_000))
+    marked = title.replace("VP7,", '""VP7"",')
+    lines = [
+        (f'1,"{title}",CEO,0.9', ("1", title, "CEO", "0.9", "ok")),
+        (f'2,"{marked}",CEO,0.9', ("2", marked.replace('""', '"'), "CEO", "0.9", "ok")),
+        (f'3,CEO,"{title}"', ("3", "CEO", title, None, "short")),
+        (f'4,"{title}",CEO,0.9,"{title}"', ("4", title, "CEO", "0.9", "long")),
+        ("5,a,P,9" + ",x" * 25_000, ("5", "a", "P", "9", "long")),
+        ("6,,P," + "," * 25_000, ("6", None, "P", None, "long")),
+        ("7,b,P,8", ("7", "b", "P", "8", "ok")),
+    ]
+    reply = "\n".join(line for line, _ in lines)
+    parsed = R.parse_reply_lines(spark.createDataFrame([(1, reply)], "chunk_id long, reply string"))
+    assert [tuple(r)[2:] for r in parsed.orderBy("line_no").collect()] == [want for _, want in lines]
+
+
 def test_tidy(spark):
     df = spark.createDataFrame([(p,) for p in (" P ", "NA", "nan", "null", "", None, "na")], "persona string")
     got = [r[0] for r in R.tidy_replies(df.withColumn("persona_certainty", F.lit(" 9% "))).select("persona").collect()]
