@@ -1,16 +1,25 @@
 """Hierarchical Pitman-Yor language model over words (operator 10).
 
-Documents are taken in parts of some megabytes. A part sends, for each of its words, the
-contexts it stands in and their counts in training documents, to the bucket that the word's
-hash falls in. A bucket holds all entries of its words, so it can seat them by itself
-(seating.py); between sweeps only the totals of the restaurants are gathered, one number per
-context. At last each bucket answers every part, in the order of its questions, with the
-probabilities averaged over the last sweeps, and parts add up the scores of their documents."""
+A context is the two words before, its parent the one word before, and that one's parent
+nothing. Entries are (two words before, word), (word before, word) and (word), told apart by
+64-bit hashes, and live in tiers of buckets: those of two and one words by the hash of their
+context, so that a bucket holds whole restaurants, those of no word by the word. Contexts of
+one word with very many entries are dealt out by word too, and the totals of these and of the
+root are partial sums that the driver adds up, a few numbers per bucket.
+
+Documents are taken in parts of some megabytes. A part asks the buckets of the first tier for
+its distinct entries, with their counts in training documents; a bucket asks those of the
+next tier for the parents of its entries. Who asks gets its answers in the order of its
+questions, so in each sweep only numbers move: tables up, which are the customers of the
+parents, and chances down. At last the parts get the probabilities averaged over the last
+sweeps, and add up the scores of their documents. All tables between are saved; none is held
+by the driver."""
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from dataclasses import dataclass
+from collections.abc import Callable, Iterator
+from dataclasses import dataclass, field
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -19,29 +28,35 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rolecast.llm.languages import held_out
-from rolecast.llm.seating import CONTEXTS, LEVELS, Seating, Totals
-from rolecast.llm.texts import Words, raw, slices
+from rolecast.llm.seating import LEVELS, STRENGTH, draw_tables
+from rolecast.llm.texts import Words, mix, raw, slices
 from rolecast.session import saved
 
 #: Text bytes of a part, and of the documents for each bucket.
 PART_BYTES = 8_000_000
-BUCKET_BYTES = 24_000_000
+BUCKET_BYTES = 16_000_000
 SWEEPS = 4
 #: Sweeps at the end whose probabilities are averaged.
 AVERAGED = 2
-#: The token behind the last word; no hash of a word is special, it only has to be fixed.
+#: The tokens behind the last and before the first word; no hash of a word is special, they only have to be fixed.
 END = np.uint64(0x452821E638D01377)
+START = np.uint64(0xBE5466CF34E90C6C)
+#: A part names the words before that have this share of its entries; those with more than
+#: this share of a bucket's entries in all are dealt out by word.
+FREQUENT = 1e-3
+HOT = 0.25
 
-ASKED = (
-    "part long, bucket long, keys array<{kind}>, held_out array<boolean>, lengths binary, tokens binary, "
-    "words binary, sizes binary, contexts binary, counts binary"
-)
+#: Kinds of rows, in the order in which a bucket reads them.
+PART, ASKED, STATIC, CHILD, STATE, UP, DOWN, SUMS, FREQUENTS, ONCE, WORDS = range(11)
+CELLS = ("a", "b", "c", "d", "e")
+SCHEMA = "level int, bucket long, kind int, peer long, x long, y long, " + ", ".join(f"{name} binary" for name in CELLS)
+_FIELDS = [("level", pa.int32()), ("bucket", pa.int64()), ("kind", pa.int32()), *((name, pa.int64()) for name in ("peer", "x", "y")), *((name, pa.binary()) for name in CELLS)]
 
 
 def packed(values: np.ndarray) -> bytes:
     """Numbers as compressed bytes, the bytes of equal weight together."""
     planes = np.ascontiguousarray(values).view(np.uint8).reshape(len(values), values.itemsize).T
-    return zstandard.ZstdCompressor(level=3).compress(planes.tobytes())
+    return zstandard.ZstdCompressor(level=1).compress(planes.tobytes())
 
 
 def unpacked(cell: bytes, kind: str) -> np.ndarray:
@@ -49,246 +64,349 @@ def unpacked(cell: bytes, kind: str) -> np.ndarray:
     return np.ascontiguousarray(planes.reshape(np.dtype(kind).itemsize, -1).T).view(kind).reshape(-1)
 
 
-def tokens_of(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Hash and context of each token, and the number of tokens of each text. The words of a
-    text in lower case (A to Z only) are followed by its end; a context is the last two
-    bytes of the word before, 0 at the start, and 0 above the byte of a one-byte word."""
+def row(level: int, bucket: int, kind: int, peer: int = 0, x: int = 0, y: int = 0, **cells: np.ndarray) -> pa.RecordBatch:
+    numbers = [pa.array([value], type_) for value, (_, type_) in zip((level, bucket, kind, peer, x, y), _FIELDS)]
+    return pa.RecordBatch.from_arrays([*numbers, *(pa.array([packed(cells[name]) if name in cells else None], pa.binary()) for name in CELLS)], schema=pa.schema(_FIELDS))
+
+
+def tokens_of(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Hashes of the second word before, of the word before and of each token, and the number
+    of tokens of each text. The words of a text in lower case (A to Z only) are followed by
+    its end, and have its start before them."""
     words = Words([text.lower() for text in texts])
-    n, counts = len(words), np.diff(words.first)
-    last = words.data[words.ends - 1].astype(np.int64) if n else np.zeros(0, np.int64)
-    longer = words.ends - words.starts > 1
-    before = np.where(longer, words.data[words.ends - 2] if n else last, 0).astype(np.int64)
-    hashes, contexts = np.empty(n + len(texts), np.uint64), np.zeros(n + len(texts), np.int64)
-    place = np.arange(n) + np.repeat(np.arange(len(texts)), counts)  # each text before has one token more than words
-    hashes[place] = words.hashes()
-    hashes[words.first[1:] + np.arange(len(texts))] = END
-    contexts[place + 1] = before << 8 | last
-    return hashes, contexts, counts + 1
-
-
-def ask(docs: DataFrame, buckets: int) -> DataFrame:
-    """The rows of parts (bucket null) and of their questions, saved: a part's tokens are
-    places in the list of its distinct (word, context) pairs in the order of hash and
-    context, which is the order of its questions by bucket."""
+    counts = np.diff(words.first)
+    ends = words.first[1:] + np.arange(len(texts))  # each text before has one token more than words
+    hashes = np.empty(len(words) + len(texts), np.uint64)
+    hashes[np.arange(len(words)) + np.repeat(np.arange(len(texts)), counts)] = words.hashes()
+    hashes[ends] = END
+    before = []
+    for back in (2, 1):
+        found = np.concatenate([np.full(back, START), hashes])[: len(hashes)]
+        for i in range(back):
+            at = ends - counts + i
+            found[at[at <= ends]] = START
+        before.append(found)
+    return before[0], before[1], hashes, counts + 1
+
+
+def folded(columns: list[np.ndarray]) -> np.ndarray:
+    """A hash of each row of some columns of hashes; 0 if there are none."""
+    value = np.zeros(1, np.uint64)
+    for column in columns:
+        value = mix(value * np.uint64(0x9E3779B97F4A7C15) + column + np.uint64(1))
+    return value
+
+
+def distinct(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """A place of each distinct value, in the order of values, and which one each value is."""
+    order = np.argsort(values, kind="stable")
+    new = np.ones(len(values), bool)
+    new[1:] = values[order[1:]] != values[order[:-1]]
+    which = np.empty(len(values), np.int64)
+    which[order] = np.cumsum(new) - 1
+    return order[new], which
+
+
+def contexts_of(columns: list[np.ndarray]) -> np.ndarray:
+    return np.broadcast_to(folded(columns[:-1]), len(columns[-1]))
+
+
+def shared(contexts: np.ndarray, level: int, hot: np.ndarray) -> np.ndarray:
+    """Whether a restaurant is spread over buckets: the root, and hot words before."""
+    return np.ones(len(contexts), bool) if level == 0 else np.isin(contexts, hot) if level == 1 else np.zeros(len(contexts), bool)
+
+
+def questions(columns: list[np.ndarray], buckets: list[int], hot: np.ndarray) -> tuple[np.ndarray, np.ndarray, list[tuple[int, slice]]]:
+    """A place of each distinct entry by bucket, which one of these each entry is, and the
+    buckets with their slices of the distinct ones."""
+    level = len(columns) - 1
+    first, which = distinct(folded(columns))
+    chosen = [column[first] for column in columns]
+    contexts = contexts_of(chosen)
+    spread = np.where(shared(contexts, level, hot), folded(chosen), contexts)
+    bucket = ((spread >> np.uint64(32)) * np.uint64(buckets[level]) >> np.uint64(32)).astype(np.int64)
+    order = np.argsort(bucket, kind="stable")
+    rank = np.empty(len(order), np.int64)
+    rank[order] = np.arange(len(order))
+    bucket = bucket[order]
+    edges = [0, *(np.flatnonzero(np.diff(bucket)) + 1).tolist(), len(bucket)]
+    return first[order], rank[which], [(int(bucket[start]), slice(start, end)) for start, end in zip(edges, edges[1:]) if end > start]
+
+
+def spelled(columns: list[np.ndarray]) -> dict[str, np.ndarray]:
+    """Columns of hashes as the distinct hashes and their numbers."""
+    both = np.concatenate(columns)
+    first, which = distinct(both)
+    return {"a": both[first], "b": which.astype("<i4")}
+
+
+def read(a: bytes, b: bytes, n: int) -> list[np.ndarray]:
+    return np.split(unpacked(a, "<u8")[unpacked(b, "<i4")], n)
+
+
+def ask(docs: DataFrame, buckets: list[int]) -> DataFrame:
+    """The rows of parts, of their questions and of their frequent words before, saved: a
+    part's tokens are places in the list of its questions, by bucket."""
     kind = docs.schema["key"].dataType
-    cells = ("lengths", "tokens", "words", "sizes", "contexts", "counts")
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        task = TaskContext.get().partitionId()
+        task, none = TaskContext.get().partitionId(), np.zeros(0, np.uint64)
         for i, batch in enumerate(slices(batches, "text", PART_BYTES)):
-            keys, part = batch.column("key"), task << 32 | i
-            schema = pa.schema([("part", pa.int64()), ("bucket", pa.int64()), ("keys", pa.list_(keys.type)), ("held_out", pa.list_(pa.bool_())), *((name, pa.binary()) for name in cells)])
-
-            def row(bucket: int | None, keys: pa.Array | None, held: pa.Array | None, **arrays: np.ndarray) -> pa.RecordBatch:
-                lists = [pa.nulls(1, field.type) if values is None else pa.ListArray.from_arrays([0, len(values)], values) for field, values in zip((schema.field(2), schema.field(3)), (keys, held))]
-                found = [pa.array([packed(arrays[name]) if name in arrays else None], pa.binary()) for name in cells]
-                return pa.RecordBatch.from_arrays([pa.array([part], pa.int64()), pa.array([bucket], pa.int64()), *lists, *found], schema=schema)
-
-            hashes, contexts, lengths = (np.concatenate(found) for found in zip(*(tokens_of(raw(piece.column("text"))) for piece in slices([batch]))))
-            held = np.array(batch.column("held_out"), bool)
-            train = np.repeat(~held, lengths)
-            order = np.lexsort((contexts, hashes))
-            hashes, contexts = hashes[order], contexts[order]
-            new_word = np.concatenate([[True], hashes[1:] != hashes[:-1]])
-            new = new_word | np.concatenate([[True], contexts[1:] != contexts[:-1]])
-            place = np.empty(len(order), "<i4")
-            place[order] = np.cumsum(new) - 1
-            counts = np.bincount(place[order], train[order]).astype("<i4")
-            yield row(None, keys, batch.column("held_out"), lengths=lengths.astype("<i4"), tokens=place)
-            words, sizes = hashes[new_word], np.diff(np.append(np.flatnonzero(new_word[new]), new.sum())).astype("<i4")
-            contexts, ends = contexts[new].astype("<u2"), np.cumsum(sizes)
-            bucket = ((words >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
-            edges = np.concatenate([[0], np.flatnonzero(np.diff(bucket)) + 1, [len(words)]])
-            for start, end in zip(edges, edges[1:]):
-                inside = slice(ends[start] - sizes[start], ends[end - 1])
-                yield row(int(bucket[start]), None, None, words=words[start:end], sizes=sizes[start:end], contexts=contexts[inside], counts=counts[inside])
-
-    return saved(docs.mapInArrow(work, ASKED.format(kind=kind.simpleString())), "questions")
-
-
-@dataclass
-class Bucket:
-    """All questions of one bucket, and the distinct entries in them."""
-
-    parts: list[int]
-    lengths: list[int]  # entries asked by each part
-    entry: np.ndarray  # of each question, parts one after the other
-    word: np.ndarray  # of each entry
-    context: np.ndarray
-    customers: np.ndarray
-
-    @classmethod
-    def of(cls, rows: dict[str, list]) -> Bucket:
-        words = [unpacked(cell, "<u8") for cell in rows["words"]]
-        sizes = [unpacked(cell, "<i4") for cell in rows["sizes"]]
-        contexts = np.concatenate([unpacked(cell, "<u2") for cell in rows["contexts"]]).astype(np.int64)
-        counts = np.concatenate([unpacked(cell, "<i4") for cell in rows["counts"]])
-        _, number = np.unique(np.concatenate(words), return_inverse=True)
-        keys, entry = np.unique(np.repeat(number, np.concatenate(sizes)) * CONTEXTS[2] + contexts, return_inverse=True)
-        customers = np.bincount(entry, counts, len(keys)).astype(np.int64)
-        return cls(rows["part"], [int(size.sum()) for size in sizes], entry, keys // CONTEXTS[2], keys % CONTEXTS[2], customers)
-
-
-@dataclass
-class Learned:
-    """What the driver holds of the model: a few numbers per context."""
-
-    discounts: list[float]
-    uniform: float
-    words: int
-    tokens: int
-    history: list[Totals]  # before each sweep
-
-
-def grouped(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[tuple[int, dict[str, list]]]:
-    """Rows of each value of a sorted column."""
-    held: dict[str, list] = {}
+            keys, held, part = batch.column("key"), batch.column("held_out"), task << 32 | i
+            lists = [("keys", pa.list_(keys.type)), ("held_out", pa.list_(pa.bool_()))]
+            schema = pa.schema([*_FIELDS, *lists])
+
+            def wide(found: pa.RecordBatch, *values: pa.Array) -> pa.RecordBatch:
+                more = [pa.ListArray.from_arrays([0, len(value)], value) for value in values] or [pa.nulls(1, type_) for _, type_ in lists]
+                return pa.RecordBatch.from_arrays([*found.columns, *more], schema=schema)
+
+            *columns, lengths = (np.concatenate(found) for found in zip(*(tokens_of(raw(piece.column("text"))) for piece in slices([batch]))))
+            train = np.repeat(~np.array(held, bool), lengths)
+            first, which, asked = questions(columns, buckets, none)
+            counts = np.bincount(which, train, len(first)).astype("<i4")
+            yield wide(row(0, part, PART, a=lengths.astype("<i4"), b=which.astype("<i4")), keys, held)
+            columns = [column[first] for column in columns]
+            for bucket, inside in asked:
+                yield wide(row(2, bucket, ASKED, part, c=counts[inside], **spelled([column[inside] for column in columns])))
+            before, n = np.unique(folded(columns[1:2]), return_counts=True)
+            for context, count in zip(before[n > FREQUENT * len(first)], n[n > FREQUENT * len(first)]):
+                yield wide(row(1, -1, FREQUENTS, int(context.view(np.int64)), int(count)))
+            yield wide(row(2, -1, SUMS, 0, len(first)))
+
+    return saved(docs.mapInArrow(work, f"{SCHEMA}, keys array<{kind.simpleString()}>, held_out array<boolean>"), "questions")
+
+
+def grouped(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, dict[int, list[dict]]]]:
+    """The rows of each bucket of sorted rows, by kind."""
+    bucket, held = None, {}
     for batch in batches:
-        for row in range(batch.num_rows):
-            values = {name: batch.column(name)[row].as_py() for name in batch.schema.names}
-            if held and held[key][0] != values[key]:
-                yield held[key][0], held
+        for values in (dict(zip(batch.schema.names, cells)) for cells in zip(*(column.to_pylist() for column in batch.columns))):
+            if held and values["bucket"] != bucket:
+                yield bucket, held
                 held = {}
-            for name, value in values.items():
-                held.setdefault(name, []).append(value)
+            bucket = values["bucket"]
+            held.setdefault(values["kind"], []).append(values)
     if held:
-        yield held[key][0], held
+        yield bucket, held
 
 
-def seated(bucket: Bucket, number: int, learned: Learned, sweeps: int) -> Iterator[Seating]:
-    """The seating of a bucket after each of so many sweeps; the draws depend on the bucket
-    and the sweep, so a task that is run again seats everyone as before."""
-    seating = Seating(bucket.word, bucket.context, bucket.customers)
-    for sweep in range(sweeps):
-        draw = np.random.default_rng([number, sweep])
-        seating.sweep(learned.history[sweep], learned.discounts, learned.uniform, draw)
-        yield seating
+def dealt(frames: list[DataFrame], buckets: int) -> DataFrame:
+    rows = reduce(DataFrame.unionAll, frames)
+    return rows.repartition(buckets, "bucket").sortWithinPartitions("bucket", "kind", "peer")
 
 
-def dealt(questions: DataFrame, buckets: int) -> DataFrame:
-    asked = questions.where("bucket is not null").select("bucket", "part", "words", "sizes", "contexts", "counts")
-    return asked.repartition(buckets, "bucket").sortWithinPartitions("bucket", "part")
+def kinds(rows: DataFrame, *wanted: int, level: int) -> DataFrame:
+    return rows.where(F.col("kind").isin(*wanted) & (F.col("level") == level)).select("level", "bucket", "kind", "peer", "x", "y", *CELLS)
 
 
-def merged(questions: DataFrame, buckets: int) -> DataFrame:
-    """bucket, word, context and customers of all entries, one row per bucket, saved."""
+def added(rows: DataFrame, kind: int, level: int) -> dict[int, tuple[int, int]]:
+    sums = kinds(rows, kind, level=level).groupBy("peer").agg(F.sum("x").alias("x"), F.sum("y").alias("y")).collect()
+    return {found.peer: (found.x, found.y) for found in sums}
 
-    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for number, rows in grouped(batches, "bucket"):
-            bucket = Bucket.of(rows)
-            sizes = np.bincount(bucket.word).astype("<i4")
-            cells = [packed(sizes), packed(bucket.context.astype("<u2")), packed(bucket.customers.astype("<i8"))]
-            yield pa.RecordBatch.from_arrays([pa.array([number], pa.int64()), *(pa.array([cell], pa.binary()) for cell in cells)], names=["bucket", "sizes", "contexts", "customers"])
 
-    return saved(dealt(questions, buckets).mapInArrow(merge, "bucket long, sizes binary, contexts binary, customers binary"), "entries")
+def merged(asked: DataFrame, level: int, buckets: list[int], hot: np.ndarray) -> DataFrame:
+    """Saved rows of all buckets of a tier: what stays (the restaurant, the place of the
+    parent and the training tokens of each entry), the entries that each asker asks for, the
+    state with one table per word, totals, and questions to the next tier."""
 
-
-def _entries(rows: dict[str, list]) -> Bucket:
-    sizes = unpacked(rows["sizes"][0], "<i4")
-    word = np.repeat(np.arange(len(sizes)), sizes)
-    contexts = unpacked(rows["contexts"][0], "<u2").astype(np.int64)
-    return Bucket([], [], np.zeros(0, np.int64), word, contexts, unpacked(rows["customers"][0], "<i8"))
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for bucket, rows in grouped(batches):
+            given = rows[ASKED]
+            columns = [np.concatenate(found) for found in zip(*(read(asker["a"], asker["b"], level + 1) for asker in given))]
+            tokens = [unpacked(asker["c"], "<i8" if asker["d"] else "<i4") for asker in given]
+            guests = [unpacked(asker["d"], "<i8") for asker in given] if level < 2 else tokens
+            first, entry = distinct(folded(columns))
+            for asker, which in zip(given, np.split(entry, np.cumsum([len(n) for n in tokens])[:-1])):
+                yield row(level, bucket, CHILD, asker["peer"], a=which.astype("<i4"))
+            columns = [column[first] for column in columns]
+            n = np.bincount(entry, np.concatenate(tokens), len(first)).astype("<i8")
+            customers = np.bincount(entry, np.concatenate(guests), len(first)).astype("<i8")
+            tables = np.minimum(customers, 1)
+            contexts = contexts_of(columns)
+            places, restaurant = distinct(contexts)
+            common = np.flatnonzero(shared(contexts[places], level, hot)) if level else np.zeros(1, np.int64)
+            common = np.stack([contexts[places][common].view(np.int64), common], axis=1).reshape(-1)
+            stays = {"a": restaurant.astype("<i4"), "d": n, "e": common}
+            if level:
+                chosen, parent, asked_of = questions(columns[1:], buckets, hot)
+                up = [np.bincount(parent, values, len(chosen)).astype("<i8") for values in (n, tables)]
+                for number, inside in asked_of:
+                    yield row(level - 1, number, ASKED, bucket, c=up[0][inside], d=up[1][inside], **spelled([column[chosen[inside]] for column in columns[1:]]))
+                stays |= {"b": parent.astype("<i4"), "c": np.array([(number, inside.stop - inside.start) for number, inside in asked_of], np.int64).reshape(-1)}
+            yield row(level, bucket, STATIC, **stays)
+            tier = Tier(level, bucket, {STATIC: [], CHILD: []}, restaurant, common, customers, tables)
+            yield from tier.state()
+            yield row(level, bucket, ONCE, 0, int((customers == 1).sum()), int((customers == 2).sum()))
+            if not level:
+                yield row(level, bucket, WORDS, 0, int((n > 0).sum()), int(n.sum()))
+
+    return saved(dealt([kinds(asked, ASKED, level=level)], buckets[level]).mapInArrow(work, SCHEMA), f"tier{level}")
 
 
-#: Levels of the rows that carry other sums: entries with one and with two customers, words and tokens.
-_ONCE, _TWICE, _WORDS = 10, 20, 30
+@dataclass
+class Learned:
+    """What the driver holds of the model: a few numbers, and the totals of the restaurants
+    that are spread over buckets, per level."""
 
+    discounts: list[float] = field(default_factory=list)
+    uniform: float = 1.0
+    words: int = 0
+    tokens: int = 0
+    totals: list[dict[int, tuple[int, int]]] = field(default_factory=lambda: [{} for _ in range(LEVELS)])
 
-def gather(entries: DataFrame, learned: Learned | None, sweeps: int) -> dict[tuple[int, int], tuple[int, int]]:
-    """(level, context) -> customers and tables after so many sweeps, summed over all buckets
-    before the driver sees them: 65,793 contexts at most."""
 
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for number, rows in grouped(batches, "bucket"):
-            bucket = _entries(rows)
-            if learned is None:
-                seating = Seating(bucket.word, bucket.context, bucket.customers)
-            else:
-                *_, seating = seated(bucket, number, learned, sweeps)
-            totals = seating.totals()
-            found = []
-            for level in range(LEVELS):
-                used = np.flatnonzero(totals.customers[level])
-                found.extend(zip([level] * len(used), used.tolist(), totals.customers[level][used].tolist(), totals.tables[level][used].tolist()))
-                for row, n in ((_ONCE, 1), (_TWICE, 2)):
-                    found.append((row + level, 0, int((seating.customers[level] == n).sum()), 0))
-            counts = np.bincount(bucket.word, bucket.customers)
-            found.append((_WORDS, 0, int((counts > 0).sum()), int(counts.sum())))
-            columns = [pa.array(column, pa.int64()) for column in zip(*found)]
-            yield pa.RecordBatch.from_arrays(columns, names=["level", "context", "customers", "tables"])
-
-    rows = entries.mapInArrow(work, "level long, context long, customers long, tables long")
-    sums = rows.groupBy("level", "context").agg(F.sum("customers").alias("customers"), F.sum("tables").alias("tables")).collect()
-    return {(row.level, row.context): (row.customers, row.tables) for row in sums}
-
-
-def _totals(sums: dict[tuple[int, int], tuple[int, int]]) -> Totals:
-    totals = Totals()
-    for (level, context), (customers, tables) in sums.items():
-        if level < LEVELS:
-            totals.customers[level][context], totals.tables[level][context] = customers, tables
-    return totals
-
-
-def learn(entries: DataFrame, sweeps: int) -> Learned:
-    """Discounts from the entries with one and two customers (at one table per word), and
-    the totals of the restaurants before each sweep."""
-    sums = gather(entries, None, 0)
-    discounts = []
-    for level in range(LEVELS):
-        once, twice = sums.get((_ONCE + level, 0), (0, 0))[0], sums.get((_TWICE + level, 0), (0, 0))[0]
-        discounts.append(min(max(once / max(once + 2 * twice, 1), 0.05), 0.95))
-    words, tokens = sums.get((_WORDS, 0), (0, 0))
-    learned = Learned(discounts, 1 / (words + 1), words, tokens, [_totals(sums)])
-    for sweep in range(1, sweeps):
-        learned.history.append(_totals(gather(entries, learned, sweep)))
-    return learned
-
-
-def answer(questions: DataFrame, buckets: int, learned: Learned, last: Totals) -> DataFrame:
-    """part, bucket, scores (log10 of the averaged probability, per question) and counts (of
-    the word in training)."""
+@dataclass
+class Tier:
+    """A bucket at work."""
+
+    level: int
+    bucket: int
+    rows: dict[int, list[dict]]
+    restaurant: np.ndarray  # of each entry
+    common: np.ndarray  # context and place, in turn, of the restaurants that are spread
+    customers: np.ndarray
+    tables: np.ndarray
+    sums: np.ndarray | None = None  # of the probabilities averaged
 
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for number, rows in grouped(batches, "bucket"):
-            bucket = Bucket.of(rows)
-            chances = np.zeros(len(bucket.word))
-            for sweep, seating in enumerate(seated(bucket, number, learned, SWEEPS)):
-                if sweep >= SWEEPS - AVERAGED:
-                    after = learned.history[sweep + 1] if sweep + 1 < SWEEPS else last
-                    chances += seating.chances(after, learned.discounts, learned.uniform)[2]
-            scores = np.log10(chances / AVERAGED).astype("<f4")
-            counts = np.bincount(bucket.word, bucket.customers).astype("<i8")[bucket.word]
+    @classmethod
+    def of(cls, level: int, bucket: int, rows: dict[int, list[dict]]) -> Tier:
+        (stays,), (state,) = rows[STATIC], rows[STATE]
+        customers = unpacked(state["a"], "<i8") if state["a"] else unpacked(stays["d"], "<i8")
+        sums = unpacked(state["c"], "<f8") if state["c"] else None
+        return cls(level, bucket, rows, unpacked(stays["a"], "<i4"), unpacked(stays["e"], "<i8"), customers, unpacked(state["b"], "<i8"), sums)
+
+    def state(self) -> Iterator[pa.RecordBatch]:
+        """Rows with the customers (if they change) and tables, and totals of spread restaurants."""
+        cells = {"b": self.tables} | ({"a": self.customers} if self.level < 2 else {}) | ({"c": self.sums} if self.sums is not None else {})
+        yield row(self.level, self.bucket, STATE, **cells)
+        if len(self.common):
+            customers, tables = (np.bincount(self.restaurant, values) for values in (self.customers, self.tables))
+            for context, place in self.common.reshape(-1, 2).tolist():
+                yield row(self.level, self.bucket, SUMS, context, int(customers[place]), int(tables[place]))
+
+    def parents(self, cell: str, kind: str) -> np.ndarray:
+        """Of each entry, what the parent tier says."""
+        said = np.concatenate([unpacked(found[cell], kind) for found in self.rows[DOWN]])
+        return said[unpacked(self.rows[STATIC][0]["b"], "<i4")]
+
+    def below(self, learned: Learned) -> np.ndarray:
+        return self.parents("a", "<f8") if self.level else np.full(len(self.tables), learned.uniform)
+
+    def whole(self, learned: Learned) -> tuple[np.ndarray, np.ndarray]:
+        """Customers and tables of the restaurant of each entry."""
+        found = [np.bincount(self.restaurant, values) for values in (self.customers, self.tables)]
+        for context, place in self.common.reshape(-1, 2).tolist():
+            found[0][place], found[1][place] = learned.totals[self.level][context]
+        return found[0][self.restaurant], found[1][self.restaurant]
+
+    def chances(self, learned: Learned) -> np.ndarray:
+        """Predictive probability of the word of each entry in its context."""
+        discount, (customers, tables) = learned.discounts[self.level], self.whole(learned)
+        return (self.customers - discount * self.tables + (STRENGTH + discount * tables) * self.below(learned)) / (STRENGTH + customers)
+
+    def seat(self, learned: Learned, sweep: int) -> Iterator[pa.RecordBatch]:
+        """Seat all customers anew, each word given the tables of all others and its chances
+        in the parent restaurant; the draws depend on the bucket and the sweep, so a task
+        that is run again seats everyone as before."""
+        if self.level == 2 and sweep > SWEEPS - AVERAGED:
+            self.sums = self.chances(learned) + (0 if self.sums is None else self.sums)
+        discount = learned.discounts[self.level]
+        new = (STRENGTH + discount * self.whole(learned)[1]) * self.below(learned)
+        if self.level < 2:
+            self.customers = np.zeros(len(self.tables), np.int64)
+            for child, tables in zip(self.rows[CHILD], self.rows[UP], strict=True):
+                self.customers[unpacked(child["a"], "<i4")] += unpacked(tables["a"], "<i8")
+        self.tables = draw_tables(self.customers, new, discount, np.random.default_rng([self.level, self.bucket, sweep]))
+        yield from self.state()
+        if self.level:
+            stays = self.rows[STATIC][0]
+            sums = np.bincount(unpacked(stays["b"], "<i4"), self.tables).astype("<i8")
             at = 0
-            for part, length in zip(bucket.parts, bucket.lengths):
-                entry = bucket.entry[at : at + length]
+            for number, length in unpacked(stays["c"], "<i8").reshape(-1, 2).tolist():
+                yield row(self.level - 1, number, UP, self.bucket, a=sums[at : at + length])
                 at += length
-                cells = [pa.array([part], pa.int64()), pa.array([number], pa.int64()), pa.array([packed(scores[entry])], pa.binary()), pa.array([packed(counts[entry])], pa.binary())]
-                yield pa.RecordBatch.from_arrays(cells, names=["part", "bucket", "scores", "counts"])
-
-    return dealt(questions, buckets).mapInArrow(work, "part long, bucket long, scores binary, counts binary")
-
 
-def add_up(questions: DataFrame, answers: DataFrame, learned: Learned, key: str) -> DataFrame:
+    def tell(self, learned: Learned, last: bool) -> Iterator[pa.RecordBatch]:
+        """Answers to all askers: chances, at last also the training tokens of the word, and
+        to parts the logarithm of the averaged chances."""
+        chances = self.chances(learned)
+        if self.level == 2:
+            chances = np.log10((chances + (0 if self.sums is None else self.sums)) / AVERAGED).astype("<f4")
+        n = None if not last else self.parents("b", "<i8") if self.level else unpacked(self.rows[STATIC][0]["d"], "<i8")
+        for child in self.rows[CHILD]:
+            which = unpacked(child["a"], "<i4")
+            yield row(self.level + 1, child["peer"], DOWN, self.bucket, a=chances[which], **({"b": n[which]} if last else {}))
+
+
+class Model:
+    """The tables of the tiers, and the numbers on the driver."""
+
+    def __init__(self, asked: DataFrame, buckets: list[int]):
+        self.buckets, self.learned = buckets, Learned()
+        entries = added(asked, SUMS, 2).get(0, (0, 0))[0]
+        frequent = kinds(asked, FREQUENTS, level=1).groupBy("peer").agg(F.sum("x").alias("n")).where(F.col("n") > HOT * entries / buckets[1])
+        hot = np.array([found.peer for found in frequent.collect()], np.int64).view(np.uint64)
+        self.tiers: list[DataFrame] = [asked] * LEVELS
+        for level in (2, 1, 0):
+            self.tiers[level] = merged(self.tiers[min(level + 1, 2)] if level < 2 else asked, level, buckets, hot)
+        self.states, self.down = list(self.tiers), list(self.tiers)
+        for level in range(LEVELS):
+            once, twice = added(self.tiers[level], ONCE, level).get(0, (0, 0))
+            self.learned.discounts.append(min(max(once / max(once + 2 * twice, 1), 0.05), 0.95))
+            self.learned.totals[level] = added(self.tiers[level], SUMS, level)
+        self.learned.words, self.learned.tokens = added(self.tiers[0], WORDS, 0).get(0, (0, 0))
+        self.learned.uniform = 1 / (self.learned.words + 1)
+
+    def run(self, level: int, work: Callable[[Tier], Iterator[pa.RecordBatch]], children: bool, up: DataFrame | None = None) -> DataFrame:
+        frames = [kinds(self.tiers[level], STATIC, *([CHILD] if children else []), level=level), kinds(self.states[level], STATE, level=level)]
+        frames += [kinds(self.down[level], DOWN, level=level)] if level else []
+        frames += [kinds(up, UP, level=level)] if up is not None else []
+
+        def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for bucket, rows in grouped(batches):
+                yield from work(Tier.of(level, bucket, rows))
+
+        return dealt(frames, self.buckets[level]).mapInArrow(each, SCHEMA)
+
+    def tell(self, last: bool) -> None:
+        """Chances from the root to the first tier."""
+        for level in (0, 1):
+            learned = self.learned
+            self.down[level + 1] = saved(self.run(level, lambda tier: tier.tell(learned, last), True), f"down{level}")
+
+    def sweep(self, number: int) -> None:
+        """From the longest context down."""
+        up, learned = None, self.learned
+        for level in (2, 1, 0):
+            up = saved(self.run(level, lambda tier: tier.seat(learned, number), level < 2, up), f"seats{level}")
+            self.states[level] = up
+        self.learned.totals = [added(rows, SUMS, level) for level, rows in enumerate(self.states)]
+
+    def answers(self) -> DataFrame:
+        learned = self.learned
+        return self.run(2, lambda tier: tier.tell(learned, True), True)
+
+
+def add_up(asked: DataFrame, answers: DataFrame, learned: Learned, key: str) -> DataFrame:
     """Scores of the documents of each part, from its answers in the order of buckets."""
-    kind = questions.schema["keys"].dataType.elementType.simpleString()
+    kind = asked.schema["keys"].dataType.elementType.simpleString()
     unknown = learned.tokens + learned.words + 1
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, scores, counts = None, [], []
         for batch in batches:
-            for row in range(batch.num_rows):
-                cell = {name: batch.column(name)[row] for name in batch.schema.names}
-                if cell["part"].as_py() != part:
-                    part, scores, counts = cell["part"].as_py(), [], []
-                if cell["bucket"].is_valid:
-                    scores.append(unpacked(cell["scores"].as_py(), "<f4"))
-                    counts.append(unpacked(cell["counts"].as_py(), "<i8"))
+            for i in range(batch.num_rows):
+                cell = {name: batch.column(name)[i] for name in batch.schema.names}
+                if cell["bucket"].as_py() != part:
+                    part, scores, counts = cell["bucket"].as_py(), [], []
+                if not cell["keys"].is_valid:
+                    scores.append(unpacked(cell["a"].as_py(), "<f4"))
+                    counts.append(unpacked(cell["b"].as_py(), "<i8"))
                     continue
                 known = np.concatenate(counts)  # the documents come behind all answers
-                tokens, lengths = unpacked(cell["tokens"].as_py(), "<i4"), unpacked(cell["lengths"].as_py(), "<i4").astype(np.int64)
+                lengths, tokens = unpacked(cell["a"].as_py(), "<i4").astype(np.int64), unpacked(cell["b"].as_py(), "<i4")
                 first = np.cumsum(lengths) - lengths  # every document has a token
                 columns = [
                     cell["keys"].values,
@@ -301,9 +419,9 @@ def add_up(questions: DataFrame, answers: DataFrame, learned: Learned, key: str)
                 ]
                 yield pa.RecordBatch.from_arrays(columns, names=[key, "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
 
-    docs = questions.where("bucket is null").select("part", "bucket", "keys", "held_out", "lengths", "tokens")
-    both = docs.unionByName(answers, allowMissingColumns=True)
-    together = both.repartition("part").sortWithinPartitions("part", F.col("bucket").asc_nulls_last())
+    docs = asked.where(F.col("kind") == PART).select("bucket", "kind", "peer", "a", "b", "keys", "held_out")
+    both = docs.unionByName(answers.select("bucket", "kind", "peer", "a", "b"), allowMissingColumns=True)
+    together = both.repartition("bucket").sortWithinPartitions("bucket", F.col("kind").desc(), "peer")
     return together.mapInArrow(work, f"`{key}` {kind}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
 
 
@@ -315,15 +433,17 @@ def document_scores(docs: DataFrame, key: str = "doc_id", text: str = "text", pa
     A document is held out if the checksum of its key is `part` modulo `parts`; a null key
     counts as an empty one. A null or empty text is its end alone. Repeated rows are
     documents of their own. If nothing is trained on, every probability is that of the one
-    unknown word, 1. Words are told apart by 64-bit hashes.
+    unknown word, 1. Words and contexts are told apart by 64-bit hashes.
 
-    A word's entries in all contexts, 65,536 at most, are in one bucket; a part sends an
-    entry once whatever its count, so frequent words and pairs make no large group."""
+    An asker sends an entry once whatever its count, so frequent words and pairs make no
+    large group; a restaurant of two words has a row per different word behind them."""
     rows = docs.select(docs[key].alias("key"), held_out(key, parts, part).alias("held_out"), F.col(text).alias("text"))
     size = docs.agg(F.sum(F.octet_length(text))).first()[0] or 0
-    buckets = size // BUCKET_BYTES + 8
-    questions = ask(rows, buckets)
-    entries = merged(questions, buckets)
-    learned = learn(entries, SWEEPS)
-    last = _totals(gather(entries, learned, SWEEPS))
-    return add_up(questions, answer(questions, buckets, learned, last), learned, key)
+    buckets = [size // (8 * BUCKET_BYTES) + 8, size // (2 * BUCKET_BYTES) + 8, size // BUCKET_BYTES + 8]
+    asked = ask(rows, buckets)
+    model = Model(asked, buckets)
+    for sweep in range(SWEEPS):
+        model.tell(last=False)
+        model.sweep(sweep)
+    model.tell(last=True)
+    return add_up(asked, model.answers(), model.learned, key)

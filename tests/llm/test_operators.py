@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import brute
-from rolecast.llm import languages, near_copies, repeats, token_files
+from rolecast.llm import language_model, languages, near_copies, repeats, token_files
 from rolecast.llm.byte_bpe import encoded_digests, read_ranks
 from rolecast.llm.language_model import document_scores
 from rolecast.llm.leaks import find_leaks
@@ -291,3 +291,39 @@ def test_language_model_is_repeatable(mixed):
 def test_language_model_without_training(odd):
     got = document_scores(odd.filter("doc_id = 0"), parts=1, part=0).collect()
     assert [(r.held_out, r.n_tokens, r.n_known, r.train_tokens, r.base_score, r.score) for r in got] == [(True, 1, 0, 0, 0.0, 0.0)]
+
+
+def test_language_model_tells_whole_words_before_apart(spark):
+    held = [i for i in range(2_000) if brute.crc(i) % 7 == 2][:4]
+    asked = ["the cat", "the dog", "we see the red sun", "we hear the red sun"]
+    train = [i for i in range(1_000) if brute.crc(i) % 7 != 2]
+    texts = ["the cat", "he dog", "we see the red sun", "we hear he blue sun"]  # 'the' and 'he' end alike
+    rows = [(key, texts[i % 4]) for i, key in enumerate(train)] + list(zip(held, asked))
+    got = {row.doc_id: row.score for row in document_scores(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    cat, dog, see, hear = (got[key] for key in held)
+    assert cat > dog + 1.5 and see > hear + 1
+
+
+@pytest.mark.parametrize("hot", [1e-9, 1e9])
+def test_language_model_chances_add_up(spark, mixed, hot, monkeypatch):
+    """Over the known words and an unknown one, with hot words before spread and whole."""
+    monkeypatch.setattr(language_model, "HOT", hot)
+    train = [row.text for row in mixed.collect()]
+    known = sorted({word for text in train for word in text.lower().split()})
+    before = train[0].lower().split()[0]
+    rows = [(i, False, text) for i, text in enumerate(train)]
+    rows += [(-1 - i, True, f"{before} {word}") for i, word in enumerate(["", *known, "unheard"])]
+    docs = spark.createDataFrame(rows, "key long, held_out boolean, text string").coalesce(1)
+    asked = language_model.ask(docs, [3, 3, 3])
+    model = language_model.Model(asked, [3, 3, 3])
+    for sweep in range(language_model.SWEEPS):
+        model.tell(last=False)
+        model.sweep(sweep)
+    model.tell(last=True)
+    (part,) = asked.where(f"kind = {language_model.PART}").collect()
+    answers = sorted(model.answers().select("peer", "a").collect())
+    scores = np.concatenate([language_model.unpacked(bytes(row.a), "<f4") for row in answers])
+    lengths, tokens = (language_model.unpacked(bytes(cell), "<i4") for cell in (part.a, part.b))
+    second = (np.cumsum(lengths) - lengths + 1)[np.array(part.held_out)]
+    assert abs((10.0 ** scores[tokens[second]]).sum() - 1) < 1e-4
+    assert (len(model.learned.totals[1]) > 0) == (hot < 1)
