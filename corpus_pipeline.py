@@ -11,14 +11,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rolecast.llm.byte_bpe import encoded_digests
-from rolecast.llm.languages import UNDECIDED, held_out, learn, predict_languages
+from rolecast.llm.languages import explained, held_out, learn
 from rolecast.llm.leaks import find_leaks
 from rolecast.llm.near_copies import near_copies
 from rolecast.llm.repeats import remove_repeats, text_id
 from rolecast.llm.texts import unused
 from rolecast.session import saved
 
-#: A document goes if less of its n-grams than this belong to its best language.
+#: A document goes if less than this of its 4-grams, and of its letters, belong to any
+#: language. A short text, or one in a large alphabet, may have no 4-gram that is common, and
+#: how common those of a language are depends on the size of the table; letters do not.
 LEAST_LANGUAGE = 0.2
 BYTE_RANKS = "byte_bpe_50k.tiktoken"
 
@@ -37,11 +39,9 @@ def put_aside(docs: DataFrame) -> tuple[DataFrame, dict[str, str]]:
 
 
 def keep_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in one of the languages learned from those that are not held out."""
-    given, back = put_aside(docs)
-    predicted = predict_languages(given, learn(given.where(~held_out())))
-    kept = predicted.where((F.col("lang_pred") != UNDECIDED) & (F.col("score") >= LEAST_LANGUAGE))
-    return kept.drop(*ADDED).withColumnsRenamed(back).select(*docs.columns)
+    """Documents that a language explains, learned from those that are not held out."""
+    train = docs.where(~held_out())
+    return explained(docs, [learn(train), learn(train, letters=1)], LEAST_LANGUAGE)
 
 
 def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -43,7 +43,8 @@ def _letters() -> np.ndarray:
 
 
 def ngrams(texts: list[bytes], letters: int = LETTERS) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Hashes of all n-grams, the first one of each text (and the end), has-a-letter of each text."""
+    """Hashes of all n-grams, the first one of each text (and the end), has-a-letter of each
+    text. A space alone is no n-gram."""
     is_letter = _letters()
     # a text is lower-cased alone, as the case of a letter may depend on its neighbours
     spelled = [np.frombuffer(f" {text.decode().lower()} ".encode("utf-32-le"), "<u4") for text in texts]
@@ -63,9 +64,11 @@ def ngrams(texts: list[bytes], letters: int = LETTERS) -> tuple[np.ndarray, np.n
     for i in range(width):
         hashes = hashes * np.uint64(0x100000001B3) + points[i : len(points) - width + 1 + i]
     inside = text_of[: len(hashes)] == text_of[width - 1 :]
+    if letters == 1:
+        inside &= points != 32
     # a text shorter than an n-gram has the n-gram that it is the start of
     short = np.flatnonzero(np.bincount(text_of, minlength=len(texts)) < letters)
-    if len(short):
+    if len(short) and letters > 1:
         extra = [_padded(points[text_of == text], letters) for text in short]
         hashes = np.concatenate([hashes[inside], np.array(extra, np.uint64)])
         owner = np.concatenate([text_of[: len(inside)][inside], short])
@@ -95,6 +98,7 @@ def slots_of(hashes: np.ndarray, slots: int) -> np.ndarray:
 class LanguageModel:
     languages: list[str]  # the most frequent first: ties go to it
     table: np.ndarray  # slots x words
+    letters: int = LETTERS  # of an n-gram
 
     def masks(self, hashes: np.ndarray) -> np.ndarray:
         """words x n-grams: the languages that contain each n-gram."""
@@ -110,7 +114,7 @@ class LanguageModel:
         return np.array([bit.mean() for bit in bits]) ** HASHES
 
     def predict(self, texts: list[bytes]) -> tuple[list[str], np.ndarray]:
-        hashes, first, has_letter = ngrams(texts)
+        hashes, first, has_letter = ngrams(texts, self.letters)
         if not self.languages or not len(texts):
             return [UNDECIDED] * len(texts), np.zeros(len(texts))
         masks, counts = self.masks(hashes), np.diff(first)
@@ -124,7 +128,7 @@ class LanguageModel:
         return named, np.where(has_letter, shares[best, np.arange(len(texts))], 0.0)
 
 
-def learn(docs: DataFrame, text: str = "text", lang: str = "lang") -> LanguageModel:
+def learn(docs: DataFrame, text: str = "text", lang: str = "lang", letters: int = LETTERS) -> LanguageModel:
     """Fit the filters on all rows with a text and a language.
 
     n-grams are counted per task and language before they are shuffled, (task, language,
@@ -136,7 +140,7 @@ def learn(docs: DataFrame, text: str = "text", lang: str = "lang") -> LanguageMo
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[str, list[tuple[np.ndarray, np.ndarray]]] = {}
         for batch in slices(batches, limit=PIECE_BYTES):
-            hashes, first, has_letter = ngrams(raw(batch.column("text")))
+            hashes, first, has_letter = ngrams(raw(batch.column("text")), letters)
             langs = np.array(batch.column("lang").to_pylist(), object)
             owner = np.repeat(np.where(has_letter, np.arange(len(langs)), -1), np.diff(first))
             for name in sorted(set(langs)):
@@ -171,7 +175,7 @@ def learn(docs: DataFrame, text: str = "text", lang: str = "lang") -> LanguageMo
     rows = filled.toPandas()
     table = np.zeros((slots, -(-len(languages) // WORD) or 1), np.uint64)
     table[rows["slot"].to_numpy(np.int64), rows["word"].to_numpy(np.int64)] = rows["bits"].to_numpy(np.int64).view(np.uint64)
-    return LanguageModel(languages, table)
+    return LanguageModel(languages, table, letters)
 
 
 def _merged(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
@@ -198,6 +202,24 @@ def predict_languages(docs: DataFrame, model: LanguageModel, text: str = "text")
     return docs.select(*names).mapInArrow(predict, schema)
 
 
+def explained(docs: DataFrame, models: list[LanguageModel], least: float, text: str = "text") -> DataFrame:
+    """The rows of `docs` of whose n-grams some model finds at least this share in a language.
+    Null texts and those without a letter have no language."""
+    schema = docs.schema
+
+    def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, text, PIECE_BYTES):
+            texts, kept = raw(batch.column(text)), np.zeros(batch.num_rows, bool)
+            for model in models:
+                open_ = np.flatnonzero(~kept)
+                if len(open_):
+                    named, scores = model.predict([texts[i] for i in open_])
+                    kept[open_] = (np.array(named, object) != UNDECIDED) & (scores >= least)
+            yield batch.filter(pa.array(kept))
+
+    return docs.mapInArrow(choose, schema)
+
+
 def held_out(key: str = "doc_id", parts: int = 3, part: int = 1) -> Column:
     """Whether a row is kept from training by its key; a null key counts as an empty one."""
     return F.crc32(F.coalesce(F.col(key).cast("string"), F.lit("")).cast("binary")) % parts == part

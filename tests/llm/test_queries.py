@@ -2,6 +2,7 @@
 
 from collections import Counter
 import hashlib
+import random
 import zlib
 
 import duckdb
@@ -9,6 +10,7 @@ import numpy as np
 import public_tokenizers
 import pytest
 import tiktoken
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import __spark_entry__ as entry
@@ -160,3 +162,16 @@ def test_stages_of_strange_documents(spark):
         assert not given.columns[5:] or (keys[6] == 1 and keys[7] == keys[0] == 0 and keys[-5] == 1)
         last = corpus_pipeline.STAGES[-1][1](spark, table, SMALL)
         assert last.count() == table.count()
+
+
+@pytest.mark.parametrize("n", [30, 1_500])
+def test_short_texts_and_large_alphabets_stay_at_any_size(spark, n):
+    draw = random.Random(n)
+    signs = [chr(0x4E00 + i) for i in range(1_500)]
+    rows = [(i, "".join(draw.choices(signs, k=120)), "zh") for i in range(n)]
+    rows += [(n + i, "All rights reserved to the authors of this page " * 3, "en") for i in range(n)]
+    rows += [(2 * n + i, text, "en") for i, text in enumerate(["A.", "to", "αβγ δεζ ηθι", "12 34", None])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    given = docs.withColumn("lang", F.when(F.col("doc_id") < 2 * n, F.col("lang")))
+    kept = {row.doc_id for row in corpus_pipeline.keep_languages(spark, given, SMALL).collect()}
+    assert kept == set(range(2 * n + 2))
