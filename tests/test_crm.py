@@ -2,7 +2,7 @@ import json
 
 import pytest
 
-from conftest import plan_of, rows
+from helpers import plan_of, rows
 from rolecast.operators import crm
 from rolecast.plans.crm_sync import prepare_updates, reconcile
 from rolecast.sources import crm as source

@@ -1,7 +1,7 @@
 from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.sql import functions as F
 
-from conftest import rows
+from helpers import rows
 from rolecast import schema as S
 from rolecast.operators import decide as D
 from rolecast.operators import report

@@ -1,6 +1,6 @@
 from pyspark.sql import functions as F
 
-from conftest import plan_of, rows
+from helpers import plan_of, rows
 from rolecast.operators.lookups import fits_broadcast, hot_keys, lookup_join, salted_join
 
 

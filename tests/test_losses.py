@@ -6,7 +6,7 @@ import zipfile
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import plan_of, rows
+from helpers import plan_of, rows
 from rolecast import schema as S, session
 from rolecast.operators.decide import decide, update_skipped
 from rolecast.operators.repair import repair_table, with_repairs

@@ -1,7 +1,7 @@
 from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.sql import functions as F
 
-from conftest import rows
+from helpers import rows
 from rolecast.operators.classify import rule_replies
 from rolecast.operators.numbering import assign_chunks, number_rows, running_sums
 from rolecast.operators.replies import parse_reply_lines

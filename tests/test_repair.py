@@ -3,7 +3,7 @@ import difflib
 from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.sql import functions as F
 
-from conftest import rows
+from helpers import rows
 from rolecast import schema as S
 from rolecast.functions.similarity import closest_name_by_edits
 from rolecast.operators import repair

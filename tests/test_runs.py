@@ -3,7 +3,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import plan_of, rows
+from helpers import plan_of, rows
 from rolecast import schema as S
 from rolecast.operators.classify import CallFailed, RetryPolicy, ask_chunks, rule_replies
 from rolecast.operators.clean import prepare_contacts

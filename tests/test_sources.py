@@ -2,7 +2,7 @@ import zipfile
 
 import pytest
 
-from conftest import rows
+from helpers import rows
 from rolecast import schema as S
 from rolecast.operators import clean
 from rolecast.sinks.outputs import save_outputs, write_csv

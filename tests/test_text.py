@@ -1,7 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import rows
+from helpers import rows
 from rolecast import schema as S
 from rolecast.functions import text as X
 
