@@ -54,7 +54,11 @@ def new_path(spark: SparkSession, label: str) -> str:
 def end_run(spark: SparkSession) -> None:
     """Remove the intermediate tables of this application. Frames that read them, such as
     results that were not written yet, are of no use afterwards."""
-    path = run_dir(spark)
+    remove(spark, run_dir(spark))
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder. Only for tables that no frame still reads."""
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
     target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
