@@ -1,4 +1,4 @@
-"""One query per operator over the whole `documents` table, and the pipeline."""
+"""One query per operator over its whole table."""
 
 from __future__ import annotations
 
@@ -17,6 +17,7 @@ from rolecast.llm.repeats import document_repeats
 from rolecast.llm.shards import document_shards, shards_sql
 from rolecast.llm.token_counts import token_counts
 from rolecast.llm.token_files import token_digests
+from rolecast.llm.vector_codes import codes_sql, vector_codes
 
 WORD_TOKENIZER = "word_bpe_49k.json"
 SHARDS = 40
@@ -86,3 +87,11 @@ def op9_near_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op10_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     return document_scores(documents(spark, sf_dir))
+
+
+@query
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
+ORACLES["op12_vector_codes"] = codes_sql()

@@ -85,3 +85,30 @@ def unigram_scores(rows):
     counts = Counter(w for held, tokens in split if not held for w in tokens)
     n, v = sum(counts.values()), len(counts)
     return [(held, len(tokens), sum(counts[w] > 0 for w in tokens), n, sum(math.log10((counts[w] + 1) / (n + v + 1)) for w in tokens)) for held, tokens in split]
+
+
+def vector_codes(rows, parts=8, entries=16, rounds=6):
+    """(key, code, error, label error, digest) of (key, vector, label) rows, looking at all entries each time."""
+    kept = [row for row in rows if row[1] is not None and all(x is not None and math.isfinite(x) for x in row[1])]
+    kept.sort(key=lambda row: (row[0] is None, row[0] or 0, row[1]))
+    width = len(kept[0][1]) // parts
+    cut = [[[math.floor(4096 * x) for x in vector[p * width : (p + 1) * width]] for p in range(parts)] for _, vector, _ in kept]
+    books = [[cells[p] for cells in cut[:entries]] for p in range(parts)]
+
+    def nearest(cells, book):
+        return min((sum((a - b) ** 2 for a, b in zip(cells, entry)), e) for e, entry in enumerate(book))
+
+    for _ in range(rounds):
+        groups = defaultdict(list)
+        for cells in cut:
+            for p in range(parts):
+                groups[p, nearest(cells[p], books[p])[1]].append(cells[p])
+        for (p, e), members in groups.items():
+            books[p][e] = [sum(column) // len(members) for column in zip(*members)]
+    found = [[nearest(cells[p], books[p]) for p in range(parts)] for cells in cut]
+    errors = [sum(d for d, _ in row) for row in found]
+    by_label = Counter()
+    for (_, _, label), error in zip(kept, errors):
+        by_label[label] += error
+    digest = hashlib.sha256(",".join(str(x) for book in books for entry in book for x in entry).encode()).hexdigest()
+    return [(key, "".join(f"{e:02x}" for _, e in row), error, by_label[label], digest) for (key, _, label), row, error in zip(kept, found, errors)]
