@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from rolecast.llm.byte_bpe import encoded_digests
+from rolecast.llm.divergence import divergence_sql, source_divergence
 from rolecast.llm.language_model import document_scores
 from rolecast.llm.languages import document_languages
 from rolecast.llm.leaks import find_leaks
@@ -95,3 +96,11 @@ def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ORACLES["op12_vector_codes"] = codes_sql()
+
+
+@query
+def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return source_divergence(documents(spark, sf_dir))
+
+
+ORACLES["op13_source_divergence"] = divergence_sql()

@@ -112,3 +112,27 @@ def vector_codes(rows, parts=8, entries=16, rounds=6):
         by_label[label] += error
     digest = hashlib.sha256(",".join(str(x) for book in books for entry in book for x in entry).encode()).hexdigest()
     return [(key, "".join(f"{e:02x}" for _, e in row), error, by_label[label], digest) for (key, _, label), row, error in zip(kept, found, errors)]
+
+
+def divergence(rows, min_docs=30, top=50):
+    """(lang, source, part, item, value, rank) of (text, lang, source) rows, one pair and term after another."""
+    rows = [tuple(cell or "" for cell in row) for row in rows]
+    counts, holders, found = Counter(), Counter(), []
+    for text, lang, source in rows:
+        terms = [re.sub("[A-Z]", lambda m: m[0].lower(), term) for term in re.findall("[^\\x00-\\x40\\x5B-\\x60\\x7B-\\x7F]+", text)]
+        counts.update((lang, source, term) for term in terms)
+        holders.update((lang, term) for term in set(terms))
+    sources = defaultdict(set)
+    for _, lang, source in rows:
+        sources[lang].add(source)
+    for lang in sources:
+        kept = [term for (of, term), n in holders.items() if of == lang and n >= min_docs]
+        n = {s: [counts[lang, s, term] for term in kept] for s in sources[lang]}
+        n[None] = [sum(column) for column in zip(*n.values())]
+        p = {s: [1 + 10**9 * (c + 5) // (sum(cs) + 5 * len(kept)) for c in cs] for s, cs in n.items()}
+        for s in sources[lang]:
+            pairs = [(-sum(abs(a - b) for a, b in zip(p[s], p[o])), o.encode()) for o in sources[lang] if o != s]
+            terms = [(b - a, t.encode()) for t, c, a, b in zip(kept, n[s], p[s], p[None]) if c and a > b]
+            for part, items in (("pair", sorted(pairs)), ("term", sorted(terms)[:top])):
+                found += [(lang, s, part, item.decode(), -value, i) for i, (value, item) in enumerate(items, 1)]
+    return found
