@@ -15,6 +15,7 @@ from rolecast.llm.leaks import find_leaks
 from rolecast.llm.near_copies import document_near_copies
 from rolecast.llm.quality import document_quality
 from rolecast.llm.repeats import document_repeats
+from rolecast.llm.secrets import find_secrets, secret_digests
 from rolecast.llm.shards import document_shards, shards_sql
 from rolecast.llm.token_counts import token_counts
 from rolecast.llm.token_files import token_digests
@@ -90,6 +91,11 @@ def op10_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     return document_scores(documents(spark, sf_dir))
 
 
+@query
+def op11_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_digests(find_secrets(documents(spark, sf_dir), public_tokenizers.path(BYTE_RANKS), public_tokenizers.PATTERN))
+
+
 @query
 def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vector_codes(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))

@@ -136,3 +136,22 @@ def divergence(rows, min_docs=30, top=50):
             for part, items in (("pair", sorted(pairs)), ("term", sorted(terms)[:top])):
                 found += [(lang, s, part, item.decode(), -value, i) for i, (value, item) in enumerate(items, 1)]
     return found
+
+
+def base_secrets(text):
+    """(start, kind number, end) of the base patterns, as the contract writes them."""
+    text = text or ""
+    flags = re.ASCII | re.IGNORECASE
+    assign = r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
+    found = [(m.start(), 0, m.end()) for m in re.finditer(assign, text, flags) if len(m[2]) >= 8]
+    found += [(m.start(), 1, m.end()) for m in re.finditer("AKIA[A-Z0-9]+", text) if len(m[0]) >= 16]
+    found += [(m.start(), 2, m.end()) for m in re.finditer("[0-9a-f]+", text) if len(m[0]) >= 32]
+    return sorted(found)
+
+
+def random_runs(text, base):
+    """Spans of key characters outside the base ones, of 20 characters or more."""
+    text = text or ""
+    taken = {i for start, _, end in base for i in range(start, end)}
+    free = "".join("\n" if i in taken else c for i, c in enumerate(text))
+    return [m.span() for m in re.finditer("[A-Za-z0-9+/_=-]{20,}", free)]
