@@ -14,16 +14,18 @@ from rolecast import schema as S
 def may_be_close(word: Column, taxonomy: Sequence[str] = S.PERSONAS, threshold: int = S.FUZZY_THRESHOLD) -> Column:
     """Whether some name could reach the threshold: twice the shared letters, whatever their
     order, over both lengths bounds the ratio from above."""
-    names = F.array(*[F.lit(name) for name in sorted(taxonomy)])
     letters = sorted(set("".join(taxonomy)))
-    shared = None
-    for letter in letters:
-        here = F.length(word) - F.length(F.replace(word, F.lit(letter), F.lit("")))
-        counts = F.array(*[F.lit(name.count(letter)) for name in sorted(taxonomy)])
-        least = F.transform(counts, lambda n, here=here: F.least(n, here))
-        shared = least if shared is None else F.zip_with(shared, least, lambda a, b: a + b)
-    bounds = F.zip_with(names, shared, lambda name, n: 200 * n >= threshold * (F.length(name) + F.length(word)))
-    return F.exists(bounds, lambda reached: reached)
+    names = F.array(
+        *[F.struct(F.lit(len(name)).alias("size"), F.array(*[F.lit(name.count(c)) for c in letters]).alias("counts")) for name in sorted(taxonomy)]
+    )
+    here = F.transform(F.array(*map(F.lit, letters)), lambda c: F.length(word) - F.length(F.replace(word, c, F.lit(""))))
+
+    def reached(name: Column, counts: Column) -> Column:
+        shared = F.aggregate(F.zip_with(name["counts"], counts, lambda a, b: F.least(a, b)), F.lit(0), lambda a, b: a + b)
+        return 200 * shared >= threshold * (name["size"] + F.length(word))
+
+    # The list of one entry makes the word's counts a variable, so they are counted once.
+    return F.exists(F.array(here), lambda counts: F.exists(names, lambda name: reached(name, counts)))
 
 
 def closest_name(word: Column, taxonomy: Sequence[str] = S.PERSONAS, threshold: int = S.FUZZY_THRESHOLD) -> Column:

@@ -27,7 +27,7 @@ def drop_internal(df: DataFrame, marker: str = S.INTERNAL_MARKER, column: str =
     return df.filter(~F.coalesce(F.col(column), F.lit("")).contains(marker))
 
 
-def drop_matching(df: DataFrame, pattern: str = S.INTERNAL_OR_TEST[0], column: str = "email") -> DataFrame:
+def drop_matching(df: DataFrame, pattern: str = S.INTERNAL_OR_TEST, column: str = "email") -> DataFrame:
     """The older address filter: drop rows whose address matches `pattern`."""
     return df.filter(~F.coalesce(F.col(column), F.lit("")).rlike(pattern))
 

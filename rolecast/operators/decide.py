@@ -83,9 +83,13 @@ def decide(
     values = [*REPLY_VALUES, *keep, *(["error"] if batch else [])]
     # Not a filter: on the key of the join it would reach the replies and parse them twice.
     has_id = X.has_text(F.col("prospect_id"))
-    alone = contacts.withColumn("_alone", F.when(~has_id, F.col("seq")))
-    unique = first_per_id(alone, ["seq"], ("prospect_id", "_alone")).drop("_alone")
-    joined = join_replies(unique, chosen.select("prospect_id", *values))
+    # One key for grouping and joining, so that contacts are shuffled once; those without an
+    # id have keys of their own and are spread over all tasks.
+    alone = F.concat(F.lit("\0"), F.col("seq").cast("string"))
+    keyed = contacts.withColumn("_key", F.when(has_id, F.col("prospect_id")).otherwise(alone))
+    unique = first_per_id(keyed, ["seq"], "_key")
+    answers = chosen.select(F.col("prospect_id").alias("_key"), *[name for name in values if name not in contacts.columns])
+    joined = unique.join(answers, "_key", "left").drop("_key")
     joined = joined.withColumns({name: F.when(has_id, F.col(name)) for name in values})
     return with_batch_reason(joined, taxonomy) if batch else with_skip_reason(joined, taxonomy)
 

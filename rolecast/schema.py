@@ -39,8 +39,6 @@ CRM_ENUM = {
     "Not a target": "persona_9",
 }
 
-INTERNAL_MARKER = "@ververica"
-INTERNAL_OR_TEST = ("@ververica|test", "@aiven|test")
 NULL_TOKENS = ("nan", "NaN", "None")
 REPLY_NULL_TOKENS = ("nan", "NaN", "None", "NA", "null")
 
@@ -87,6 +85,10 @@ BLANKS = (
     "\u2028\u2029\u202f\u205f\u3000"
 )
 
+# Own addresses, by a name that no company has; hand in the one to filter by.
+INTERNAL_MARKER = "@internal"
+INTERNAL_OR_TEST = "@internal|test"
+
 # Display names at the CSV edges and their names inside.
 DISPLAY_NAMES = {
     "Prospect Id": "prospect_id",

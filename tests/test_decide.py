@@ -1,7 +1,7 @@
 from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.sql import functions as F
 
-from helpers import rows
+from helpers import plan_of, rows
 from rolecast import schema as S
 from rolecast.operators import decide as D
 from rolecast.operators import report
@@ -106,3 +106,17 @@ def test_eta(spark):
     )
     got = [(r.total, r.eta_seconds, r.eta_text) for r in report.with_eta(jobs, F.lit(200)).collect()]
     assert got == [(20, 100.0, "1m 40s"), (20, None, "—"), (0, None, "—"), (10, None, "—"), (10, 10.0, "10s")]
+
+
+def test_contacts_are_shuffled_once(spark):
+    given = contacts(spark, ["1", "2", None, " ", ""]).withColumn("prospect_id", F.col("prospect_id"))
+    answers = replies(spark, [("1", 1, "Data User", "9"), (" ", 1, "Data User", "9"), ("", 1, "Data User", "9")])
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        decided = D.decide(given, tidy_replies(answers), ["n"], threshold=None)
+        plan = plan_of(decided)
+        assert plan.count("Exchange hashpartitioning(_key") == 1 and plan.count("Exchange hashpartitioning") == 2
+        assert rows(decided, "prospect_id", "persona", "seq") == [("", None, 4), (" ", None, 3), ("1", "Data User", 0), ("2", None, 1), (None, None, 2)]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
