@@ -17,13 +17,13 @@ from catalogue.decision_queries import DECIDED_SQL, UPDATED_SQL, decisions
 from catalogue.fixtures import base, fixture
 from catalogue.registry import query
 from rolecast import schema as S
-from rolecast.operators.classify import RetryPolicy, ask_chunks, rule_replies
+from rolecast.operators.classify import CallFailed, RetryPolicy, ask_chunks, rule_replies
 from rolecast.operators.clean import prepare_contacts, require_rows
 from rolecast.operators.decide import update_skipped
 from rolecast.operators.numbering import assign_chunks
 from rolecast.operators.replies import parse_reply_lines
 from rolecast.operators.requests import render_chunks, request_documents
-from rolecast.plans.online import run_online
+from rolecast.plans.online import read_replies, run_online, wave_log
 from rolecast.session import new_path, saved
 from rolecast.sinks.outputs import save_outputs, write_csv, write_lines
 from rolecast.sources.archive import read_archives, unpack_archives
@@ -247,6 +247,75 @@ def cls_resume(spark, sf):
     return run_online(contacts, rule_replies(), work, policy=QUIET, chunks_per_wave=8).select(*S.DECISION_COLUMNS)
 
 
+TODAY_SQL = f"""select prospect_id, email as old_email, case when contains(email, 'building.example') then 'new.' || email else email end as email,
+    case when contains(email, 'machinery.example') then 'Chief ' || job_title else job_title end as job_title from ({PREPARED_SQL})"""
+
+
+def _nobody(system: str, payload: str) -> str:
+    raise ValueError("nobody was to be asked")
+
+
+@query(
+    f"""select prospect_id, email, job_title, {RULES_SQL} as persona, cast(null as varchar) as skip_reason,
+    case when contains(old_email, 'contest.example') or contains(old_email, 'machinery.example') then '80' else '90' end as persona_certainty
+    from ({TODAY_SQL})"""
+)
+def run_growing(spark, sf):
+    """Three runs in one folder. The second has new contacts, changed titles, changed addresses
+    and doubled rows; only the first two kinds are asked, by a model of another certainty. The
+    third has nothing new and asks nobody."""
+    contacts = saved(prepare_contacts(fixture(spark, sf, "prospects"), MARKER), "prepared")
+    work, domain = new_path(spark, "online"), F.substring_index("email", "@", -1)
+    options = {"policy": QUIET, "grow": True}
+    run_online(contacts.filter(domain != "contest.example"), rule_replies(certainty="90"), work, **options)
+    today = contacts.withColumns(
+        {
+            "email": F.when(domain == "building.example", F.concat(F.lit("new."), "email")).otherwise(F.col("email")),
+            "job_title": F.when(domain == "machinery.example", F.concat(F.lit("Chief "), "job_title")).otherwise(F.col("job_title")),
+        }
+    )
+    doubled = today.filter(domain == "household.example").withColumns({"seq": F.col("seq") + 10**15, "email": F.lit("late@second.example")})
+    everyone = saved(today.unionByName(doubled), "today")
+    run_online(everyone, rule_replies(certainty="80"), work, **options)
+    return run_online(everyone, _nobody, work, **options).select(*S.DECISION_COLUMNS)
+
+
+TOO_LONG, CONTACTS_PER_CHUNK = 100, 800
+
+
+def _hurried(system: str, payload: str) -> str:
+    if payload.count("\n") >= TOO_LONG:
+        raise CallFailed("429: rate limit reached, try again in 0.5s")
+    return rule_replies()(system, payload)
+
+
+WAVES_SQL = f"""with recursive people as (select count(*) as n, greatest(1, count(*) // {CONTACTS_PER_CHUNK}) as chunks from ({PREPARED_SQL})),
+    waves(pass_no, wave, size, first, total, failed, chunks) as (
+        select 1, 0, 250, 0::bigint, n, 0::bigint, chunks from people where n > 0
+        union all
+        select if(last, pass_no + 1, pass_no), if(last, 0, wave + 1), if(last, greatest(10, halved // 2), halved), if(last, 0, first + w),
+               if(last, failed + lost, total), if(last, 0, failed + lost), chunks
+        from (select *, first + w >= total as last, if(lost > 0, greatest(10, size // 2), size) as halved
+              from (select *, if(size > {TOO_LONG}, w // size * size, 0) + if(w % size > {TOO_LONG}, w % size, 0) as lost
+                    from (select *, least(size * chunks, total - first) as w from waves)))
+        where not last or pass_no < 3 and failed + lost > 0
+    ),
+    sized as (select *, least(size * chunks, total - first) as w from waves)
+    select cast(pass_no as int) as pass_no, cast(wave as bigint) as wave, cast(size as int) as chunk_size, cast((w + size - 1) // size as bigint) as n_chunks,
+           cast(w as bigint) as n_rows, cast((w + size - 1) // size + 4 * limited as bigint) as attempts, cast(limited as bigint) as rate_limited
+    from (select *, if(size > {TOO_LONG}, w // size, 0) + if(w % size > {TOO_LONG}, 1, 0) as limited from sized)"""
+
+
+@query(WAVES_SQL)
+def cls_waves(spark, sf):
+    """Waves of a run whose service refuses long requests: each wave's chunks are half as long
+    as those of a wave that was refused."""
+    contacts = saved(prepare_contacts(fixture(spark, sf, "prospects"), MARKER), "prepared")
+    work = new_path(spark, "online")
+    run_online(contacts, _hurried, work, policy=QUIET, chunks_per_wave=max(1, contacts.count() // CONTACTS_PER_CHUNK))
+    return wave_log(read_replies(spark, f"{work}/replies")).drop("answered", "last_error")
+
+
 @query(
     f"""select prospect_id, email, job_title, coalesce(persona, '') as persona,
     coalesce(persona_certainty, '') as persona_certainty, coalesce(skip_reason, '') as skip_reason from ({DECIDED_SQL})"""

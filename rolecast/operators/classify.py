@@ -15,7 +15,7 @@ from rolecast import schema as S
 from rolecast.functions import text as X
 
 ReplyFunction = Callable[[str, str], str]
-REPLY_SCHEMA = "pass_no int, chunk_id long, n long, reply string, attempts int, error string, wait_seconds double"
+REPLY_SCHEMA = "pass_no int, chunk_id long, n long, reply string, attempts int, error string, wait_seconds double, wave long, chunk_size int"
 
 
 class CallFailed(Exception):
@@ -61,6 +61,8 @@ def ask_chunks(
     path: str,
     system: str = "",
     pass_no: int = 1,
+    wave: int = 0,
+    chunk_size: int | None = None,
     calls_in_parallel: int | None = None,
     pace: bool = False,
     policy: RetryPolicy = RetryPolicy(),
@@ -84,8 +86,8 @@ def ask_chunks(
                 if pace:
                     policy.sleep(row.pause_seconds)
                 yield pd.DataFrame(
-                    [(pass_no, row.chunk_id, row.n, reply, attempts, error, waited)],
-                    columns=["pass_no", "chunk_id", "n", "reply", "attempts", "error", "wait_seconds"],
+                    [(pass_no, row.chunk_id, row.n, reply, attempts, error, waited, wave, chunk_size)],
+                    columns=["pass_no", "chunk_id", "n", "reply", "attempts", "error", "wait_seconds", "wave", "chunk_size"],
                 )
 
     todo = payloads.select(
@@ -95,11 +97,6 @@ def ask_chunks(
     return spark.read.schema(REPLY_SCHEMA).parquet(path)
 
 
-def rate_limited(replies: DataFrame) -> DataFrame:
-    """Rows of a reply table that ran into a rate limit."""
-    return replies.filter(X.is_rate_limit(F.col("error")))
-
-
 def rule_persona(
     title: Column, rules: Sequence[tuple[int, str, str]] = S.TITLE_RULES, default: str = S.RULE_DEFAULT
 ) -> Column:

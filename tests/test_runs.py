@@ -9,7 +9,8 @@ from rolecast.operators.classify import CallFailed, RetryPolicy, ask_chunks, rul
 from rolecast.operators.clean import prepare_contacts
 from rolecast.operators.report import open_batches, pass_summary
 from rolecast.plans.batch import finish_batch, require_completed, write_requests
-from rolecast.plans.online import asked_per_pass, parsed_replies, run_online
+from rolecast.plans.manifest import multiset_digest
+from rolecast.plans.online import asked_per_pass, parsed_replies, read_replies, run_online, wave_log
 from rolecast.plans.rerun import finish_rerun, write_rerun_requests
 from rolecast.session import CHECKPOINT_DIR, new_path, shared_dir
 from rolecast.sinks.outputs import save_raw
@@ -135,6 +136,98 @@ def test_a_work_folder_belongs_to_one_run(spark, tmp_path):
             run_online(changed, rule_replies(), work, policy=QUIET, **options)
 
 
+def titled(spark, *people):
+    return spark.createDataFrame(list(people), "prospect_id string, email string, job_title string, seq long")
+
+
+def test_digests_tell_tables_apart(spark):
+    def digest(*rows_):
+        return multiset_digest(spark.createDataFrame(list(rows_), "prospect_id string, email string, job_title string").repartition(2))
+
+    one, two, three = ("1", None, "x"), ("2", "", "y"), ("3", None, "z")
+    tables = [(one, one, two), (three, three, two), (one, two), (one, one, one, two), (one, one, ("2", None, "y")), (one, one, ("2", "y", "")), ()]
+    tables += [(one, one, ("2", "b@x", "y")), ((None, "1", "x"), one, two)]
+    assert len({tuple(digest(*rows_)) if rows_ else (0, 0, 0) for rows_ in tables}) == len(tables)
+    assert digest(one, two, one) == digest(one, one, two) and multiset_digest(titled(spark, ("1", "a", "b", 1)).limit(0)) == [0, 0, 0]
+
+
+def test_other_addresses_are_other_contacts(spark, tmp_path):
+    work = str(tmp_path / "w")
+    run_online(titled(spark, ("1", "a@x", "CTO", 0)), rule_replies(), work, policy=QUIET)
+    with pytest.raises(ValueError, match="other contacts"):
+        run_online(titled(spark, ("1", "b@x", "CTO", 0)), rule_replies(), work, policy=QUIET)
+    grown = run_online(titled(spark, ("1", "b@x", "CTO", 0)), nobody, work, policy=QUIET, grow=True)
+    assert rows(grown, "email", "persona") == [("b@x", "Executive Sponsor")]
+
+
+def nobody(system, payload):
+    raise AssertionError(f"asked {payload}")
+
+
+def heard(log):
+    def ask(system, payload):
+        with open(log, "a") as file:
+            file.write(payload + "\n")
+        return rule_replies()(system, payload)
+
+    return ask
+
+
+def test_a_folder_grows(spark, tmp_path):
+    work, log = str(tmp_path / "w"), str(tmp_path / "log")
+    first = titled(spark, ("1", "a@x", "CTO", 0), ("2", "b@x", "Director", 1), ("3", "c@x", "Clerk", 2), (None, "n@x", "CIO", 3))
+    options = {"policy": QUIET, "grow": True, "keep": ("night",)}
+    run_online(first, heard(log), work, **options)
+    assert sorted(open(log).read().split()) == ["1,CTO", "2,Director", "3,Clerk"]
+    second = titled(spark, ("2", "b@x", "Data Analyst", 0), ("2", "b@x", "CTO", 1), ("4", "d@x", "SRE", 2), ("1", "a@x", "CTO", 3), ("1", "a@x", "CTO", 4))
+    decided = run_online(second, heard(log), work, **options)
+    assert sorted(open(log).read().split()[3:]) == ["2,Data", "4,SRE", "Analyst"]
+    assert rows(decided, "prospect_id", "job_title", "persona", "night") == [
+        ("1", "CTO", "Executive Sponsor", 1), ("2", "Data Analyst", "Data User", 2), ("4", "SRE", "Operator/Systems Administrator", 2)
+    ]
+    assert rows(run_online(second, nobody, work, **options)) == rows(decided)
+    back = run_online(first, nobody, work, **options)
+    assert rows(back, "prospect_id", "persona", "night") == [
+        ("1", "Executive Sponsor", 1), ("2", "Economic Buyer", 1), ("3", "Not a target", 1), (None, None, None)
+    ]
+    with pytest.raises(ValueError, match="parameters"):
+        run_online(second, nobody, work, **options, model="other")
+
+
+def test_a_night_that_broke_off_is_not_lost(spark, tmp_path):
+    work, log = str(tmp_path / "w"), str(tmp_path / "log")
+
+    def breaks(system, payload):
+        if payload.startswith("40,"):
+            raise KeyboardInterrupt("stopped")
+        return rule_replies()(system, payload)
+
+    options = {"policy": QUIET, "grow": True, "max_chunk": 20, "calls_in_parallel": 1, "chunks_per_wave": 1}
+    with pytest.raises(Exception, match="stopped"):
+        run_online(contacts(spark), breaks, work, **options)
+    more = contacts(spark, 61)
+    decided = run_online(more, heard(log), work, **options)
+    assert decided.filter("skip_reason is null").count() == 61
+    assert [line.split(",")[0] for line in open(log).read().splitlines()] == [str(i) for i in range(40, 61)]
+
+
+def test_waves_shrink_after_a_rate_limit(spark, tmp_path):
+    work = str(tmp_path / "w")
+
+    def picky(system, payload):
+        if payload.count("\n") >= 12:
+            raise CallFailed("429")
+        return rule_replies()(system, payload)
+
+    options = {"max_chunk": 40, "policy": QUIET, "chunks_per_wave": 1, "calls_in_parallel": 1}
+    decided = run_online(contacts(spark, 100), picky, work, **options)
+    assert decided.filter("skip_reason is null").count() == 100
+    log = wave_log(read_replies(spark, f"{work}/replies"))
+    assert rows(log.filter("pass_no = 1"), "wave", "chunk_size", "n_rows", "rate_limited")[:3] == [(0, 40, 40, 1), (1, 20, 20, 1), (2, 10, 10, 0)]
+    assert {row.chunk_size for row in log.filter("pass_no = 2").collect()} == {10}
+    assert rows(run_online(contacts(spark, 100), nobody, work, **options)) == rows(decided)
+
+
 def test_decision_reads_saved_replies(spark, tmp_path):
     decided = run_online(contacts(spark), rule_replies(), str(tmp_path / "w"), threshold=None, policy=QUIET)
     assert "Python" not in plan_of(decided) and "MapInPandas" not in plan_of(decided)
