@@ -118,12 +118,20 @@ def pass_remaining(spark, sf):
 _UPTO = "over (partition by conv_id order by turn rows between unbounded preceding and current row)"
 
 
+def _hash_sql(prime: int, base: int) -> str:
+    codes = "list_transform(string_split(reverse(history), ''), lambda c: cast(ascii(c) + 1 as bigint))"
+    return f"printf('%08x', list_reduce({codes}, lambda a, b: (a * {base} + b) % {prime}, 0::bigint))"
+
+
 @query(
-    f"""select conv_id, turn, count(*) {_UPTO} as n_messages, cast(sum(length(text)) {_UPTO} as bigint) as n_chars
-    from conversations"""
+    f"""select conv_id, turn, n_messages, n_chars, {" || ".join(_hash_sql(*field) for field in requests.DIGEST_FIELDS)} as digest
+    from (select conv_id, turn, count(*) {_UPTO} as n_messages, cast(sum(length(text)) {_UPTO} as bigint) as n_chars,
+                 string_agg(role || ':' || text || chr(10), '') {_UPTO} as history
+          from conversations)"""
 )
 def conv_history(spark, sf):
-    return requests.history_sizes(base(spark, sf, "conversations"), width=64).drop("est_tokens")
+    """The whole history of every turn, by its size and a digest of its text."""
+    return requests.history_digests(base(spark, sf, "conversations"), width=64)
 
 
 @query(

@@ -8,8 +8,13 @@ from rolecast import schema as S
 from rolecast.functions import text as X
 from rolecast.operators.lookups import lookup_join
 from rolecast.operators.numbering import BLOCK, running_sums
+from rolecast.session import saved
 
 SESSION_PART = 1_000
+#: Of the rolling hash: a prime each, under 2**31 so that products stay in 63 bits, and a base.
+DIGEST_FIELDS = ((2147483647, 1000003), (2147483629, 69069))
+#: A history has fewer characters than two to this power.
+HISTORY_BITS = 48
 
 
 def render_chunks(chunked: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
@@ -97,6 +102,46 @@ def history_sizes(turns: DataFrame, width: int = BLOCK) -> DataFrame:
     return running_sums(sized, totals, "turn", ("conv_id",), width).drop("chars", "tokens")
 
 
+def _power(base: int, prime: int, exponent: Column) -> Column:
+    """base ** exponent modulo prime, by the bits of the exponent."""
+    factors = F.array(
+        *[F.struct(F.lit(1 << bit).cast("long").alias("bit"), F.lit(pow(base, 1 << bit, prime)).cast("long").alias("factor")) for bit in range(HISTORY_BITS)]
+    )
+
+    def times(product: Column, step: Column) -> Column:
+        return F.when(exponent.bitwiseAND(step["bit"]) != 0, product * step["factor"] % prime).otherwise(product)
+
+    return F.aggregate(factors, F.lit(1).cast("long"), times)
+
+
+def _text_hash(text: Column, base: int, prime: int) -> Column:
+    """Sum of (code point + 1) * base ** place over the characters of a text, modulo prime."""
+    return F.aggregate(F.split(F.reverse(text), ""), F.lit(0).cast("long"), lambda found, c: (found * base + F.ascii(c) + 1) % prime)
+
+
+def history_digests(turns: DataFrame, width: int = BLOCK) -> DataFrame:
+    """`conv_id`, `turn`, `n_messages`, `n_chars`, `digest`: what each call resends, with a
+    digest of its whole text, the lines `role:text` up to its turn, each with a line break.
+
+    The digest is a polynomial hash by place in the history, in two fields. A turn's own hash
+    times the base to the power of the characters before it is its share of every history it
+    is in, so running sums of shares are the hashes of all histories: each text is read once,
+    and no history is ever put together. Two texts differ in their digests but for a chance
+    of about their length in 2**62.
+    """
+    line = F.concat(F.coalesce("role", F.lit("")), F.lit(":"), F.coalesce("text", F.lit("")), F.lit("\n"))
+    hashes = {f"_hash_{i}": _text_hash(line, base, prime) for i, (prime, base) in enumerate(DIGEST_FIELDS)}
+    chars = F.coalesce(F.length("text"), F.lit(0)).cast("long").alias("_chars")
+    sized = saved(turns.select("conv_id", "turn", chars, F.length(line).cast("long").alias("_size"), *[h.alias(n) for n, h in hashes.items()]), "turn-hashes")
+    counted = {"n_messages": F.lit(1).cast("long"), "n_chars": F.col("_chars"), "_end": F.col("_size")}
+    placed = saved(running_sums(sized, counted, "turn", ("conv_id",), width), "turn-places")
+    before = F.col("_end") - F.col("_size")
+    shares = {f"_share_{i}": F.col(f"_hash_{i}") * _power(base, prime, before) % prime for i, (prime, base) in enumerate(DIGEST_FIELDS)}
+    summed = running_sums(placed, shares, "turn", ("conv_id",), width)
+    parts = [F.lpad(F.lower(F.hex(F.col(f"_share_{i}") % prime)), 8, "0") for i, (prime, _) in enumerate(DIGEST_FIELDS)]
+    return summed.select("conv_id", "turn", "n_messages", "n_chars", F.concat(*parts).alias("digest"))
+
+
 def session_parts(turns: DataFrame, part_size: int = SESSION_PART) -> DataFrame:
     """Message lists of whole conversations in parts of at most `part_size` turns.
 

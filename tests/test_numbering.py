@@ -1,3 +1,5 @@
+import random
+
 from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.sql import functions as F
 
@@ -6,7 +8,9 @@ from rolecast.operators.classify import rule_replies
 from rolecast.operators.numbering import assign_chunks, number_rows, running_sums
 from rolecast.operators.replies import parse_reply_lines
 from rolecast.operators.requests import (
+    DIGEST_FIELDS,
     call_histories,
+    history_digests,
     history_sizes,
     open_calls,
     render_chunks,
@@ -93,3 +97,22 @@ def test_call_histories(spark):
         sent = [m.content for p in parts.filter("conv_id = 1").orderBy("part").collect() for m in p.messages]
         assert sent == [f"m{t}" for t in range(11)]
         assert parts.filter("conv_id = 2").count() == 0
+
+
+def plain_digest(history):
+    return "".join(f"{sum((ord(c) + 1) * pow(base, i, prime) for i, c in enumerate(history)) % prime:08x}" for prime, base in DIGEST_FIELDS)
+
+
+def test_history_digests(spark):
+    draw = random.Random(4)
+    turns = [(conv, t, draw.choice(["user", "assistant", None]), draw.choice([None, "", "".join(draw.choices("ab é😀\n\0,", k=draw.randint(0, 40)))])) for conv in range(6) for t in range(draw.randint(1, 30))]
+    turns += [(9, t, "user", "same") for t in range(40)] + [(10, 5, "user", "x" * 70_000), (10, 900, "assistant", "later")]
+    df = spark.createDataFrame(turns, "conv_id long, turn long, role string, text string").repartition(3)
+    want, histories = {}, set()
+    for conv, turn, _, _ in turns:
+        upto = sorted(row[1:] for row in turns if row[0] == conv and row[1] <= turn)
+        history = "".join(f"{role or ''}:{text or ''}\n" for _, role, text in upto)
+        histories.add(history)
+        want[conv, turn] = (len(upto), sum(len(text or "") for _, _, text in upto), plain_digest(history))
+    got = {(r.conv_id, r.turn): (r.n_messages, r.n_chars, r.digest) for r in history_digests(df, width=7).collect()}
+    assert got == want and len({digest for _, _, digest in got.values()}) == len(histories)
