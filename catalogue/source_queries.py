@@ -153,6 +153,26 @@ def src_archive_files(spark, sf):
     return read.select("prospect_id", "Lead Language", "Lead Source", F.length("job_title").alias("n_chars"))
 
 
+WIDE = 40_000
+WIDE_SQL = f"""repeat(coalesce(text, '') || chr(10) || '"a, b"' || chr(10), cast(1 + {WIDE} // (10 + length(coalesce(text, ''))) as int))"""
+
+
+@query(
+    f"""select cast(doc_id as string) as prospect_id, coalesce(source, '') as company, cast(length({WIDE_SQL}) as int) as n_chars,
+    md5({WIDE_SQL}) as digest from documents"""
+)
+def src_csv_split(spark, sf):
+    """Files larger than a split whose cells hold line breaks and quotes: each is many tasks,
+    and many records lie across the edges of splits."""
+    rows = base(spark, sf, "documents").select(
+        F.col("doc_id").cast("string").alias("Record ID"), F.col("source").alias("Company"), F.expr(WIDE_SQL.replace("//", "div").replace("chr(", "char(")).alias("Job Title")
+    )
+    path = new_path(spark, "csv")
+    write_csv(rows.coalesce(max(1, spark.sparkContext.defaultParallelism // 4)), path)
+    read = read_csv_contacts(spark, path)
+    return read.select("prospect_id", "company", F.length("job_title").alias("n_chars"), F.md5("job_title").alias("digest"))
+
+
 @query(
     """select string_agg(r_name, chr(10) order by r_name) || chr(10) || string_agg(r_name, '; ' order by r_name desc) || chr(10)
     as system_text from region"""

@@ -6,7 +6,6 @@ import re
 from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
-from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -14,6 +13,7 @@ from rolecast import schema as S
 from rolecast.operators.clean import clean_null_tokens, ensure_columns, rename_id, require_rows
 from rolecast.sources.archive import read_archives
 from rolecast.sources.crm import list_contacts, report_contacts
+from rolecast.sources.csv_blocks import read_csv_by_name
 
 
 @dataclass(frozen=True)
@@ -30,49 +30,15 @@ def inside_names(df: DataFrame) -> DataFrame:
     return df.withColumnsRenamed({name: S.DISPLAY_NAMES[name] for name in df.columns if name in S.DISPLAY_NAMES})
 
 
-def files_by_header(spark: SparkSession, path: str | list[str]) -> list[tuple[list[str], bool]]:
-    """The files at `path`, those with the same header line together, and whether a quoted
-    cell of theirs holds a line break (some line has an odd number of quotes).
-
-    All lines are read once for that; a file's first line is the first of its first block.
-    """
-    lines = spark.read.text(path).select(
-        "value",
-        F.col("_metadata.file_path").alias("file"),
-        (F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))).alias("quotes"),
-        F.struct("_metadata.file_block_start", F.monotonically_increasing_id().alias("place")).alias("place"),
-    )
-    files = lines.groupBy("file").agg(F.min_by("value", "place").alias("head"), F.max(F.col("quotes") % 2).alias("broken"))
-    groups = files.groupBy("head", "broken").agg(F.sort_array(F.collect_list("file")).alias("files"))
-    return [([unquote(file) for file in group.files], group.broken == 1) for group in groups.orderBy("head", "broken").collect()]
-
-
-def read_by_name(spark: SparkSession, path: str | list[str], multi_line: bool | None = None) -> DataFrame:
-    """CSV files with headers, every column text. Columns are found by name: files may have
-    them in different orders, and a column that a file lacks is null in its rows.
-
-    Files are split at line breaks, except those with line breaks inside quoted cells, which
-    are a task each; `multi_line` decides that without a look at the lines.
-    """
-    options = {"header": True, "inferSchema": False, "escape": '"', "encoding": "UTF-8", "enforceSchema": False}
-    parts = [
-        spark.read.csv(files, multiLine=broken if multi_line is None else multi_line, **options)
-        for files, broken in files_by_header(spark, path)
-    ]
-    if not parts:
-        return spark.read.csv(path, **options)
-    return reduce(lambda left, right: left.unionByName(right, allowMissingColumns=True), parts)
-
-
 def read_csv_contacts(spark: SparkSession, path: str | list[str], multi_line: bool | None = None) -> DataFrame:
     """CSV with a header, every column text, empty cells as empty text, columns by name."""
-    named = inside_names(read_by_name(spark, path, multi_line))
+    named = inside_names(read_csv_by_name(spark, path, multi_line))
     return clean_null_tokens(rename_id(named.fillna("")))
 
 
 def read_skipped(spark: SparkSession, path: str, multi_line: bool | None = None) -> DataFrame:
     """A skipped file of an earlier run; blank cells are null. Titles may hold line breaks."""
-    raw = inside_names(read_by_name(spark, path, multi_line))
+    raw = inside_names(read_csv_by_name(spark, path, multi_line))
     return raw if "persona" in raw.columns else raw.withColumn("persona", F.lit(None).cast("string"))
 
 

@@ -7,7 +7,8 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame, SparkSession
 
 from rolecast.operators.clean import prepare_contacts, require_columns
-from rolecast.sources.contacts import inside_names, read_by_name
+from rolecast.sources.contacts import inside_names
+from rolecast.sources.csv_blocks import read_csv_by_name
 
 EXPORT_COLUMNS = ("Record ID", "Email", "Job Title")
 FILES_PER_BATCH = 1_000
@@ -36,7 +37,7 @@ def take_in(
     def write(batch: DataFrame, batch_id: int) -> None:
         paths = [row.path for row in batch.collect()]  # files_per_batch at most
         if paths:
-            rows = require_columns(read_by_name(batch.sparkSession, paths, multi_line), columns)
+            rows = require_columns(read_csv_by_name(batch.sparkSession, paths, multi_line), columns)
             prepare(inside_names(rows.fillna(""))).write.mode("overwrite").parquet(f"{out_dir}/batch_id={batch_id}")
 
     query = (
