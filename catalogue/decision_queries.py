@@ -13,7 +13,8 @@ from rolecast.operators.replies import first_per_id, tidy_replies
 from rolecast.plans.batch import finish_batch
 from rolecast.plans.online import asked_per_pass
 from rolecast.plans.rerun import finish_rerun
-from rolecast.session import saved
+from rolecast.session import new_path, saved
+from rolecast.sinks.outputs import write_decisions
 
 ORDER = ("n", "persona", "persona_certainty")
 VALID_SQL = sql_list(VALID)
@@ -167,6 +168,16 @@ def agg_summary(spark, sf):
     return report.run_summary(decisions(spark, sf))
 
 
+@query(
+    f"""select count(*) as total, count(*) filter (skip_reason is null) as accepted, count(*) filter (skip_reason is not null) as skipped,
+    count(*) filter (skip_reason = 'No LLM response') as no_response, count(*) filter (starts_with(skip_reason, 'Invalid persona: ')) as invalid_persona,
+    count(*) filter (starts_with(skip_reason, 'Batch error: ')) as batch_error from ({DECIDED_SQL})"""
+)
+def agg_written(spark, sf):
+    """The summary of a run, counted while its decisions are written."""
+    return write_decisions(decisions(spark, sf), new_path(spark, "decisions"))
+
+
 @query(
     f"""with done as (select prospect_id, min(pass_no) as done_in from pass_replies where persona in ({VALID_SQL}) group by 1),
     asked as (select unnest(range(1, coalesce(done_in, 9) + 1)) as pass_no, p.prospect_id

@@ -138,33 +138,74 @@ TEXTS_SQL = """select p_name as persona from part union all select unnest(string
     union all select persona from replies"""
 
 
-@query(
-    f"""with words as (select distinct trim(persona) as word from ({TEXTS_SQL}))
-    select word, g.name as repaired from words join (values {sql_pairs(REPAIRED)}) as g(golden, name) on word = g.golden
-    where word <> ''"""
-)
+# The score of a pair, as the library has it: the longest run of letters that both texts have,
+# the first of equally long ones, then the same on both sides of it; twice the letters found
+# over both lengths. The larger of equally close names wins.
+RUN_SQL = """coalesce(list_position(list_transform(range(least(ahi - i, bhi - j)), lambda x: name[i + x + 1] <> word[j + x + 1]), true) - 1,
+    least(ahi - i, bhi - j))"""
+CLOSEST_SQL = f"""with recursive words as (select distinct trim(persona) as word from ({TEXTS_SQL})),
+    names as (select unnest([{sql_list(VALID)}]) as name),
+    lengths as (
+        select word, name from words, names where word <> '' and word not in (select name from names)
+        and 200 * least(length(word), length(name)) >= 60 * (length(word) + length(name))),
+    letters_of_word as (select word, c, count(*) as n from (select word, unnest(string_split(word, '')) as c from (select distinct word from lengths)) group by 1, 2),
+    letters_of_name as (select name, c, count(*) as n from (select name, unnest(string_split(name, '')) as c from names) group by 1, 2),
+    near as (
+        select l.word, l.name from lengths l join letters_of_word w on l.word = w.word join letters_of_name m on l.name = m.name and w.c = m.c
+        group by 1, 2 having 200 * sum(least(w.n, m.n)) >= 60 * (length(l.word) + length(l.name))),
+    steps(word, name, alo, ahi, blo, bhi, found) as (
+        select word, name, 0::bigint, length(name), 0::bigint, length(word), 0::bigint from near
+        union all
+        select word, name, side.alo, side.ahi, side.blo, side.bhi, side.found from (
+            select word, name, unnest([
+                {{'alo': alo, 'ahi': i, 'blo': blo, 'bhi': j, 'found': k}}, {{'alo': i + k, 'ahi': ahi, 'blo': j + k, 'bhi': bhi, 'found': 0::bigint}}]) as side
+            from (select *, best // 1000000 as k, 999 - best // 1000 % 1000 as i, 999 - best % 1000 as j from (
+                select *, list_max(flatten(list_transform(range(alo, ahi), lambda i: list_transform(range(blo, bhi), lambda j:
+                    {RUN_SQL} * 1000000 + (999 - i) * 1000 + 999 - j)))) as best
+                from steps where alo < ahi and blo < bhi)) where k > 0)),
+    scored as (select word, name, 2.0::double * sum(found)::double / (length(word) + length(name))::double as score from steps group by 1, 2)
+    select word, name as repaired from scored where score >= 0.6::double
+    qualify row_number() over (partition by word order by score desc, name desc) = 1"""
+
+
+@query(CLOSEST_SQL)
 def fix_fuzzy_texts(spark, sf):
     """Repairs of many distinct texts, few of which are near a name."""
     words = base(spark, sf, "documents").select(F.explode(F.split("text", "[ \n]+")).alias("persona"))
     texts = base(spark, sf, "part").select(F.col("p_name").alias("persona")).unionByName(words)
     texts = texts.unionByName(fixture(spark, sf, "replies").select("persona"))
     given = texts.select(F.trim("persona").alias("persona")).filter("persona <> ''")
-    distinct = saved(repair.invalid_words(given), "words")
-    golden = F.col("word").isin(*REPAIRED)  # other texts may be near a name by chance
-    return repair.repair_table(distinct).filter(golden)
+    return repair.repair_table(saved(repair.invalid_words(given), "words"))
 
 
 @query(
-    f"""select prospect_id, content, error from (select * from ({ENVELOPE_SQL}) where line_no <= 3
+    f"""select prospect_id, content, error from (select * from ({ENVELOPE_SQL})
     qualify row_number() over (partition by prospect_id order by (content is not null) desc, line_no desc, line desc) = 1)
     where prospect_id <> ''"""
 )
 def rep_last_files(spark, sf):
-    """Output in files of very different sizes: the later file wins, however Spark packs them."""
-    root = new_path(spark, "outputs")
-    lines = fixture(spark, sf, "batch_output")
-    for part, padding in ((1, 0), (2, 400), (3, 20)):
-        chosen = lines.filter(F.col("line_no") == part).repartition(1).sortWithinPartitions("line")
-        write_lines(chosen.select(F.concat("line", F.lit(" " * padding)).alias("line")), f"{root}/part-{part}")
-    envelopes = replies.parse_envelopes(read_lines(spark, f"{root}/*"), keep=("line_no",))
+    """Output in folders of very different sizes, several files each: the later file wins,
+    however Spark packs them."""
+    part, padding = F.lpad(F.col("line_no").cast("string"), 4, "0"), F.expr("repeat(' ', line_no % 3 * 200)")
+    lines = fixture(spark, sf, "batch_output").select("line", F.concat("line", padding).alias("value"), part.alias("part"))
+    ordered = lines.repartitionByRange("part", "line").sortWithinPartitions("part", "line").drop("line")
+    path = new_path(spark, "outputs")
+    ordered.write.partitionBy("part").text(path)
+    envelopes = replies.parse_envelopes(read_lines(spark, path), keep=("line_no",))
     return replies.last_results(envelopes, ["line_no"]).select("prospect_id", "content", "error").filter("prospect_id <> ''")
+
+
+@query(
+    """select l_orderkey as chunk_id, cast(l_linenumber as int) as part_no, cast(l_orderkey as varchar) as prospect_id,
+    md5('VP' || repeat(', VP', cast(1000 + l_quantity as int))) as title_digest, 'Data User' as persona, '9' as persona_certainty,
+    case l_returnflag when 'R' then 'long' else 'ok' end as shape from lineitem"""
+)
+def rep_wide(spark, sf):
+    """Replies whose quoted titles hold more than a thousand commas, some with a fifth cell."""
+    lines = base(spark, sf, "lineitem")
+    title = F.expr("concat('\"VP', repeat(', VP', cast(1000 + l_quantity as int)), '\"')")
+    cells = [F.col("l_orderkey").cast("string"), title, F.lit("Data User"), F.lit("9")]
+    reply = F.concat(F.concat_ws(",", *cells), F.when(F.col("l_returnflag") == "R", ",note, more").otherwise(""))
+    asked = lines.select(F.col("l_orderkey").alias("chunk_id"), F.col("l_linenumber").cast("int").alias("part_no"), reply.alias("reply"))
+    parsed = replies.parse_reply_lines(asked, keep=("chunk_id", "part_no"))
+    return parsed.withColumn("title_digest", F.md5("job_title")).drop("line_no", "job_title")

@@ -10,7 +10,7 @@ from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.errors import PythonException
-from pyspark.sql import functions as F
+from pyspark.sql import Window, functions as F
 
 from catalogue.clean_queries import MARKER, RULES_SQL
 from catalogue.decision_queries import DECIDED_SQL, UPDATED_SQL, decisions
@@ -30,6 +30,7 @@ from rolecast.sources.archive import read_archives, unpack_archives
 from rolecast.sources.contacts import read_contacts, read_csv_contacts, read_skipped, union_sheets
 from rolecast.sources.text import read_instructions, read_lines
 from rolecast.streaming.intake import take_in
+from rolecast.streaming.nightly import run_nightly
 
 DISPLAY = {"prospect_id": "Record ID", "email": "Email", "job_title": "Job Title"}
 PREPARED_SQL = "select * from prospects where not contains(email, '@internal') and trim(job_title) <> ''"
@@ -300,6 +301,42 @@ def run_growing(spark, sf):
     return run_online(everyone, _nobody, work, **options).select(*S.DECISION_COLUMNS)
 
 
+def _heard(folder: str):
+    """The rule classifier; each id that it is asked for leaves a row in `folder`."""
+    from pyarrow import fs
+
+    answer = rule_replies()
+
+    def ask(system: str, payload: str) -> str:
+        store, path = fs.FileSystem.from_uri(f"{folder}/{uuid.uuid4().hex}.txt")
+        store.create_dir(path.rpartition("/")[0], recursive=True)
+        with store.open_output_stream(path) as out:
+            out.write("\n".join(line.partition(",")[0] for line in payload.split("\n")).encode() + b"\n")
+        return answer(system, payload)
+
+    return ask
+
+
+@query(
+    f"""with nights as (select *, 1 as night from ({PREPARED_SQL}) where not contains(email, 'contest.example')
+        union all select *, 2 from ({PREPARED_SQL}) where not contains(email, 'building.example'))
+    select n.prospect_id, n.email, n.job_title, {RULES_SQL} as persona, cast(night as int) as night, cast(1 as bigint) as n_asked from nights n"""
+)
+def run_nights(spark, sf):
+    """Two nights whose files overlap, as one stream: every contact is asked once."""
+    root, domain = new_path(spark, "nights"), F.substring_index("email", "@", -1)
+    contacts = saved(fixture(spark, sf, "prospects"), "contacts")
+    for night, other in enumerate(("contest.example", "building.example"), 1):
+        part = contacts.filter(domain != other).select(*DISPLAY).withColumnsRenamed(DISPLAY)
+        write_csv(part, f"{root}/drop/night-{night}")
+        decided = run_nightly(spark, f"{root}/drop/*", f"{root}/work", _heard(f"{root}/asked"), prepare=_prepare, policy=QUIET)
+    asked = spark.read.text(f"{root}/asked").groupBy(F.col("value").alias("prospect_id")).agg(F.count(F.lit(1)).alias("n_asked"))
+    night = F.dense_rank().over(Window.orderBy("batch_id"))
+    batches = decided.select("batch_id").distinct().select("batch_id", night.cast("int").alias("night"))
+    told = decided.join(F.broadcast(batches), "batch_id").join(asked, "prospect_id", "left")  # one row per batch
+    return told.select("prospect_id", "email", "job_title", "persona", "night", "n_asked")
+
+
 TOO_LONG, CONTACTS_PER_CHUNK = 100, 800
 
 

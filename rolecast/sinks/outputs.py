@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Observation, functions as F
 
 from rolecast import schema as S
 from rolecast.operators.decide import accepted, skipped
@@ -55,6 +55,29 @@ def save_outputs(
     return accepted_path, skipped_path
 
 
+def write_decisions(decisions: DataFrame, path: str) -> DataFrame:
+    """Write decisions as a table at `path` and return their summary as one row: total,
+    accepted, skipped, and the skipped by kind of reason. It is counted while they are
+    written, so nothing is read or decided again for it."""
+    reason = F.col("skip_reason")
+    kinds = {
+        "no_response": reason == S.NO_RESPONSE,
+        "invalid_persona": reason.startswith(S.INVALID_PREFIX),
+        "batch_error": reason.startswith(S.BATCH_PREFIX),
+    }
+    told = Observation()
+    observed = decisions.observe(
+        told,
+        F.count(F.lit(1)).alias("total"),
+        F.count_if(reason.isNull()).alias("accepted"),
+        F.count_if(reason.isNotNull()).alias("skipped"),
+        *[F.count_if(F.coalesce(is_kind, F.lit(False))).alias(name) for name, is_kind in kinds.items()],
+    )
+    observed.write.mode("error").parquet(path)
+    names = ["total", "accepted", "skipped", *kinds]
+    return decisions.sparkSession.createDataFrame([tuple(told.get[name] for name in names)], ", ".join(f"{name} long" for name in names))
+
+
 def write_lines(lines: DataFrame, path: str, column: str = "line") -> str:
     """JSON documents, one per line: request files and raw output kept for a later resume."""
     lines.select(F.col(column).alias("value")).write.mode("error").text(path)

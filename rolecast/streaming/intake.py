@@ -24,13 +24,15 @@ def take_in(
     prepare: Callable[[DataFrame], DataFrame] = prepare_contacts,
     multi_line: bool | None = None,
     files_per_batch: int = FILES_PER_BATCH,
+    then: Callable[[DataFrame, int], None] | None = None,
 ) -> None:
     """Take in the CSV files that came since the last call and stop.
 
     The stream lists the files, and its checkpoint remembers them; their rows are read by
     column name in each batch, as exports differ in the order of columns. A file without one
     of `columns` stops the intake. Each batch has its own folder, so a batch that is repeated
-    after a failure replaces itself.
+    after a failure replaces itself. `then` gets each batch as it was written, and its
+    number, before the stream counts it as done.
     """
     listing = spark.readStream.format("binaryFile").schema(FILES_SCHEMA).option("pathGlobFilter", "*.csv*")
 
@@ -38,7 +40,10 @@ def take_in(
         paths = [row.path for row in batch.collect()]  # files_per_batch at most
         if paths:
             rows = require_columns(read_csv_by_name(batch.sparkSession, paths, multi_line), columns)
-            prepare(inside_names(rows.fillna(""))).write.mode("overwrite").parquet(f"{out_dir}/batch_id={batch_id}")
+            path = f"{out_dir}/batch_id={batch_id}"
+            prepare(inside_names(rows.fillna(""))).write.mode("overwrite").parquet(path)
+            if then:
+                then(spark.read.parquet(path), batch_id)
 
     query = (
         listing.option("maxFilesPerTrigger", files_per_batch)

@@ -13,8 +13,9 @@ from rolecast.plans.manifest import multiset_digest
 from rolecast.plans.online import asked_per_pass, parsed_replies, read_replies, run_online, wave_log
 from rolecast.plans.rerun import finish_rerun, write_rerun_requests
 from rolecast.session import CHECKPOINT_DIR, new_path, shared_dir
-from rolecast.sinks.outputs import save_raw
+from rolecast.sinks.outputs import save_raw, write_decisions
 from rolecast.sources.text import read_lines
+from rolecast.streaming.nightly import run_nightly
 
 QUIET = RetryPolicy(sleep=lambda seconds: None)
 
@@ -288,3 +289,41 @@ def test_shared_folder(spark, tmp_path):
     configured = spark.conf.get(CHECKPOINT_DIR)
     assert shared_dir(spark) == configured.rstrip("/") and new_path(spark, "x").startswith(configured)
     assert new_path(spark, "x") != new_path(spark, "x")
+
+
+def test_nights_do_not_ask_twice(spark, tmp_path):
+    drop, work, log = tmp_path / "drop", str(tmp_path / "work"), str(tmp_path / "log")
+    drop.mkdir()
+    (drop / "a.csv").write_text("Record ID,Email,Job Title\n1,a@x,CTO\n2,b@x,Director\n1,a2@x,CTO\n")
+
+    def breaks(system, payload):
+        raise KeyboardInterrupt("stopped")
+
+    options = {"policy": QUIET}
+    with pytest.raises(Exception, match="stopped"):
+        run_nightly(spark, str(drop), work, breaks, **options)
+    first = run_nightly(spark, str(drop), work, heard(log), **options)
+    assert rows(first, "prospect_id", "email", "persona") == [("1", "a@x", "Executive Sponsor"), ("2", "b@x", "Economic Buyer")]
+    (drop / "b.csv").write_text("Job Title,Record ID,Email\nDirector,2,new@x\nClerk,1,a@x\nSRE,3,c@x\n")
+    both = run_nightly(spark, str(drop), work, heard(log), **options)
+    assert sorted(open(log).read().split()) == ["1,CTO", "1,Clerk", "2,Director", "3,SRE"]
+    assert rows(both, "prospect_id", "email", "persona") == [
+        ("1", "a@x", "Executive Sponsor"), ("1", "a@x", "Not a target"), ("2", "b@x", "Economic Buyer"), ("2", "new@x", "Economic Buyer"),
+        ("3", "c@x", "Operator/Systems Administrator"),
+    ]
+    assert rows(run_nightly(spark, str(drop), work, nobody, **options)) == rows(both)
+
+
+def test_a_summary_comes_from_the_write(spark, tmp_path):
+    reasons = [None, None, "No LLM response", "Invalid persona: x", "Batch error: HTTP 500: {}", "Batch error: y"]
+    seen = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def touched(text):
+        seen.add(1)
+        return text
+
+    decided = spark.createDataFrame([(reason,) for reason in reasons], "given string").select(touched.asNondeterministic()("given").alias("skip_reason"))
+    summary = write_decisions(decided, str(tmp_path / "d"))
+    assert rows(summary) == [(6, 2, 4, 1, 1, 2)] and seen.value == 6
+    assert spark.read.parquet(str(tmp_path / "d")).count() == 6 and seen.value == 6
