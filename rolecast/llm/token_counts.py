@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from functools import cache
 import json
 import os
 
@@ -18,6 +19,7 @@ REMEMBERED_WORDS = 1_200_000
 CALL_BYTES = 200_000
 
 
+@cache
 def drops_spaces(path: str) -> bool:
     """Whether a tokenizers file removes white space before its merges, so that no token
     crosses it and a text may be cut there."""
@@ -27,6 +29,7 @@ def drops_spaces(path: str) -> bool:
     return first.get("type") == "Split" and first.get("behavior") == "Removed" and bool(first.get("invert"))
 
 
+@cache
 def lowers(path: str) -> bool:
     """Whether a tokenizers file makes its texts lower case."""
     with open(path, encoding="utf-8") as file:

@@ -17,9 +17,11 @@ touches the same number of entries whatever the number of rows."""
 from __future__ import annotations
 
 import json
+import sys
 import uuid
 import zlib
-from collections.abc import Iterator
+from array import array
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -114,13 +116,21 @@ class Shard:
         return self.ids[self.offsets[row] : self.offsets[row + 1]]
 
 
+def raw_ids(id_bytes: int) -> Callable[[list[int]], bytes]:
+    """A function that gives the bytes of a few ids; an array for each would cost more."""
+    if sys.byteorder == "big":
+        return lambda ids: np.array(ids, f"<u{id_bytes}").tobytes()
+    kind = next(code for code in "HIL" if array(code).itemsize == id_bytes)
+    return lambda ids: array(kind, ids).tobytes()
+
+
 _ENCODERS: dict[tuple[str, int], Remembered] = {}
 
 
 def _encoder(path: str, id_bytes: int) -> Remembered:
     if (path, id_bytes) not in _ENCODERS:
         _ENCODERS[path, id_bytes] = Remembered(
-            encode_words(path, lambda ids: np.array(ids, f"<u{id_bytes}").tobytes()), REMEMBERED_IDS
+            encode_words(path, raw_ids(id_bytes)), REMEMBERED_IDS
         )
     return _ENCODERS[path, id_bytes]
 
