@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import functions as F
 
 from catalogue.fixtures import base, fixture
 from catalogue.registry import query
 from rolecast.operators import crm
+from rolecast.operators.classify import CallFailed, RetryPolicy
 from rolecast.operators.clean import ensure_columns
 from rolecast.plans.crm_sync import prepare_updates, reconcile
-from rolecast.session import saved
+from rolecast.session import new_path, saved
+from rolecast.sinks.delivery import block_outcomes, deliver, read_ledger
 from rolecast.sources import crm as source
 from rolecast.sources.contacts import CrmTables, read_contacts
 
@@ -133,7 +137,10 @@ def crm_records(spark, sf):
     )
 
 
-@query(f"select block_no, count(*) as n, string_agg(contact_id, ',' order by row_no) as ids from ({BLOCKED_SQL}) group by block_no")
+BLOCKS_SQL = f"select block_no, count(*) as n, string_agg(contact_id, ',' order by row_no) as ids from ({BLOCKED_SQL}) group by block_no"
+
+
+@query(BLOCKS_SQL)
 def crm_blocks(spark, sf):
     blocks = crm.update_blocks(crm.update_records(resolved(spark, sf)))
     inputs = F.from_json("payload", "inputs ARRAY<STRUCT<id: STRING>>")["inputs"]
@@ -165,6 +172,39 @@ def run_updates(spark, sf):
     return spark.createDataFrame([tuple(totals[name] for name in ("success", "failed", "not_found"))], "success long, failed long, not_found long")
 
 
+def _picky(fails: int):
+    """Takes a block unless the first id in it, by its digits, is one of those to fail."""
+
+    def send(payload: str) -> None:
+        number = sum(map(int, re.findall(r"\d", payload.partition('"id":"')[2].partition('"')[0])))
+        if number % fails == 0:
+            raise CallFailed(f"HTTP 500: {number}")
+
+    return send
+
+
+DIGITS_SQL = "list_sum(list_transform(string_split(regexp_replace(ids, ',.*', ''), ''), lambda c: coalesce(try_cast(c as bigint), 0)))"
+
+
+@query(
+    f"""select block_no, n, case when digits % 6 = 0 then 'failed' else 'success' end as status,
+    cast(case when digits % 2 <> 0 then 1 when digits % 3 <> 0 then 2 else 3 end as bigint) as n_sent,
+    case when digits % 6 = 0 then 'HTTP 500: ' || digits end as error
+    from (select block_no, n, {DIGITS_SQL} as digits from ({BLOCKS_SQL}))"""
+)
+def crm_delivery(spark, sf):
+    """Blocks sent in three runs: those that fail are sent again, others are not."""
+    blocks = saved(crm.update_blocks(crm.update_records(resolved(spark, sf))), "blocks")
+    ledger = new_path(spark, "ledger")
+    for fails in (2, 6, 6):
+        try:
+            deliver(blocks, _picky(fails), ledger, policy=RetryPolicy(max_attempts=1), blocks_per_wave=max(4, blocks.count() // 4))
+        except RuntimeError as error:  # the last run takes none of what is left
+            if "no block was delivered" not in str(error):
+                raise
+    return block_outcomes(read_ledger(spark, ledger)).join(blocks.select("block_no", "n"), "block_no")
+
+
 @query("select cast(o_orderkey as string) as prospect_id, 'a' || cast(o_custkey as string) || '@x.example' as email, o_orderstatus as job_title, '' as company from orders")
 def src_contacts_list(spark, sf):
     """One list that holds every contact, read without a cap."""
