@@ -1,7 +1,7 @@
 """Byte-level BPE by DuckDB queries inside Spark tasks (operator 5).
 
-A recursive query holds one row per token of each distinct match: its match, byte position,
-next position and id. A step joins each row to its neighbour and to the merge table, takes
+A recursive query holds one row per token of each distinct match: its spot (match and byte
+position), the next spot and its id. A step joins each row to its neighbour and to the merge table, takes
 the least rank of a match (the leftmost, if it occurs twice) and contracts that pair; a
 match without a pair leaves the recursion. A second query decodes by an ordered aggregation
 over the ids. Texts are put together from their matches."""
@@ -19,36 +19,42 @@ from pyspark.sql import DataFrame
 
 from rolecast.llm.texts import raw, slices
 
-#: Pieces of text a worker remembers; a full memory is emptied.
+#: Pieces of text a worker remembers, in two halves: when one is full, the older goes.
 REMEMBERED_PIECES = 500_000
 #: A longer match (bytes) is contracted by a heap, as a recursion step costs time in
 #: proportion to the match and there are as many steps as merges.
 LONG_MATCH = 1_000
 
-ENCODE = """
-with recursive state(match, place, following, id, step) as (
-    select match, place, place + 1, id, 0 from bytes
+#: A token's spot is its match and, in the lower bits, its byte position.
+PLACE_BITS = 10
+
+ENCODE = f"""
+with recursive state(spot, following, id, step) as (
+    select spot, spot + 1, id, 0 from bytes
     union all
-    select s.match, s.place, if(s.place = b.place, b.after, s.following), if(s.place = b.place, b.id, s.id), s.step + 1
+    select s.spot, if(s.spot = b.spot, b.after, s.following), if(s.spot = b.spot, b.id::int, s.id), s.step + 1
     from state s join (
-        select x.match,
-               min(m.id::bigint << 32 | x.place) & 4294967295 as place,
-               min(m.id::bigint << 32 | x.place) >> 32 as id,
-               arg_min(y.place, m.id::bigint << 32 | x.place) as gone,
-               arg_min(y.following, m.id::bigint << 32 | x.place) as after
+        select x.spot >> {PLACE_BITS} as match,
+               min(m.id << 40 | x.spot) & {(1 << 40) - 1} as spot,
+               min(m.id << 40 | x.spot) >> 40 as id,
+               arg_min(y.spot, m.id << 40 | x.spot) as gone,
+               arg_min(y.following, m.id << 40 | x.spot) as after
         from state x
-        join state y on y.match = x.match and y.place = x.following
+        join state y on y.spot = x.following
         join merges m on m.pair = (x.id::bigint << 32 | y.id)
-        group by x.match
-    ) b on b.match = s.match
-    where s.place <> b.gone
+        group by 1
+    ) b on b.match = s.spot >> {PLACE_BITS}
+    where s.spot <> b.gone
 ),
-ended as (select match, max(step) as step from state group by match)
-select match, place, id from state join ended using (match, step)
+ended as (  -- the first token of a match is never contracted away
+    select spot >> {PLACE_BITS} as match, max(step) as step from state where spot & {(1 << PLACE_BITS) - 1} = 0 group by 1
+)
+select spot >> {PLACE_BITS} as match, spot & {(1 << PLACE_BITS) - 1} as place, id::bigint as id
+from state s join ended e on e.match = s.spot >> {PLACE_BITS} and e.step = s.step
 """
 
 DECODE = """
-select match, string_agg(id, ' ' order by place) as ids, unhex(string_agg(hex(bytes), '' order by place)) as bytes
+select match, string_agg(spelled, ' ' order by place) as ids, unhex(string_agg(hexes, '' order by place)) as bytes
 from tokens join vocabulary using (id) group by match order by match
 """
 
@@ -70,6 +76,7 @@ class Bpe:
         self.pattern = regex.compile(pattern)
         self.byte_ids = np.array([self.ranks[bytes([value])] for value in range(256)], np.int64)
         self.known: dict[bytes, bytes] = {}  # piece of text -> decimal ids
+        self.older: dict[bytes, bytes] = {}  # the half of the memory before
         self.differs: dict[bytes, bytes] = {}  # piece -> decoded bytes, where these are not the piece
         splits = [
             (self.ranks[token[:i]] << 32 | self.ranks[token[i:]], rank)
@@ -79,7 +86,7 @@ class Bpe:
         ]
         self.db = duckdb.connect(config={"threads": 1, "memory_limit": "300MB"})
         self._load("merges", pair=[pair for pair, _ in splits], id=[rank for _, rank in splits])
-        self._load("vocabulary", id=list(self.ranks.values()), bytes=list(self.ranks))
+        self._load("vocabulary", id=list(self.ranks.values()), spelled=list(map(str, self.ranks.values())), hexes=[token.hex() for token in self.ranks])
 
     def _load(self, name: str, **columns) -> None:
         self.db.register("given", pa.table(columns))
@@ -94,7 +101,8 @@ class Bpe:
         sizes = np.array([len(found[i]) for i in short], np.int64)
         data = np.frombuffer(b"".join(found[i] for i in short), np.uint8)
         at = np.arange(len(data)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-        rows = pa.table({"match": np.repeat(np.array(short, np.int64), sizes), "place": at, "id": self.byte_ids[data]})
+        spot = np.repeat(np.array(short, np.int64), sizes) << PLACE_BITS | at
+        rows = pa.table({"spot": spot, "id": self.byte_ids[data].astype(np.int32)})
         self.db.register("bytes", rows)
         tokens = self.db.sql(ENCODE).to_arrow_table()
         long = [(i, at, rank) for i, match in enumerate(found) if len(match) > LONG_MATCH for at, rank in enumerate(self.contract(match))]
@@ -102,7 +110,7 @@ class Bpe:
             tokens = pa.concat_tables([tokens, pa.table([pa.array(c, kind) for c, kind in zip(zip(*long), tokens.schema.types)], tokens.schema.names)])
         self.db.register("tokens", tokens)
         done = self.db.sql(DECODE).to_arrow_table()
-        return list(zip((ids.encode() for ids in done["ids"].to_pylist()), done["bytes"].to_pylist()))
+        return list(zip(done["ids"].cast(pa.binary()).to_pylist(), done["bytes"].to_pylist()))
 
     def contract(self, match: bytes) -> list[int]:
         """The same contractions for one long match."""
@@ -135,18 +143,29 @@ class Bpe:
     def remember(self, pieces: set[bytes]) -> None:
         """Encode and decode pieces of text that are not known yet; no match crosses their edges."""
         new = pieces.difference(self.known)
-        if len(self.known) + len(new) > REMEMBERED_PIECES:
-            self.known.clear()
-            self.differs.clear()
-            new = pieces
-        matched = {piece: [match.encode() for match in self.pattern.findall(piece.decode())] for piece in new}
-        distinct = {match for matches in matched.values() for match in matches}
-        done = {match: (self.known[match], self.differs.get(match, match)) for match in distinct if match in self.known}
-        missing = list(distinct.difference(done))
-        done.update(zip(missing, self.matches(missing)))
+        if len(self.known) + len(new) > REMEMBERED_PIECES // 2:
+            self.known, self.older, new = {}, self.known, pieces
+            self.differs = {piece: decoded for piece, decoded in self.differs.items() if piece in self.older}
+        again = new.intersection(self.older)
+        self.known.update(zip(again, map(self.older.__getitem__, again)))
+        new = new.difference(again)
+        whole, matched = [], {}
+        for piece in new:
+            spelled = piece.decode()
+            found = self.pattern.findall(spelled)
+            if len(found) == 1 and len(found[0]) == len(spelled):
+                whole.append(piece)  # the usual case: a piece is one match
+            else:
+                matched[piece] = [match.encode() for match in found]
+        missing = {match for matches in matched.values() for match in matches}.difference(self.known, whole)
+        whole.extend(missing)
+        for match, (ids, decoded) in zip(whole, self.matches(whole)):
+            self.known[match] = ids
+            if decoded != match:
+                self.differs[match] = decoded
         for piece, matches in matched.items():
-            self.known[piece] = b" ".join([done[match][0] for match in matches])
-            decoded = b"".join([done[match][1] for match in matches])
+            self.known[piece] = b" ".join([self.known[match] for match in matches])
+            decoded = b"".join([self.differs.get(match, match) for match in matches])
             if decoded != piece:
                 self.differs[piece] = decoded
 
