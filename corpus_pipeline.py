@@ -11,17 +11,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rolecast.llm.byte_bpe import encoded_digests
-from rolecast.llm.languages import explained, held_out, learn
+from rolecast.llm.languages import explained, held_out, judge, learn
 from rolecast.llm.leaks import find_leaks
 from rolecast.llm.near_copies import near_copies
 from rolecast.llm.repeats import remove_repeats, text_id
 from rolecast.llm.texts import unused
 from rolecast.session import saved
 
-#: A document goes if less than this of its 4-grams, and of its letters, belong to any
-#: language. A short text, or one in a large alphabet, may have no 4-gram that is common, and
-#: how common those of a language are depends on the size of the table; letters do not.
-LEAST_LANGUAGE = 0.2
 BYTE_RANKS = "byte_bpe_50k.tiktoken"
 
 
@@ -39,9 +35,10 @@ def put_aside(docs: DataFrame) -> tuple[DataFrame, dict[str, str]]:
 
 
 def keep_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that a language explains, learned from those that are not held out."""
-    train = docs.where(~held_out())
-    return explained(docs, [learn(train), learn(train, letters=1)], LEAST_LANGUAGE)
+    """Documents that may be of some language: filters are learned from a third of the
+    labelled documents, what a language's texts usually have of them is found on another."""
+    train, tried = docs.where(held_out(part=0)), docs.where(held_out(part=2))
+    return explained(docs, judge(learn(train), tried), judge(learn(train, letters=1), tried))
 
 
 def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

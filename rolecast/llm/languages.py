@@ -30,6 +30,10 @@ HASHES = 3
 SLOTS = 16
 #: Languages per 64-bit word of a slot.
 WORD = 63
+#: Texts of a language that may have less than it usually has, and how much less is accepted.
+OUTLIERS, LEAST_OF_USUAL = 0.01, 0.5
+#: How far the share of a text may be off, times the root of its n-grams: three deviations.
+SLACK = 1.5
 #: Text bytes looked at together: an n-gram takes some hundred bytes of arrays.
 PIECE_BYTES = 1_000_000
 
@@ -113,16 +117,23 @@ class LanguageModel:
         bits = [(self.table[:, i // WORD] >> np.uint64(i % WORD)) & np.uint64(1) for i in range(len(self.languages))]
         return np.array([bit.mean() for bit in bits]) ** HASHES
 
-    def predict(self, texts: list[bytes]) -> tuple[list[str], np.ndarray]:
+    def shares(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """languages x texts: the share of a text's n-grams in each filter, less false
+        positives; the number of n-grams and has-a-letter of each text."""
         hashes, first, has_letter = ngrams(texts, self.letters)
+        counts, shares = np.diff(first), np.zeros((len(self.languages), len(texts)))
+        if self.languages and len(texts):
+            masks = self.masks(hashes)
+            for i, chance in enumerate(self.false_positives()):
+                hits = np.concatenate([[0], np.cumsum((masks[i // WORD] >> np.uint64(i % WORD)) & np.uint64(1), dtype=np.int64)])
+                share = (hits[first[1:]] - hits[first[:-1]]) / np.maximum(counts, 1)
+                shares[i] = np.clip((share - chance) / max(1 - chance, 1e-9), 0, 1)
+        return shares, counts, has_letter
+
+    def predict(self, texts: list[bytes]) -> tuple[list[str], np.ndarray]:
         if not self.languages or not len(texts):
             return [UNDECIDED] * len(texts), np.zeros(len(texts))
-        masks, counts = self.masks(hashes), np.diff(first)
-        shares = np.zeros((len(self.languages), len(texts)))
-        for i, chance in enumerate(self.false_positives()):
-            hits = np.concatenate([[0], np.cumsum((masks[i // WORD] >> np.uint64(i % WORD)) & np.uint64(1), dtype=np.int64)])
-            share = (hits[first[1:]] - hits[first[:-1]]) / np.maximum(counts, 1)
-            shares[i] = np.clip((share - chance) / max(1 - chance, 1e-9), 0, 1)
+        shares, _, has_letter = self.shares(texts)
         best = shares.argmax(axis=0)
         named = [self.languages[i] if letter else UNDECIDED for i, letter in zip(best, has_letter)]
         return named, np.where(has_letter, shares[best, np.arange(len(texts))], 0.0)
@@ -202,20 +213,62 @@ def predict_languages(docs: DataFrame, model: LanguageModel, text: str = "text")
     return docs.select(*names).mapInArrow(predict, schema)
 
 
-def explained(docs: DataFrame, models: list[LanguageModel], least: float, text: str = "text") -> DataFrame:
-    """The rows of `docs` of whose n-grams some model finds at least this share in a language.
-    Null texts and those without a letter have no language."""
+@dataclass
+class Judge:
+    """A model, and for each of its languages the least share that its own texts have."""
+
+    model: LanguageModel
+    least: np.ndarray
+
+    def accepts(self, texts: list[bytes], slack: float = 0.0) -> np.ndarray:
+        """languages x texts: whether a text has the least share. That of n n-grams is known
+        to about 1 / sqrt(n); `slack` of these are let pass."""
+        shares, counts, has_letter = self.model.shares(texts)
+        return (shares >= self.least[:, None] - slack / np.sqrt(np.maximum(counts, 1))) & has_letter
+
+
+def judge(model: LanguageModel, docs: DataFrame, text: str = "text", lang: str = "lang") -> Judge:
+    """Find the least shares on labelled rows from which the model has not learned: half of
+    what all but one in a hundred texts of a language have. A language without such rows has
+    none. The driver receives a number per language."""
+    names = {name: i for i, name in enumerate(model.languages)}
+
+    def own(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, limit=PIECE_BYTES):
+            shares, _, has_letter = model.shares(raw(batch.column("text")))
+            place = np.array([names.get(name, -1) for name in batch.column("lang").to_pylist()], np.int64)
+            at = np.flatnonzero(has_letter & (place >= 0))
+            yield pa.RecordBatch.from_arrays([pa.array(place[at], pa.int64()), pa.array(shares[place[at], at] if len(at) else [], pa.float64())], names=["place", "share"])
+
+    labelled = docs.select(docs[text].alias("text"), docs[lang].alias("lang")).where("text is not null and lang is not null")
+    found = labelled.mapInArrow(own, "place long, share double").groupBy("place").agg(F.percentile_approx("share", OUTLIERS, 10_000).alias("share"))
+    least = np.zeros(len(model.languages))
+    for row in found.collect():
+        least[row["place"]] = LEAST_OF_USUAL * row["share"]
+    return Judge(model, least)
+
+
+def explained(docs: DataFrame, grams: Judge, letters: Judge, text: str = "text") -> DataFrame:
+    """The rows of `docs` that may be of some language, by its n-grams and by its letters.
+
+    A language with so many different n-grams that few are common says nothing by them, and
+    a text of a few letters has too few; letters then decide. Null texts and those without a
+    letter have no language, nor has one in letters that no language learned has."""
     schema = docs.schema
+    places = [letters.model.languages.index(name) if name in letters.model.languages else -1 for name in grams.model.languages]
 
     def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, text, PIECE_BYTES):
-            texts, kept = raw(batch.column(text)), np.zeros(batch.num_rows, bool)
-            for model in models:
-                open_ = np.flatnonzero(~kept)
-                if len(open_):
-                    named, scores = model.predict([texts[i] for i in open_])
-                    kept[open_] = (np.array(named, object) != UNDECIDED) & (scores >= least)
-            yield batch.filter(pa.array(kept))
+            texts = raw(batch.column(text))
+            # a language whose own texts may have no n-gram in common accepts none by these alone
+            kept = (grams.accepts(texts) & (grams.least > 0)[:, None]).any(axis=0)
+            open_ = np.flatnonzero(~kept)
+            if len(open_) and places:
+                rest = [texts[i] for i in open_]
+                spelled = letters.accepts(rest)
+                spelled = np.concatenate([spelled, np.zeros((1, len(rest)), bool)])[places]  # -1 is the last
+                kept[open_] = (grams.accepts(rest, SLACK) & spelled).any(axis=0)
+            yield batch.filter(pa.array(kept, pa.bool_()))
 
     return docs.mapInArrow(choose, schema)
 

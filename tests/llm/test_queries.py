@@ -1,7 +1,9 @@
 """The registered queries at the smallest size, and the pipeline, against plain versions."""
 
 from collections import Counter
+import functools
 import hashlib
+import math
 import random
 import zlib
 
@@ -117,20 +119,36 @@ def test_op10(spark, docs):
 
 def brute_pipeline(rows, items):
     """(doc_id, text) of what the stages before the last keep."""
-    def grams(text):
-        hashes, first, letter = ngrams([text.encode()])
+    @functools.cache
+    def grams(text, letters):
+        hashes, first, letter = ngrams([text.encode()], letters)
         return hashes.tolist(), bool(letter[0])
 
-    counts: dict[str, Counter] = {}
-    for key, text, lang in rows:
-        if brute.crc(key) % 3 != 1 and text is not None and lang is not None and grams(text)[1]:
-            counts.setdefault(lang, Counter()).update(grams(text)[0])
-    common = [{gram for gram, n in count.items() if n >= COMMON * count.total()} for count in counts.values()]
+    def filters(letters):
+        counts: dict[str, Counter] = {}
+        for key, text, lang in rows:
+            if brute.crc(key) % 3 == 0 and text is not None and lang is not None and grams(text, letters)[1]:
+                counts.setdefault(lang, Counter()).update(grams(text, letters)[0])
+        return {lang: {gram for gram, n in count.items() if n >= COMMON * count.total()} for lang, count in counts.items()}
+
+    def share(text, known, letters):
+        found = grams(text, letters)[0]
+        return sum(gram in known for gram in found) / len(found)
+
+    models, least = {n: filters(n) for n in (4, 1)}, {}
+    for n, known in models.items():
+        for lang in known:
+            own = sorted(share(text, known[lang], n) for key, text, of in rows if brute.crc(key) % 3 == 2 and of == lang and text and grams(text, n)[1])
+            least[n, lang] = own[math.ceil(0.01 * len(own)) - 1] / 2 if own else 0
     kept = []
     for key, text, _ in rows:
-        found, letter = grams(text or "")
-        share = max((sum(gram in known for gram in found) / len(found) for known in common), default=0)
-        if letter and share >= corpus_pipeline.LEAST_LANGUAGE:
+        if text is None or not grams(text, 4)[1]:
+            continue
+        accepted = {
+            n: {lang for lang in models[n] if share(text, models[n][lang], n) >= least[n, lang] - slack / math.sqrt(len(grams(text, n)[0]))}
+            for n, slack in ((4, 1.5), (1, 0))
+        }
+        if accepted[4] & accepted[1]:
             kept.append((key, text))
     roots, _ = brute.near([text for _, text in kept])
     least = {}
@@ -175,3 +193,16 @@ def test_short_texts_and_large_alphabets_stay_at_any_size(spark, n):
     given = docs.withColumn("lang", F.when(F.col("doc_id") < 2 * n, F.col("lang")))
     kept = {row.doc_id for row in corpus_pipeline.keep_languages(spark, given, SMALL).collect()}
     assert kept == set(range(2 * n + 2))
+
+
+@pytest.mark.parametrize("n", [60, 2_000])
+def test_nonsense_in_known_letters_goes_at_any_size(spark, n):
+    draw = random.Random(n)
+    words = ["the", "house", "stands", "where", "river", "bends", "and", "people", "cross", "every", "morning", "with", "their", "children", "garden", "market"]
+    rows = [(i, " ".join(draw.choices(words, k=draw.randint(2, 80))), "en") for i in range(n)]
+    nonsense = ["".join(draw.choices("abcdefghijklmnopqrstuvwxyz  ", k=k)) for k in (120, 400, 5_000)]
+    other = ["the garden", "go", "every river bends where people cross"]
+    rows += [(n + i, text, None) for i, text in enumerate(nonsense + other)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    kept = {row.doc_id for row in corpus_pipeline.keep_languages(spark, docs, SMALL).collect()}
+    assert kept == {*range(n), *range(n + 3, n + 6)}
