@@ -2,9 +2,9 @@
 
 Every distinct text has TREES labels of up to DEPTH min-hashes; sorted by label, a tree is a
 prefix trie, and texts with equal prefixes are neighbours. Prefixes start at DEPTH hashes and
-get shorter until the links found make the target recall likely: a link of similarity s is
-found with chance 1 - (1 - s ** depth) ** TREES, so the links that were missed can be
-estimated from those that were not. Neighbours are compared exactly on their sets of
+get shorter until the target recall is likely: a link of similarity s is found with chance
+1 - (1 - s ** depth) ** TREES, so the links that were missed can be estimated from those that
+were not, and the weakest link allowed must reach the target by itself. Neighbours are compared exactly on their sets of
 shingles. Texts of one prefix become a block named after its least text, so a text takes part
 in few blocks, and a large block is cut into pairs of chunks that are compared apart."""
 
@@ -24,7 +24,8 @@ from rolecast.session import saved
 WORDS = 5
 #: Links have a similarity of NEAR / 5 or more.
 NEAR = 4
-TREES = 32
+#: So many that at full depth even a link of exactly NEAR / 5 is missed with a chance of 5e-6.
+TREES = 40
 DEPTH = 6
 RECALL = 0.99999
 #: Shingles and texts of one chunk of a block.
@@ -259,7 +260,8 @@ def near_copies(docs: DataFrame, key: str = "doc_id", text: str = "text", recall
         members = block_members(signed, depth, chunk_shingles, chunk_texts)
         links = saved(verified_links(texts, members, depth), "links")
         sums = links.agg(F.sum("found").alias("found"), F.sum("expected").alias("expected")).first()
-        if not sums.found or sums.found >= recall * sums.expected:
+        weakest = 1 - (1 - (NEAR / 5) ** depth) ** TREES  # strong links are many, but may not hide weak ones
+        if weakest >= recall and (not sums.found or sums.found >= recall * sums.expected):
             break
     counted = links.groupBy("number").agg(F.sum("links").alias("links"))
     classes = components(links.where("root <> number").select("number", "root"))
