@@ -13,24 +13,29 @@ next tier for the parents of its entries. Who asks gets its answers in the order
 questions, so in each sweep only numbers move: tables up, which are the customers of the
 parents, and chances down. At last the parts get the probabilities averaged over the last
 sweeps, and add up the scores of their documents. All tables between are saved; none is held
-by the driver."""
+by the driver.
+
+Entries are sorted by the word before, the second word before and the word, so that lists of
+them are short when each number is written as its step from the one before. The first tier is
+worked on in rounds of buckets, and tables are removed as soon as nothing reads them."""
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass, field
 from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rolecast.llm.languages import held_out
 from rolecast.llm.seating import LEVELS, STRENGTH, draw_tables
 from rolecast.llm.texts import Words, mix, raw, slices
-from rolecast.session import saved
+from rolecast.session import exists, new_path, remove
 
 #: Text bytes of a part, and of the documents for each bucket.
 PART_BYTES = 8_000_000
@@ -45,6 +50,10 @@ START = np.uint64(0xBE5466CF34E90C6C)
 #: this share of a bucket's entries in all are dealt out by word.
 FREQUENT = 1e-3
 HOT = 0.25
+#: Rounds in which the buckets of the first tier are worked on.
+ROUNDS = 4
+#: Whether shuffle files go when the table that they were made for is written.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 #: Kinds of rows, in the order in which a bucket reads them.
 PART, ASKED, STATIC, CHILD, STATE, UP, DOWN, SUMS, FREQUENTS, ONCE, WORDS = range(11)
@@ -53,15 +62,21 @@ SCHEMA = "level int, bucket long, kind int, peer long, x long, y long, " + ", ".
 _FIELDS = [("level", pa.int32()), ("bucket", pa.int64()), ("kind", pa.int32()), *((name, pa.int64()) for name in ("peer", "x", "y")), *((name, pa.binary()) for name in CELLS)]
 
 
+def steps(values: np.ndarray) -> np.ndarray:
+    """Each number less the one before, modulo its width; `np.cumsum` turns it back."""
+    return np.diff(values, prepend=values.dtype.type(0))
+
+
 def packed(values: np.ndarray) -> bytes:
     """Numbers as compressed bytes, the bytes of equal weight together."""
     planes = np.ascontiguousarray(values).view(np.uint8).reshape(len(values), values.itemsize).T
     return zstandard.ZstdCompressor(level=1).compress(planes.tobytes())
 
 
-def unpacked(cell: bytes, kind: str) -> np.ndarray:
+def unpacked(cell: bytes, kind: str, stepped: bool = False) -> np.ndarray:
     planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(cell), np.uint8)
-    return np.ascontiguousarray(planes.reshape(np.dtype(kind).itemsize, -1).T).view(kind).reshape(-1)
+    values = np.ascontiguousarray(planes.reshape(np.dtype(kind).itemsize, -1).T).view(kind).reshape(-1)
+    return np.cumsum(values, dtype=kind) if stepped else values
 
 
 def row(level: int, bucket: int, kind: int, peer: int = 0, x: int = 0, y: int = 0, **cells: np.ndarray) -> pa.RecordBatch:
@@ -69,6 +84,39 @@ def row(level: int, bucket: int, kind: int, peer: int = 0, x: int = 0, y: int =
     return pa.RecordBatch.from_arrays([*numbers, *(pa.array([packed(cells[name]) if name in cells else None], pa.binary()) for name in CELLS)], schema=pa.schema(_FIELDS))
 
 
+@contextmanager
+def shuffles_removed(spark: SparkSession) -> Iterator[None]:
+    before = spark.conf.get(CLEANUP)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(CLEANUP, before)
+
+
+class Table:
+    """Saved rows, in folders by kind and round."""
+
+    def __init__(self, df: DataFrame, label: str):
+        self.spark, self.schema, self.path = df.sparkSession, df.schema, new_path(df.sparkSession, label)
+        turn = F.when((F.col("level") == 2) & (F.col("bucket") >= 0), F.col("bucket") % ROUNDS).otherwise(0)
+        with shuffles_removed(self.spark):
+            df.withColumn("folder", F.col("kind") * ROUNDS + turn).write.partitionBy("folder").parquet(self.path)
+
+    def folders(self, kind: int, turns: Iterable[int]) -> list[str]:
+        paths = [f"{self.path}/folder={kind * ROUNDS + turn}" for turn in turns]
+        return [path for path in paths if exists(self.spark, path)]
+
+    def rows(self, kind: int, *turns: int) -> DataFrame:
+        """The rows of a kind, of some rounds or of all."""
+        paths = self.folders(kind, turns or range(ROUNDS))
+        return self.spark.read.schema(self.schema).parquet(*paths) if paths else self.spark.createDataFrame([], self.schema)
+
+    def drop(self, kind: int, *turns: int) -> None:
+        for path in self.folders(kind, turns or range(ROUNDS)):
+            remove(self.spark, path)
+
+
 def tokens_of(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Hashes of the second word before, of the word before and of each token, and the number
     of tokens of each text. The words of a text in lower case (A to Z only) are followed by
@@ -99,7 +147,7 @@ def folded(columns: list[np.ndarray]) -> np.ndarray:
 
 def distinct(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """A place of each distinct value, in the order of values, and which one each value is."""
-    order = np.argsort(values, kind="stable")
+    order = np.argsort(values)
     new = np.ones(len(values), bool)
     new[1:] = values[order[1:]] != values[order[:-1]]
     which = np.empty(len(values), np.int64)
@@ -107,13 +155,25 @@ def distinct(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return order[new], which
 
 
+def order_of(columns: list[np.ndarray]) -> np.ndarray:
+    """Places of entries by word before, second word before and word, so far as 64 bits tell
+    them apart: it only makes lists shorter."""
+    if len(columns) == 1:
+        return np.argsort(columns[0])
+    bits, key = (32, 32) if len(columns) == 2 else (24, 20, 20), np.uint64(0)
+    for column, width in zip([*columns[-2::-1], columns[-1]], bits):
+        key = key << np.uint64(width) | column >> np.uint64(64 - width)
+    return np.argsort(key)
+
+
 def contexts_of(columns: list[np.ndarray]) -> np.ndarray:
     return np.broadcast_to(folded(columns[:-1]), len(columns[-1]))
 
 
 def shared(contexts: np.ndarray, level: int, hot: np.ndarray) -> np.ndarray:
-    """Whether a restaurant is spread over buckets: the root, and hot words before."""
-    return np.ones(len(contexts), bool) if level == 0 else np.isin(contexts, hot) if level == 1 else np.zeros(len(contexts), bool)
+    """Whether a restaurant is spread over buckets: the root, hot words before, and the one
+    that every document enters first."""
+    return np.ones(len(contexts), bool) if level == 0 else np.isin(contexts, hot if level == 1 else folded([np.array([START])] * 2))
 
 
 def questions(columns: list[np.ndarray], buckets: list[int], hot: np.ndarray) -> tuple[np.ndarray, np.ndarray, list[tuple[int, slice]]]:
@@ -121,30 +181,35 @@ def questions(columns: list[np.ndarray], buckets: list[int], hot: np.ndarray) ->
     buckets with their slices of the distinct ones."""
     level = len(columns) - 1
     first, which = distinct(folded(columns))
+    sorted_ = order_of([column[first] for column in columns])
+    first = first[sorted_]
     chosen = [column[first] for column in columns]
     contexts = contexts_of(chosen)
     spread = np.where(shared(contexts, level, hot), folded(chosen), contexts)
     bucket = ((spread >> np.uint64(32)) * np.uint64(buckets[level]) >> np.uint64(32)).astype(np.int64)
-    order = np.argsort(bucket, kind="stable")
+    order = np.argsort(bucket.astype(np.uint16) if buckets[level] <= 1 << 16 else bucket, kind="stable")
     rank = np.empty(len(order), np.int64)
-    rank[order] = np.arange(len(order))
+    rank[sorted_[order]] = np.arange(len(order))
     bucket = bucket[order]
     edges = [0, *(np.flatnonzero(np.diff(bucket)) + 1).tolist(), len(bucket)]
     return first[order], rank[which], [(int(bucket[start]), slice(start, end)) for start, end in zip(edges, edges[1:]) if end > start]
 
 
 def spelled(columns: list[np.ndarray]) -> dict[str, np.ndarray]:
-    """Columns of hashes as the distinct hashes and their numbers."""
+    """Sorted columns of hashes as the distinct hashes and their numbers; all but words
+    behind two others are steps."""
     both = np.concatenate(columns)
     first, which = distinct(both)
-    return {"a": both[first], "b": which.astype("<i4")}
+    numbers = np.split(which.astype("<u4"), len(columns))
+    return {"a": steps(both[first]), "b": np.concatenate([found if i == 2 else steps(found) for i, found in enumerate(numbers)])}
 
 
 def read(a: bytes, b: bytes, n: int) -> list[np.ndarray]:
-    return np.split(unpacked(a, "<u8")[unpacked(b, "<i4")], n)
+    words = unpacked(a, "<u8", stepped=True)
+    return [words[found if i == 2 else np.cumsum(found, dtype="<u4")] for i, found in enumerate(np.split(unpacked(b, "<u4"), n))]
 
 
-def ask(docs: DataFrame, buckets: list[int]) -> DataFrame:
+def ask(docs: DataFrame, buckets: list[int]) -> Table:
     """The rows of parts, of their questions and of their frequent words before, saved: a
     part's tokens are places in the list of its questions, by bucket."""
     kind = docs.schema["key"].dataType
@@ -175,7 +240,7 @@ def ask(docs: DataFrame, buckets: list[int]) -> DataFrame:
                 yield wide(row(1, -1, FREQUENTS, int(context.view(np.int64)), int(count)))
             yield wide(row(2, -1, SUMS, 0, len(first)))
 
-    return saved(docs.mapInArrow(work, f"{SCHEMA}, keys array<{kind.simpleString()}>, held_out array<boolean>"), "questions")
+    return Table(docs.mapInArrow(work, f"{SCHEMA}, keys array<{kind.simpleString()}>, held_out array<boolean>"), "questions")
 
 
 def grouped(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, dict[int, list[dict]]]]:
@@ -192,22 +257,22 @@ def grouped(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, dict[int,
         yield bucket, held
 
 
-def dealt(frames: list[DataFrame], buckets: int) -> DataFrame:
-    rows = reduce(DataFrame.unionAll, frames)
-    return rows.repartition(buckets, "bucket").sortWithinPartitions("bucket", "kind", "peer")
+def together(frames: Iterable[DataFrame]) -> DataFrame:
+    return reduce(DataFrame.unionAll, (frame.select("level", "bucket", "kind", "peer", "x", "y", *CELLS) for frame in frames))
 
 
-def kinds(rows: DataFrame, *wanted: int, level: int) -> DataFrame:
-    return rows.where(F.col("kind").isin(*wanted) & (F.col("level") == level)).select("level", "bucket", "kind", "peer", "x", "y", *CELLS)
+def dealt(frames: list[DataFrame], buckets: int) -> DataFrame:
+    return together(frames).repartition(buckets, "bucket").sortWithinPartitions("bucket", "kind", "peer")
 
 
-def added(rows: DataFrame, kind: int, level: int) -> dict[int, tuple[int, int]]:
-    sums = kinds(rows, kind, level=level).groupBy("peer").agg(F.sum("x").alias("x"), F.sum("y").alias("y")).collect()
+def added(tables: list[Table], kind: int) -> dict[int, tuple[int, int]]:
+    rows = together(table.rows(kind) for table in tables)
+    sums = rows.groupBy("peer").agg(F.sum("x").alias("x"), F.sum("y").alias("y")).collect()
     return {found.peer: (found.x, found.y) for found in sums}
 
 
-def merged(asked: DataFrame, level: int, buckets: list[int], hot: np.ndarray) -> DataFrame:
-    """Saved rows of all buckets of a tier: what stays (the restaurant, the place of the
+def merged(asked: list[DataFrame], level: int, buckets: list[int], hot: np.ndarray) -> Table:
+    """Saved rows of the buckets of a tier that are asked: what stays (the restaurant, the place of the
     parent and the training tokens of each entry), the entries that each asker asks for, the
     state with one table per word, totals, and questions to the next tier."""
 
@@ -218,23 +283,31 @@ def merged(asked: DataFrame, level: int, buckets: list[int], hot: np.ndarray) ->
             tokens = [unpacked(asker["c"], "<i8" if asker["d"] else "<i4") for asker in given]
             guests = [unpacked(asker["d"], "<i8") for asker in given] if level < 2 else tokens
             first, entry = distinct(folded(columns))
+            order = order_of([column[first] for column in columns])
+            rank = np.empty(len(order), np.int64)
+            rank[order] = np.arange(len(order))
+            first, entry = first[order], rank[entry]
             for asker, which in zip(given, np.split(entry, np.cumsum([len(n) for n in tokens])[:-1])):
-                yield row(level, bucket, CHILD, asker["peer"], a=which.astype("<i4"))
+                yield row(level, bucket, CHILD, asker["peer"], a=steps(which.astype("<i4")))
             columns = [column[first] for column in columns]
             n = np.bincount(entry, np.concatenate(tokens), len(first)).astype("<i8")
             customers = np.bincount(entry, np.concatenate(guests), len(first)).astype("<i8")
             tables = np.minimum(customers, 1)
             contexts = contexts_of(columns)
             places, restaurant = distinct(contexts)
+            order = np.argsort(places)  # restaurants in the order of their entries
+            rank = np.empty(len(order), np.int64)
+            rank[order] = np.arange(len(order))
+            places, restaurant = places[order], rank[restaurant]
             common = np.flatnonzero(shared(contexts[places], level, hot)) if level else np.zeros(1, np.int64)
             common = np.stack([contexts[places][common].view(np.int64), common], axis=1).reshape(-1)
-            stays = {"a": restaurant.astype("<i4"), "d": n, "e": common}
+            stays = {"a": steps(restaurant.astype("<i4")), "d": n, "e": common}
             if level:
                 chosen, parent, asked_of = questions(columns[1:], buckets, hot)
                 up = [np.bincount(parent, values, len(chosen)).astype("<i8") for values in (n, tables)]
                 for number, inside in asked_of:
                     yield row(level - 1, number, ASKED, bucket, c=up[0][inside], d=up[1][inside], **spelled([column[chosen[inside]] for column in columns[1:]]))
-                stays |= {"b": parent.astype("<i4"), "c": np.array([(number, inside.stop - inside.start) for number, inside in asked_of], np.int64).reshape(-1)}
+                stays |= {"b": steps(parent.astype("<i4")), "c": np.array([(number, inside.stop - inside.start) for number, inside in asked_of], np.int64).reshape(-1)}
             yield row(level, bucket, STATIC, **stays)
             tier = Tier(level, bucket, {STATIC: [], CHILD: []}, restaurant, common, customers, tables)
             yield from tier.state()
@@ -242,7 +315,7 @@ def merged(asked: DataFrame, level: int, buckets: list[int], hot: np.ndarray) ->
             if not level:
                 yield row(level, bucket, WORDS, 0, int((n > 0).sum()), int(n.sum()))
 
-    return saved(dealt([kinds(asked, ASKED, level=level)], buckets[level]).mapInArrow(work, SCHEMA), f"tier{level}")
+    return Table(dealt(asked, buckets[level]).mapInArrow(work, SCHEMA), f"tier{level}")
 
 
 @dataclass
@@ -274,8 +347,8 @@ class Tier:
     def of(cls, level: int, bucket: int, rows: dict[int, list[dict]]) -> Tier:
         (stays,), (state,) = rows[STATIC], rows[STATE]
         customers = unpacked(state["a"], "<i8") if state["a"] else unpacked(stays["d"], "<i8")
-        sums = unpacked(state["c"], "<f8") if state["c"] else None
-        return cls(level, bucket, rows, unpacked(stays["a"], "<i4"), unpacked(stays["e"], "<i8"), customers, unpacked(state["b"], "<i8"), sums)
+        sums = unpacked(state["c"], "<f4") if state["c"] else None
+        return cls(level, bucket, rows, unpacked(stays["a"], "<i4", stepped=True), unpacked(stays["e"], "<i8"), customers, unpacked(state["b"], "<i8"), sums)
 
     def state(self) -> Iterator[pa.RecordBatch]:
         """Rows with the customers (if they change) and tables, and totals of spread restaurants."""
@@ -286,13 +359,16 @@ class Tier:
             for context, place in self.common.reshape(-1, 2).tolist():
                 yield row(self.level, self.bucket, SUMS, context, int(customers[place]), int(tables[place]))
 
+    def parent(self) -> np.ndarray:
+        """Of each entry, the place of its parent in the questions."""
+        return unpacked(self.rows[STATIC][0]["b"], "<i4", stepped=True)
+
     def parents(self, cell: str, kind: str) -> np.ndarray:
         """Of each entry, what the parent tier says."""
-        said = np.concatenate([unpacked(found[cell], kind) for found in self.rows[DOWN]])
-        return said[unpacked(self.rows[STATIC][0]["b"], "<i4")]
+        return np.concatenate([unpacked(found[cell], kind) for found in self.rows[DOWN]])[self.parent()]
 
     def below(self, learned: Learned) -> np.ndarray:
-        return self.parents("a", "<f8") if self.level else np.full(len(self.tables), learned.uniform)
+        return self.parents("a", "<f4").astype(float) if self.level else np.full(len(self.tables), learned.uniform)
 
     def whole(self, learned: Learned) -> tuple[np.ndarray, np.ndarray]:
         """Customers and tables of the restaurant of each entry."""
@@ -311,18 +387,18 @@ class Tier:
         in the parent restaurant; the draws depend on the bucket and the sweep, so a task
         that is run again seats everyone as before."""
         if self.level == 2 and sweep > SWEEPS - AVERAGED:
-            self.sums = self.chances(learned) + (0 if self.sums is None else self.sums)
+            self.sums = (self.chances(learned) + (0 if self.sums is None else self.sums)).astype("<f4")
         discount = learned.discounts[self.level]
         new = (STRENGTH + discount * self.whole(learned)[1]) * self.below(learned)
         if self.level < 2:
             self.customers = np.zeros(len(self.tables), np.int64)
             for child, tables in zip(self.rows[CHILD], self.rows[UP], strict=True):
-                self.customers[unpacked(child["a"], "<i4")] += unpacked(tables["a"], "<i8")
+                self.customers[unpacked(child["a"], "<i4", stepped=True)] += unpacked(tables["a"], "<i8")
         self.tables = draw_tables(self.customers, new, discount, np.random.default_rng([self.level, self.bucket, sweep]))
         yield from self.state()
         if self.level:
             stays = self.rows[STATIC][0]
-            sums = np.bincount(unpacked(stays["b"], "<i4"), self.tables).astype("<i8")
+            sums = np.bincount(self.parent(), self.tables).astype("<i8")
             at = 0
             for number, length in unpacked(stays["c"], "<i8").reshape(-1, 2).tolist():
                 yield row(self.level - 1, number, UP, self.bucket, a=sums[at : at + length])
@@ -336,33 +412,39 @@ class Tier:
             chances = np.log10((chances + (0 if self.sums is None else self.sums)) / AVERAGED).astype("<f4")
         n = None if not last else self.parents("b", "<i8") if self.level else unpacked(self.rows[STATIC][0]["d"], "<i8")
         for child in self.rows[CHILD]:
-            which = unpacked(child["a"], "<i4")
-            yield row(self.level + 1, child["peer"], DOWN, self.bucket, a=chances[which], **({"b": n[which]} if last else {}))
+            which = unpacked(child["a"], "<i4", stepped=True)
+            yield row(self.level + 1, child["peer"], DOWN, self.bucket, a=chances[which].astype("<f4"), **({"b": n[which]} if last else {}))
 
 
 class Model:
-    """The tables of the tiers, and the numbers on the driver."""
+    """The tables of the tiers by round, and the numbers on the driver."""
 
-    def __init__(self, asked: DataFrame, buckets: list[int]):
+    def __init__(self, asked: Table, buckets: list[int]):
         self.buckets, self.learned = buckets, Learned()
-        entries = added(asked, SUMS, 2).get(0, (0, 0))[0]
-        frequent = kinds(asked, FREQUENTS, level=1).groupBy("peer").agg(F.sum("x").alias("n")).where(F.col("n") > HOT * entries / buckets[1])
+        entries = added([asked], SUMS).get(0, (0, 0))[0]
+        frequent = asked.rows(FREQUENTS).groupBy("peer").agg(F.sum("x").alias("n")).where(F.col("n") > HOT * entries / buckets[1])
         hot = np.array([found.peer for found in frequent.collect()], np.int64).view(np.uint64)
-        self.tiers: list[DataFrame] = [asked] * LEVELS
-        for level in (2, 1, 0):
-            self.tiers[level] = merged(self.tiers[min(level + 1, 2)] if level < 2 else asked, level, buckets, hot)
-        self.states, self.down = list(self.tiers), list(self.tiers)
+        self.tiers: list[list[Table]] = [[], [], []]
+        for turn in range(ROUNDS):
+            self.tiers[2].append(merged([asked.rows(ASKED, turn)], 2, buckets, hot))
+            asked.drop(ASKED, turn)
+        for level in (1, 0):
+            self.tiers[level] = [merged([table.rows(ASKED) for table in self.tiers[level + 1]], level, buckets, hot)]
+            for table in self.tiers[level + 1]:
+                table.drop(ASKED)
+        self.states = list(self.tiers)
+        self.down: list[Table | None] = [None] * LEVELS
         for level in range(LEVELS):
-            once, twice = added(self.tiers[level], ONCE, level).get(0, (0, 0))
+            once, twice = added(self.tiers[level], ONCE).get(0, (0, 0))
             self.learned.discounts.append(min(max(once / max(once + 2 * twice, 1), 0.05), 0.95))
-            self.learned.totals[level] = added(self.tiers[level], SUMS, level)
-        self.learned.words, self.learned.tokens = added(self.tiers[0], WORDS, 0).get(0, (0, 0))
+            self.learned.totals[level] = added(self.tiers[level], SUMS)
+        self.learned.words, self.learned.tokens = added(self.tiers[0], WORDS).get(0, (0, 0))
         self.learned.uniform = 1 / (self.learned.words + 1)
 
-    def run(self, level: int, work: Callable[[Tier], Iterator[pa.RecordBatch]], children: bool, up: DataFrame | None = None) -> DataFrame:
-        frames = [kinds(self.tiers[level], STATIC, *([CHILD] if children else []), level=level), kinds(self.states[level], STATE, level=level)]
-        frames += [kinds(self.down[level], DOWN, level=level)] if level else []
-        frames += [kinds(up, UP, level=level)] if up is not None else []
+    def run(self, level: int, turn: int, work: Callable[[Tier], Iterator[pa.RecordBatch]], children: bool, up: list[Table]) -> DataFrame:
+        frames = [self.tiers[level][turn].rows(kind, turn) for kind in (STATIC, *([CHILD] if children else []))]
+        frames += [self.states[level][turn].rows(STATE, turn), *(table.rows(UP) for table in up)]
+        frames += [self.down[level].rows(DOWN, turn)] if level else []
 
         def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for bucket, rows in grouped(batches):
@@ -374,22 +456,34 @@ class Model:
         """Chances from the root to the first tier."""
         for level in (0, 1):
             learned = self.learned
-            self.down[level + 1] = saved(self.run(level, lambda tier: tier.tell(learned, last), True), f"down{level}")
+            self.down[level + 1] = Table(self.run(level, 0, lambda tier: tier.tell(learned, last), True, []), f"down{level}")
 
     def sweep(self, number: int) -> None:
         """From the longest context down."""
-        up, learned = None, self.learned
+        up, learned = [], self.learned
         for level in (2, 1, 0):
-            up = saved(self.run(level, lambda tier: tier.seat(learned, number), level < 2, up), f"seats{level}")
-            self.states[level] = up
-        self.learned.totals = [added(rows, SUMS, level) for level, rows in enumerate(self.states)]
-
-    def answers(self) -> DataFrame:
-        learned = self.learned
-        return self.run(2, lambda tier: tier.tell(learned, True), True)
-
-
-def add_up(asked: DataFrame, answers: DataFrame, learned: Learned, key: str) -> DataFrame:
+            new = []
+            for turn, before in enumerate(self.states[level]):
+                new.append(Table(self.run(level, turn, lambda tier: tier.seat(learned, number), level < 2, up), f"seats{level}"))
+                before.drop(STATE)
+                if level:
+                    self.down[level].drop(DOWN, turn)
+            for table in up:
+                table.drop(UP)
+            self.states[level] = up = new
+        self.learned.totals = [added(tables, SUMS) for tables in self.states]
+
+    def answers(self) -> list[Table]:
+        """What the first tier says to parts. The model is of no use afterwards."""
+        learned, said = self.learned, []
+        for turn, (tier, state) in enumerate(zip(self.tiers[2], self.states[2])):
+            said.append(Table(self.run(2, turn, lambda tier: tier.tell(learned, True), True, []), "answers"))
+            for table, kind in ((tier, STATIC), (tier, CHILD), (state, STATE), (self.down[2], DOWN)):
+                table.drop(kind, turn)
+        return said
+
+
+def add_up(asked: Table, answers: list[Table], learned: Learned, key: str) -> DataFrame:
     """Scores of the documents of each part, from its answers in the order of buckets."""
     kind = asked.schema["keys"].dataType.elementType.simpleString()
     unknown = learned.tokens + learned.words + 1
@@ -419,10 +513,11 @@ def add_up(asked: DataFrame, answers: DataFrame, learned: Learned, key: str) ->
                 ]
                 yield pa.RecordBatch.from_arrays(columns, names=[key, "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
 
-    docs = asked.where(F.col("kind") == PART).select("bucket", "kind", "peer", "a", "b", "keys", "held_out")
-    both = docs.unionByName(answers.select("bucket", "kind", "peer", "a", "b"), allowMissingColumns=True)
-    together = both.repartition("bucket").sortWithinPartitions("bucket", F.col("kind").desc(), "peer")
-    return together.mapInArrow(work, f"`{key}` {kind}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
+    docs = asked.rows(PART).select("bucket", "kind", "peer", "a", "b", "keys", "held_out")
+    said = together(table.rows(DOWN) for table in answers).select("bucket", "kind", "peer", "a", "b")
+    both = docs.unionByName(said, allowMissingColumns=True)
+    by_part = both.repartition("bucket").sortWithinPartitions("bucket", F.col("kind").desc(), "peer")
+    return by_part.mapInArrow(work, f"`{key}` {kind}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
 
 
 def document_scores(docs: DataFrame, key: str = "doc_id", text: str = "text", parts: int = 7, part: int = 2) -> DataFrame:

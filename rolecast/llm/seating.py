@@ -1,32 +1,19 @@
-"""Seating of a hierarchical Pitman-Yor model over words, for some of the words.
+"""Tables of words in the restaurants of a hierarchical Pitman-Yor model.
 
-A context restaurant stands for the last two bytes of the word before; its parent for the
-last byte; that one's parent for no context; and the root's parent is uniform over the known
-words and one unknown word. A customer at a restaurant is a word; each of its tables is a
-customer of the parent. All tables of a word are seated together, while the number of tables
-of whole restaurants is known from the sweep before."""
+A customer at a restaurant is a word; each of its tables is a customer of the parent. All
+tables of a word are seated together, while the number of tables of whole restaurants is
+known from the sweep before."""
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
-
 import numpy as np
 
-LEVELS = 3  # none, one byte, two bytes
-CONTEXTS = (1, 1 << 8, 1 << 16)
+LEVELS = 3  # no word before, one, two
 STRENGTH = 1.0
 #: Customers of a word that are seated one by one; later ones in groups that double.
 SINGLY = 16
 
 
-@dataclass
-class Totals:
-    """Customers and tables of whole restaurants, per level and context."""
-
-    customers: list[np.ndarray] = field(default_factory=lambda: [np.zeros(n, np.int64) for n in CONTEXTS])
-    tables: list[np.ndarray] = field(default_factory=lambda: [np.zeros(n, np.int64) for n in CONTEXTS])
-
-
 def table_weights(discount: float) -> list[np.ndarray]:
     """For c = 0 .. SINGLY customers: weights of t = 0 .. c tables, before the weight of a
     new table (generalised Stirling numbers, each row scaled to a maximum of one)."""
@@ -61,53 +48,3 @@ def draw_tables(customers: np.ndarray, new: np.ndarray, discount: float, draw: n
         done[at] += group
         at = at[done[at] < customers[at]]
     return tables
-
-
-class Seating:
-    """Words with their contexts: word and context of each entry, sorted, and its customers."""
-
-    def __init__(self, word: np.ndarray, context: np.ndarray, customers: np.ndarray):
-        n = int(word[-1]) + 1 if len(word) else 0
-        self.context = [np.zeros(n, np.int64), None, context.astype(np.int64)]
-        middle, inside = np.unique(word * CONTEXTS[1] + self.context[2] % CONTEXTS[1], return_inverse=True)
-        self.context[1] = middle % CONTEXTS[1]
-        self.parent = [None, middle // CONTEXTS[1], inside]  # entry of the level below
-        self.customers = [None, None, customers.astype(np.int64)]
-        self.tables = [None, None, None]
-        self._seat([np.minimum(1, self.customers[2])])
-
-    def _seat(self, tables: list[np.ndarray]) -> None:
-        """Given the tables at the top, one table per word further down."""
-        self.tables[2] = tables[0]
-        for level in (1, 0):
-            self.customers[level] = np.bincount(self.parent[level + 1], self.tables[level + 1], len(self.context[level])).astype(np.int64)
-            self.tables[level] = np.minimum(1, self.customers[level])
-
-    def totals(self) -> Totals:
-        found = Totals()
-        for level in range(LEVELS):
-            for mine, all_ in ((self.customers, found.customers), (self.tables, found.tables)):
-                all_[level] = np.bincount(self.context[level], mine[level], CONTEXTS[level]).astype(np.int64)
-        return found
-
-    def chances(self, totals: Totals, discounts: list[float], uniform: float) -> list[np.ndarray]:
-        """Predictive probability of the word of each entry in its context, per level."""
-        found, below = [], uniform
-        for level, discount in enumerate(discounts):
-            tables, customers = totals.tables[level][self.context[level]], totals.customers[level][self.context[level]]
-            if level:
-                below = found[-1][self.parent[level]]
-            own = self.customers[level] - discount * self.tables[level]
-            found.append((own + (STRENGTH + discount * tables) * below) / (STRENGTH + customers))
-        return found
-
-    def sweep(self, totals: Totals, discounts: list[float], uniform: float, draw: np.random.Generator) -> None:
-        """Seat all customers anew, from the longest context down, each word given the tables
-        of all others and its chances in the parent restaurants."""
-        chances = self.chances(totals, discounts, uniform)
-        for level in (2, 1, 0):
-            if level < 2:
-                self.customers[level] = np.bincount(self.parent[level + 1], self.tables[level + 1], len(self.context[level])).astype(np.int64)
-            below = chances[level - 1][self.parent[level]] if level else np.full(len(self.context[0]), uniform)
-            new = (STRENGTH + discounts[level] * totals.tables[level][self.context[level]]) * below
-            self.tables[level] = draw_tables(self.customers[level], new, discounts[level], draw)

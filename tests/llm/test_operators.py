@@ -320,8 +320,8 @@ def test_language_model_chances_add_up(spark, mixed, hot, monkeypatch):
         model.tell(last=False)
         model.sweep(sweep)
     model.tell(last=True)
-    (part,) = asked.where(f"kind = {language_model.PART}").collect()
-    answers = sorted(model.answers().select("peer", "a").collect())
+    (part,) = asked.rows(language_model.PART).collect()
+    answers = sorted(row for table in model.answers() for row in table.rows(language_model.DOWN).select("peer", "a").collect())
     scores = np.concatenate([language_model.unpacked(bytes(row.a), "<f4") for row in answers])
     lengths, tokens = (language_model.unpacked(bytes(cell), "<i4") for cell in (part.a, part.b))
     second = (np.cumsum(lengths) - lengths + 1)[np.array(part.held_out)]

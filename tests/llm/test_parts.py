@@ -17,8 +17,8 @@ from rolecast.llm.leaks import Items, budget, fewest_edits, normal, points_of
 from rolecast.llm.near_copies import intersections, shingles, signatures
 from rolecast.llm.perfect_hash import PerfectHash
 from rolecast.llm.quality import Forest, repeat_words, usual_path
-from rolecast.llm.seating import CONTEXTS, Seating, draw_tables, table_weights
-from rolecast.llm.texts import Words, mix, unused, window_hashes
+from rolecast.llm.seating import draw_tables, table_weights
+from rolecast.llm.texts import Words, unused, window_hashes
 from rolecast.llm.token_counts import counter, drops_spaces
 from rolecast.llm.token_files import NULL, Shard, key_hashes, pack
 
@@ -250,20 +250,3 @@ def test_table_draws():
     assert (tables <= customers).all() and (tables[customers > 0] >= 1).all()
     two = tables[customers == 2]
     assert abs((two == 2).mean() - 0.5) < 0.05
-
-
-def test_seating_gives_probabilities():
-    draw = np.random.default_rng(1)
-    word, context = np.unique(np.stack([draw.integers(0, 30, 300), draw.integers(0, 5, 300) * 257]), axis=1)
-    seating = Seating(word, context, draw.integers(0, 40, len(word)))
-    discounts, uniform = [0.4, 0.5, 0.6], 1 / 31
-    for sweep in range(3):
-        seating.sweep(seating.totals(), discounts, uniform, np.random.default_rng(sweep))
-        totals = seating.totals()
-        assert (seating.tables[2] <= seating.customers[2]).all() and totals.customers[0][0] == totals.tables[1].sum()
-    root = seating.chances(totals, discounts, uniform)[0]
-    known = np.zeros(30)
-    known[: len(root)] = root
-    unknown = (1 + discounts[0] * totals.tables[0][0]) * uniform / (1 + totals.customers[0][0])
-    assert abs(known.sum() + unknown + (30 - (known > 0).sum()) * unknown - 1) < 1e-9
-    assert len(totals.tables[2]) == CONTEXTS[2] and mix(np.zeros(1, np.uint64))[0] == 0
