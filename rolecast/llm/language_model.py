@@ -50,8 +50,9 @@ START = np.uint64(0xBE5466CF34E90C6C)
 #: this share of a bucket's entries in all are dealt out by word.
 FREQUENT = 1e-3
 HOT = 0.25
-#: Rounds in which the buckets of the first tier are worked on.
-ROUNDS = 4
+#: Rounds in which the buckets of the first tier are worked on, and how many of them a sweep takes at once.
+ROUNDS = 8
+AT_ONCE = 4
 #: Whether shuffle files go when the table that they were made for is written.
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
@@ -62,6 +63,13 @@ SCHEMA = "level int, bucket long, kind int, peer long, x long, y long, " + ", ".
 _FIELDS = [("level", pa.int32()), ("bucket", pa.int64()), ("kind", pa.int32()), *((name, pa.int64()) for name in ("peer", "x", "y")), *((name, pa.binary()) for name in CELLS)]
 
 
+def rows_of(tables: list[Table], kind: int, *turns: int) -> DataFrame:
+    """The rows of a kind, of some rounds or of all."""
+    paths = [path for table in tables for path in table.folders(kind, turns or range(ROUNDS))]
+    spark, schema = tables[0].spark, tables[0].schema
+    return spark.read.schema(schema).parquet(*paths) if paths else spark.createDataFrame([], schema)
+
+
 def steps(values: np.ndarray) -> np.ndarray:
     """Each number less the one before, modulo its width; `np.cumsum` turns it back."""
     return np.diff(values, prepend=values.dtype.type(0))
@@ -108,9 +116,7 @@ class Table:
         return [path for path in paths if exists(self.spark, path)]
 
     def rows(self, kind: int, *turns: int) -> DataFrame:
-        """The rows of a kind, of some rounds or of all."""
-        paths = self.folders(kind, turns or range(ROUNDS))
-        return self.spark.read.schema(self.schema).parquet(*paths) if paths else self.spark.createDataFrame([], self.schema)
+        return rows_of([self], kind, *turns)
 
     def drop(self, kind: int, *turns: int) -> None:
         for path in self.folders(kind, turns or range(ROUNDS)):
@@ -266,8 +272,7 @@ def dealt(frames: list[DataFrame], buckets: int) -> DataFrame:
 
 
 def added(tables: list[Table], kind: int) -> dict[int, tuple[int, int]]:
-    rows = together(table.rows(kind) for table in tables)
-    sums = rows.groupBy("peer").agg(F.sum("x").alias("x"), F.sum("y").alias("y")).collect()
+    sums = rows_of(tables, kind).groupBy("peer").agg(F.sum("x").alias("x"), F.sum("y").alias("y")).collect()
     return {found.peer: (found.x, found.y) for found in sums}
 
 
@@ -429,7 +434,7 @@ class Model:
             self.tiers[2].append(merged([asked.rows(ASKED, turn)], 2, buckets, hot))
             asked.drop(ASKED, turn)
         for level in (1, 0):
-            self.tiers[level] = [merged([table.rows(ASKED) for table in self.tiers[level + 1]], level, buckets, hot)]
+            self.tiers[level] = [merged([rows_of(self.tiers[level + 1], ASKED)], level, buckets, hot)]
             for table in self.tiers[level + 1]:
                 table.drop(ASKED)
         self.states = list(self.tiers)
@@ -441,10 +446,10 @@ class Model:
         self.learned.words, self.learned.tokens = added(self.tiers[0], WORDS).get(0, (0, 0))
         self.learned.uniform = 1 / (self.learned.words + 1)
 
-    def run(self, level: int, turn: int, work: Callable[[Tier], Iterator[pa.RecordBatch]], children: bool, up: list[Table]) -> DataFrame:
-        frames = [self.tiers[level][turn].rows(kind, turn) for kind in (STATIC, *([CHILD] if children else []))]
-        frames += [self.states[level][turn].rows(STATE, turn), *(table.rows(UP) for table in up)]
-        frames += [self.down[level].rows(DOWN, turn)] if level else []
+    def run(self, level: int, turns: range, work: Callable[[Tier], Iterator[pa.RecordBatch]], children: bool, up: list[Table]) -> DataFrame:
+        read = [(self.tiers[level], STATIC), (self.states[level], STATE)]
+        read += ([(self.tiers[level], CHILD)] if children else []) + ([([self.down[level]], DOWN)] if level else [])
+        frames = [rows_of(tables, kind, *turns) for tables, kind in read] + ([rows_of(up, UP)] if up else [])
 
         def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for bucket, rows in grouped(batches):
@@ -452,22 +457,25 @@ class Model:
 
         return dealt(frames, self.buckets[level]).mapInArrow(each, SCHEMA)
 
+    def drop(self, level: int, turns: range, *gone: int) -> None:
+        for table in {*self.tiers[level], *self.states[level], *([self.down[level]] if level else [])}:
+            for kind in gone:
+                table.drop(kind, *turns)
+
     def tell(self, last: bool) -> None:
         """Chances from the root to the first tier."""
         for level in (0, 1):
             learned = self.learned
-            self.down[level + 1] = Table(self.run(level, 0, lambda tier: tier.tell(learned, last), True, []), f"down{level}")
+            self.down[level + 1] = Table(self.run(level, range(1), lambda tier: tier.tell(learned, last), True, []), f"down{level}")
 
     def sweep(self, number: int) -> None:
         """From the longest context down."""
         up, learned = [], self.learned
         for level in (2, 1, 0):
             new = []
-            for turn, before in enumerate(self.states[level]):
-                new.append(Table(self.run(level, turn, lambda tier: tier.seat(learned, number), level < 2, up), f"seats{level}"))
-                before.drop(STATE)
-                if level:
-                    self.down[level].drop(DOWN, turn)
+            for turns in [range(at, at + AT_ONCE) for at in range(0, ROUNDS, AT_ONCE)] if level == 2 else [range(1)]:
+                new.append(Table(self.run(level, turns, lambda tier: tier.seat(learned, number), level < 2, up), f"seats{level}"))
+                self.drop(level, turns, STATE, DOWN)
             for table in up:
                 table.drop(UP)
             self.states[level] = up = new
@@ -476,10 +484,11 @@ class Model:
     def answers(self) -> list[Table]:
         """What the first tier says to parts. The model is of no use afterwards."""
         learned, said = self.learned, []
-        for turn, (tier, state) in enumerate(zip(self.tiers[2], self.states[2])):
-            said.append(Table(self.run(2, turn, lambda tier: tier.tell(learned, True), True, []), "answers"))
-            for table, kind in ((tier, STATIC), (tier, CHILD), (state, STATE), (self.down[2], DOWN)):
-                table.drop(kind, turn)
+        for turn in range(ROUNDS):
+            said.append(Table(self.run(2, range(turn, turn + 1), lambda tier: tier.tell(learned, True), True, []), "answers"))
+            self.drop(2, range(turn, turn + 1), STATIC, CHILD, STATE, DOWN)
+        for level in (1, 0):
+            self.drop(level, range(1), STATIC, CHILD, STATE, DOWN)
         return said
 
 
@@ -514,7 +523,7 @@ def add_up(asked: Table, answers: list[Table], learned: Learned, key: str) -> Da
                 yield pa.RecordBatch.from_arrays(columns, names=[key, "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
 
     docs = asked.rows(PART).select("bucket", "kind", "peer", "a", "b", "keys", "held_out")
-    said = together(table.rows(DOWN) for table in answers).select("bucket", "kind", "peer", "a", "b")
+    said = rows_of(answers, DOWN).select("bucket", "kind", "peer", "a", "b")
     both = docs.unionByName(said, allowMissingColumns=True)
     by_part = both.repartition("bucket").sortWithinPartitions("bucket", F.col("kind").desc(), "peer")
     return by_part.mapInArrow(work, f"`{key}` {kind}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
