@@ -24,7 +24,7 @@ from rolecast.operators.numbering import assign_chunks
 from rolecast.operators.replies import parse_reply_lines
 from rolecast.operators.requests import render_chunks, request_documents
 from rolecast.plans.online import read_replies, run_online, wave_log
-from rolecast.session import new_path, saved
+from rolecast.session import new_path, saved, scratch
 from rolecast.sinks.outputs import save_outputs, write_csv, write_lines
 from rolecast.sources.archive import read_archives, unpack_archives
 from rolecast.sources.contacts import read_contacts, read_csv_contacts, read_skipped, union_sheets
@@ -155,6 +155,7 @@ def src_archive_files(spark, sf):
 
 
 WIDE = 40_000
+ROUND_BYTES = 2 << 30
 WIDE_SQL = f"""repeat(coalesce(text, '') || chr(10) || '"a, b"' || chr(10), cast(1 + {WIDE} // (10 + length(coalesce(text, ''))) as int))"""
 
 
@@ -164,14 +165,31 @@ WIDE_SQL = f"""repeat(coalesce(text, '') || chr(10) || '"a, b"' || chr(10), cast
 )
 def src_csv_split(spark, sf):
     """Files larger than a split whose cells hold line breaks and quotes: each is many tasks,
-    and many records lie across the edges of splits."""
-    rows = base(spark, sf, "documents").select(
-        F.col("doc_id").cast("string").alias("Record ID"), F.col("source").alias("Company"), F.expr(WIDE_SQL.replace("//", "div").replace("chr(", "char(")).alias("Job Title")
-    )
-    path = new_path(spark, "csv")
-    write_csv(rows.coalesce(max(1, spark.sparkContext.defaultParallelism // 4)), path)
-    read = read_csv_contacts(spark, path)
-    return read.select("prospect_id", "company", F.length("job_title").alias("n_chars"), F.md5("job_title").alias("digest"))
+    and many records lie across the edges of splits.
+
+    The files are some twenty times the documents, so these are dealt to rounds of about
+    `ROUND_BYTES` of files, and the files of a round go once their digests are saved."""
+    documents = base(spark, sf, "documents").select("doc_id", "source", "text")
+    repeats = F.expr(f"1 + {WIDE} div (10 + length(coalesce(text, '')))")
+    size = documents.agg(F.sum((F.coalesce(F.octet_length("text"), F.lit(0)) + 10) * repeats)).first()[0] or 0
+    rounds = 1 + size // ROUND_BYTES
+    dealt, digests = new_path(spark, "dealt"), new_path(spark, "digests")
+    placed = documents.withColumn("round", F.pmod(F.xxhash64("doc_id", "source", "text"), F.lit(rounds)))
+    placed.write.partitionBy("round").parquet(dealt)
+    names = "prospect_id string, company string, n_chars int, digest string"
+    spark.createDataFrame([], names).write.parquet(digests)
+    for number in range(rounds):
+        own = spark.read.schema(placed.schema).parquet(dealt).filter(F.col("round") == number)
+        rows = own.select(
+            F.col("doc_id").cast("string").alias("Record ID"), F.col("source").alias("Company"), F.expr(WIDE_SQL.replace("//", "div").replace("chr(", "char(")).alias("Job Title")
+        )
+        with scratch(spark):
+            path = new_path(spark, "csv")
+            write_csv(rows.coalesce(max(1, spark.sparkContext.defaultParallelism // 4)), path)
+            read = read_csv_contacts(spark, path)
+            told = read.select("prospect_id", "company", F.length("job_title").alias("n_chars"), F.md5("job_title").alias("digest"))
+            told.write.mode("append").parquet(digests)
+    return spark.read.schema(names).parquet(digests)
 
 
 @query(

@@ -4,11 +4,15 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 _LOCAL_DIRS: dict[str, str] = {}
+_SCRATCH: ContextVar[str | None] = ContextVar("scratch", default=None)
 
 
 def build_session(app: str = "rolecast", master: str | None = None, **conf: str) -> SparkSession:
@@ -48,7 +52,21 @@ def run_dir(spark: SparkSession) -> str:
 
 def new_path(spark: SparkSession, label: str) -> str:
     """A path in the run's folder that nobody has used yet."""
-    return f"{run_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    return f"{_SCRATCH.get() or run_dir(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[str]:
+    """A folder that takes all intermediate tables of the block and is removed at its end, so
+    that work in rounds needs the disk of one round. What is to stay is written to a path
+    from before the block."""
+    path = new_path(spark, "scratch")
+    token = _SCRATCH.set(path)
+    try:
+        yield path
+    finally:
+        _SCRATCH.reset(token)
+        remove(spark, path)
 
 
 def end_run(spark: SparkSession) -> None:

@@ -116,3 +116,24 @@ def test_empty_files(spark, tmp_path):
 
 def test_header_names():
     assert header_names('a,"b, c",,A,a\r') == ["a", "b, c", "_c2", "A3", "a4"]
+
+
+def test_rounds_of_wide_files_leave_no_files(spark, tmp_path, monkeypatch):
+    """Files of earlier rounds are gone, and no document is lost or told twice."""
+    from pathlib import Path
+
+    from catalogue import source_queries as Q
+    from rolecast.session import run_dir
+
+    texts = ["one", 'two "quoted"\nlines', "", None] + [f"text {i}" for i in range(20)] + ["same"] * 3
+    made = [(i, None if i == 5 else "web", text) for i, text in enumerate(texts)] + [(None, "web", "no id")]
+    spark.createDataFrame(made, "doc_id long, source string, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    monkeypatch.setattr(Q, "ROUND_BYTES", 700_000)
+    files = lambda: {str(path) for path in Path(run_dir(spark)).rglob("*.csv")}
+    before = files()
+    found = {row["prospect_id"]: (row["company"], row["n_chars"]) for row in Q.src_csv_split(spark, str(tmp_path)).collect()}
+    assert files() == before
+    assert len(found) == len(made)
+    for doc_id, source, text in made:
+        unit = len(text or "") + 8
+        assert found["" if doc_id is None else str(doc_id)] == (source or "", unit * (1 + 40_000 // (10 + len(text or ""))))
