@@ -20,6 +20,8 @@ from rolecast.session import finished, saved
 REPLY_ORDER = ("night", "pass_no", "chunk_id", "line_no")
 #: Chunks of a wave for each call that runs at a time.
 CHUNKS_PER_CALL = 50
+#: Waves in which a pass asks for everyone with chunks of the largest size, at most.
+WAVES_PER_PASS = 64
 TODO_SCHEMA = "prospect_id string, job_title string, row_no long, block long"
 PARSED_SCHEMA = "pass_no int, chunk_id long, line_no int, prospect_id string, persona string, persona_certainty string"
 
@@ -130,11 +132,13 @@ def collect_replies(
     and parse what comes back.
 
     `asked` is a staged table with one row per id. A run that was cut off goes on after its
-    last finished wave. `call_options` go to `ask_chunks`.
+    last finished wave. A wave has `chunks_per_wave` chunks, more if a pass would otherwise
+    take over `WAVES_PER_PASS` of them: waves run one after the other and each has jobs of its
+    own, so their number must not grow with the table. `call_options` go to `ask_chunks`.
     """
     spark = asked.sparkSession
     calls = call_options.get("calls_in_parallel") or spark.sparkContext.defaultParallelism
-    chunks_per_wave = chunks_per_wave or CHUNKS_PER_CALL * calls
+    chunks_per_wave = max(chunks_per_wave or CHUNKS_PER_CALL * calls, asked.count() // (max_chunk * WAVES_PER_PASS))
     width = max_chunk * chunks_per_wave
     parsed, size = spark.createDataFrame([], PARSED_SCHEMA), max_chunk
     for pass_no in range(1, max_passes + 1):

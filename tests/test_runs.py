@@ -327,3 +327,16 @@ def test_a_summary_comes_from_the_write(spark, tmp_path):
     summary = write_decisions(decided, str(tmp_path / "d"))
     assert rows(summary) == [(6, 2, 4, 1, 1, 2)] and seen.value == 6
     assert spark.read.parquet(str(tmp_path / "d")).count() == 6 and seen.value == 6
+
+
+def test_number_of_waves_does_not_grow_with_the_table(spark, tmp_path, monkeypatch):
+    """A run with few chunks a wave has at most so many waves a pass, and asks everyone once."""
+    from rolecast.plans import online
+
+    monkeypatch.setattr(online, "WAVES_PER_PASS", 3, raising=False)
+    made = [(str(i), f"u{i}@x.example", "Data Analyst", i) for i in range(120)]
+    contacts = spark.createDataFrame(made, "prospect_id string, email string, job_title string, seq long")
+    decided = online.run_online(contacts, rule_replies(), str(tmp_path), max_chunk=10, chunks_per_wave=1, calls_in_parallel=2, policy=QUIET)
+    assert decided.filter("skip_reason is null").count() == 120
+    log = online.wave_log(online.read_replies(spark, f"{tmp_path}/replies")).collect()
+    assert sorted((row["wave"], row["n_chunks"], row["n_rows"]) for row in log) == [(0, 4, 40), (1, 4, 40), (2, 4, 40)]
