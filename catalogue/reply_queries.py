@@ -187,10 +187,10 @@ def rep_last_files(spark, sf):
     """Output in folders of very different sizes, several files each: the later file wins,
     however Spark packs them."""
     part, padding = F.lpad(F.col("line_no").cast("string"), 4, "0"), F.expr("repeat(' ', line_no % 3 * 200)")
-    lines = fixture(spark, sf, "batch_output").select("line", F.concat("line", padding).alias("value"), part.alias("part"))
-    ordered = lines.repartitionByRange("part", "line").sortWithinPartitions("part", "line").drop("line")
-    path = new_path(spark, "outputs")
-    ordered.write.partitionBy("part").text(path)
+    lines = fixture(spark, sf, "batch_output").select("line", "line_no", part.alias("part"))
+    ordered = lines.repartitionByRange("part", "line").sortWithinPartitions("part", "line")
+    path = new_path(spark, "outputs")  # padded after the shuffle, and packed: more than half is padding
+    ordered.select(F.concat("line", padding).alias("value"), "part").write.partitionBy("part").text(path, compression="gzip")
     envelopes = replies.parse_envelopes(read_lines(spark, path), keep=("line_no",))
     return replies.last_results(envelopes, ["line_no"]).select("prospect_id", "content", "error").filter("prospect_id <> ''")
 
