@@ -20,7 +20,8 @@ def parse_reply_lines(replies: DataFrame, keep: Sequence[str] = ("chunk_id",), c
     Cells after the fourth are cut, missing and empty ones are null, quoted commas belong to
     their cell, and a broken line harms no other line.
     """
-    lines = replies.select(*keep, F.posexplode(F.split(F.col(column), "\r?\n")).alias("line_no", "line"))
+    ends = F.replace(F.col(column), F.lit("\r\n"), F.lit("\n"))  # a split by one character needs no pattern
+    lines = replies.select(*keep, F.posexplode(F.split(ends, "\n")).alias("line_no", "line"))
     fields = ", ".join(f"{name} STRING" for name in S.REPLY_COLUMNS) + ", irregular STRING"
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "irregular", "escape": '"'}
     parsed = (
@@ -39,9 +40,10 @@ def _first_cells(line: Column) -> Column:
     than some twenty thousand cells, and the fifth already tells that a line is long. A line
     without a fifth cell, or with a quote that is left open, stays whole. Quantifiers are
     possessive, so a quoted cell is never read as an unquoted one."""
-    commas = F.length(line) - F.length(F.replace(line, F.lit(","), F.lit("")))
-    start = F.regexp_extract(line, '^((?:(?:"(?:[^"]++|"")*+"[^,]*+|[^,"][^,]*+|),){4}[^,]*)', 1)
-    return F.when((commas > 1_000) & (start != ""), start).otherwise(line)
+    very_many = F.octet_length(F.substring_index(line, ",", 1_001)) < F.octet_length(line)
+    # One pattern with the whole line as its other way, so that it is looked for once.
+    start = F.regexp_extract(line, '^(?:(?:(?:"(?:[^"]++|"")*+"[^,]*+|[^,"][^,]*+|),){4}[^,]*|(?s:.*))', 0)
+    return F.when(very_many, start).otherwise(line)
 
 
 def tidy_replies(parsed: DataFrame) -> DataFrame:

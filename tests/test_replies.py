@@ -119,3 +119,31 @@ def test_plans_stay_in_the_jvm(spark):
     lines = spark.createDataFrame([(1, "x")], "line_no int, line string")
     for df in (batch_results(lines), R.parse_reply_lines(spark.createDataFrame([(1, "x")], "chunk_id int, reply string"))):
         assert "Python" not in plan_of(df) and "ArrowEval" not in plan_of(df)
+
+
+def test_lines_are_looked_through_once(spark):
+    """One look for the fifth cell of a line, and line ends as before: a carriage return belongs
+    to the line feed after it, others to their line."""
+    made = spark.createDataFrame([(1, "1,a,b,9\r\n2,c,d,8\n\r\r\n3,e,f,7\r"), (2, None), (3, "")], "chunk_id long, reply string")
+    parsed = R.parse_reply_lines(made)
+    assert plan_of(parsed).count("regexp_extract(") == 1
+    found = sorted((row["line_no"], row["prospect_id"], row["persona_certainty"]) for row in parsed.filter("prospect_id is not null").collect())
+    assert [(number, cell) for number, cell, _ in found] == [(0, "1"), (1, "2"), (3, "3")]
+
+
+def test_output_files_take_less_disk_than_their_lines(spark, tmp_path):
+    """Files of output lines are packed, and the later file still wins."""
+    from pathlib import Path
+
+    from catalogue.reply_queries import rep_last_files
+    from rolecast.session import run_dir
+
+    item = "l_orderkey long, l_partkey long, l_linenumber int, l_quantity double, l_discount double, l_tax double, l_returnflag string, l_linestatus string"
+    made = [(order, 1, line, 7.0, 0.06 if line < 5 else 0.03, 0.0, "A", "F") for order in range(40) for line in range(1, 6)]
+    spark.createDataFrame(made, item).write.parquet(f"{tmp_path}/lineitem.parquet")
+    files = lambda: {path for path in Path(run_dir(spark)).rglob("part=*/part-*")}
+    before = files()
+    found = rep_last_files(spark, str(tmp_path)).collect()
+    assert sorted(row["prospect_id"] for row in found) == sorted(str(order) for order in range(40))
+    assert all("Data User" in row["content"] for row in found)
+    assert sum(path.stat().st_size for path in files() - before) < 20_000  # 34,400 of padding alone
