@@ -116,23 +116,38 @@ def _prepare(df):
 LONG = 131_073  # longer than the usual limit of a CSV cell
 
 
+ARCHIVE_CHARS = 32_000_000
+
+
+def _quoted(cells: list[str | None], times: int = 1) -> str:
+    """Cells of a CSV table, the second of them so many times over."""
+    texts = ['"' + (cell or "").replace('"', '""') * (times if i == 1 else 1) + '"' for i, cell in enumerate(cells)]
+    return ",".join(texts) + "\r\n"
+
+
 def _pack_files(folder: str):
-    """Writes one archive per Arrow batch to `folder`, which all executors reach."""
+    """Writes archives of about `ARCHIVE_CHARS` each to `folder`, which all executors reach.
+    Titles are repeated here until they are longer than `LONG`."""
 
     def pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         from pyarrow import fs
 
         for batch in batches:
-            table = io.StringIO()
-            csv.writer(table).writerows([batch.columns.tolist(), *batch.itertuples(index=False)])
-            packed = io.BytesIO()
-            with zipfile.ZipFile(packed, "w", zipfile.ZIP_DEFLATED) as archive:
-                archive.writestr(S.ARCHIVE_MEMBER, table.getvalue())
-            store, path = fs.FileSystem.from_uri(f"{folder}/export-{uuid.uuid4().hex}.zip")
-            store.create_dir(path.rpartition("/")[0], recursive=True)
-            with store.open_output_stream(path) as out:
-                out.write(packed.getvalue())
-            yield pd.DataFrame({"path": [path]})
+            rows = batch.itertuples(index=False)
+            row = next(rows, None)
+            while row is not None:
+                packed, chars = io.BytesIO(), 0
+                with zipfile.ZipFile(packed, "w", zipfile.ZIP_DEFLATED) as archive, archive.open(S.ARCHIVE_MEMBER, "w") as table:
+                    table.write(_quoted(batch.columns.tolist()).encode())
+                    while row is not None and chars < ARCHIVE_CHARS:
+                        line = _quoted(list(row), 1 + LONG // max(1, len(row[1] or "")))
+                        table.write(line.encode())
+                        chars, row = chars + len(line), next(rows, None)
+                store, path = fs.FileSystem.from_uri(f"{folder}/export-{uuid.uuid4().hex}.zip")
+                store.create_dir(path.rpartition("/")[0], recursive=True)
+                with store.open_output_stream(path) as out:
+                    out.write(packed.getvalue())
+                yield pd.DataFrame({"path": [path]})
 
     return pack
 
@@ -143,9 +158,8 @@ def _pack_files(folder: str):
 )
 def src_archive_files(spark, sf):
     """Zipped exports as files: very long cells, and columns that the library does not know."""
-    text = F.expr(f"repeat(text, cast(1 + {LONG} div greatest(length(text), 1) as int))")
     rows = base(spark, sf, "documents").select(
-        F.col("doc_id").cast("string").alias("Record ID"), text.alias("Job Title"), F.col("lang").alias("Lead Language"), F.col("source").alias("Lead Source")
+        F.col("doc_id").cast("string").alias("Record ID"), F.col("text").alias("Job Title"), F.col("lang").alias("Lead Language"), F.col("source").alias("Lead Source")
     )
     folder = new_path(spark, "archives")
     paths = saved(rows.mapInPandas(_pack_files(folder), "path string"), "packed")

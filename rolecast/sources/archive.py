@@ -18,6 +18,7 @@ from rolecast.operators.clean import clean_null_tokens, rename_id
 HEADER_SCHEMA = "path string, name string, place int"
 ROWS_SCHEMA = "path string, row_no long, cells array<string>, surplus string"
 ROWS_PER_BATCH = 5_000
+CHARS_PER_BATCH = 16_000_000
 ID_COLUMNS = ("Prospect Id", "Record ID")
 KNOWN_COLUMNS = ("Email", "Job Title", "First Name", "Last Name", "Company")
 
@@ -92,7 +93,7 @@ def unpack_archives(files: DataFrame, columns: Sequence[str] | None = None) -> D
             header = distinct_names(next(reader, []))
             places = [header.index(name) if name in header else None for name in names]
             row_no = 0
-            while part := list(islice(reader, ROWS_PER_BATCH)):
+            while part := _some_rows(reader):
                 cells = [[row[p] if p is not None and p < len(row) else "" for p in places] for row in part]
                 surplus = [_one_line(row[len(header) :]) if len(row) > len(header) else None for row in part]
                 yield pd.DataFrame({"path": path, "row_no": range(row_no, row_no + len(part)), "cells": cells, "surplus": surplus})
@@ -113,6 +114,17 @@ def unpack_archives(files: DataFrame, columns: Sequence[str] | None = None) -> D
     return clean_null_tokens(rename_id(flat))
 
 
+def _some_rows(reader: Iterator[list[str]]) -> list[list[str]]:
+    """The next rows: at most so many, and no more once their cells are long enough together."""
+    part, chars = [], 0
+    for row in islice(reader, ROWS_PER_BATCH):
+        part.append(row)
+        chars += sum(map(len, row))
+        if chars >= CHARS_PER_BATCH:
+            break
+    return part
+
+
 def _one_line(cells: list[str]) -> str:
     line = io.StringIO()
     csv.writer(line).writerow(cells)

@@ -148,3 +148,23 @@ def test_intake(spark, tmp_path):
     (drop / "two.csv").write_text(header + "3,c@x,Dev\n")
     take_in(spark, *where)
     assert rows(spark.read.parquet(where[1]), "prospect_id", "job_title") == [("1", "CTO, EU"), ("3", "Dev")]
+
+
+def test_archives_and_batches_of_long_cells_are_bounded(spark, tmp_path, monkeypatch):
+    """Long cells are packed into several archives and unpacked in several batches, as whole as they were."""
+    import pandas as pd
+
+    from catalogue import source_queries as Q
+    from rolecast.sources import archive as A
+
+    monkeypatch.setattr(Q, "ARCHIVE_CHARS", 200_000, raising=False)
+    texts = ['a "b", c', "line\nbreak", None, "x" * 140_000, "", "y"]
+    batch = pd.DataFrame({"Record ID": [str(i) for i in range(6)], "Job Title": texts, "Lead Language": ["en", None] * 3})
+    packed = list(Q._pack_files(str(tmp_path))(iter([batch])))
+    assert len(packed) > 1
+    times = [1 + Q.LONG // max(1, len(text or "")) for text in texts]
+    read = A.read_archives(spark, str(tmp_path)).select("prospect_id", "job_title", "Lead Language").collect()
+    assert sorted(map(tuple, read)) == [(str(i), (text or "") * times[i], "" if i % 2 else "en") for i, text in enumerate(texts)]
+    monkeypatch.setattr(A, "CHARS_PER_BATCH", 10)
+    rows = iter([["1", "a" * 8], ["2", "b"], ["3", "c"]])
+    assert [len(A._some_rows(rows)) for _ in range(3)] == [2, 1, 0]
