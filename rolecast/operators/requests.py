@@ -17,11 +17,16 @@ DIGEST_FIELDS = ((2147483647, 1000003), (2147483629, 69069))
 HISTORY_BITS = 48
 
 
-def render_chunks(chunked: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
-    """One row per chunk: `id,title` lines in row order, and how many there are."""
+def render_chunks(chunked: DataFrame, keep: tuple[str, ...] = (), tasks: int | None = None) -> DataFrame:
+    """One row per chunk: `id,title` lines in row order, and how many there are.
+
+    With `tasks`, chunks are dealt by `chunk_id` to so many tasks before they are put together,
+    so `ask_chunks` with as many calls takes them as they lie, without a second shuffle.
+    """
     line = F.concat(F.coalesce(F.col("prospect_id"), F.lit("")), F.lit(","), X.sanitize_title(F.col("job_title")))
     rows = chunked.select(*keep, "chunk_id", F.struct("row_no", line.alias("line")).alias("entry"))
-    return rows.groupBy(*keep, "chunk_id").agg(
+    dealt = rows.repartition(tasks, "chunk_id") if tasks else rows
+    return dealt.groupBy(*keep, "chunk_id").agg(
         F.array_join(F.transform(F.array_sort(F.collect_list("entry")), lambda e: e["line"]), "\n").alias("payload"),
         F.count(F.lit(1)).alias("n"),
     )

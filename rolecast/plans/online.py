@@ -91,6 +91,7 @@ def ask_pass(
     calls of one wave at most, and a run that goes on finds the sizes in the waves it has. No
     reply at all in a pass is an error: the service is down or the reply function wrong."""
     spark = todo.sparkSession
+    calls = call_options.get("calls_in_parallel") or spark.sparkContext.defaultParallelism
     total = todo.agg(F.max("row_no")).first()[0] or 0
     start, first_chunk, wave, answered, error = 0, 0, 0, 0, None
     while start < total:
@@ -99,7 +100,7 @@ def ask_pass(
             end = start + size * chunks_per_wave
             rows = todo.filter(F.col("block").between(start // width, (end - 1) // width) & (F.col("row_no") > start) & (F.col("row_no") <= end))
             chunked = rows.withColumn("chunk_id", F.expr(f"{first_chunk}L + (row_no - 1 - {start}L) div {size}L"))
-            ask_chunks(render_chunks(chunked), ask, wave_path, wave=wave, chunk_size=size, **call_options)
+            ask_chunks(render_chunks(chunked, tasks=calls), ask, wave_path, wave=wave, chunk_size=size, **call_options)
         told = wave_log(spark.read.schema(REPLY_SCHEMA).parquet(wave_path)).first()
         start, first_chunk, wave = start + told["n_rows"], first_chunk + told["n_chunks"], wave + 1
         answered, error = answered + told["answered"], told["last_error"]

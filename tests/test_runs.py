@@ -340,3 +340,24 @@ def test_number_of_waves_does_not_grow_with_the_table(spark, tmp_path, monkeypat
     assert decided.filter("skip_reason is null").count() == 120
     log = online.wave_log(online.read_replies(spark, f"{tmp_path}/replies")).collect()
     assert sorted((row["wave"], row["n_chunks"], row["n_rows"]) for row in log) == [(0, 4, 40), (1, 4, 40), (2, 4, 40)]
+
+
+def test_a_wave_is_shuffled_once(spark, tmp_path, monkeypatch):
+    """Chunks are put together in the tasks that send them."""
+    from rolecast.plans import online
+
+    plans = []
+
+    def send(payloads, ask, path, **options):
+        plans.append(plan_of(payloads.repartition(options["calls_in_parallel"], "chunk_id")))
+        return ask_chunks(payloads, ask, path, **options)
+
+    monkeypatch.setattr(online, "ask_chunks", send)
+    made = [(str(i), f"u{i}@x.example", "Data Analyst, EU", i) for i in range(95)]
+    contacts = spark.createDataFrame(made, "prospect_id string, email string, job_title string, seq long").repartition(3)
+    decided = online.run_online(contacts, rule_replies(), str(tmp_path), max_chunk=10, chunks_per_wave=4, calls_in_parallel=3, policy=QUIET)
+    assert decided.filter("skip_reason is null").count() == 95
+    assert [plan.count("Exchange") for plan in plans] == [1, 1, 1]
+    sent = online.read_replies(spark, f"{tmp_path}/replies").orderBy("chunk_id").collect()
+    ids = [line.partition(",")[0] for row in sent for line in row["reply"].split("\n")]
+    assert ids == [str(i) for i in range(95)] and [row["n"] for row in sent] == [10] * 9 + [5]
