@@ -50,6 +50,10 @@ START = np.uint64(0xBE5466CF34E90C6C)
 #: this share of a bucket's entries in all are dealt out by word.
 FREQUENT = 1e-3
 HOT = 0.25
+#: Share of the tokens, and bytes of the texts looked at, for words that have a short name in lists.
+USUAL = 2.0**-19
+USUAL_BYTES = 64_000_000
+NONE = np.zeros(0, np.uint64)
 #: Rounds in which the buckets of the first tier are worked on, and how many of them a sweep takes at once.
 ROUNDS = 8
 AT_ONCE = 4
@@ -151,13 +155,30 @@ def folded(columns: list[np.ndarray]) -> np.ndarray:
     return value
 
 
+def in_order(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places of 64-bit values in their order, and the values in it. Leading bits with the
+    place behind them are sorted, which is faster than to sort places; equal leading bits
+    of different values are rare, and then places are sorted after all."""
+    bits = np.uint64(len(values).bit_length())
+    places = (values >> bits << bits) | np.arange(len(values), dtype=np.uint64)
+    places.sort()
+    places &= (np.uint64(1) << bits) - np.uint64(1)
+    order = places.view(np.int64)
+    found = values[order]
+    if (found[1:] < found[:-1]).any():
+        order = np.argsort(values)
+        found = values[order]
+    return order, found
+
+
 def distinct(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """A place of each distinct value, in the order of values, and which one each value is."""
-    order = np.argsort(values)
+    order, found = in_order(values)
     new = np.ones(len(values), bool)
-    new[1:] = values[order[1:]] != values[order[:-1]]
-    which = np.empty(len(values), np.int64)
-    which[order] = np.cumsum(new) - 1
+    np.not_equal(found[1:], found[:-1], out=new[1:])
+    del found
+    which = np.empty(len(values), np.int32 if len(values) < 1 << 31 else np.int64)
+    which[order] = np.cumsum(new, dtype=which.dtype) - which.dtype.type(1)
     return order[new], which
 
 
@@ -201,21 +222,51 @@ def questions(columns: list[np.ndarray], buckets: list[int], hot: np.ndarray) ->
     return first[order], rank[which], [(int(bucket[start]), slice(start, end)) for start, end in zip(edges, edges[1:]) if end > start]
 
 
-def spelled(columns: list[np.ndarray]) -> dict[str, np.ndarray]:
-    """Sorted columns of hashes as the distinct hashes and their numbers; all but words
-    behind two others are steps."""
+def usual_words(rows: DataFrame, size: int) -> np.ndarray:
+    """Sorted hashes of words that lists name by their place in here: those with a share of
+    USUAL or more of the tokens of some USUAL_BYTES of texts. Other words are written as
+    hashes, so the choice makes lists shorter and changes nothing else."""
+    some = rows.where(F.crc32(F.coalesce(F.col("key").cast("string"), F.lit("")).cast("binary")) <= (1 << 32) * min(1, USUAL_BYTES / max(size, 1)))
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for piece in slices(batches):
+            hashes, n = np.unique(tokens_of(raw(piece.column("text")))[2], return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(hashes.view(np.int64)), pa.array(n, pa.int64())], names=["word", "n"])
+
+    path = new_path(rows.sparkSession, "words")
+    with shuffles_removed(rows.sparkSession):
+        some.select("text").mapInArrow(work, "word long, n long").groupBy("word").agg(F.sum("n").alias("n")).write.parquet(path)
+    counts = rows.sparkSession.read.schema("word long, n long").parquet(path)
+    tokens = counts.agg(F.sum("n")).first()[0] or 0
+    usual = counts.where(F.col("n") >= USUAL * tokens).select("word").collect()
+    remove(rows.sparkSession, path)
+    return np.sort(np.array([found.word for found in usual], np.int64).view(np.uint64))
+
+
+def spelled(columns: list[np.ndarray], usual: np.ndarray) -> dict[str, np.ndarray]:
+    """Sorted columns of hashes as the distinct hashes (usual ones by their place) and their
+    numbers; all but words behind two others are steps."""
     both = np.concatenate(columns)
     first, which = distinct(both)
     numbers = np.split(which.astype("<u4"), len(columns))
-    return {"a": steps(both[first]), "b": np.concatenate([found if i == 2 else steps(found) for i, found in enumerate(numbers)])}
+    words = both[first]
+    place = np.searchsorted(usual, words)
+    known = np.append(usual, np.uint64(0))[place] == words
+    known &= place < len(usual)
+    return {
+        "a": steps(words[~known]),
+        "b": np.concatenate([found if i == 2 else steps(found) for i, found in enumerate(numbers)]),
+        "e": steps(place[known].astype("<u4")),
+    }
 
 
-def read(a: bytes, b: bytes, n: int) -> list[np.ndarray]:
-    words = unpacked(a, "<u8", stepped=True)
-    return [words[found if i == 2 else np.cumsum(found, dtype="<u4")] for i, found in enumerate(np.split(unpacked(b, "<u4"), n))]
+def read(asker: dict, n: int, usual: np.ndarray) -> list[np.ndarray]:
+    words = np.concatenate([usual[unpacked(asker["e"], "<u4", stepped=True)], unpacked(asker["a"], "<u8", stepped=True)])
+    words.sort()
+    return [words[found if i == 2 else np.cumsum(found, dtype="<u4")] for i, found in enumerate(np.split(unpacked(asker["b"], "<u4"), n))]
 
 
-def ask(docs: DataFrame, buckets: list[int]) -> Table:
+def ask(docs: DataFrame, buckets: list[int], usual: np.ndarray = NONE) -> Table:
     """The rows of parts, of their questions and of their frequent words before, saved: a
     part's tokens are places in the list of its questions, by bucket."""
     kind = docs.schema["key"].dataType
@@ -223,7 +274,7 @@ def ask(docs: DataFrame, buckets: list[int]) -> Table:
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        task, none = TaskContext.get().partitionId(), np.zeros(0, np.uint64)
+        task = TaskContext.get().partitionId()
         for i, batch in enumerate(slices(batches, "text", PART_BYTES)):
             keys, held, part = batch.column("key"), batch.column("held_out"), task << 32 | i
             lists = [("keys", pa.list_(keys.type)), ("held_out", pa.list_(pa.bool_()))]
@@ -235,12 +286,12 @@ def ask(docs: DataFrame, buckets: list[int]) -> Table:
 
             *columns, lengths = (np.concatenate(found) for found in zip(*(tokens_of(raw(piece.column("text"))) for piece in slices([batch]))))
             train = np.repeat(~np.array(held, bool), lengths)
-            first, which, asked = questions(columns, buckets, none)
+            first, which, asked = questions(columns, buckets, NONE)
             counts = np.bincount(which, train, len(first)).astype("<i4")
             yield wide(row(0, part, PART, a=lengths.astype("<i4"), b=which.astype("<i4")), keys, held)
             columns = [column[first] for column in columns]
             for bucket, inside in asked:
-                yield wide(row(2, bucket, ASKED, part, c=counts[inside], **spelled([column[inside] for column in columns])))
+                yield wide(row(2, bucket, ASKED, part, c=counts[inside], **spelled([column[inside] for column in columns], usual)))
             before, n = np.unique(folded(columns[1:2]), return_counts=True)
             for context, count in zip(before[n > FREQUENT * len(first)], n[n > FREQUENT * len(first)]):
                 yield wide(row(1, -1, FREQUENTS, int(context.view(np.int64)), int(count)))
@@ -276,27 +327,38 @@ def added(tables: list[Table], kind: int) -> dict[int, tuple[int, int]]:
     return {found.peer: (found.x, found.y) for found in sums}
 
 
-def merged(asked: list[DataFrame], level: int, buckets: list[int], hot: np.ndarray) -> Table:
+def merged(asked: list[DataFrame], level: int, buckets: list[int], hot: np.ndarray, usual: np.ndarray) -> Table:
     """Saved rows of the buckets of a tier that are asked: what stays (the restaurant, the place of the
     parent and the training tokens of each entry), the entries that each asker asks for, the
     state with one table per word, totals, and questions to the next tier."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for bucket, rows in grouped(batches):
-            given = rows[ASKED]
-            columns = [np.concatenate(found) for found in zip(*(read(asker["a"], asker["b"], level + 1) for asker in given))]
-            tokens = [unpacked(asker["c"], "<i8" if asker["d"] else "<i4") for asker in given]
-            guests = [unpacked(asker["d"], "<i8") for asker in given] if level < 2 else tokens
-            first, entry = distinct(folded(columns))
-            order = order_of([column[first] for column in columns])
-            rank = np.empty(len(order), np.int64)
-            rank[order] = np.arange(len(order))
-            first, entry = first[order], rank[entry]
-            for asker, which in zip(given, np.split(entry, np.cumsum([len(n) for n in tokens])[:-1])):
-                yield row(level, bucket, CHILD, asker["peer"], a=steps(which.astype("<i4")))
-            columns = [column[first] for column in columns]
-            n = np.bincount(entry, np.concatenate(tokens), len(first)).astype("<i8")
-            customers = np.bincount(entry, np.concatenate(guests), len(first)).astype("<i8")
+            given = rows.pop(ASKED)
+            lists, hashes = [[] for _ in range(level + 1)], []
+            for asker in given:
+                found = read(asker, level + 1, usual)
+                hashes.append(folded(found))
+                for pieces, column in zip(lists, found):
+                    pieces.append(column)
+            ends = np.cumsum([len(values) for values in hashes])
+            hashes = np.concatenate(hashes)
+            first, entry = distinct(hashes)
+            del hashes, found, column
+            columns = [np.concatenate(lists.pop(0))[first] for _ in range(level + 1)]
+            order = order_of(columns)
+            rank = np.empty(len(order), "<i4")
+            rank[order] = np.arange(len(order), dtype="<i4")
+            columns, entry = [column[order] for column in columns], rank[entry]
+            n = np.zeros(len(order), "<i8")
+            customers = np.zeros(len(order), "<i8") if level < 2 else n
+            for asker, which in zip(given, np.split(entry, ends[:-1])):
+                yield row(level, bucket, CHILD, asker["peer"], a=steps(which))
+                # Entries of an asker are distinct.
+                n[which] += unpacked(asker["c"], "<i8" if asker["d"] else "<i4")
+                if level < 2:
+                    customers[which] += unpacked(asker["d"], "<i8")
+            del given, asker, which, entry, first, order, rank
             tables = np.minimum(customers, 1)
             contexts = contexts_of(columns)
             places, restaurant = distinct(contexts)
@@ -311,7 +373,7 @@ def merged(asked: list[DataFrame], level: int, buckets: list[int], hot: np.ndarr
                 chosen, parent, asked_of = questions(columns[1:], buckets, hot)
                 up = [np.bincount(parent, values, len(chosen)).astype("<i8") for values in (n, tables)]
                 for number, inside in asked_of:
-                    yield row(level - 1, number, ASKED, bucket, c=up[0][inside], d=up[1][inside], **spelled([column[chosen[inside]] for column in columns[1:]]))
+                    yield row(level - 1, number, ASKED, bucket, c=up[0][inside], d=up[1][inside], **spelled([column[chosen[inside]] for column in columns[1:]], usual))
                 stays |= {"b": steps(parent.astype("<i4")), "c": np.array([(number, inside.stop - inside.start) for number, inside in asked_of], np.int64).reshape(-1)}
             yield row(level, bucket, STATIC, **stays)
             tier = Tier(level, bucket, {STATIC: [], CHILD: []}, restaurant, common, customers, tables)
@@ -424,17 +486,17 @@ class Tier:
 class Model:
     """The tables of the tiers by round, and the numbers on the driver."""
 
-    def __init__(self, asked: Table, buckets: list[int]):
+    def __init__(self, asked: Table, buckets: list[int], usual: np.ndarray = NONE):
         self.buckets, self.learned = buckets, Learned()
         entries = added([asked], SUMS).get(0, (0, 0))[0]
         frequent = asked.rows(FREQUENTS).groupBy("peer").agg(F.sum("x").alias("n")).where(F.col("n") > HOT * entries / buckets[1])
         hot = np.array([found.peer for found in frequent.collect()], np.int64).view(np.uint64)
         self.tiers: list[list[Table]] = [[], [], []]
         for turn in range(ROUNDS):
-            self.tiers[2].append(merged([asked.rows(ASKED, turn)], 2, buckets, hot))
+            self.tiers[2].append(merged([asked.rows(ASKED, turn)], 2, buckets, hot, usual))
             asked.drop(ASKED, turn)
         for level in (1, 0):
-            self.tiers[level] = [merged([rows_of(self.tiers[level + 1], ASKED)], level, buckets, hot)]
+            self.tiers[level] = [merged([rows_of(self.tiers[level + 1], ASKED)], level, buckets, hot, usual)]
             for table in self.tiers[level + 1]:
                 table.drop(ASKED)
         self.states = list(self.tiers)
@@ -544,8 +606,9 @@ def document_scores(docs: DataFrame, key: str = "doc_id", text: str = "text", pa
     rows = docs.select(docs[key].alias("key"), held_out(key, parts, part).alias("held_out"), F.col(text).alias("text"))
     size = docs.agg(F.sum(F.octet_length(text))).first()[0] or 0
     buckets = [size // (8 * BUCKET_BYTES) + 8, size // (2 * BUCKET_BYTES) + 8, size // BUCKET_BYTES + 8]
-    asked = ask(rows, buckets)
-    model = Model(asked, buckets)
+    usual = usual_words(rows, size)
+    asked = ask(rows, buckets, usual)
+    model = Model(asked, buckets, usual)
     for sweep in range(SWEEPS):
         model.tell(last=False)
         model.sweep(sweep)

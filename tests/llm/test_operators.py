@@ -327,3 +327,11 @@ def test_language_model_chances_add_up(spark, mixed, hot, monkeypatch):
     second = (np.cumsum(lengths) - lengths + 1)[np.array(part.held_out)]
     assert abs((10.0 ** scores[tokens[second]]).sum() - 1) < 1e-4
     assert (len(model.learned.totals[1]) > 0) == (hot < 1)
+
+
+@pytest.mark.parametrize("share, size", [(2.0, 64_000_000), (1e-2, 64_000_000), (1e-2, 200)])
+def test_language_model_is_the_same_whatever_words_are_usual(mixed, monkeypatch, share, size):
+    expected = sorted(map(tuple, document_scores(mixed).collect()), key=str)
+    monkeypatch.setattr(language_model, "USUAL", share)
+    monkeypatch.setattr(language_model, "USUAL_BYTES", size)
+    assert sorted(map(tuple, document_scores(mixed).collect()), key=str) == expected

@@ -10,6 +10,7 @@ import pytest
 import tiktoken
 from hypothesis import given, settings, strategies as st
 
+from rolecast.llm import language_model
 from rolecast.llm.byte_bpe import Bpe, read_ranks
 from rolecast.llm.fm_index import WaveletMatrix, WordIndex
 from rolecast.llm.languages import LanguageModel, ngrams, slots_of
@@ -250,3 +251,26 @@ def test_table_draws():
     assert (tables <= customers).all() and (tables[customers > 0] >= 1).all()
     two = tables[customers == 2]
     assert abs((two == 2).mean() - 0.5) < 0.05
+
+
+def test_usual_words_are_named_by_place():
+    draw = np.random.default_rng(3)
+    words = np.sort(draw.integers(0, 1 << 64, 3000, dtype=np.uint64))
+    usual = np.append(words[: 2 : -3], words[1::3])
+    usual.sort()
+    columns = [words[draw.integers(0, len(words), 9000)] for _ in range(3)]
+    sizes = []
+    for known in (language_model.NONE, usual, words, words[:1], words[-1:]):
+        cells = {name: language_model.packed(values) for name, values in language_model.spelled(columns, known).items()}
+        assert all((a == b).all() for a, b in zip(columns, language_model.read(cells, 3, known), strict=True))
+        sizes.append(len(cells["a"]) + len(cells["e"]))
+    assert sizes[2] < sizes[1] < sizes[0] / 2
+
+
+def test_places_in_order_where_leading_bits_are_equal():
+    values = np.array([5, 3, 1 << 63, 4, 3, (1 << 63) + 1, 0], np.uint64)
+    order, found = language_model.in_order(values)
+    assert found.tolist() == sorted(values.tolist()) and (values[order] == found).all()
+    first, which = language_model.distinct(values)
+    assert (values[first][which] == values).all() and len(first) == 6
+    assert all(len(found) == 0 for found in language_model.distinct(values[:0]))
