@@ -9,6 +9,11 @@ from pyspark.sql import Column, DataFrame, functions as F
 from rolecast import schema as S
 from rolecast.functions import text as X
 
+#: A line of fewer bytes never has more cells than the parser takes.
+PARSED_BYTES = 20_000
+
+_FIVE_CELLS = '(?:(?:"(?:[^"]++|"")*+"[^,]*+|[^,"][^,]*+|),){4}[^,]*'
+
 
 def keep_nonempty(replies: DataFrame, column: str = "reply") -> DataFrame:
     return replies.filter(X.has_text(F.col(column)))
@@ -20,8 +25,10 @@ def parse_reply_lines(replies: DataFrame, keep: Sequence[str] = ("chunk_id",), c
     Cells after the fourth are cut, missing and empty ones are null, quoted commas belong to
     their cell, and a broken line harms no other line.
     """
-    ends = F.replace(F.col(column), F.lit("\r\n"), F.lit("\n"))  # a split by one character needs no pattern
-    lines = replies.select(*keep, F.posexplode(F.split(ends, "\n")).alias("line_no", "line"))
+    # A split by one character needs no pattern. With one more at the end, every line loses one carriage return.
+    cut = replies.select(*keep, F.posexplode(F.split(F.concat(F.col(column), F.lit("\r")), "\n")).alias("line_no", "line"))
+    shorter = F.left(F.col("line").cast("binary"), F.octet_length("line") - 1).cast("string")
+    lines = cut.withColumn("line", F.when(F.col("line").endswith("\r"), shorter).otherwise(F.col("line")))
     fields = ", ".join(f"{name} STRING" for name in S.REPLY_COLUMNS) + ", irregular STRING"
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "irregular", "escape": '"'}
     parsed = (
@@ -29,21 +36,40 @@ def parse_reply_lines(replies: DataFrame, keep: Sequence[str] = ("chunk_id",), c
         .withColumn("cells", F.from_csv(_first_cells(F.col("line")), fields, options))
         .select(*keep, "line_no", *[F.col(f"cells.{name}") for name in S.REPLY_COLUMNS], "cells.irregular")
     )
-    # Counted on irregular lines only: commas outside quotes.
-    commas = F.length(F.regexp_replace(F.regexp_replace("irregular", '"[^"]*"', ""), "[^,]", ""))
-    shape = F.when(F.col("irregular").isNull(), "ok").when(commas >= len(S.REPLY_COLUMNS), "long").otherwise("short")
+    # Counted on irregular lines only, if no fifth cell is plain to see: commas outside quotes.
+    irregular = F.col("irregular")
+    commas = F.length(F.regexp_replace(F.regexp_replace(_without_rest(irregular), '"[^"]*"', ""), "[^,]", ""))
+    is_long = _has_fifth_cell(irregular) | (commas >= len(S.REPLY_COLUMNS))
+    shape = F.when(irregular.isNull(), "ok").when(is_long, "long").otherwise("short")
     return parsed.withColumn("shape", shape).drop("irregular")
 
 
 def _first_cells(line: Column) -> Column:
     """The line up to its fifth cell if it has very many: the parser refuses lines of more
     than some twenty thousand cells, and the fifth already tells that a line is long. A line
-    without a fifth cell, or with a quote that is left open, stays whole. Quantifiers are
-    possessive, so a quoted cell is never read as an unquoted one."""
-    very_many = F.octet_length(F.substring_index(line, ",", 1_001)) < F.octet_length(line)
+    without a fifth cell, or with a quote that is left open, stays whole, and so does one of
+    fewer bytes, which is not looked at. Quantifiers are possessive, so a quoted cell is never
+    read as an unquoted one."""
     # One pattern with the whole line as its other way, so that it is looked for once.
-    start = F.regexp_extract(line, '^(?:(?:(?:"(?:[^"]++|"")*+"[^,]*+|[^,"][^,]*+|),){4}[^,]*|(?s:.*))', 0)
-    return F.when(very_many, start).otherwise(line)
+    start = F.regexp_extract(line, f"^(?:{_FIVE_CELLS}|(?s:.*))", 0)
+    return F.when((F.octet_length(line) >= PARSED_BYTES) & _very_many(line), start).otherwise(line)
+
+
+def _without_rest(line: Column) -> Column:
+    """The line up to its fifth cell if it has very many, so that quotes far behind do not
+    decide which commas are outside of them."""
+    return F.when(_very_many(line), F.regexp_replace(line, f"^({_FIVE_CELLS})(?s:.*)", "$1")).otherwise(line)
+
+
+def _very_many(line: Column) -> Column:
+    return F.octet_length(F.substring_index(line, ",", 1_001)) < F.octet_length(line)
+
+
+def _has_fifth_cell(line: Column) -> Column:
+    """Whether the line goes on after four cells without quotes or with quotes all around.
+    What is in quotes is taken out by a split first, as patterns take long over long cells."""
+    outside = F.array_join(F.filter(F.split(line, '"'), lambda part, i: i % 2 == 0), '"')
+    return outside.rlike('^(?:(?:"+|[^",]*),){4}')
 
 
 def tidy_replies(parsed: DataFrame) -> DataFrame:

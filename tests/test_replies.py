@@ -147,3 +147,24 @@ def test_output_files_take_less_disk_than_their_lines(spark, tmp_path):
     assert sorted(row["prospect_id"] for row in found) == sorted(str(order) for order in range(40))
     assert all("Data User" in row["content"] for row in found)
     assert sum(path.stat().st_size for path in files() - before) < 20_000  # 34,400 of padding alone
+
+
+def test_long_cells_are_not_looked_through_by_patterns(spark, monkeypatch):
+    """A line that the parser takes is parsed whole; its shape is that of the line up to its fifth cell."""
+    title = ", ".join(["VP"] * 1_100)
+    lines = [
+        (f'1,"{title}",CEO,0.9', ("1", title, "ok")),
+        (f'2,"{title}",CEO,0.9,note, more', ("2", title, "long")),
+        (f'3,5" disk,CEO,0.9,note,{title},"x"', ("3", '5" disk', "long")),
+        (f'4,x"y,z"w,CEO,0.9{",a" * 1_100}', ("4", 'x"y', "short")),
+        (f'5,"{title},CEO,0.9', ("5", f"{title},CEO,0.9", "long")),
+        (f'"6","a ""b"", c","","0.9",{title}', ("6", 'a "b", c', "long")),
+    ]
+    made = spark.createDataFrame([(line,) for line, _ in lines], "line string")
+    assert all(len(line) < R.PARSED_BYTES for line, _ in lines)
+    assert made.filter(R._first_cells(F.col("line")) != F.col("line")).count() == 0
+    replies = spark.createDataFrame([(1, "\r\n".join(line for line, _ in lines))], "chunk_id long, reply string")
+    for least in (R.PARSED_BYTES, 0):  # whole or cut, the cells are the same
+        monkeypatch.setattr(R, "PARSED_BYTES", least)
+        parsed = R.parse_reply_lines(replies).orderBy("line_no").collect()
+        assert [(row["prospect_id"], row["job_title"], row["shape"]) for row in parsed] == [want for _, want in lines]
