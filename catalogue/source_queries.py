@@ -170,6 +170,8 @@ def src_archive_files(spark, sf):
 
 WIDE = 40_000
 ROUND_BYTES = 2 << 30
+ROUNDS = 24
+FILE_BYTES = 160 << 20  # more than a split
 WIDE_SQL = f"""repeat(coalesce(text, '') || chr(10) || '"a, b"' || chr(10), cast(1 + {WIDE} // (10 + length(coalesce(text, ''))) as int))"""
 
 
@@ -182,11 +184,14 @@ def src_csv_split(spark, sf):
     and many records lie across the edges of splits.
 
     The files are some twenty times the documents, so these are dealt to rounds of about
-    `ROUND_BYTES` of files, and the files of a round go once their digests are saved."""
+    `ROUND_BYTES` of files, or to `ROUNDS` larger ones, and the files of a round go once their
+    digests are saved. All cores write them, as long as files are longer than `FILE_BYTES`."""
     documents = base(spark, sf, "documents").select("doc_id", "source", "text")
     repeats = F.expr(f"1 + {WIDE} div (10 + length(coalesce(text, '')))")
     size = documents.agg(F.sum((F.coalesce(F.octet_length("text"), F.lit(0)) + 10) * repeats)).first()[0] or 0
-    rounds = 1 + size // ROUND_BYTES
+    rounds = min(ROUNDS, 1 + size // ROUND_BYTES)
+    cores = spark.sparkContext.defaultParallelism
+    files = max(1, cores // 4, min(cores, size // rounds // FILE_BYTES))
     dealt, digests = new_path(spark, "dealt"), new_path(spark, "digests")
     placed = documents.withColumn("round", F.pmod(F.xxhash64("doc_id", "source", "text"), F.lit(rounds)))
     placed.write.partitionBy("round").parquet(dealt)
@@ -199,7 +204,7 @@ def src_csv_split(spark, sf):
         )
         with scratch(spark):
             path = new_path(spark, "csv")
-            write_csv(rows.coalesce(max(1, spark.sparkContext.defaultParallelism // 4)), path)
+            write_csv(rows.coalesce(files), path)
             read = read_csv_contacts(spark, path)
             told = read.select("prospect_id", "company", F.length("job_title").alias("n_chars"), F.md5("job_title").alias("digest"))
             told.write.mode("append").parquet(digests)

@@ -15,7 +15,9 @@ import re
 from collections.abc import Iterator
 from functools import reduce
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from rolecast.operators.lookups import BROADCAST_BYTES, fits_broadcast, lookup_join
@@ -24,6 +26,9 @@ from rolecast.session import saved
 #: Blocks that begin inside of a cell and are broadcast, a few bytes each.
 BROADCAST_BLOCKS = 4_000_000
 
+#: Records that a task holds before it hands them on.
+FLUSH_BYTES = 64 << 20
+
 #: Cells from the start of a cell on, and then a quoted one that the line does not close.
 _OPENED = re.compile(rb'(?:(?:"(?:[^"]++|"")*+"[^,]*+|[^",][^,]*+|),)*+"(?:[^"]++|"")*+\Z')
 _QUOTED = re.compile(rb'(?:[^"]++|"")*+')
@@ -44,31 +49,38 @@ def ends_inside(line: bytes, inside: bool) -> bool:
     return b'"' in line and _OPENED.match(line) is not None
 
 
-def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[tuple, bool, list[bytes], dict]]:
-    """Runs of lines of one block: its key, whether the run begins it, its lines, other cells."""
+def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[tuple, bool, pa.Array, list[int], dict]]:
+    """Runs of lines of one block: its key, whether the run begins it, its lines, which of them
+    have a quote, other cells."""
     last = None
     for batch in batches:
-        files, starts = batch.column("file").to_pylist(), batch.column("block").to_pylist()
-        lines = batch.column("value").cast(pa.binary()).to_pylist()
-        keys = list(zip(files, starts))
-        at = 0
-        while at < len(keys):
-            end = at
-            while end < len(keys) and keys[end] == keys[at]:
-                end += 1
-            yield keys[at], keys[at] != last, lines[at:end], {name: batch.column(name)[at].as_py() for name in batch.schema.names[3:]}
-            last, at = keys[at], end
+        files, starts = batch.column("file").to_numpy(), batch.column("block").to_numpy()
+        lines = batch.column("value")
+        quoted = np.flatnonzero(pc.match_substring(lines, '"').to_numpy(zero_copy_only=False))
+        edges = 1 + np.flatnonzero((files[1:] != files[:-1]) | (starts[1:] != starts[:-1]))
+        bounds = [0, *edges.tolist(), len(files)] if len(files) else []
+        for at, end in zip(bounds, bounds[1:]):
+            key = int(files[at]), int(starts[at])
+            among = quoted[slice(*np.searchsorted(quoted, (at, end)))] - at
+            yield key, key != last, lines[at:end], among.tolist(), {name: batch.column(name)[at].as_py() for name in batch.schema.names[3:]}
+            last = key
+
+
+def _bytes(lines: pa.Array, chosen: list[int] | None = None) -> list[bytes]:
+    return (lines if chosen is None else lines.take(pa.array(chosen, pa.int64()))).cast(pa.binary()).to_pylist()
 
 
 def look_at_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """One row per block: its first line, and how it ends for each way of beginning."""
     rows: list[list] = []
-    for key, begins, lines, _ in _blocks(batches):
+    for key, begins, lines, quoted, _ in _blocks(batches):
         if begins:
-            rows.append([*key, lines[0].decode(), False, True])
+            rows.append([*key, _bytes(lines[:1])[0].decode(), False, True])
         outside, inside = rows[-1][3:]
-        for line in lines:
-            if b'"' in line:  # else nothing changes
+        for line in _bytes(lines, quoted):  # at the others nothing changes
+            if outside == inside:  # and stay alike
+                outside = inside = ends_inside(line, inside)
+            else:
                 outside, inside = ends_inside(line, outside), ends_inside(line, inside)
         rows[-1][3:] = [outside, inside]
     names = [part.split()[0] for part in BLOCKS.split(", ")]
@@ -81,6 +93,7 @@ def put_together(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     the `start` of one that goes on in the next. The number of the line keeps the order."""
     key, held, inside, number, first, kind = None, [], False, 0, 0, "whole"
     rows: list[tuple] = []
+    chars = 0
 
     def flush() -> pa.RecordBatch:
         names = [part.split()[0] for part in PIECES.split(", ")]
@@ -90,24 +103,33 @@ def put_together(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if held:  # the block ends inside of a cell
             rows.append((*key, first, "start" if kind == "whole" else kind, b"\n".join(held).decode()))
 
-    for now, begins, lines, cells in _blocks(batches):
+    for now, begins, run, quoted, cells in _blocks(batches):
         if begins:
             ended()
             key, held, inside, number = now, [], bool(cells["inside"]), 0
             kind = "more" if inside else "whole"
-        for line in lines:
+        lines, done = _bytes(run), 0  # so many lines are in rows or held
+        for at in [*quoted, len(lines)]:
+            if not inside:  # lines without quotes, a record each
+                rows.extend((*key, number + i, "whole", lines[i].decode()) for i in range(done, at))
+                chars += sum(map(len, lines[done:at]))
+                done = at
+            if at < len(lines):
+                inside = ends_inside(lines[at], inside)
+                if not inside:
+                    if not held:
+                        first = number + done
+                    record = b"\n".join([*held, *lines[done : at + 1]])
+                    rows.append((*key, first, kind, record.decode()))
+                    chars, held, kind, done = chars + len(record), [], "whole", at + 1
+            if len(rows) >= 10_000 or chars >= FLUSH_BYTES:
+                yield flush()
+                rows, chars = [], 0
+        if done < len(lines):
             if not held:
-                first = number
-            held.append(line)
-            number += 1
-            if b'"' in line:
-                inside = ends_inside(line, inside)
-            if not inside:
-                rows.append((*key, first, kind, b"\n".join(held).decode()))
-                held, kind = [], "whole"
-        if len(rows) >= 10_000:
-            yield flush()
-            rows = []
+                first = number + done
+            held.extend(lines[done:])
+        number += len(lines)
     ended()
     if rows:
         yield flush()
@@ -142,9 +164,11 @@ def csv_files(lines: DataFrame) -> DataFrame:
     """`file`, `header`, `first`, `broken` of each file: its first line and that line's place,
     and whether some quoted cell may hold a line break, as some line has an odd number of
     quotes."""
-    quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
+    odd = F.size(F.split("value", '"')) % 2 == 0
     first = F.min_by(F.struct("value", "place"), F.struct("block", "place")).alias("first")
-    files = lines.withColumn("odd", quotes % 2 == 1).groupBy("file").agg(first, F.bool_or("odd").alias("broken"))
+    # A set, unlike a flag, lets Spark keep the files of a task in a hash table: no line is sorted.
+    broken = F.array_contains(F.collect_set("odd"), True).alias("broken")
+    files = lines.withColumn("odd", odd).groupBy("file").agg(first, broken)
     return files.select("file", F.col("first.value").alias("header"), F.col("first.place").alias("first"), "broken")
 
 
@@ -152,7 +176,7 @@ def block_records(lines: DataFrame) -> DataFrame:
     """`file`, `block`, `line`, `record` of all records of lines, headers included; the three
     numbers tell files apart and order the records of a file.
 
-    The lines are read twice. A quote that is never closed takes the rest of its file into
+    The lines are read twice, the records lie in saved tables. A quote that is never closed takes the rest of its file into
     one cell, as it does in any reader of such files."""
     looked = lines.select("value", "file", "block").mapInArrow(look_at_blocks, BLOCKS)
     blocks = saved(block_starts(saved(looked, "blocks")), "block-starts")
@@ -163,7 +187,7 @@ def block_records(lines: DataFrame) -> DataFrame:
         met = lines.join(inside, ["file", "block"], "left").repartition("file", "block")
         known = met.sortWithinPartitions("file", "block", "place")
     pieces = saved(known.select("value", "file", "block", "inside").mapInArrow(put_together, PIECES), "pieces")
-    return pieces.filter("kind = 'whole'").drop("kind").unionByName(_across(pieces.filter("kind <> 'whole'")))
+    return pieces.filter("kind = 'whole'").drop("kind").unionByName(saved(_across(pieces.filter("kind <> 'whole'")), "across"))
 
 
 def _across(pieces: DataFrame) -> DataFrame:
@@ -208,7 +232,7 @@ def read_csv_by_name(spark: SparkSession, path: str | list[str], multi_line: boo
         records.append(rows.select("file", F.col("value").alias("record")))
     if True in kinds:
         broken = files.filter("broken").select("file")
-        found = saved(block_records(lines if False not in kinds else _among(lines, broken)), "records")
+        found = block_records(lines if False not in kinds else _among(lines, broken))
         is_first = (F.col("block") == 0) & (F.col("line") == 0)
         headers.append(found.filter(is_first).select("file", F.col("record").alias("header")))
         records.append(found.filter(~is_first).select("file", "record"))
@@ -238,7 +262,10 @@ def _cells_by_name(records: DataFrame, headers: DataFrame) -> DataFrame:
     told = saved(headers.select("file", spots[F.col("header")].alias("spots")), "header-spots")
     rows = records.filter(F.col("record").rlike(r"[^\x00-\x20]"))
     fields = ", ".join(f"c{i} string" for i in range(width))
-    parsed = F.from_csv(F.regexp_replace("record", "\r$", ""), fields, {"escape": '"', "multiLine": "true"})
+    # Only a record with a carriage return near its end is looked through for one at its end.
+    end = F.substring(F.col("record").cast("binary"), -4, 4).cast("string")
+    record = F.when(end.contains("\r"), F.regexp_replace("record", "\r$", "")).otherwise(F.col("record"))
+    parsed = F.from_csv(record, fields, {"escape": '"', "multiLine": "true"})
     met = lookup_join(rows, told, "file", ["record"], "inner").withColumn("parsed", parsed)
     listed = met.withColumn("cells", F.array(*[F.col(f"parsed.c{i}") for i in range(width)]))
     return listed.select(*[F.get("cells", F.get("spots", F.lit(i))).alias(name) for i, name in enumerate(columns.values())])

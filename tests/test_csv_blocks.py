@@ -137,3 +137,50 @@ def test_rounds_of_wide_files_leave_no_files(spark, tmp_path, monkeypatch):
     for doc_id, source, text in made:
         unit = len(text or "") + 8
         assert found["" if doc_id is None else str(doc_id)] == (source or "", unit * (1 + 40_000 // (10 + len(text or ""))))
+
+
+def test_first_look_sorts_no_lines(spark, tmp_path):
+    written(tmp_path)
+    plan = plan_of(csv_files(csv_lines(spark, str(tmp_path))))
+    assert "Sort" not in plan and "ObjectHashAggregate" in plan
+
+
+def test_rounds_are_bounded_and_all_cores_write(spark, tmp_path, monkeypatch):
+    """Large tables have larger rounds, not more, and their files are as many as cores."""
+    from catalogue import source_queries as Q
+
+    spark.createDataFrame([(i, "web", f"text {i}") for i in range(60)], "doc_id long, source string, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    monkeypatch.setattr(Q, "ROUND_BYTES", 200_000)
+    monkeypatch.setattr(Q, "ROUNDS", 2, raising=False)
+    monkeypatch.setattr(Q, "FILE_BYTES", 100_000, raising=False)
+    parts, write = [], Q.write_csv
+    monkeypatch.setattr(Q, "write_csv", lambda rows, path: parts.append(plan_of(rows)) or write(rows, path))
+    assert Q.src_csv_split(spark, str(tmp_path)).count() == 60
+    cores = spark.sparkContext.defaultParallelism
+    assert len(parts) == 2 and all(f"Coalesce {cores}" in plan for plan in parts)
+
+
+def test_long_records_in_small_batches(spark):
+    """Records over many Arrow batches, with and without quotes, whatever the edges of batches."""
+    import pyarrow as pa
+
+    draw = random.Random(9)
+    lines = [draw.choice(["1,plain", "", '2,"open', 'x ""y"" z', 'end",3', '4,"a ""b""",c', '5,5" disk']) for _ in range(300)]
+    want, held, inside, first = [], [], True, 0
+    for number, line in enumerate(lines):
+        first = first if held else number
+        held.append(line)
+        inside = ends_inside(line.encode(), inside)
+        if not inside:
+            want.append((first, "\n".join(held)))
+            held = []
+    want += [(first, "\n".join(held))] if held else []
+    for step in (1, 7, 300):
+        batches = [
+            pa.RecordBatch.from_pydict({"value": part, "file": [1] * len(part), "block": [5] * len(part), "inside": [True] * len(part)})
+            for part in (lines[at : at + step] for at in range(0, len(lines), step))
+        ]
+        got = [row for batch in module.put_together(iter(batches)) for row in batch.to_pylist()]
+        assert [(row["line"], row["record"]) for row in got] == want and got[0]["kind"] == "more"
+        looked = next(module.look_at_blocks(iter(batches))).to_pylist()
+        assert len(looked) == 1 and looked[0]["if_inside"] == inside
